@@ -1 +1,232 @@
-"""Registered queries."""
+"""Registered queries: audit logs, detectors and log reports (K*, T*, V1–V4, V14, V15, V27, V28)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .catalog import register
+from .functions.timefns import ts_lit
+from .operators import audit as K
+from .operators import detect as T
+from .plans import reports as R
+from .sources import bindings as B
+from .sources import metadata as M
+
+AS_OF = B.EVENTS_AS_OF
+OFF_HOURS_WINDOW = "1 day"  # at the driver's data rate a 15-minute slice almost never holds 3 queries
+
+
+@register("v1_login_audit")
+def v1(spark, sf_dir):
+    return R.login_audit(B.login_history(spark, sf_dir), AS_OF)
+
+
+@register("v2_phi_access_summary")
+def v2(spark, sf_dir):
+    return R.access_summary(B.phi_access_log(spark, sf_dir), AS_OF)
+
+
+@register("v4_policy_change_timeline")
+def v4(spark, sf_dir):
+    return R.policy_change_timeline(B.security_policy_changes(spark, sf_dir))
+
+
+@register("v14_daily_event_trend")
+def v14(spark, sf_dir):
+    return R.daily_event_trend(B.phi_access_log(spark, sf_dir), AS_OF)
+
+
+@register("v15_audit_gaps")
+def v15(spark, sf_dir):
+    return R.audit_gaps(spark, B.phi_access_log(spark, sf_dir), AS_OF)
+
+
+@register("t1_bulk_phi_export")
+def t1(spark, sf_dir):
+    return T.bulk_export(B.query_history(spark, sf_dir))
+
+
+@register("t1_alert_query_links")
+def t1_links(spark, sf_dir):
+    qh = B.query_history(spark, sf_dir)
+    return T.alert_query_links(T.bulk_export(qh), qh)
+
+
+@register("t2_off_hours_access")
+def t2(spark, sf_dir):
+    return T.off_hours_access(B.query_history(spark, sf_dir), window=OFF_HOURS_WINDOW)
+
+
+@register("t3_suspect_feed")
+def t3(spark, sf_dir):
+    return T.suspect_feed(B.query_history(spark, sf_dir), off_hours_window=OFF_HOURS_WINDOW).withColumn(
+        "severity", T.severity(F.col("anomaly_score")))
+
+
+def suspects_with_state(spark, sf_dir):
+    """breach_suspect_log (K2) + case events (K9) -> current state."""
+    feed = T.suspect_feed(B.query_history(spark, sf_dir), off_hours_window=OFF_HOURS_WINDOW).withColumn(
+        "detected_at", F.col("window_end"))
+    # Analyst actions, derived per suspect: confirm the top scores after 6 h,
+    # clear every third hour's alerts after 1 h, start investigating others after 30 min.
+    hour = F.hour("detected_at")
+    ev = feed.select(
+        "suspect_id",
+        F.when(F.col("anomaly_score") >= 90, F.col("detected_at") + F.expr("INTERVAL 6 HOURS"))
+        .when(hour % 3 == 0, F.col("detected_at") + F.expr("INTERVAL 1 HOURS"))
+        .when(hour % 3 == 1, F.col("detected_at") + F.expr("INTERVAL 30 MINUTES")).alias("event_at"),
+        F.when(F.col("anomaly_score") >= 90, "CONFIRMED_BREACH").when(hour % 3 == 0, "CLEARED")
+        .when(hour % 3 == 1, "INVESTIGATING").alias("status"),
+        F.lit(None).cast("string").alias("investigation_notes"),
+        F.lit("SECURITY_ANALYST").alias("actor"),
+    ).where(F.col("status").isNotNull())
+    ev = ev.select(
+        "*",
+        (F.col("status") == "CONFIRMED_BREACH").alias("hipaa_notification_required"),
+        F.when(F.col("status") == "CONFIRMED_BREACH", F.date_add(F.to_date("event_at"), 60)).alias("notification_deadline"),
+        F.when(F.col("status").isin("CLEARED", "CONFIRMED_BREACH"), F.col("event_at")).alias("closed_at"),
+    )
+    return K.current_case_state(feed, ev)
+
+
+@register("v3_open_breach_suspects")
+def v3(spark, sf_dir):
+    return R.open_suspects(suspects_with_state(spark, sf_dir), AS_OF)
+
+
+@register("k9_case_state_counts")
+def k9(spark, sf_dir):
+    s = suspects_with_state(spark, sf_dir)
+    return s.groupBy("trigger_type", "status").agg(
+        F.count(F.lit(1)).alias("suspects"),
+        F.sum(F.col("hipaa_notification_required").cast("int")).cast("bigint").alias("notifications"),
+        F.min("notification_deadline").alias("first_deadline"))
+
+
+@register("v27_session_drilldown")
+def v27(spark, sf_dir):
+    qh = B.query_history(spark, sf_dir)
+    flagged = T.session_bulk_export(qh)
+    return R.session_drilldown(qh, flagged)
+
+
+@register("t11_session_bulk_export")
+def t11(spark, sf_dir):
+    return T.session_bulk_export(B.query_history(spark, sf_dir))
+
+
+@register("v28_access_summary_12m")
+def v28a(spark, sf_dir):
+    s = R.access_summary(B.phi_access_log(spark, sf_dir), AS_OF, days=365, sort=False)
+    return s.where(F.col("first_access") >= F.add_months(F.to_date(ts_lit(AS_OF)), -12)).orderBy(
+        F.col("total_rows_affected").desc())
+
+
+@register("v28_policy_changes_12m")
+def v28b(spark, sf_dir):
+    t = R.policy_change_timeline(B.security_policy_changes(spark, sf_dir), sort=False)
+    return t.where(F.col("changed_at") >= F.add_months(F.to_date(ts_lit(AS_OF)), -12)).orderBy(
+        F.col("changed_at").desc())
+
+
+@register("v28_break_glass_events")
+def v28c(spark, sf_dir):
+    log = B.phi_access_log(spark, sf_dir)
+    return log.where(F.col("event_type") == "BREAK_GLASS_ACCESS").select(
+        "log_id", "event_time", "user_name", "role_name", "client_ip", "rows_affected").orderBy(
+        F.col("event_time").desc())
+
+
+@register("v28_confirmed_breaches")
+def v28d(spark, sf_dir):
+    s = suspects_with_state(spark, sf_dir)
+    return s.where(F.col("status") == "CONFIRMED_BREACH").select(
+        "suspect_id", "detected_at", "trigger_type", "suspect_user", "suspect_role", "anomaly_score",
+        "notification_deadline").orderBy(F.col("detected_at").desc())
+
+
+@register("t4_unusual_role_access")
+def t4(spark, sf_dir):
+    return T.unusual_role_access(B.phi_access_log(spark, sf_dir), AS_OF)
+
+
+@register("t5_repeated_failures")
+def t5(spark, sf_dir):
+    return T.repeated_failures(B.login_history(spark, sf_dir), min_failures=5)
+
+
+@register("t6_cross_hospital_attempts")
+def t6(spark, sf_dir):
+    return T.cross_hospital_attempts(B.phi_access_log(spark, sf_dir), B.hospital_role_map(spark, sf_dir), AS_OF)
+
+
+@register("t7_after_termination")
+def t7(spark, sf_dir):
+    users = M.users(spark, sf_dir)
+    term = users.where(F.col("deleted_on").isNotNull()).select(
+        F.col("name").alias("user_name"), F.col("deleted_on").alias("terminated_at"))
+    return T.after_termination(B.phi_access_log(spark, sf_dir), term)
+
+
+@register("t8_policy_bypass_attempts")
+def t8(spark, sf_dir):
+    return T.policy_bypass_attempts(B.phi_access_log(spark, sf_dir))
+
+
+@register("t9_outside_allow_list")
+def t9(spark, sf_dir):
+    log = B.phi_access_log(spark, sf_dir).select("log_id", "event_time", "user_name", "role_name", "client_ip")
+    return T.outside_allow_list(log, "client_ip", T.allow_list(spark))
+
+
+@register("t9_break_glass_range_use")
+def t9b(spark, sf_dir):
+    log = B.login_history(spark, sf_dir).select("event_timestamp", "user_name", "client_ip", "is_success")
+    return T.break_glass_use(log, "client_ip", spark)
+
+
+@register("t10_dev_large_results")
+def t10(spark, sf_dir):
+    return T.dev_large_results(B.phi_access_log(spark, sf_dir)).select(
+        "log_id", "event_time", "user_name", "role_name", "client_environment", "rows_affected")
+
+
+@register("t13_audit_scope_volume")
+def t13(spark, sf_dir):
+    """Volume before/after scoping: all query-log rows vs scoped audit events, per day."""
+    qh = B.query_history(spark, sf_dir).groupBy(F.to_date("start_time").alias("day")).agg(
+        F.count(F.lit(1)).alias("all_events"))
+    scoped = T.audit_scope(B.phi_access_log(spark, sf_dir)).groupBy(F.to_date("event_time").alias("day")).agg(
+        F.count(F.lit(1)).alias("scoped_events"))
+    j = qh.join(scoped, "day", "full_outer")
+    return j.select("day", F.coalesce("all_events", F.lit(0)).cast("bigint").alias("all_events"),
+                    F.coalesce("scoped_events", F.lit(0)).cast("bigint").alias("scoped_events"))
+
+
+@register("k1_audit_validation")
+def k1(spark, sf_dir):
+    log = K.conform(B.phi_access_log(spark, sf_dir))
+    good, bad = K.validate(log)
+    return (good.select(F.lit("VALID").alias("outcome"), F.lit("").alias("reason"))
+            .unionByName(bad.select(F.lit("REJECTED").alias("outcome"), F.col("reject_reason").alias("reason")))
+            .groupBy("outcome", "reason").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("k4_archive_candidates")
+def k4(spark, sf_dir):
+    c = K.archive_candidates(B.archive_source(spark, sf_dir), B.ARCHIVE_AS_OF)
+    return c.select("log_id", "event_time", "inserted_at", "year", "month")
+
+
+@register("k11_retention_classes")
+def k11(spark, sf_dir):
+    src = B.archive_source(spark, sf_dir)
+    return src.groupBy(K.retention_class(F.col("event_time"), B.ARCHIVE_AS_OF).alias("retention_class")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("k12_audit_events_from_queries")
+def k12(spark, sf_dir):
+    ev = K.audit_events_from_queries(B.query_history(spark, sf_dir), ["PATIENTS", "CLINICAL"], AS_OF)
+    return ev.select("log_id", "event_time", "user_name", "role_name", "query_text_hash",
+                     F.array_join("phi_columns_accessed", ",").alias("phi_columns_accessed"))
