@@ -282,6 +282,9 @@ def login_history_cols(d: Dialect):
     ]
 
 
+FULL_LIST = "'ACCOUNTADMIN,HIPAA_OFFICER,PHI_READER'"
+
+
 def policy_change_cols(d: Dialect):
     """security_policy_changes from 'purchase' events: each applies, alters or removes
     one of the 12 masks or the row policy on a governed table."""
@@ -321,7 +324,13 @@ def policy_change_cols(d: Dialect):
         ("ref_entity_name", table),
         ("ref_column_name", column),
         ("ticket_reference", f"CASE WHEN event_id % 17 = 0 THEN CAST(NULL AS STRING) ELSE 'CHG' || {d.lp('event_id', 7)} END"),
-        ("approved_by", "CASE WHEN event_id % 19 = 0 THEN CAST(NULL AS STRING) ELSE 'CAB_CHAIR' END"),
+        ("approved_by", "CASE WHEN event_id % 19 = 0 THEN CAST(NULL AS STRING) "
+                        "WHEN event_id % 4 = 0 THEN 'CAB_CHAIR,SECURITY_LEAD' ELSE 'CAB_CHAIR' END"),
+        # definitions carry the full-visibility role list of the policy
+        ("definition_before", f"CASE WHEN event_id % 4 IN (1, 3) THEN {FULL_LIST} END"),
+        ("definition_after", f"CASE WHEN event_id % 4 IN (0, 2) THEN {FULL_LIST} "
+                             f"WHEN event_id % 4 = 1 AND event_id % 5 = 0 THEN {FULL_LIST} || ',ANALYST_CLINICAL' "
+                             f"WHEN event_id % 4 = 1 THEN {FULL_LIST} END"),
         ("is_emergency_change", "event_id % 23 = 0"),
         ("review_status", "CASE event_id % 3 WHEN 0 THEN 'PENDING' WHEN 1 THEN 'REVIEWED' ELSE 'ESCALATED' END"),
         ("inserted_at", d.ts_plus_seconds(d.ntz("ts"), "30")),
