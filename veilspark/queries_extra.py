@@ -1 +1,120 @@
-"""Registered queries."""
+"""Registered queries: tokens, de-identification, DEV copies, load integrity."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .catalog import register
+from .context import DEFAULT_SALTS
+from .functions.tokens import detokenize_ssn, join_rate, tokenize_ssn
+from .operators import deident as DI
+from .sources import bindings as B
+from .sources import synth as S
+
+# The token key of the test deployment (production injects its own).
+TOKEN_KEY = "TEST_FPE_KEY_V1"
+DEV_KEY = "DEV_REFRESH_KEY_V1"
+QUASI = ["state", "zip3", "birth_year"]
+
+
+@register("m14_ssn_tokens_patients")
+def m14p(spark, sf_dir):
+    p = B.patients(spark, sf_dir).select("patient_id", "patient_ssn")
+    return tokenize_ssn(p, "patient_ssn", TOKEN_KEY, out="ssn_token")
+
+
+@register("m14_ssn_tokens_claims")
+def m14c(spark, sf_dir):
+    c = B.claims(spark, sf_dir).select("claim_id", "patient_ssn")
+    return tokenize_ssn(c, "patient_ssn", TOKEN_KEY, out="ssn_token")
+
+
+@register("m15_detokenize_roundtrip")
+def m15(spark, sf_dir):
+    p = B.patients(spark, sf_dir).select("patient_id", "patient_ssn")
+    t = tokenize_ssn(p, "patient_ssn", TOKEN_KEY, out="ssn_token")
+    back = detokenize_ssn(t, "ssn_token", TOKEN_KEY, out="ssn_back")
+    return back.agg(
+        F.count("patient_ssn").alias("ssns"),
+        F.count_distinct(F.regexp_replace("patient_ssn", "-", "")).alias("distinct_ssns"),
+        F.count_distinct(F.regexp_replace("ssn_token", "-", "")).alias("distinct_tokens"),
+        F.sum((F.col("ssn_back") == F.col("patient_ssn")).cast("int")).cast("bigint").alias("roundtrip_ok"),
+        F.sum((F.col("ssn_token") == F.col("patient_ssn")).cast("int")).cast("bigint").alias("fixed_points"),
+    )
+
+
+@register("m16_join_rate")
+def m16(spark, sf_dir):
+    p = B.patients(spark, sf_dir).select("patient_ssn")
+    c = B.claims(spark, sf_dir).select("patient_ssn")
+    raw = join_rate(p, c, "patient_ssn", "patient_ssn", "raw_text")
+    pt = tokenize_ssn(p, "patient_ssn", TOKEN_KEY, out="tok", keep_format=False)
+    ct = tokenize_ssn(c, "patient_ssn", TOKEN_KEY, out="tok", keep_format=False)
+    tok = join_rate(pt, ct, "tok", "tok", "fpe_token")
+    return raw.unionByName(tok)
+
+
+def _zip3_pop(spark, sf_dir):
+    return DI.zip3_population_from(B.patients(spark, sf_dir))
+
+
+@register("m17_safe_harbor_mart")
+def m17(spark, sf_dir):
+    return DI.safe_harbor(B.patients(spark, sf_dir), _zip3_pop(spark, sf_dir), B.PATIENT_AS_OF.date(),
+                          DEFAULT_SALTS["mrn"])
+
+
+@register("m18_zip3_safe")
+def m18(spark, sf_dir):
+    p = B.patients(spark, sf_dir).select("patient_id", "patient_zip")
+    return DI.zip3_safe(p, "patient_zip", _zip3_pop(spark, sf_dir)).select("patient_id", "zip3")
+
+
+def _lds(spark, sf_dir):
+    return DI.limited_data_set(B.patients(spark, sf_dir), _zip3_pop(spark, sf_dir), DEFAULT_SALTS["mrn"])
+
+
+@register("m19_limited_data_set")
+def m19(spark, sf_dir):
+    return _lds(spark, sf_dir)
+
+
+@register("m20_reid_risk_summary")
+def m20(spark, sf_dir):
+    return DI.reid_risk_summary(_lds(spark, sf_dir), QUASI, k_min=5)
+
+
+@register("m20_suppressed_lds")
+def m20s(spark, sf_dir):
+    return DI.suppress_small_cells(_lds(spark, sf_dir), QUASI, k_min=5)
+
+
+@register("m21_population_health")
+def m21a(spark, sf_dir):
+    return DI.population_health(m17(spark, sf_dir), min_cell=11)
+
+
+@register("m21_revenue_cycle")
+def m21b(spark, sf_dir):
+    return DI.revenue_cycle(B.claims(spark, sf_dir), min_cell=11)
+
+
+@register("s11_dev_refresh_patients")
+def s11(spark, sf_dir):
+    return S.deidentify_copy(B.patients(spark, sf_dir).drop("created_at", "updated_at"), DEV_KEY)
+
+
+@register("s12_load_key_diff")
+def s12(spark, sf_dir):
+    """Keys of the orders source missing from (or added to) the derived claims load."""
+    src = B.read_table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("C"), F.lpad(F.col("o_orderkey").cast("string"), 10, "0")).alias("claim_id"))
+    return S.load_key_diff(src, B.claims(spark, sf_dir), ["claim_id"])
+
+
+@register("s12_load_fingerprint")
+def s12f(spark, sf_dir):
+    src = B.read_table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("C"), F.lpad(F.col("o_orderkey").cast("string"), 10, "0")).alias("claim_id"))
+    return S.load_fingerprint(src, ["claim_id"], "source").unionByName(
+        S.load_fingerprint(B.claims(spark, sf_dir), ["claim_id"], "target"))
