@@ -63,12 +63,17 @@ def _apply(df: DataFrame, col: str, out: str, key: str, inverse: bool, keep_form
     src = F.col(col)
     digits = canonical_digits(src)
     valid = F.length(digits) == 9
-    s = feistel(F.substring(digits, 1, LEFT_DIGITS), F.substring(digits, LEFT_DIGITS + 1, RIGHT_DIGITS), key, inverse)
+    tmp = f"__{out}_feistel"
+    # materialise the rounds once: the token text below refers to the halves
+    # several times, and an inlined expression would rerun all rounds per use
+    df = df.withColumn(tmp, F.when(valid, feistel(F.substring(digits, 1, LEFT_DIGITS),
+                                                  F.substring(digits, LEFT_DIGITS + 1, RIGHT_DIGITS), key, inverse)))
+    s = F.col(tmp)
     tok = F.concat(F.lpad(s["l"].cast("string"), LEFT_DIGITS, "0"), F.lpad(s["r"].cast("string"), RIGHT_DIGITS, "0"))
     if keep_format:
         dashed = F.concat(F.substring(tok, 1, 3), F.lit("-"), F.substring(tok, 4, 2), F.lit("-"), F.substring(tok, 6, 4))
         tok = F.when(src.contains("-"), dashed).otherwise(tok)
-    return df.withColumn(out, F.when(valid, tok))
+    return df.withColumn(out, tok).drop(tmp)
 
 
 def tokenize_ssn(df: DataFrame, col: str, key: str, out: str | None = None, keep_format: bool = True) -> DataFrame:
