@@ -46,11 +46,17 @@ def phi_scope(qh: DataFrame, databases=PHI_DATABASES) -> DataFrame:
     return qh.where(F.col("database_name").isin(*databases))
 
 
+def _group_window(time_col: str, window: str, slide: str | None, fixed) -> Column:
+    if fixed is not None:  # one cron run: the whole slice is the group's window
+        return F.struct(ts_lit(fixed[0]).alias("start"), ts_lit(fixed[1]).alias("end"))
+    return _window(F.col(time_col), window, slide)
+
+
 def bulk_export(qh: DataFrame, window: str = "15 minutes", threshold: int = BULK_ROWS_THRESHOLD,
-                slide: str | None = None, time_col: str = "start_time") -> DataFrame:
+                slide: str | None = None, time_col: str = "start_time", fixed_window=None) -> DataFrame:
     """T1 BULK_PHI_EXPORT: per (window, user, role) more than `threshold` rows produced."""
     src = phi_scope(qh).where((F.col("execution_status") == "SUCCESS") & (F.col("rows_produced") > 0))
-    g = src.groupBy(_window(F.col(time_col), window, slide).alias("w"), "user_name", "role_name").agg(
+    g = src.groupBy(_group_window(time_col, window, slide, fixed_window).alias("w"), "user_name", "role_name").agg(
         F.count(F.lit(1)).alias("query_count"),
         F.sum("rows_produced").alias("total_rows"),
         F.array_sort(F.collect_set("warehouse_name")).alias("warehouses"),
@@ -76,7 +82,7 @@ def bulk_export(qh: DataFrame, window: str = "15 minutes", threshold: int = BULK
 
 def off_hours_access(qh: DataFrame, window: str = "15 minutes", tz: str = "America/New_York",
                      in_hours=IN_HOURS, min_queries: int = OFF_HOURS_MIN_QUERIES,
-                     strict_service_like: bool = False, time_col: str = "start_time") -> DataFrame:
+                     strict_service_like: bool = False, time_col: str = "start_time", fixed_window=None) -> DataFrame:
     """T2 OFF_HOURS_ACCESS: local hour outside [6, 22], non-service users, >= 3 queries."""
     svc = (F.col("user_name").contains("_SVC_") if strict_service_like
            else F.col("user_name").like(SERVICE_ACCOUNT_PATTERN))
@@ -85,7 +91,7 @@ def off_hours_access(qh: DataFrame, window: str = "15 minutes", tz: str = "Ameri
         & (F.col("execution_status") == "SUCCESS")
         & ~svc
     )
-    g = src.groupBy(_window(F.col(time_col), window).alias("w"), "user_name", "role_name").agg(
+    g = src.groupBy(_group_window(time_col, window, None, fixed_window).alias("w"), "user_name", "role_name").agg(
         F.min(time_col).alias("access_time"),
         F.count(F.lit(1)).alias("query_count"),
         F.array_sort(F.collect_set("database_name")).alias("databases"),
@@ -117,6 +123,23 @@ def suspect_feed(qh: DataFrame, bulk_window: str = "15 minutes", off_hours_windo
     return bulk_export(qh, bulk_window).unionByName(off_hours_access(qh, off_hours_window, tz))
 
 
+def trailing_slice(df: DataFrame, as_of: _dt.datetime, minutes: int = 15, time_col: str = "start_time") -> DataFrame:
+    """Rows of the last `minutes` minutes before `as_of` (both ends inclusive).
+    Pushed to the parquet scan as a range filter on the time column."""
+    now = ts_lit(as_of)
+    return df.where((F.col(time_col) >= now - F.expr(f"INTERVAL {int(minutes)} MINUTES")) & (F.col(time_col) <= now))
+
+
+def dlp_run(qh: DataFrame, as_of: _dt.datetime, minutes: int = 15, tz: str = "America/New_York") -> DataFrame:
+    """One run of the scheduled detection task at `as_of`: both patterns over the
+    trailing slice, grouped by user and role (the reference's INSERT ... SELECT)."""
+    start = as_of - _dt.timedelta(minutes=minutes)
+    sl = trailing_slice(qh, as_of, minutes)
+    label = f"{minutes} minutes"
+    return (bulk_export(sl, window=label, fixed_window=(start, as_of))
+            .unionByName(off_hours_access(sl, window=label, tz=tz, fixed_window=(start, as_of))))
+
+
 def alert_query_links(alerts: DataFrame, qh: DataFrame, window: str = "15 minutes",
                       time_col: str = "start_time") -> DataFrame:
     """related_query_ids as rows: (suspect_id, query_id) for each BULK alert.

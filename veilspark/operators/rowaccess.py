@@ -89,3 +89,28 @@ def apply_row_policy(
 def visible_rows_by_key(df: DataFrame, key: str = "hospital_id") -> DataFrame:
     """Rows visible per hospital (after the policy was applied)."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("patient_count"))
+
+
+MAPPING_SCHEMA = ("map_id string, snowflake_role string, hospital_id string, access_type string, effective_from date, "
+                  "effective_to date, granted_by string, business_reason string, ticket_ref string")
+
+
+def grant_hospital_access(spark, role: str, hospital_id: str, effective_from, granted_by: str, business_reason: str,
+                          ticket_ref: str | None, access_type: str = "READ", effective_to=None,
+                          map_id: str | None = None) -> DataFrame:
+    """K6 insert: one mapping row to append to the role map (adding a hospital is
+    data, not a policy change)."""
+    import uuid
+    row = (map_id or str(uuid.uuid4()), role, hospital_id, access_type, effective_from, effective_to, granted_by,
+           business_reason, ticket_ref)
+    return spark.createDataFrame([row], MAPPING_SCHEMA)
+
+
+def revoke_hospital_access(role_map: DataFrame, role: str, hospital_id: str, end_date) -> DataFrame:
+    """K6 removal by end-dating: matching rows end at `end_date` (never later
+    than an existing end); history stays, the policy stops matching after it."""
+    hit = (F.col("snowflake_role") == role) & (F.col("hospital_id") == hospital_id)
+    end = date_lit(end_date)
+    new_to = F.when(hit, F.when(F.col("effective_to").isNull(), end).otherwise(F.least("effective_to", end))) \
+        .otherwise(F.col("effective_to"))
+    return role_map.withColumn("effective_to", new_to)

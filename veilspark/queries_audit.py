@@ -230,3 +230,12 @@ def k12(spark, sf_dir):
     ev = K.audit_events_from_queries(B.query_history(spark, sf_dir), ["PATIENTS", "CLINICAL"], AS_OF)
     return ev.select("log_id", "event_time", "user_name", "role_name", "query_text_hash",
                      F.array_join("phi_columns_accessed", ",").alias("phi_columns_accessed"))
+
+
+CRON_AS_OF = B.EVENTS_AS_OF.replace(day=15, hour=10)
+
+
+@register("t3_dlp_cron_run")
+def t3_cron(spark, sf_dir):
+    """One run of the 15-minute task at 2024-01-15 10:00 (the reference's exact form)."""
+    return T.dlp_run(B.query_history(spark, sf_dir), CRON_AS_OF)
