@@ -22,6 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from veilspark.context import SecurityContext  # noqa: E402
+from veilspark.operators.audit import spread_for_write  # noqa: E402
 from veilspark.functions.tokens import tokenize_ssn  # noqa: E402
 from veilspark.operators import detect as D  # noqa: E402
 from veilspark.operators.masking import PATIENT_BINDINGS, apply_masks  # noqa: E402
@@ -68,7 +69,7 @@ def main():
     fact = wide_fact(spark, sf_dir)
     # flat copy: 2 files per core (a cluster table has many splits; one small file would be one task)
     fact.repartition(cpus * 2, "patient_id").write.mode("overwrite").parquet(f"{base}/fact_flat")
-    (fact.repartition("hospital_id").sortWithinPartitions("event_date")
+    (spread_for_write(fact, ["hospital_id"], 4, ["patient_id"]).sortWithinPartitions("hospital_id", "event_date")
      .write.mode("overwrite").partitionBy("hospital_id").parquet(f"{base}/fact_by_hospital"))
     flat = spark.read.parquet(f"{base}/fact_flat")
     part = spark.read.parquet(f"{base}/fact_by_hospital")

@@ -72,3 +72,13 @@ def test_policy_drift_states(spark):
                                  "policy_type string, policy_name string, target string, full_roles array<string>")
     got = {(r["policy_name"], r["target"]): r["drift_status"] for r in G.policy_drift(desired, live).collect()}
     assert got == {("A", None): "OK", ("B", None): "CHANGED", ("P", "T1"): "MISSING", ("P", "T2"): "EXTRA"}
+
+
+def test_governed_view_sql(spark, sf_dir):
+    from veilspark.operators.masking import PATIENT_BINDINGS
+    from veilspark.plans.governed import governed_view
+    ctx = SecurityContext(role="ANALYST_CLINICAL", as_of=dt.datetime(2024, 6, 1))
+    governed_view(spark, "patients_v", B.patients(spark, sf_dir), B.hospital_role_map(spark, sf_dir), ctx,
+                  PATIENT_BINDINGS)
+    rows = spark.sql("SELECT DISTINCT patient_ssn FROM patients_v WHERE patient_ssn IS NOT NULL").collect()
+    assert [r[0] for r in rows] == ["XXX-XX-XXXX"]

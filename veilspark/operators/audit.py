@@ -110,16 +110,27 @@ def validate(df: DataFrame, schema: T.StructType = PHI_ACCESS_LOG_SCHEMA,
     return good, bad
 
 
+def spread_for_write(df: DataFrame, partition_cols, files_per_value: int = 8, key_cols=None) -> DataFrame:
+    """Cluster rows by the output partition columns *plus a salt* of 0..files_per_value-1.
+
+    Clustering by the partition value alone sends a hot day (or month, or
+    hospital) to a single writer task; the salt spreads each value over up to
+    `files_per_value` tasks while still writing few files per value."""
+    keys = [F.col(c) for c in (key_cols or df.columns[:1])]
+    salt = F.pmod(F.xxhash64(*keys), F.lit(int(files_per_value)))
+    return df.repartition(*[F.col(c) for c in partition_cols], salt)
+
+
 def append(df: DataFrame, path: str, partition_by: tuple = ("event_date",), time_col: str = "event_time",
-           max_records_per_file: int | None = None) -> None:
+           max_records_per_file: int | None = None, files_per_value: int = 8) -> None:
     """Append-only write, partitioned by event date (the audit clustering key).
 
-    Rows are clustered by the partition columns before writing so each task
-    writes few files per date."""
+    Rows are clustered by partition value plus a salt before writing (see
+    spread_for_write), then sorted by time inside each file."""
     out = df
     if "event_date" in partition_by and "event_date" not in df.columns:
         out = out.withColumn("event_date", F.to_date(time_col))
-    out = out.repartition(*[F.col(c) for c in partition_by]).sortWithinPartitions(*partition_by, time_col)
+    out = spread_for_write(out, partition_by, files_per_value).sortWithinPartitions(*partition_by, time_col)
     w = out.write.mode("append").partitionBy(*partition_by).option("compression", "snappy")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
@@ -139,10 +150,12 @@ def archive_candidates(log: DataFrame, as_of: _dt.datetime, days: int = HOT_DAYS
     return out
 
 
-def write_archive(candidates: DataFrame, path: str, max_records_per_file: int = 2_000_000) -> None:
+def write_archive(candidates: DataFrame, path: str, max_records_per_file: int = 2_000_000,
+                  files_per_month: int = 16) -> None:
     """K4 sink: parquet + snappy, partitioned year/month, append (never overwrite).
-    maxRecordsPerFile keeps files near the reference's 250 MB cap."""
-    (candidates.repartition("year", "month")
+    maxRecordsPerFile keeps files near the reference's 250 MB cap; a salted
+    spread keeps one month from landing in a single task."""
+    (spread_for_write(candidates, ("year", "month"), files_per_month, ["log_id"])
      .write.mode("append").partitionBy("year", "month")
      .option("compression", "snappy").option("maxRecordsPerFile", int(max_records_per_file))
      .parquet(path))

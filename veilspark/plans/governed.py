@@ -41,3 +41,13 @@ def governed_patients(spark: SparkSession, sf_dir: str, ctx: SecurityContext, me
 def governed_claims(spark: SparkSession, sf_dir: str, ctx: SecurityContext, method: str = "auto") -> DataFrame:
     return governed_frame(B.claims(spark, sf_dir), B.hospital_role_map(spark, sf_dir), ctx, CLAIMS_BINDINGS,
                           method=method)
+
+
+def governed_view(spark: SparkSession, name: str, df: DataFrame, role_map: DataFrame, ctx: SecurityContext,
+                  masks: Mapping[str, str], row_key: str | None = "hospital_id") -> DataFrame:
+    """Register the governed frame as a temp view so SQL users query masked,
+    row-filtered data (``spark.sql("SELECT ... FROM <name>")``). The view holds
+    the plan, not data: every query re-applies the policy."""
+    g = governed_frame(df, role_map, ctx, masks, row_key)
+    g.createOrReplaceTempView(name)
+    return g
