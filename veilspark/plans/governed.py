@@ -51,3 +51,32 @@ def governed_view(spark: SparkSession, name: str, df: DataFrame, role_map: DataF
     g = governed_frame(df, role_map, ctx, masks, row_key)
     g.createOrReplaceTempView(name)
     return g
+
+
+def bindings_from_registry(refs: DataFrame, database: str, schema: str, table: str,
+                           max_bindings: int = 10_000) -> tuple[dict, str | None]:
+    """R3 / M13 driven by the live registry: (column -> mask name, row-policy column or None)
+    for one table. The list is one table's columns, checked to be bounded before it
+    is brought to the driver to build the projection."""
+    from pyspark.sql import functions as F
+
+    from ..operators.rowaccess import row_count_at_most
+    rows = refs.where((F.col("ref_database_name") == database) & (F.col("ref_schema_name") == schema)
+                      & (F.col("ref_entity_name") == table)).select("policy_kind", "policy_name", "ref_column_name")
+    if row_count_at_most(rows, max_bindings) is None:
+        raise ValueError(f"more than {max_bindings} policy bindings on {database}.{schema}.{table}")
+    masks, row_key = {}, None
+    for r in rows.collect():
+        if r["policy_kind"] == "MASKING_POLICY":
+            masks[r["ref_column_name"].lower()] = r["policy_name"].lower()
+        elif r["policy_kind"] == "ROW_ACCESS_POLICY":
+            row_key = r["ref_column_name"].lower()
+    return masks, row_key
+
+
+def governed_from_registry(df: DataFrame, refs: DataFrame, role_map: DataFrame, ctx: SecurityContext,
+                           database: str, schema: str, table: str, method: str = "auto") -> DataFrame:
+    """Read `df` as table database.schema.table under whatever policies the registry
+    currently binds to it: the row policy if attached, then each bound mask."""
+    masks, row_key = bindings_from_registry(refs, database, schema, table)
+    return governed_frame(df, role_map, ctx, masks, row_key=row_key, method=method)

@@ -100,3 +100,13 @@ def flagship(spark, sf_dir):
                 .withColumn("viewer_role", F.lit(role)))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@register("r3_governed_from_registry_analyst")
+def r3_registry(spark, sf_dir):
+    """Patients read as CLEANSED_DB.CLINICAL.PATIENTS under the policies the live registry binds."""
+    from .plans.governed import governed_from_registry
+    from .sources.metadata import policy_references
+    return governed_from_registry(B.patients(spark, sf_dir).drop("created_at", "updated_at"),
+                                  policy_references(spark, sf_dir), B.hospital_role_map(spark, sf_dir),
+                                  _ctx("ANALYST_CLINICAL"), "CLEANSED_DB", "CLINICAL", "PATIENTS")
