@@ -87,6 +87,7 @@ def main():
     best(revenue(flat), 1)  # warm the JVM and the file cache
     q["r1_policy_off_flat"] = best(revenue(flat))
     q["r1_policy_on_flat_semi"] = best(revenue(apply_row_policy(flat, role_map, admin, method="semi")))
+    q["r1_policy_on_flat_auto"] = best(revenue(apply_row_policy(flat, role_map, admin, method="auto")))
     q["r1_policy_off_partitioned"] = best(revenue(part))
     q["r1_policy_on_partitioned_isin"] = best(revenue(apply_row_policy(part, role_map, admin, method="isin")))
     q["m13_raw_scan"] = best(all_columns_digest(flat))

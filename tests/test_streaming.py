@@ -43,3 +43,16 @@ def test_repeated_failures_stream_matches_batch(spark, sf_dir, scratch):
     got = spark.sql("select user_name, cast(success_at as timestamp_ntz) s, failures from t5_stream").collect()
     batch = D.repeated_failures(logins, min_failures=2).select("user_name", "success_at", "failures").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, batch)) and len(batch) > 0
+
+
+def test_new_role_ip_stream_matches_batch_first_seen(spark, sf_dir, scratch):
+    log = B.phi_access_log(spark, sf_dir).select("log_id", "event_time", "user_name", "role_name", "client_ip")
+    path = f"{scratch}/log"
+    log.write.parquet(path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    q = S.new_role_ip_stream(stream).writeStream.outputMode("append").format("memory").queryName("t4_stream") \
+        .option("checkpointLocation", f"{scratch}/ck4").trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    got = spark.sql("select role_name, client_ip from t4_stream")
+    expected = log.select("role_name", "client_ip").distinct()
+    assert got.count() == expected.count() and got.exceptAll(expected).count() == 0

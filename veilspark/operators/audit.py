@@ -60,6 +60,28 @@ POLICY_CHANGE_TYPES = (
     "ROLE_CREATED", "ROLE_DROPPED", "ROLE_GRANTED", "ROLE_REVOKED",
     "NETWORK_POLICY_CHANGE", "PARAMETER_CHANGE",
 )
+POLICY_CHANGE_SCHEMA = T.StructType([
+    T.StructField("change_id", T.StringType(), False),
+    T.StructField("changed_at", T.TimestampNTZType(), False),
+    T.StructField("changed_by_user", T.StringType(), False),
+    T.StructField("changed_by_role", T.StringType(), False),
+    T.StructField("session_id", T.StringType(), True),
+    T.StructField("query_id", T.StringType(), True),
+    T.StructField("change_type", T.StringType(), False),
+    T.StructField("object_type", T.StringType(), False),
+    T.StructField("object_name", T.StringType(), False),
+    T.StructField("definition_before", T.StringType(), True),
+    T.StructField("definition_after", T.StringType(), True),
+    T.StructField("ticket_reference", T.StringType(), True),
+    T.StructField("approved_by", T.StringType(), True),
+    T.StructField("business_justification", T.StringType(), True),
+    T.StructField("is_emergency_change", T.BooleanType(), True),
+    T.StructField("review_status", T.StringType(), True),
+    T.StructField("reviewed_by", T.StringType(), True),
+    T.StructField("reviewed_at", T.TimestampNTZType(), True),
+    T.StructField("inserted_at", T.TimestampNTZType(), False),
+])
+REVIEW_STATUSES = ("PENDING", "REVIEWED", "ESCALATED")
 HOT_DAYS = 90
 RETENTION_DAYS = 2555  # 7 years
 

@@ -239,3 +239,20 @@ CRON_AS_OF = B.EVENTS_AS_OF.replace(day=15, hour=10)
 def t3_cron(spark, sf_dir):
     """One run of the 15-minute task at 2024-01-15 10:00 (the reference's exact form)."""
     return T.dlp_run(B.query_history(spark, sf_dir), CRON_AS_OF)
+
+
+@register("k3_policy_change_validation")
+def k3(spark, sf_dir):
+    """K3: the change log checked against its schema, change types and review statuses before append."""
+    ch = B.security_policy_changes(spark, sf_dir)
+    good, bad = K.validate(ch, K.POLICY_CHANGE_SCHEMA,
+                           {"change_type": K.POLICY_CHANGE_TYPES, "review_status": K.REVIEW_STATUSES})
+    return (good.select(F.lit("VALID").alias("outcome"), F.lit("").alias("reason"))
+            .unionByName(bad.select(F.lit("REJECTED").alias("outcome"), F.col("reject_reason").alias("reason")))
+            .groupBy("outcome", "reason").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("t2_off_hours_access_15min")
+def t2_15(spark, sf_dir):
+    """T2 with the reference's own 15-minute slice."""
+    return T.off_hours_access(B.query_history(spark, sf_dir), window="15 minutes")
