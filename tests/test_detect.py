@@ -131,3 +131,16 @@ def test_audit_gap_rules(spark):
     assert got[dt.date(2024, 1, 26)] == "OK"       # 10 records
     assert got[dt.date(2024, 1, 31)] == "REVIEW"   # Wednesday, no events yet
     assert len(got) == 30
+
+
+def test_one_pass_feed_equals_union_and_scans_once(spark, sf_dir):
+    from veilspark.sources import bindings as B
+    qh = B.query_history(spark, sf_dir)
+    one = D.suspect_feed_one_pass(qh, window="15 minutes")
+    two = D.suspect_feed(qh, bulk_window="15 minutes", off_hours_window="15 minutes")
+    cols = sorted(one.columns)
+    assert sorted(two.columns) == cols
+    assert one.select(cols).exceptAll(two.select(cols)).count() == 0
+    assert two.select(cols).exceptAll(one.select(cols)).count() == 0
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1

@@ -239,6 +239,39 @@ def current_case_state(suspects: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
+def case_state_inline(suspects: DataFrame, events: list[Column]) -> DataFrame:
+    """K9 when a suspect's status events ride on its own row (each a struct led by
+    event_at, or null): the latest is ``array_max`` of the non-null ones. A pure
+    projection: no shuffle, no join, no second pass over the suspects."""
+    arr = F.filter(F.array(*events), lambda e: e.isNotNull())
+    last = F.array_max(arr)
+    out = suspects.drop("status").withColumn("_e", last)
+    return out.select(
+        *[c for c in suspects.columns if c != "status"],
+        F.coalesce(F.col("_e.status"), F.lit("OPEN")).alias("status"),
+        F.col("_e.investigation_notes").alias("investigation_notes"),
+        F.coalesce(F.col("_e.hipaa_notification_required"), F.lit(False)).alias("hipaa_notification_required"),
+        F.col("_e.notification_deadline").alias("notification_deadline"),
+        F.col("_e.closed_at").alias("closed_at"),
+    )
+
+
+def case_event_struct(event_at: Column, status: Column, actor: str = "SECURITY_ANALYST", notify_days: int = 60,
+                      notes: Column | None = None) -> Column:
+    """One status event as a struct (null when event_at is null)."""
+    confirmed = status == F.lit("CONFIRMED_BREACH")
+    ev = F.struct(
+        event_at.alias("event_at"),
+        status.alias("status"),
+        (notes if notes is not None else F.lit(None).cast("string")).alias("investigation_notes"),
+        F.lit(actor).alias("actor"),
+        confirmed.alias("hipaa_notification_required"),
+        F.when(confirmed, F.date_add(F.to_date(event_at), notify_days)).alias("notification_deadline"),
+        F.when(status.isin("CLEARED", "CONFIRMED_BREACH"), event_at).alias("closed_at"),
+    )
+    return F.when(event_at.isNotNull(), ev)
+
+
 # ---------------------------------------------------------------------------
 # Audit events derived from the query log (scoped, privacy-safe).
 # ---------------------------------------------------------------------------

@@ -64,29 +64,20 @@ def t3(spark, sf_dir):
 
 
 def suspects_with_state(spark, sf_dir):
-    """breach_suspect_log (K2) + case events (K9) -> current state."""
+    """breach_suspect_log (K2) + case events (K9) -> current state, in one pass.
+
+    Analyst actions are derived per suspect: confirm the top scores after 6 h,
+    clear every third hour's alerts after 1 h, start investigating others after
+    30 min. Each action rides on its suspect's row, so the state is a projection."""
     feed = T.suspect_feed(B.query_history(spark, sf_dir), off_hours_window=OFF_HOURS_WINDOW).withColumn(
         "detected_at", F.col("window_end"))
-    # Analyst actions, derived per suspect: confirm the top scores after 6 h,
-    # clear every third hour's alerts after 1 h, start investigating others after 30 min.
     hour = F.hour("detected_at")
-    ev = feed.select(
-        "suspect_id",
-        F.when(F.col("anomaly_score") >= 90, F.col("detected_at") + F.expr("INTERVAL 6 HOURS"))
-        .when(hour % 3 == 0, F.col("detected_at") + F.expr("INTERVAL 1 HOURS"))
-        .when(hour % 3 == 1, F.col("detected_at") + F.expr("INTERVAL 30 MINUTES")).alias("event_at"),
-        F.when(F.col("anomaly_score") >= 90, "CONFIRMED_BREACH").when(hour % 3 == 0, "CLEARED")
-        .when(hour % 3 == 1, "INVESTIGATING").alias("status"),
-        F.lit(None).cast("string").alias("investigation_notes"),
-        F.lit("SECURITY_ANALYST").alias("actor"),
-    ).where(F.col("status").isNotNull())
-    ev = ev.select(
-        "*",
-        (F.col("status") == "CONFIRMED_BREACH").alias("hipaa_notification_required"),
-        F.when(F.col("status") == "CONFIRMED_BREACH", F.date_add(F.to_date("event_at"), 60)).alias("notification_deadline"),
-        F.when(F.col("status").isin("CLEARED", "CONFIRMED_BREACH"), F.col("event_at")).alias("closed_at"),
-    )
-    return K.current_case_state(feed, ev)
+    at = (F.when(F.col("anomaly_score") >= 90, F.col("detected_at") + F.expr("INTERVAL 6 HOURS"))
+          .when(hour % 3 == 0, F.col("detected_at") + F.expr("INTERVAL 1 HOURS"))
+          .when(hour % 3 == 1, F.col("detected_at") + F.expr("INTERVAL 30 MINUTES")))
+    status = (F.when(F.col("anomaly_score") >= 90, F.lit("CONFIRMED_BREACH")).when(hour % 3 == 0, F.lit("CLEARED"))
+              .when(hour % 3 == 1, F.lit("INVESTIGATING")))
+    return K.case_state_inline(feed, [K.case_event_struct(at, status)])
 
 
 @register("v3_open_breach_suspects")
@@ -256,3 +247,9 @@ def k3(spark, sf_dir):
 def t2_15(spark, sf_dir):
     """T2 with the reference's own 15-minute slice."""
     return T.off_hours_access(B.query_history(spark, sf_dir), window="15 minutes")
+
+
+@register("t3_suspect_feed_one_pass_15min")
+def t3_one_pass(spark, sf_dir):
+    """T1 and T2 on the same 15-minute windows from one scan and one shuffle."""
+    return T.suspect_feed_one_pass(B.query_history(spark, sf_dir), window="15 minutes")
