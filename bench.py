@@ -100,6 +100,7 @@ def main():
 
     qh = B.query_history(spark, sf_dir)
     q["t3_detection_batch"] = best(D.suspect_feed(qh, off_hours_window="1 day"))
+    q["t3_detection_one_pass"] = best(D.suspect_feed_one_pass(qh, window="15 minutes"))
     log = B.phi_access_log(spark, sf_dir)
     q["v2_access_summary"] = best(R.access_summary(log, B.EVENTS_AS_OF, sort=False))
     q["v15_gap_check"] = best(R.audit_gaps(spark, log, B.EVENTS_AS_OF, sort=False))
