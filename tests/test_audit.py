@@ -15,6 +15,11 @@ def test_archive_twice_adds_nothing(spark, sf_dir, scratch):
     K.write_archive(first, path)
     again = K.archive_candidates(src, B.ARCHIVE_AS_OF, archived=spark.read.parquet(path))
     assert again.count() == 0
+    # the archive side is read only for the candidate months (partition pruning)
+    recent = K.archive_candidates(src.where(F.col("event_time") >= F.lit("2001-03-01").cast("timestamp_ntz")),
+                                  B.ARCHIVE_AS_OF, archived=spark.read.parquet(path))
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1][:400]
     arch = spark.read.parquet(path)
     assert arch.count() == n and {"year", "month"} <= set(arch.columns)
 

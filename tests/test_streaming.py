@@ -56,3 +56,18 @@ def test_new_role_ip_stream_matches_batch_first_seen(spark, sf_dir, scratch):
     got = spark.sql("select role_name, client_ip from t4_stream")
     expected = log.select("role_name", "client_ip").distinct()
     assert got.count() == expected.count() and got.exceptAll(expected).count() == 0
+
+
+def test_full_detection_stream_equals_one_pass_batch(spark, sf_dir, scratch):
+    src = f"{scratch}/landing2/events"
+    os.makedirs(src)
+    shutil.copy(f"{sf_dir}/events.parquet", f"{src}/part-0000.parquet")
+    log = f"{scratch}/suspects2"
+    q = S.start_detection_to_log(spark, src, log, f"{scratch}/ckpt2")
+    q.awaitTermination(300)
+    streamed = spark.read.parquet(log)
+    max_end = streamed.agg(F.max("window_end")).first()[0]
+    batch = D.suspect_feed_one_pass(B.query_history(spark, sf_dir)).where(
+        F.col("window_end") <= F.lit(max_end).cast("timestamp_ntz"))
+    assert {r[0] for r in streamed.select("suspect_id").collect()} == {r[0] for r in batch.select("suspect_id").collect()}
+    assert "detected_date" in streamed.columns

@@ -168,10 +168,36 @@ def archive_candidates(log: DataFrame, as_of: _dt.datetime, days: int = HOT_DAYS
     out = log.where((F.col("event_time") < cutoff) & (F.col("inserted_at") < cutoff)).select(
         "*", F.year("event_time").alias("year"), F.month("event_time").alias("month"))
     if archived is not None:
-        out = out.join(archived.select("log_id"), "log_id", "left_anti")
+        # a row can only collide with archived rows of its own (year, month):
+        # read just those partitions of the archive, not seven years of it
+        out = out.join(only_partitions(archived, out, ["year", "month"]).select("log_id", "year", "month"),
+                       ["log_id", "year", "month"], "left_anti")
     return out
 
 
+def only_partitions(target: DataFrame, incoming: DataFrame, cols: list[str], max_values: int = 100_000) -> DataFrame:
+    """Rows of `target` whose partition values occur in `incoming`.
+
+    The distinct partition values of the incoming rows are a short list (days or
+    months; checked against `max_values`), turned into literals so the scan of a
+    partitioned target is pruned statically. Beyond the bound: a semi join."""
+    from .rowaccess import row_count_at_most
+    keys = incoming.select(*cols).distinct()
+    if row_count_at_most(keys, max_values) is None:
+        return target.join(keys, cols, "left_semi")
+    vals = keys.collect()
+    if not vals:
+        return target.where(F.lit(False))
+    cond = None
+    for v in vals:
+        c = None
+        for name in cols:
+            term = F.col(name) == F.lit(v[name]) if v[name] is not None else F.col(name).isNull()
+            c = term if c is None else c & term
+        cond = c if cond is None else cond | c
+    return target.where(cond)
+
+
 def write_archive(candidates: DataFrame, path: str, max_records_per_file: int = 2_000_000,
                   files_per_month: int = 16) -> None:
     """K4 sink: parquet + snappy, partitioned year/month, append (never overwrite).

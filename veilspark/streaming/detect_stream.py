@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import detect as D
+from ..operators.audit import only_partitions
 from ..sources import bindings as B
 
 
@@ -67,11 +68,14 @@ def suspect_log_writer(path: str):
     replaying a batch after a crash adds nothing."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        out = batch.withColumn("detected_at", F.col("window_end")).withColumn("batch_id", F.lit(batch_id))
+        out = (batch.withColumn("detected_at", F.col("window_end")).withColumn("batch_id", F.lit(batch_id))
+               .withColumn("detected_date", F.to_date("detected_at")))
         existing = _read_if_present(spark, path)
         if existing is not None:
-            out = out.join(existing.select("suspect_id"), "suspect_id", "left_anti")
-        out.write.mode("append").parquet(path)
+            # only the days this batch touches can hold a duplicate: prune to them
+            recent = only_partitions(existing, out, ["detected_date"])
+            out = out.join(recent.select("suspect_id"), "suspect_id", "left_anti")
+        out.write.mode("append").partitionBy("detected_date").parquet(path)
     return write
 
 
@@ -85,6 +89,21 @@ def start_bulk_export_to_log(spark: SparkSession, source_dir: str, log_path: str
     return w.start()
 
 
+def suspect_feed_stream(qh_stream: DataFrame, window: str = "15 minutes", tz: str = "America/New_York") -> DataFrame:
+    """T3 over a stream: both patterns from one stateful aggregation per window."""
+    return D.suspect_feed_one_pass(qh_stream, window=window, tz=tz)
+
+
+def start_detection_to_log(spark: SparkSession, source_dir: str, log_path: str, checkpoint: str,
+                           lateness: str = "30 minutes", window: str = "15 minutes", available_now: bool = True):
+    """Run the full detection task (both patterns) continuously into the suspect log."""
+    q = suspect_feed_stream(query_history_stream(events_stream(spark, source_dir), lateness), window)
+    w = q.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(
+        suspect_log_writer(log_path))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=window)
+    return w.start()
+
+
 def new_role_ip_stream(log_stream: DataFrame) -> DataFrame:
     """T4 over a stream: the first event of every (role, client_ip) pair.
     State is one entry per pair ever seen, independent of event volume."""
