@@ -26,6 +26,25 @@ from ..context import (
 
 MaskFn = Callable[..., Column]
 
+# ---------------------------------------------------------------------------
+# The literal outputs of the reference masks.
+# ---------------------------------------------------------------------------
+SSN_MASKED = "XXX-XX-XXXX"
+SSN_LAST4_PREFIX = "XXX-XX-"
+NAME_MASKED = "***"
+NAME_INITIAL_SUFFIX = "***"
+MRN_TOKEN_PREFIX = "MRN-"
+MRN_TOKEN_HEX = 12
+GENERIC_MASKED = "***"
+PHONE_MASKED = "***-***-****"
+ADDRESS_MASKED = "*** REDACTED ***"
+ZIP_MASKED = "00000"
+ZIP3_SUFFIX = "**"
+EMAIL_MASKED = "***@***.***"
+NPI_MASKED = "**********"
+ACCOUNT_TOKEN_PREFIX = "ACCT-"
+ACCOUNT_TOKEN_HEX = 8
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -94,7 +113,7 @@ def _null(_v: Column) -> Column:
 
 
 def _ssn_last4(v: Column) -> Column:
-    return F.concat(F.lit("XXX-XX-"), F.right(F.regexp_replace(v, "-", ""), F.lit(4)))
+    return F.concat(F.lit(SSN_LAST4_PREFIX), F.right(F.regexp_replace(v, "-", ""), F.lit(4)))
 
 
 def _year_only(v: Column) -> Column:
@@ -106,7 +125,7 @@ def _year_capped(cap_year: int):
 
 
 def _initial(v: Column) -> Column:
-    return F.concat(F.left(v, F.lit(1)), F.lit("***"))
+    return F.concat(F.left(v, F.lit(1)), F.lit(NAME_INITIAL_SUFFIX))
 
 
 def sha_token(v: Column, salt: str, prefix: str, n: int) -> Column:
@@ -115,7 +134,7 @@ def sha_token(v: Column, salt: str, prefix: str, n: int) -> Column:
 
 
 def _zip3(v: Column) -> Column:
-    return F.concat(F.left(v, F.lit(3)), F.lit("**"))
+    return F.concat(F.left(v, F.lit(3)), F.lit(ZIP3_SUFFIX))
 
 
 def _dx3(v: Column) -> Column:
@@ -123,7 +142,7 @@ def _dx3(v: Column) -> Column:
 
 
 def mask_ssn(value, role, **kw) -> Column:
-    return MaskSpec("mask_ssn", _same, _ssn_last4, _const("XXX-XX-XXXX"), _null, _const("XXX-XX-XXXX"))(value, role, **kw)
+    return MaskSpec("mask_ssn", _same, _ssn_last4, _const(SSN_MASKED), _null, _const(SSN_MASKED))(value, role, **kw)
 
 
 def mask_dob(value, role, cap_year: int = DOB_CAP_YEAR, **kw) -> Column:
@@ -131,48 +150,48 @@ def mask_dob(value, role, cap_year: int = DOB_CAP_YEAR, **kw) -> Column:
 
 
 def mask_patient_name(value, role, **kw) -> Column:
-    return MaskSpec("mask_patient_name", _same, _same, _initial, None, _const("***"))(value, role, **kw)
+    return MaskSpec("mask_patient_name", _same, _same, _initial, None, _const(NAME_MASKED))(value, role, **kw)
 
 
 def mask_mrn(value, role, salt: str = DEFAULT_SALTS["mrn"], **kw) -> Column:
-    tok = lambda v: sha_token(v, salt, "MRN-", 12)
-    return MaskSpec("mask_mrn", _same, _same, tok, tok, _const("***"))(value, role, **kw)
+    tok = lambda v: sha_token(v, salt, MRN_TOKEN_PREFIX, MRN_TOKEN_HEX)
+    return MaskSpec("mask_mrn", _same, _same, tok, tok, _const(GENERIC_MASKED))(value, role, **kw)
 
 
 def mask_phone(value, role, **kw) -> Column:
-    return MaskSpec("mask_phone", _same, _same, None, None, _const("***-***-****"))(value, role, **kw)
+    return MaskSpec("mask_phone", _same, _same, None, None, _const(PHONE_MASKED))(value, role, **kw)
 
 
 def mask_address_street(value, role, **kw) -> Column:
-    return MaskSpec("mask_address_street", _same, _same, None, None, _const("*** REDACTED ***"))(value, role, **kw)
+    return MaskSpec("mask_address_street", _same, _same, None, None, _const(ADDRESS_MASKED))(value, role, **kw)
 
 
 def mask_zip_code(value, role, **kw) -> Column:
-    return MaskSpec("mask_zip_code", _same, _same, _zip3, _zip3, _const("00000"))(value, role, **kw)
+    return MaskSpec("mask_zip_code", _same, _same, _zip3, _zip3, _const(ZIP_MASKED))(value, role, **kw)
 
 
 def mask_email(value, role, **kw) -> Column:
-    return MaskSpec("mask_email", _same, _same, None, None, _const("***@***.***"))(value, role, **kw)
+    return MaskSpec("mask_email", _same, _same, None, None, _const(EMAIL_MASKED))(value, role, **kw)
 
 
 def mask_diagnosis_code(value, role, **kw) -> Column:
-    return MaskSpec("mask_diagnosis_code", _same, _same, _dx3, _dx3, _const("***"))(value, role, **kw)
+    return MaskSpec("mask_diagnosis_code", _same, _same, _dx3, _dx3, _const(GENERIC_MASKED))(value, role, **kw)
 
 
 def mask_medication_name(value, role, **kw) -> Column:
-    return MaskSpec("mask_medication_name", _same, _same, _same, _same, _const("***"))(value, role, **kw)
+    return MaskSpec("mask_medication_name", _same, _same, _same, _same, _const(GENERIC_MASKED))(value, role, **kw)
 
 
 def mask_npi(value, role, **kw) -> Column:
     # Full list includes analysts and DS_ROLE: NPI is a public identifier.
-    spec = MaskSpec("mask_npi", _same, _same, None, None, _const("**********"),
+    spec = MaskSpec("mask_npi", _same, _same, None, None, _const(NPI_MASKED),
                     full_extra=ANALYST_ROLES + (DS_ROLE,))
     return spec(value, role, **kw)
 
 
 def mask_account_number(value, role, salt: str = DEFAULT_SALTS["account"], **kw) -> Column:
-    tok = lambda v: sha_token(v, salt, "ACCT-", 8)
-    spec = MaskSpec("mask_account_number", _same, _same, tok, None, _const("***"),
+    tok = lambda v: sha_token(v, salt, ACCOUNT_TOKEN_PREFIX, ACCOUNT_TOKEN_HEX)
+    spec = MaskSpec("mask_account_number", _same, _same, tok, None, _const(GENERIC_MASKED),
                     analyst_roles=("ANALYST_REVENUE",))
     return spec(value, role, **kw)
 
