@@ -260,6 +260,9 @@ def phi_access_log_cols(d: Dialect):
     ]
 
 
+LOGIN_FAILED = "(event_type = 'error' OR (user_id % 17 = 3 AND event_id % 8 <> 0))"
+
+
 def login_history_cols(d: Dialect):
     return [
         ("event_timestamp", d.ntz("ts")),
@@ -269,9 +272,11 @@ def login_history_cols(d: Dialect):
         ("reported_client_version", f"'3.' || {d.s('event_id % 10')}"),
         ("first_authentication_factor", "'PASSWORD'"),
         ("second_authentication_factor", "CASE WHEN user_id % 4 = 0 THEN CAST(NULL AS STRING) ELSE 'DUO_PUSH' END"),
-        ("is_success", "event_type <> 'error'"),
-        ("error_code", "CASE WHEN event_type = 'error' THEN '390100' END"),
-        ("error_message", "CASE WHEN event_type = 'error' THEN 'INCORRECT_USERNAME_PASSWORD' END"),
+        # failures: error events, plus password-guessing bursts on every 17th account
+        # (only every 8th attempt there succeeds), which the repeated-failure detector must find
+        ("is_success", f"NOT ({LOGIN_FAILED})"),
+        ("error_code", f"CASE WHEN {LOGIN_FAILED} THEN '390100' END"),
+        ("error_message", f"CASE WHEN {LOGIN_FAILED} THEN 'INCORRECT_USERNAME_PASSWORD' END"),
     ]
 
 
