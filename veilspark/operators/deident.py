@@ -119,11 +119,13 @@ def suppress_small_cells(df: DataFrame, quasi: list[str], k_min: int = 5) -> Dat
     return df.join(ok, [df[c].eqNullSafe(ok[c]) for c in quasi], "left_semi")
 
 
-def population_health(mart: DataFrame, min_cell: int = 11) -> DataFrame:
-    """Patients and mean stay by state, age band and diagnosis category."""
+def population_health(mart: DataFrame, min_cell: int = 11, dims=("state", "age_band", "dx_chapter")) -> DataFrame:
+    """Patients and mean stay per cell of `dims` (state, age band, diagnosis
+    chapter = first character of the ICD-10 category); cells under `min_cell` are withheld."""
     band = F.when(F.col("age_at_admission") == "90+", "90+").otherwise(
         F.concat((F.floor(F.col("age_at_admission").cast("int") / 10) * 10).cast("int").cast("string"), F.lit("s")))
-    g = mart.groupBy("state", band.alias("age_band"), "dx_category").agg(
+    m = mart.withColumn("age_band", band).withColumn("dx_chapter", F.left("dx_category", F.lit(1)))
+    g = m.groupBy(*dims).agg(
         F.count(F.lit(1)).alias("patients"), F.round(F.avg("length_of_stay"), 4).alias("avg_length_of_stay"))
     return g.where(F.col("patients") >= min_cell)
 

@@ -91,7 +91,7 @@ def m20s(spark, sf_dir):
 
 @register("m21_population_health")
 def m21a(spark, sf_dir):
-    return DI.population_health(m17(spark, sf_dir), min_cell=11)
+    return DI.population_health(m17(spark, sf_dir), min_cell=11, dims=("state", "age_band"))
 
 
 @register("m21_revenue_cycle")
