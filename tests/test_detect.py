@@ -2,6 +2,7 @@
 import datetime as dt
 import itertools
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -144,3 +145,25 @@ def test_one_pass_feed_equals_union_and_scans_once(spark, sf_dir):
     assert two.select(cols).exceptAll(one.select(cols)).count() == 0
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
+
+
+def test_repeated_failures_with_a_hot_account(spark):
+    """One account holds a third of all logins: still exact, and the per-event
+    window is partitioned by (user, bucket), never by user alone."""
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    events = []
+    for u, n in (("HOT", 20_000), ("A", 5_000), ("B", 5_000), ("C", 5_000), ("D", 5_000), ("E", 5_000),
+                 ("F", 5_000), ("G", 5_000), ("H", 5_000)):
+        t = base
+        p_ok = 0.08 if u == "HOT" else 0.3
+        for _ in range(n):
+            t += dt.timedelta(seconds=rnd.choice([5, 30, 90, 600]))
+            events.append((u, t, rnd.random() < p_ok))
+    df = spark.createDataFrame(events, "user_name string, event_timestamp timestamp_ntz, is_success boolean")
+    out = D.repeated_failures(df, 5)
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == brute_failures(events, 5) and any(r[0] == "HOT" for r in got)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the event-level window is keyed by (user, bucket); only per-bucket summaries are windowed by user
+    assert re.search(r"windowspecdefinition\(user_name#\d+, bucket#\d+, ts#\d+", plan)

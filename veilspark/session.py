@@ -54,3 +54,25 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 ** 2) -> dict:
+    """Starting points for a large run (set them on the cluster's session).
+
+    * shuffle partitions: enough that each holds ~target bytes of the input
+      (a generous upper bound on shuffled data), at least 2 per core; AQE then
+      coalesces small ones and splits skewed ones at runtime.
+    * input splits: 256 MB, so a 100 TB scan is ~400k tasks of bounded memory.
+    """
+    parts = max(2 * total_cores, -(-int(input_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.session.timeZone": "UTC",
+    }
