@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as E
 from veilspark.sources.tables import DRIVER_TABLES, table_path
 from tools.check_oracle import canon
+from tools.type_check import SPARK_TO_DUCK
 
 
 def test_entry_smoke(spark):
@@ -34,6 +35,9 @@ def test_oracle_agrees(spark, sf_dir, duck, name):
     dc, dr = canon([d[0] for d in res.description], res.fetchall())
     assert sc == dc
     assert sr == dr
+    d_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in sdf.schema.fields}
+    assert s_types == d_types
 
 
 @pytest.mark.parametrize("name", ["v1_login_audit", "v3_open_breach_suspects", "t2_off_hours_access_15min",
