@@ -20,9 +20,9 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..context import FULL_ACCESS_ROLES, PHI_DATABASES, ROW_BYPASS_ROLES, SecurityContext
-from ..functions.timefns import local_hour, ts_lit
-from .rowaccess import active_mappings, checked_broadcast
+from ..context import FULL_ACCESS_ROLES, PHI_DATABASES, ROW_BYPASS_ROLES
+from ..functions.timefns import date_lit, local_hour, ts_lit
+from .rowaccess import checked_broadcast
 
 # Fixed values from the reference detector.
 BULK_ROWS_THRESHOLD = 50_000
@@ -296,8 +296,7 @@ def repeated_failures(logins: DataFrame, min_failures: int = 5, bucket: str = "1
 def cross_hospital_attempts(log: DataFrame, role_map: DataFrame, as_of: _dt.datetime) -> DataFrame:
     """T6 CROSS_HOSPITAL_ATTEMPT: hospitals in an event's result that its role
     holds no active mapping for (bypass roles exempt)."""
-    ctx_date = SecurityContext(role=None, as_of=as_of)
-    today = F.to_date(F.lit(str(ctx_date.as_of_date)))
+    today = date_lit(as_of)
     active = role_map.where(
         (F.col("effective_from") <= today) & (F.col("effective_to").isNull() | (F.col("effective_to") >= today))
     ).select(F.col("snowflake_role").alias("role_name"), "hospital_id").distinct()
