@@ -32,8 +32,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when the cluster left it unset (local tests)
-    do we pick a scratch folder of our own.
+    Read from the session; only a local-mode session (tests) with nothing set
+    gets a scratch folder of our own. On a cluster an unset folder is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
@@ -44,6 +44,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc_dir = spark.sparkContext.getCheckpointDir()
     if sc_dir:
         return sc_dir
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder would not survive the loss of an executor
+        raise ValueError("spark.checkpoint.dir is not set: point it at a shared folder (HDFS, object store)")
     local = tempfile.mkdtemp(prefix="veilspark-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
