@@ -158,3 +158,39 @@ def repeated_failures_stream(logins_stream: DataFrame, min_failures: int = 5) ->
     )
     return src.groupBy("user_name").applyInPandasWithState(
         _t5_update(min_failures), T5_OUTPUT, T5_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+# --------------------------------------------------------------- audit ingest
+
+def audit_log_writer(log_path: str, reject_path: str):
+    """K1 + K12 sink: validate each micro-batch, append valid events to the
+    date-partitioned audit log, route rejects aside. Idempotent: log ids are
+    derived from query ids, and only the dates the batch touches are read to
+    skip events already written (a replayed batch appends nothing)."""
+    from ..operators import audit as K
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        good, bad = K.validate(K.conform(batch))
+        good = good.withColumn("event_date", F.to_date("event_time"))
+        existing = _read_if_present(spark, log_path)
+        if existing is not None:
+            good = good.join(only_partitions(existing, good, ["event_date"]).select("log_id"), "log_id", "left_anti")
+        good.write.mode("append").partitionBy("event_date").parquet(log_path)
+        bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(reject_path)
+    return write
+
+
+def start_audit_ingest(spark: SparkSession, source_dir: str, log_path: str, reject_path: str, checkpoint: str,
+                       phi_columns=("PATIENTS", "CLINICAL"), available_now: bool = True):
+    """Continuous audit logging from the query-log landing folder."""
+    import datetime as _dt
+
+    from ..operators.audit import audit_events_from_queries
+    ev = events_stream(spark, source_dir)
+    qh = ev.selectExpr(*[f"{e} AS {n}" for n, e in B.query_history_cols(B.SPARK)])
+    audit = audit_events_from_queries(qh, list(phi_columns), _dt.datetime(1970, 1, 1)).withColumn(
+        "inserted_at", F.col("event_time"))
+    w = audit.writeStream.option("checkpointLocation", checkpoint).foreachBatch(audit_log_writer(log_path, reject_path))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
