@@ -192,6 +192,24 @@ def role_map_parts(d: Dialect):
     ]
 
 
+def role_map_coverage_cols(d: Dialect):
+    """Cross-coverage grants (one per supplier row, so the grant history grows
+    with the data): a hospital admin covers another hospital for 30-89 days
+    somewhere in 2024; every 23rd grant lacks a ticket."""
+    start = d.date_plus("DATE '2024-01-01'", "s_suppkey % 300")
+    return [
+        ("map_id", f"'S' || {d.lp('s_suppkey', 7)}"),
+        ("snowflake_role", f"'HOSPITAL_ADMIN_' || {hospital_of(d, 's_nationkey')}"),
+        ("hospital_id", hospital_of(d, "s_suppkey * 7")),
+        ("access_type", "'READ'"),
+        ("effective_from", start),
+        ("effective_to", d.date_plus(start, "30 + s_suppkey % 60")),
+        ("granted_by", "'SECURITYADMIN'"),
+        ("business_reason", f"'Cross-coverage for ' || {hospital_of(d, 's_suppkey * 7')}"),
+        ("ticket_ref", f"CASE WHEN s_suppkey % 23 = 0 THEN CAST(NULL AS STRING) ELSE 'CHG' || {d.lp('2000000 + s_suppkey', 7)} END"),
+    ]
+
+
 def query_history_cols(d: Dialect):
     db = ("CASE event_type WHEN 'view' THEN 'CLEANSED_DB' WHEN 'click' THEN 'RAW_DB' WHEN 'purchase' THEN 'MARTS_DB' "
           "WHEN 'signup' THEN 'CLEANSED_DB' ELSE 'RAW_DB' END")
@@ -394,6 +412,7 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hospital_role_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation")
     parts = [_project(nation, cols, filters) for filters, cols in role_map_parts(SPARK)]
+    parts.append(_project(read_table(spark, sf_dir, "supplier"), role_map_coverage_cols(SPARK)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -436,7 +455,8 @@ def _duck_select(table: str, cols, filters=()) -> str:
 
 def duck_binding_sql() -> dict[str, str]:
     d = DUCK
-    role_map = "\nUNION ALL\n".join(_duck_select("nation", cols, filters) for filters, cols in role_map_parts(d))
+    role_map = "\nUNION ALL\n".join([_duck_select("nation", cols, filters) for filters, cols in role_map_parts(d)]
+                                     + [_duck_select("supplier", role_map_coverage_cols(d))])
     return {
         "patients": _duck_select("customer", patients_cols(d)),
         "claims": _duck_select("orders", claims_cols(d)),
