@@ -99,6 +99,9 @@ def test_cidr_match_equals_range_check(spark):
     df = spark.createDataFrame([(i,) for i in ips], "client_ip string")
     outside = sorted(r[0] for r in D.outside_allow_list(df, "client_ip", D.allow_list(spark)).collect())
     assert outside == ["10.13.0.1", "172.16.102.1", "172.16.200.16", "8.8.8.8"]
+    # the equi-join path used for large lists gives the same answer
+    joined = sorted(r[0] for r in D.outside_allow_list(df, "client_ip", D.allow_list(spark), max_inline=0).collect())
+    assert joined == outside
     bg = sorted(r[0] for r in D.break_glass_use(df, "client_ip", spark).collect())
     assert bg == ["172.16.200.15"]
 

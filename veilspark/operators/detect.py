@@ -402,8 +402,25 @@ def match_cidrs(df: DataFrame, ip_col: str, ranges: DataFrame) -> DataFrame:
     return exploded.join(checked_broadcast(r), ["_len", "_net"]).drop("_len", "_net")
 
 
-def outside_allow_list(df: DataFrame, ip_col: str, ranges: DataFrame) -> DataFrame:
-    """Rows whose address is in no allowed range (left anti on the equi-join keys)."""
+def in_ranges(ip: Column, ranges: list[tuple[int, int]]) -> Column:
+    """True when the address lies in one of the (lo, hi) ranges: a per-row test
+    against a literal array, so no join and no shuffle (also valid on a stream)."""
+    arr = F.array(*[F.struct(F.lit(lo).cast("bigint").alias("lo"), F.lit(hi).cast("bigint").alias("hi"))
+                    for lo, hi in ranges])
+    v = ip_to_long(ip)
+    return F.exists(arr, lambda r: (v >= r["lo"]) & (v <= r["hi"]))
+
+
+def outside_allow_list(df: DataFrame, ip_col: str, ranges: DataFrame, max_inline: int = 1024) -> DataFrame:
+    """Rows whose address is in no allowed range.
+
+    An allow list is configuration: when it has at most `max_inline` ranges
+    (checked) the test is a per-row expression, no shuffle. A larger list uses
+    the equi-join on (prefix length, network) and a left anti join."""
+    from .rowaccess import row_count_at_most
+    if row_count_at_most(ranges, max_inline) is not None:
+        rs = [(r["lo"], r["hi"]) for r in ranges.select("lo", "hi").collect()]
+        return df.where(F.col(ip_col).isNull() | ~in_ranges(F.col(ip_col), rs))
     inside = match_cidrs(df.select(ip_col).distinct(), ip_col, ranges).select(ip_col).distinct()
     return df.join(inside, ip_col, "left_anti")
 
