@@ -73,7 +73,9 @@ def main():
      .write.mode("overwrite").partitionBy("hospital_id").parquet(f"{base}/fact_by_hospital"))
     flat = spark.read.parquet(f"{base}/fact_flat")
     part = spark.read.parquet(f"{base}/fact_by_hospital")
-    role_map = B.hospital_role_map(spark, sf_dir)
+    # the grant map is a stored table in production: write it once, read it back
+    B.hospital_role_map(spark, sf_dir).coalesce(1).write.mode("overwrite").parquet(f"{base}/hospital_role_map")
+    role_map = spark.read.parquet(f"{base}/hospital_role_map")
     admin = SecurityContext(role="HOSPITAL_ADMIN_H03", as_of=B.PATIENT_AS_OF)
     analyst = SecurityContext(role="ANALYST_CLINICAL", as_of=B.PATIENT_AS_OF)
 

@@ -193,19 +193,19 @@ def role_map_parts(d: Dialect):
 
 
 def role_map_coverage_cols(d: Dialect):
-    """Cross-coverage grants (one per supplier row, so the grant history grows
-    with the data): a hospital admin covers another hospital for 30-89 days
-    somewhere in 2024; every 23rd grant lacks a ticket."""
+    """Agency-staff grants (one role per supplier row, so the grant table grows
+    with the data): each covers one hospital for 30-89 days somewhere in 2024;
+    every 23rd grant lacks a ticket."""
     start = d.date_plus("DATE '2024-01-01'", "s_suppkey % 300")
     return [
         ("map_id", f"'S' || {d.lp('s_suppkey', 7)}"),
-        ("snowflake_role", f"'HOSPITAL_ADMIN_' || {hospital_of(d, 's_nationkey')}"),
+        ("snowflake_role", f"'AGENCY_STAFF_' || {d.lp('s_suppkey', 6)}"),
         ("hospital_id", hospital_of(d, "s_suppkey * 7")),
         ("access_type", "'READ'"),
         ("effective_from", start),
         ("effective_to", d.date_plus(start, "30 + s_suppkey % 60")),
         ("granted_by", "'SECURITYADMIN'"),
-        ("business_reason", f"'Cross-coverage for ' || {hospital_of(d, 's_suppkey * 7')}"),
+        ("business_reason", f"'Agency staff cover at ' || {hospital_of(d, 's_suppkey * 7')}"),
         ("ticket_ref", f"CASE WHEN s_suppkey % 23 = 0 THEN CAST(NULL AS STRING) ELSE 'CHG' || {d.lp('2000000 + s_suppkey', 7)} END"),
     ]
 
