@@ -85,15 +85,17 @@ def deidentify_copy(patients: DataFrame, key: str) -> DataFrame:
 
 
 def load_fingerprint(df: DataFrame, key_cols: list[str], label: str) -> DataFrame:
-    """Rows, distinct keys, and an order-free checksum of the key columns.
+    """Rows and an order-free checksum of the key columns.
 
-    The checksum is sum(xxhash64(keys)) as an exact decimal: any lost, extra or
-    changed key moves it; row order and partitioning do not."""
-    k = F.xxhash64(*[F.col(c) for c in key_cols])
+    The checksum sums, as an exact decimal, the first 60 bits of SHA-256 of each
+    row's keys: any lost, extra or altered key moves it, while row order and
+    partitioning do not. It is a plain aggregate, combined map-side."""
+    keys = F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols])
+    k = F.conv(F.left(F.sha2(keys, 256), F.lit(15)), 16, 10).cast("decimal(38,0)")
     return df.agg(
         F.lit(label).alias("side"),
         F.count(F.lit(1)).alias("rows"),
-        F.sum(k.cast("decimal(38,0)")).alias("key_checksum"),
+        F.sum(k).cast("decimal(38,0)").alias("key_checksum"),
     )
 
 
