@@ -22,7 +22,7 @@ def expected_hospitals(spark, sf_dir, role):
     """Brute force over the (small) mapping rows: hospitals with an active grant."""
     d = AS_OF.date()
     return sorted({r["hospital_id"] for r in B.hospital_role_map(spark, sf_dir).collect()
-                   if r["snowflake_role"] == role and r["effective_from"] <= d
+                   if r["mapped_role"] == role and r["effective_from"] <= d
                    and (r["effective_to"] is None or r["effective_to"] >= d)})
 
 

@@ -299,7 +299,7 @@ def cross_hospital_attempts(log: DataFrame, role_map: DataFrame, as_of: _dt.date
     today = date_lit(as_of)
     active = role_map.where(
         (F.col("effective_from") <= today) & (F.col("effective_to").isNull() | (F.col("effective_to") >= today))
-    ).select(F.col("snowflake_role").alias("role_name"), "hospital_id").distinct()
+    ).select(F.col("mapped_role").alias("role_name"), "hospital_id").distinct()
     ev = log.where(~F.col("role_name").isin(*ROW_BYPASS_ROLES)).select(
         "log_id", "event_time", "user_name", "role_name", F.explode("hospital_ids_in_result").alias("hospital_id"))
     return ev.join(checked_broadcast(active), ["role_name", "hospital_id"], "left_anti")

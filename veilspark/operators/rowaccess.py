@@ -45,7 +45,7 @@ def active_mappings(role_map: DataFrame, ctx: SecurityContext) -> DataFrame:
     """R2: mappings of ctx.role valid on ctx.as_of (both ends inclusive)."""
     today = date_lit(ctx.as_of_date)
     return role_map.where(
-        (F.col("snowflake_role") == F.lit(ctx.role))
+        (F.col("mapped_role") == F.lit(ctx.role))
         & (F.col("effective_from") <= today)
         & (F.col("effective_to").isNull() | (F.col("effective_to") >= today))
     )
@@ -91,7 +91,7 @@ def visible_rows_by_key(df: DataFrame, key: str = "hospital_id") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("patient_count"))
 
 
-MAPPING_SCHEMA = ("map_id string, snowflake_role string, hospital_id string, access_type string, effective_from date, "
+MAPPING_SCHEMA = ("map_id string, mapped_role string, hospital_id string, access_type string, effective_from date, "
                   "effective_to date, granted_by string, business_reason string, ticket_ref string")
 
 
@@ -109,7 +109,7 @@ def grant_hospital_access(spark, role: str, hospital_id: str, effective_from, gr
 def revoke_hospital_access(role_map: DataFrame, role: str, hospital_id: str, end_date) -> DataFrame:
     """K6 removal by end-dating: matching rows end at `end_date` (never later
     than an existing end); history stays, the policy stops matching after it."""
-    hit = (F.col("snowflake_role") == role) & (F.col("hospital_id") == hospital_id)
+    hit = (F.col("mapped_role") == role) & (F.col("hospital_id") == hospital_id)
     end = date_lit(end_date)
     new_to = F.when(hit, F.when(F.col("effective_to").isNull(), end).otherwise(F.least("effective_to", end))) \
         .otherwise(F.col("effective_to"))

@@ -190,12 +190,12 @@ def mapping_status(role_map: DataFrame, as_of) -> DataFrame:
     today = date_lit(as_of)
     to = F.col("effective_to")
     return role_map.select(
-        "snowflake_role", "hospital_id", "effective_from", "effective_to", "granted_by", "ticket_ref",
+        "mapped_role", "hospital_id", "effective_from", "effective_to", "granted_by", "ticket_ref",
         F.when(to.isNull(), "Active (no end date)")
         .when(to >= today, F.concat(F.lit("Active until "), to.cast("string")))
         .when(to < today, "EXPIRED - role still in mapping table")
         .otherwise("Unknown").alias("access_status"),
-    ).orderBy("snowflake_role", "hospital_id")
+    ).orderBy("mapped_role", "hospital_id")
 
 
 def destructive_audit_privileges(privs: DataFrame) -> DataFrame:
@@ -314,13 +314,13 @@ def mapping_data_quality(role_map: DataFrame, as_of) -> DataFrame:
     """First missing audit field of each active mapping."""
     today = date_lit(as_of)
     return role_map.where(F.col("effective_to").isNull() | (F.col("effective_to") >= today)).select(
-        "snowflake_role", "hospital_id", "effective_from", "effective_to", "granted_by", "ticket_ref",
+        "mapped_role", "hospital_id", "effective_from", "effective_to", "granted_by", "ticket_ref",
         F.when(F.col("granted_by").isNull(), "FAIL: missing granted_by")
         .when(F.col("ticket_ref").isNull(), "FAIL: missing ticket_ref")
         .when(F.col("business_reason").isNull(), "FAIL: missing business_reason")
         .when(F.col("effective_from").isNull(), "FAIL: missing effective_from")
         .otherwise("PASS").alias("data_quality_check"),
-    ).orderBy("snowflake_role", "hospital_id")
+    ).orderBy("mapped_role", "hospital_id")
 
 
 # Tables that must carry the hospital isolation policy.

@@ -163,7 +163,7 @@ def role_map_parts(d: Dialect):
     ticket = f"'CHG' || {d.lp('1001000 + n_nationkey', 7)}"
     base = [
         ("map_id", f"'M' || {d.lp('n_nationkey', 3)} || '-A'"),
-        ("snowflake_role", f"'HOSPITAL_ADMIN_' || {h}"),
+        ("mapped_role", f"'HOSPITAL_ADMIN_' || {h}"),
         ("hospital_id", h),
         ("access_type", "CASE WHEN n_nationkey % 2 = 0 THEN 'READ' ELSE 'READ_WRITE' END"),
         ("effective_from", "DATE '2024-01-01'"),
@@ -177,7 +177,7 @@ def role_map_parts(d: Dialect):
         cols = dict(base)
         cols.update({
             "map_id": f"'M' || {d.lp('n_nationkey', 3)} || '-{tag}'",
-            "snowflake_role": role,
+            "mapped_role": role,
             "effective_from": eff_from,
             "effective_to": eff_to,
             "ticket_ref": tkt,
@@ -199,7 +199,7 @@ def role_map_coverage_cols(d: Dialect):
     start = d.date_plus("DATE '2024-01-01'", "s_suppkey % 300")
     return [
         ("map_id", f"'S' || {d.lp('s_suppkey', 7)}"),
-        ("snowflake_role", f"'AGENCY_STAFF_' || {d.lp('s_suppkey', 6)}"),
+        ("mapped_role", f"'AGENCY_STAFF_' || {d.lp('s_suppkey', 6)}"),
         ("hospital_id", hospital_of(d, "s_suppkey * 7")),
         ("access_type", "'READ'"),
         ("effective_from", start),
@@ -286,7 +286,7 @@ def login_history_cols(d: Dialect):
         ("event_timestamp", d.ntz("ts")),
         ("user_name", user_name_expr(d)),
         ("client_ip", client_ip_expr(d)),
-        ("reported_client_type", "CASE event_id % 3 WHEN 0 THEN 'SNOWFLAKE_UI' WHEN 1 THEN 'JDBC_DRIVER' ELSE 'PYTHON_DRIVER' END"),
+        ("reported_client_type", "CASE event_id % 3 WHEN 0 THEN 'WEB_UI' WHEN 1 THEN 'JDBC_DRIVER' ELSE 'PYTHON_DRIVER' END"),
         ("reported_client_version", f"'3.' || {d.s('event_id % 10')}"),
         ("first_authentication_factor", "'PASSWORD'"),
         ("second_authentication_factor", "CASE WHEN user_id % 4 = 0 THEN CAST(NULL AS STRING) ELSE 'DUO_PUSH' END"),
