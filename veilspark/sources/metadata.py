@@ -44,9 +44,8 @@ INACTIVE_CHECK_ROLES = (
 
 def _user_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
-    return ev.groupBy("user_id").agg(
-        F.max(F.when(F.col("event_type") != "error", F.col("ts"))).alias("last_ok")
-    )
+    # last successful login, by the login stream's own failure rule
+    return ev.groupBy("user_id").agg(F.expr(f"max(CASE WHEN NOT {B.LOGIN_FAILED} THEN ts END)").alias("last_ok"))
 
 
 def users_cols(d: B.Dialect):
