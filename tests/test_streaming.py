@@ -90,3 +90,24 @@ def test_audit_ingest_stream_is_complete_and_idempotent(spark, sf_dir, scratch):
     replay = K.audit_events_from_queries(B.query_history(spark, sf_dir), ["PATIENTS"], dt.datetime(2024, 1, 31))
     writer(replay, 7)
     assert spark.read.parquet(log).count() == n_events
+
+
+def test_event_alerts_stream_equals_batch(spark, sf_dir, scratch):
+    from veilspark.sources import metadata as M
+    log = B.phi_access_log(spark, sf_dir)
+    path = f"{scratch}/audit"
+    log.write.parquet(path)
+    rm = B.hospital_role_map(spark, sf_dir)
+    users = M.users(spark, sf_dir)
+    term = users.where(F.col("deleted_on").isNotNull()).select(F.col("name").alias("user_name"),
+                                                               F.col("deleted_on").alias("terminated_at"))
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    q = S.event_alerts_stream(stream, rm, term, B.EVENTS_AS_OF).writeStream.outputMode("append").format("memory") \
+        .queryName("event_alerts").option("checkpointLocation", f"{scratch}/ck7").trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    got = spark.sql("select * from event_alerts")
+    batch = D.event_alerts(spark.read.parquet(path), rm, term, B.EVENTS_AS_OF)
+    assert got.count() == batch.count() > 0
+    assert got.exceptAll(batch).count() == 0
+    assert {r[0] for r in got.select("trigger_type").distinct().collect()} >= {
+        "CROSS_HOSPITAL_ATTEMPT", "POLICY_BYPASS_ATTEMPT", "OUTSIDE_ALLOW_LIST"}

@@ -442,3 +442,26 @@ def audit_scope(log: DataFrame, outside_ips: DataFrame | None = None) -> DataFra
     for p in SCOPED_EVENT_PREFIXES:
         keep = keep | et.startswith(p)
     return log.where(keep)
+
+
+def event_alerts(log: DataFrame, role_map: DataFrame, terminations: DataFrame, as_of: _dt.datetime,
+                 allow_ranges: list[tuple[int, int]] | None = None) -> DataFrame:
+    """T6-T10 as one feed of per-event alerts with a common schema
+    (trigger_type, log_id, event_time, user_name, role_name, detail).
+
+    Every branch is a filter, an explode or a join against a small static table
+    (broadcast after a size check), so the same plan runs in batch and as a
+    stream-static Structured Streaming query."""
+    allow = allow_ranges if allow_ranges is not None else [(r[2], r[3]) for r in _cidr_rows(ALLOWED_CIDRS)]
+    base = ["log_id", "event_time", "user_name", "role_name"]
+    t6 = cross_hospital_attempts(log, role_map, as_of).select(
+        F.lit("CROSS_HOSPITAL_ATTEMPT").alias("trigger_type"), *base, F.col("hospital_id").alias("detail"))
+    t7 = after_termination(log, terminations).select(
+        F.lit("AFTER_TERMINATION").alias("trigger_type"), *base, F.col("terminated_at").cast("string").alias("detail"))
+    t8 = policy_bypass_attempts(log).select(
+        F.lit("POLICY_BYPASS_ATTEMPT").alias("trigger_type"), *base, F.col("phi_columns").alias("detail"))
+    t9 = log.where(F.col("client_ip").isNull() | ~in_ranges(F.col("client_ip"), allow)).select(
+        F.lit("OUTSIDE_ALLOW_LIST").alias("trigger_type"), *base, F.col("client_ip").alias("detail"))
+    t10 = dev_large_results(log).select(
+        F.lit("DEV_LARGE_RESULT").alias("trigger_type"), *base, F.col("rows_affected").cast("string").alias("detail"))
+    return t6.unionByName(t7).unionByName(t8).unionByName(t9).unionByName(t10)

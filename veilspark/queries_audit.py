@@ -253,3 +253,12 @@ def t2_15(spark, sf_dir):
 def t3_one_pass(spark, sf_dir):
     """T1 and T2 on the same 15-minute windows from one scan and one shuffle."""
     return T.suspect_feed_one_pass(B.query_history(spark, sf_dir), window="15 minutes")
+
+
+@register("t6_t10_event_alerts")
+def t6_t10(spark, sf_dir):
+    """All per-event detectors as one alert feed (the same plan runs as a stream)."""
+    users = M.users(spark, sf_dir)
+    term = users.where(F.col("deleted_on").isNotNull()).select(
+        F.col("name").alias("user_name"), F.col("deleted_on").alias("terminated_at"))
+    return T.event_alerts(B.phi_access_log(spark, sf_dir), B.hospital_role_map(spark, sf_dir), term, AS_OF)

@@ -194,3 +194,8 @@ def start_audit_ingest(spark: SparkSession, source_dir: str, log_path: str, reje
     w = audit.writeStream.option("checkpointLocation", checkpoint).foreachBatch(audit_log_writer(log_path, reject_path))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def event_alerts_stream(log_stream: DataFrame, role_map: DataFrame, terminations: DataFrame, as_of) -> DataFrame:
+    """T6-T10 over a stream of audit events: stateless branches and stream-static joins."""
+    return D.event_alerts(log_stream, role_map, terminations, as_of)
