@@ -104,6 +104,10 @@ def main():
     q["t3_detection_batch"] = best(D.suspect_feed(qh, off_hours_window="1 day"))
     q["t3_detection_one_pass"] = best(D.suspect_feed_one_pass(qh, window="15 minutes"))
     log = B.phi_access_log(spark, sf_dir)
+    users = M.users(spark, sf_dir)
+    term = users.where(F.col("deleted_on").isNotNull()).select(
+        F.col("name").alias("user_name"), F.col("deleted_on").alias("terminated_at"))
+    q["t6_t10_event_alerts"] = best(D.event_alerts(log, role_map, term, B.EVENTS_AS_OF))
     q["v2_access_summary"] = best(R.access_summary(log, B.EVENTS_AS_OF, sort=False))
     q["v15_gap_check"] = best(R.audit_gaps(spark, log, B.EVENTS_AS_OF, sort=False))
     q["v19_scorecard"] = best(C.scorecard(M.object_privileges(spark, sf_dir), M.row_access_policies(spark, sf_dir),

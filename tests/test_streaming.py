@@ -111,3 +111,21 @@ def test_event_alerts_stream_equals_batch(spark, sf_dir, scratch):
     assert got.exceptAll(batch).count() == 0
     assert {r[0] for r in got.select("trigger_type").distinct().collect()} >= {
         "CROSS_HOSPITAL_ATTEMPT", "POLICY_BYPASS_ATTEMPT", "OUTSIDE_ALLOW_LIST"}
+
+
+def test_governed_read_on_a_stream(spark, sf_dir, scratch):
+    from veilspark.context import SecurityContext
+    from veilspark.operators.masking import PATIENT_BINDINGS
+    from veilspark.plans.governed import governed_frame
+    path = f"{scratch}/patients"
+    B.patients(spark, sf_dir).write.parquet(path)
+    ctx = SecurityContext(role="HOSPITAL_ADMIN_H01", as_of=dt.datetime(2024, 6, 1))
+    rm = B.hospital_role_map(spark, sf_dir)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    q = governed_frame(stream, rm, ctx, PATIENT_BINDINGS).writeStream.format("memory").queryName("gov_stream") \
+        .option("checkpointLocation", f"{scratch}/ck8").trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    got = spark.sql("select * from gov_stream")
+    batch = governed_frame(spark.read.parquet(path), rm, ctx, PATIENT_BINDINGS)
+    assert got.count() == batch.count() > 0 and got.exceptAll(batch).count() == 0
+    assert {r[0] for r in got.select("hospital_id").distinct().collect()} == {"H01"}
