@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = (
@@ -13,8 +11,8 @@ DRIVER_TABLES = (
 
 
 def table_path(sf_dir: str, name: str) -> str:
-    single = os.path.join(sf_dir, f"{name}.parquet")
-    return single if os.path.exists(single) else os.path.join(sf_dir, name)
+    """The table's path, a file or a folder; the store may be one that only Spark reads."""
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
