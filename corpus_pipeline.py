@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import linededup, quality
+from veilspark.llm import linededup, minhash, mixing, quality
 from veilspark.llm.common import stored
 from veilspark.llm.queries import table, token_digests, tokenizer
 
@@ -25,6 +25,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return linededup.drop_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return minhash.near_dedup(docs)
+
+
+def mixing_sample(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn so that sources, languages and kinds of text meet their target shares."""
+    return mixing.sample(docs)
+
+
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the documents that are left."""
     tok = tokenizer()
@@ -34,7 +44,9 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", quality_filter),
     ("line dedup", line_dedup),
-    ("byte-level BPE", bpe),
+    ("MinHash near-dedup", near_dedup),
+    ("mixing sources to target weights", mixing_sample),
+    ("byte-level BPE encoding and decoding", bpe),
 ]
 
 #: None: a learned classifier and hashed signatures are not SQL; tests hold the stages against brute force

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, linededup
+from . import embeddedup, licenses, linededup, mixing
 
 OP10 = """
 WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS s FROM documents),
@@ -53,4 +53,64 @@ LEFT JOIN rule ON rule.n = f.n
 """
 
 
-ORACLE: dict[str, str] = {"op4_line_dedup": OP4, "op8_license_scan": _op8(), "op10_exact_dedup": OP10}
+def _op6() -> str:
+    """Raking written out: every marginal of every round is one step over the cells."""
+    m = mixing
+    steps = [f"""
+d AS (SELECT doc_id, source, lang, coalesce(source, '{m.NONE}') AS s, coalesce(lang, '{m.NONE}') AS l,
+      coalesce(text, '') AS t, len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\r\\n]+')) AS tokens,
+      md5(coalesce(doc_id::VARCHAR, text, '') || '|{m.SEED}') AS draw FROM documents),
+g AS (SELECT *, length(t) - length(replace(t, '|', '')) AS bars, length(t) - length(replace(t, '!', '')) AS calls,
+      3 * length(t) - length(replace(t, '#', '')) - length(replace(t, '$', '')) - length(replace(t, '%', '')) AS signs
+      FROM d),
+doc AS (SELECT doc_id, source, lang, s, l, tokens, draw, CASE WHEN tokens = 0 THEN 'empty' WHEN bars * 5 > tokens THEN 'table'
+        WHEN signs > tokens THEN 'noise' WHEN calls > tokens THEN 'shouting' WHEN tokens < 150 THEN 'note'
+        WHEN tokens < 1000 THEN 'article' ELSE 'book' END AS k FROM g),
+cell AS (SELECT s, l, k, sum(tokens)::DOUBLE AS tokens FROM doc GROUP BY ALL),
+amount AS (SELECT sum(tokens) AS total FROM cell),
+w0 AS (SELECT *, tokens AS weight FROM cell)"""]
+    for d in "slk":
+        steps.append(f"""
+own_{d} AS (SELECT {d}, pow(sum(tokens), {m.POWER}) AS x FROM cell GROUP BY {d} HAVING sum(tokens) > 0),
+aim_{d} AS (SELECT {d}, x / (SELECT sum(x) FROM own_{d}) AS share FROM own_{d})""")
+    n = 0
+    for _ in range(m.ROUNDS):
+        for d in "slk":
+            steps.append(f"""
+w{n + 1} AS MATERIALIZED (SELECT w.s, w.l, w.k, w.tokens,
+  w.weight * coalesce(aim.share * (SELECT total FROM amount) / nullif(sum(w.weight) OVER (PARTITION BY w.{d}), 0), 1.0) AS weight
+  FROM w{n} w LEFT JOIN aim_{d} aim ON aim.{d} = w.{d})""")
+            n += 1
+    steps.append(f"""
+r AS MATERIALIZED (SELECT *, CASE WHEN tokens > 0 THEN weight / tokens ELSE 1.0 END AS ratio FROM w{n}),
+k0 AS (SELECT {m.BUDGET}::DOUBLE AS scale)""")
+    for i in range(m.CAP_ROUNDS):
+        steps.append(f"""
+k{i + 1} AS MATERIALIZED (SELECT coalesce(({m.BUDGET} * (SELECT total FROM amount)
+  - coalesce(sum(tokens) FILTER (WHERE ratio * scale >= 1), 0))
+  / nullif(sum(weight) FILTER (WHERE ratio * scale < 1), 0), any_value(scale)) AS scale FROM r, k{i})""")
+    return "WITH " + ",".join(steps) + f"""
+SELECT doc.doc_id, doc.source, doc.lang, doc.k AS topic, doc.tokens, round(least(1.0, r.ratio * scale), 6) AS p,
+       ('0x' || substr(doc.draw, 1, 8))::BIGINT / 4294967296.0 < least(1.0, r.ratio * scale) AS kept
+FROM doc JOIN r ON r.s = doc.s AND r.l = doc.l AND r.k = doc.k, k{m.CAP_ROUNDS}
+"""
+
+
+OP9 = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+         ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+         WHERE list_cosine_similarity(a.e, b.e) >= {embeddedup.COSINE}),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, least(e.vec_id, coalesce(least.b, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(least.b, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN least ON least.a = e.vec_id
+"""
+
+ORACLE: dict[str, str] = {"op4_line_dedup": OP4, "op6_mixing": _op6(), "op8_license_scan": _op8(),
+                          "op9_embedding_dedup": OP9, "op10_exact_dedup": OP10}

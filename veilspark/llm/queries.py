@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exactdedup, langid, licenses, linededup, quality
-from .common import crc_mod, stored
+from . import bpe, embeddedup, exactdedup, langid, licenses, linededup, minhash, mixing, quality, toxicity
+from .common import crc_mod
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,16 @@ def token_digests(tok: bpe.Tokenizer, encoded: DataFrame) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = crc_mod("doc_id", 3) == 1
+    chain = toxicity.fit(docs, labels.where(~held_out))
+    return toxicity.tag(docs.select("doc_id", "text", held_out.alias("held_out")), chain).select(
+        "doc_id", "held_out", "score", (F.col("score") >= toxicity.TOXIC_SCORE).cast("int").alias("predicted"),
+        F.size("spans").alias("n_spans"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc_mod("doc_id", 5) == 0
@@ -46,6 +56,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "text", F.col("dropped_lines").cast("long").alias("dropped_lines"))
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_groups(docs).select("doc_id", "class_id", "class_size", "kept")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mixing.mix(docs).select("doc_id", "source", "lang", "topic", "tokens", F.round("p", 6).alias("p"), "kept")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
@@ -61,11 +81,16 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "licence_rule"), "sentence_ids")
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddedup.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op3_language_id, op4_line_dedup, op7_quality, op8_license_scan,
-                            op10_exact_dedup)
+    f.__name__: f for f in (
+        op1_byte_bpe, op2_toxicity, op3_language_id, op4_line_dedup, op5_minhash_dedup, op6_mixing, op7_quality,
+        op8_license_scan, op9_embedding_dedup, op10_exact_dedup)
 }

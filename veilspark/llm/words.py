@@ -18,9 +18,12 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` or more powers, modulo 2^64, of an odd number and of its inverse."""
     if not _powers or len(_powers[0]) < n:
         size = max(1 << 16, 1 << (n - 1).bit_length())
-        inverse = pow(_P, -1, 1 << 64)
-        _powers[:] = [np.cumprod(np.concatenate([[1], np.full(size - 1, x, dtype=np.uint64)]).astype(np.uint64))
-                      for x in (_P, inverse)]
+        made = []
+        for factor in (_P, pow(_P, -1, 1 << 64)):
+            steps = np.full(size, factor, dtype=np.uint64)
+            steps[0] = 1
+            made.append(np.cumprod(steps))
+        _powers[:] = made
     return _powers[0], _powers[1]
 
 
