@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.llm import linededup, minhash, mixing, quality
-from veilspark.llm.common import stored
+from veilspark.llm.common import stored, workers_import
 from veilspark.llm.queries import table, token_digests, tokenizer
 
 
@@ -27,6 +27,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    workers_import(spark)
     return minhash.near_dedup(docs)
 
 
@@ -37,6 +38,7 @@ def mixing_sample(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the documents that are left."""
+    workers_import(spark)
     tok = tokenizer()
     return token_digests(tok, tok.encode(docs.select("doc_id", "text")))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,16 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it, if that path is theirs
+    too (local mode, a shared or baked-in folder). Elsewhere the package is shipped with --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names built from ``names`` that do not clash with ``df``'s own."""
     taken = {c.lower() for c in df.columns}

@@ -12,10 +12,10 @@ an empty coordinate goes on to twice that rank, which leaves earlier darts as th
 Bands of the signature are joined: texts that share a band key share a bucket. Pairs are
 not made within a bucket. In each round a few heads per bucket are compared with its
 other members, by the exact similarity of the shingle sets, and components are taken of
-the links found. A member needs no more comparing once it is in the component of its
-bucket's first head, or was a head itself (it was then compared with all others). Rounds
-go on until that holds for every member, so no link between two texts in a bucket is
-lost, while each round makes rows in proportion to the buckets' sizes.
+the links found. A head was then compared with all others and leaves the bucket; two
+members of one component need no comparing. Rounds go on until what is left of every
+bucket is in one component, so no two texts of a bucket that are alike end up in two
+classes, while each round makes rows in proportion to the buckets' sizes.
 
 Texts with the same shingle set are one node from the start, however many they are.
 
@@ -44,7 +44,7 @@ from .words import Tokens, distinct, mix
 #: heads per bucket and round (after the first round, which has one)
 HEADS = 8
 #: shingles whose darts a worker throws together
-BATCH = 1_000_000
+BATCH = 400_000
 
 _U = np.uint64
 
@@ -85,11 +85,11 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 # darts ------------------------------------------------------------------------------------
 
 def _rank_bands(top: float):
-    """(low, high, number) of the rank bands that reach ``top``: the first is 1/4 high, each next one doubles it."""
+    """(low, high, number) of the rank bands that reach ``top``: 1/4 high, then each doubles the rank, 256 high at most."""
     low, high, k = 0.0, 0.25, 0
     while low < top:
         yield low, high, k
-        low, high, k = high, high * 2, k + 1
+        low, high, k = high, high + min(high, 256.0), k + 1
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -224,8 +224,8 @@ def _alike(a: Column, b: Column, settings: Settings) -> Column:
     return alike(a, b)
 
 
-def near_links(docs: DataFrame, sketches: DataFrame, text_col: str, settings: Settings) -> DataFrame | None:
-    """Components (node, component) of the texts that are alike; None if no two texts share a bucket.
+def near_links(docs: DataFrame, sketches: DataFrame, text_col: str, settings: Settings) -> DataFrame:
+    """Components (node, component) of the texts that are alike.
 
     ``sketches`` has key (a hash of the text), same, bands per row of ``docs``; nodes are ``same``.
     """
@@ -240,39 +240,38 @@ def near_links(docs: DataFrame, sketches: DataFrame, text_col: str, settings: Se
     body = docs.select(whole_text(text_col).alias("body")).select(F.unhex(F.md5("body")).alias("key"), "body")
     texts = stored(body.join(one, "key").dropDuplicates(["key"]).select("same", "body"), "texts")
 
-    tried = links = comp = None
-    state = member.withColumns({"component": F.col("same"), "done": F.lit(False)})
-    heads = state.where("place = first")
+    links = None
+    # open: members that were not a head yet; a bucket is settled when its open members are in one component
+    pool = member.withColumn("component", F.col("same"))
+    heads = pool.where("place = first")
+    comp = member.select(F.col("same").alias("node"), F.col("same").alias("component")).limit(0)
     while True:
         head = heads.select("band", F.col("same").alias("head"), F.col("component").alias("head_component"))
-        pairs = (state.join(head, "band").where((F.col("same") != F.col("head"))
-                                                & (F.col("component") != F.col("head_component")))
+        pairs = (pool.join(head, "band").where((F.col("same") != F.col("head"))
+                                               & (F.col("component") != F.col("head_component")))
                  .select(F.least("same", "head").alias("a"), F.greatest("same", "head").alias("b")).distinct())
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
         ta = texts.select(F.col("same").alias("a"), F.col("body").alias("text_a"))
         tb = texts.select(F.col("same").alias("b"), F.col("body").alias("text_b"))
-        checked = stored(pairs.join(ta, "a").join(tb, "b").select(
-            "a", "b", _alike(F.col("text_a"), F.col("text_b"), settings).alias("alike")), "pairs")
-        tried = checked.select("a", "b") if tried is None else tried.unionByName(checked.select("a", "b"))
-        new = checked.where("alike").select("a", "b")
-        links = new if links is None else links.unionByName(new)
-        comp = stored(components(links), "components")
-        was_head = heads.select("band", "same", F.lit(True).alias("now"))
-        state = (state.drop("component").join(comp.withColumnRenamed("node", "same"), "same", "left")
-                 .withColumn("component", F.coalesce("component", "same"))
-                 .join(was_head, ["band", "same"], "left")
-                 .select("band", "same", "place", "first", "component",
-                         (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")))
-        state = stored(state, "state")
-        main = state.where("place = first").select("band", F.col("component").alias("main"))
-        waiting = state.join(main, "band").where(~F.col("done") & (F.col("component") != F.col("main"))).drop("main")
-        waiting = stored(waiting, "waiting")
-        if waiting.isEmpty():
+        new = stored(pairs.join(ta, "a").join(tb, "b").where(
+            _alike(F.col("text_a"), F.col("text_b"), settings)).select("a", "b"), "new_links")
+        if not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            comp = stored(components(links), "components")
+        was_head = heads.select("band", "same")
+        still = (pool.join(was_head, ["band", "same"], "left_anti").drop("component")
+                 .join(comp.withColumnRenamed("node", "same"), "same", "left")
+                 .select("band", "same", "place", F.coalesce("component", "same").alias("component")))
+        sizes = still.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+        main = sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("main"),
+                                         F.count(F.lit(1)).alias("parts")).where("parts > 1")
+        pool = stored(still.join(main.select("band", F.col("main.component").alias("main")), "band"), "open")
+        if pool.isEmpty():
             return comp
+        # the next heads are not of the bucket's largest component, whose members need no comparing
         slot = F.pmod(F.col("place"), F.lit(HEADS))
-        next_heads = waiting.groupBy("band", slot.alias("slot")).agg(F.min("place").alias("place")).drop("slot")
-        heads = waiting.join(next_heads, ["band", "place"], "left_semi")
+        next_heads = pool.where("component <> main").groupBy("band", slot.alias("slot")).agg(
+            F.min("place").alias("place")).drop("slot")
+        heads = stored(pool.join(next_heads, ["band", "place"], "left_semi"), "heads")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

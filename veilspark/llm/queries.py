@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, embeddedup, exactdedup, langid, licenses, linededup, minhash, mixing, quality, toxicity
-from .common import crc_mod
+from .common import crc_mod, workers_import
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_import(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
