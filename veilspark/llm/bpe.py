@@ -5,7 +5,8 @@ cut into chunks that overlap; Spark deals the chunks to its tasks, and each is
 pre-tokenised from its own start. Where a cut falls inside a pre-token, the first
 boundaries of a chunk are wrong until they meet those of the chunk before it. The next
 match of the pattern depends only on the text after a boundary, so from a boundary
-that both share on, both agree: that is where the chunks are stitched. The pieces
+that both share on, both agree: that is where the chunks are stitched (at the first one
+with no white space before it, as a run of white space is matched by what follows). The pieces
 between stitches begin and end at true boundaries and are encoded independently; a
 text's ids are its pieces' ids in order. If two neighbours share no boundary in their
 overlap, the whole text becomes one piece, so the result is exact in any case.
@@ -302,7 +303,8 @@ class Tokenizer:
         return texts.mapInArrow(cut, "key string, k int, chunk string, total int")
 
     def boundaries_column(self, chunk: Column, last: Column) -> Column:
-        """struct(head, tail): boundaries in the first ``overlap`` characters of this chunk and of the next."""
+        """struct(head, tail): boundaries in the first ``overlap`` characters of this chunk, and those of the next
+        chunk's that may be cut at."""
         me = self
 
         @F.pandas_udf("head array<int>, tail array<int>")
@@ -311,7 +313,9 @@ class Tokenizer:
             for text, is_last in zip(chunks, whole):
                 b = np.array(enc.boundaries(text, bool(is_last)), dtype=np.int32)
                 head.append(b[b <= me.overlap])
-                tail.append(b[b >= me.chunk_chars] - me.chunk_chars)
+                # a piece must not end in white space: at its end, a run of it would be matched as one
+                tail.append(np.array([x for x in b[b >= me.chunk_chars].tolist() if text[x - 1] not in SPACE],
+                                     dtype=np.int32) - me.chunk_chars)
             return pd.DataFrame({"head": head, "tail": tail})
 
         return pretokenise(chunk, last)
