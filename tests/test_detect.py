@@ -97,11 +97,11 @@ def test_cidr_match_equals_range_check(spark):
     ips = ["10.1.2.3", "10.12.255.255", "10.13.0.1", "172.16.100.7", "172.16.101.9", "172.16.102.1",
            "172.16.200.15", "172.16.200.16", "8.8.8.8"]
     df = spark.createDataFrame([(i,) for i in ips], "client_ip string")
-    outside = sorted(r[0] for r in D.outside_allow_list(df, "client_ip", D.allow_list(spark)).collect())
+    outside = sorted(r[0] for r in D.outside_allow_list(df, "client_ip").collect())
     assert outside == ["10.13.0.1", "172.16.102.1", "172.16.200.16", "8.8.8.8"]
-    # the equi-join path used for large lists gives the same answer
-    joined = sorted(r[0] for r in D.outside_allow_list(df, "client_ip", D.allow_list(spark), max_inline=0).collect())
-    assert joined == outside
+    # the equi-join on (prefix length, network) finds the others
+    inside = sorted(r[0] for r in D.match_cidrs(df, "client_ip", D.allow_list(spark)).select("client_ip").collect())
+    assert inside == sorted(set(ips) - set(outside))
     bg = sorted(r[0] for r in D.break_glass_use(df, "client_ip", spark).collect())
     assert bg == ["172.16.200.15"]
 
@@ -170,3 +170,37 @@ def test_repeated_failures_with_a_hot_account(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     # the event-level window is keyed by (user, bucket); only per-bucket summaries are windowed by user
     assert re.search(r"windowspecdefinition\(user_name#\d+, bucket#\d+, ts#\d+", plan)
+
+
+def test_malformed_and_ipv6_addresses_are_outside(spark):
+    ips = ["10.1.2.300", "10.0.256.1", "10.1.2", "10.1.2.3.4", "2001:db8::1", "::ffff:10.1.2.3", "", "x", None, "10.1.02.3", "10.1.2.3"]
+    df = spark.createDataFrame([(i,) for i in ips], "client_ip string")
+    assert [r[0] for r in D.outside_allow_list(df, "client_ip").collect()] == ips[:-1]
+    assert D.match_cidrs(df, "client_ip", D.allow_list(spark)).count() == 1
+
+
+def test_cross_hospital_is_judged_on_the_events_day(spark):
+    d, t = dt.date, dt.datetime
+    grants = spark.createDataFrame([("R", "H01", d(2024, 1, 5), d(2024, 1, 10)), ("R", "H02", d(2024, 1, 20), None)],
+                                   "mapped_role string, hospital_id string, effective_from date, effective_to date")
+    log = spark.createDataFrame([(str(n), t(2024, 1, day), "u", "R", [h]) for n, (day, h) in enumerate(
+        [(4, "H01"), (5, "H01"), (10, "H01"), (11, "H01"), (19, "H02"), (20, "H02"), (30, "H02")])],
+        "log_id string, event_time timestamp_ntz, user_name string, role_name string, hospital_ids_in_result array<string>")
+    assert sorted(r["log_id"] for r in D.cross_hospital_attempts(log, grants).collect()) == ["0", "3", "4"]
+
+
+def test_unknown_masking_flag_counts_as_unmasked(spark):
+    rows = [(str(n), dt.datetime(2024, 1, 1), "u", "R", ["PATIENT_SSN"], flag) for n, flag in enumerate([True, False, None])]
+    log = spark.createDataFrame(rows, "log_id string, event_time timestamp_ntz, user_name string, role_name string, "
+                                      "phi_columns_accessed array<string>, masking_applied boolean")
+    assert sorted(r["log_id"] for r in D.policy_bypass_attempts(log).collect()) == ["1", "2"]
+
+
+def test_repeated_terminations_do_not_multiply_rows(spark):
+    t = dt.datetime
+    log = spark.createDataFrame([("a", t(2024, 1, 9, 12), "u", "R"), ("b", t(2024, 3, 1), "u", "R")],
+                                "log_id string, event_time timestamp_ntz, user_name string, role_name string")
+    ends = spark.createDataFrame([("u", t(2024, 1, 10)), ("u", t(2024, 1, 10)), ("u", t(2024, 2, 1))],
+                                 "user_name string, terminated_at timestamp_ntz")
+    assert [r["log_id"] for r in D.after_termination(log, ends).orderBy("log_id").collect()] == ["a", "b"]
+    assert [r["log_id"] for r in D.after_termination(log, ends, until_hours=48).collect()] == ["a"]

@@ -82,3 +82,36 @@ def test_governed_view_sql(spark, sf_dir):
                   PATIENT_BINDINGS)
     rows = spark.sql("SELECT DISTINCT patient_ssn FROM patients_v WHERE patient_ssn IS NOT NULL").collect()
     assert [r[0] for r in rows] == ["XXX-XX-XXXX"]
+
+
+def test_closure_of_deep_chains_and_cycles(spark):
+    from veilspark.operators import grants as G
+    chain = [(f"r{i}", f"r{i + 1}") for i in range(40)] + [("a", "b"), ("b", "c"), ("c", "a")]
+    got = {tuple(r) for r in G.role_closure(spark.createDataFrame(chain, "parent_role string, child_role string")).collect()}
+    want = {(f"r{i}", f"r{j}") for i in range(41) for j in range(i, 41)} | {(x, y) for x in "abc" for y in "abc"}
+    assert got == want
+
+
+def test_a_thousand_partition_days(spark, scratch):
+    from pyspark.sql import functions as F
+    from veilspark.operators.audit import only_partitions
+    days = spark.range(1000).select(F.expr("date_add(date'2020-01-01', cast(id as int))").alias("day"), "id")
+    path = f"{scratch}/days"
+    days.coalesce(1).write.partitionBy("day").parquet(path)
+    table = spark.read.parquet(path)
+    assert only_partitions(table, days.where("id < 999"), ["day"]).count() == 999
+    one = only_partitions(table, days.where("id = 5"), ["day"])
+    assert one.count() == 1 and "PartitionFilters: [isnotnull(day" in one._jdf.queryExecution().executedPlan().toString()
+    assert only_partitions(table, days.limit(0), ["day"]).count() == 0
+
+
+def test_layout_readiness_over_many_files(spark, scratch):
+    from pyspark.sql import functions as F
+    from veilspark.operators import grants as G
+    path = f"{scratch}/files"
+    rows = spark.range(400).select(F.when(F.col("id") < 100, "H1").otherwise("H2").alias("hospital_id"), "id")
+    rows.repartitionByRange(4, "id").write.parquet(path)
+    got = {r["hospital_id"]: r for r in G.layout_readiness(spark.read.parquet(path)).collect()}
+    assert {h: r["rows"] for h, r in got.items()} == {"H1": 100, "H2": 300}
+    assert all(r["total_files"] == 4 for r in got.values())
+    assert got["H1"]["layout_status"] == "READY" and got["H2"]["layout_status"] == "NOT_READY"

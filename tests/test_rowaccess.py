@@ -11,7 +11,7 @@ from veilspark.sources import bindings as B
 AS_OF = dt.datetime(2024, 6, 1)
 
 
-def visible(spark, sf_dir, role, method="auto"):
+def visible(spark, sf_dir, role, method="semi"):
     pts = B.patients(spark, sf_dir)
     rm = B.hospital_role_map(spark, sf_dir)
     out = apply_row_policy(pts, rm, SecurityContext(role=role, as_of=AS_OF), method=method)
@@ -75,3 +75,25 @@ def test_semi_join_is_broadcast(spark, sf_dir):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_a_revoke_shows_in_a_view_made_before(spark, sf_dir, scratch):
+    from veilspark.operators.masking import PATIENT_BINDINGS
+    from veilspark.plans.governed import governed_view
+    ctx = SecurityContext(role="HOSPITAL_ADMIN_H04", as_of=AS_OF)
+    path = f"{scratch}/map"
+    rm = B.hospital_role_map(spark, sf_dir)
+    rm.write.parquet(path)
+    governed_view(spark, "governed_h04", B.patients(spark, sf_dir), spark.read.parquet(path), ctx, PATIENT_BINDINGS)
+    assert spark.sql("select * from governed_h04").count() > 0
+    rm.where(F.col("mapped_role") != ctx.role).write.mode("overwrite").parquet(path)
+    spark.catalog.refreshTable("governed_h04")  # the map's files were replaced: Spark lists them anew
+    assert spark.sql("select * from governed_h04").count() == 0
+
+
+def test_partitioned_table_is_pruned_at_run_time(spark, sf_dir, scratch):
+    path = f"{scratch}/patients_by_hospital"
+    B.patients(spark, sf_dir).write.partitionBy("hospital_id").parquet(path)
+    out = apply_row_policy(spark.read.parquet(path), B.hospital_role_map(spark, sf_dir),
+                           SecurityContext(role="HOSPITAL_ADMIN_H03", as_of=AS_OF))
+    assert "dynamicpruning" in out._jdf.queryExecution().executedPlan().toString()

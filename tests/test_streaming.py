@@ -102,11 +102,11 @@ def test_event_alerts_stream_equals_batch(spark, sf_dir, scratch):
     term = users.where(F.col("deleted_on").isNotNull()).select(F.col("name").alias("user_name"),
                                                                F.col("deleted_on").alias("terminated_at"))
     stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    q = S.event_alerts_stream(stream, rm, term, B.EVENTS_AS_OF).writeStream.outputMode("append").format("memory") \
+    q = S.event_alerts_stream(stream, rm, term).writeStream.outputMode("append").format("memory") \
         .queryName("event_alerts").option("checkpointLocation", f"{scratch}/ck7").trigger(availableNow=True).start()
     q.awaitTermination(300)
     got = spark.sql("select * from event_alerts")
-    batch = D.event_alerts(spark.read.parquet(path), rm, term, B.EVENTS_AS_OF)
+    batch = D.event_alerts(spark.read.parquet(path), rm, term)
     assert got.count() == batch.count() > 0
     assert got.exceptAll(batch).count() == 0
     assert {r[0] for r in got.select("trigger_type").distinct().collect()} >= {
@@ -129,3 +129,16 @@ def test_governed_read_on_a_stream(spark, sf_dir, scratch):
     batch = governed_frame(spark.read.parquet(path), rm, ctx, PATIENT_BINDINGS)
     assert got.count() == batch.count() > 0 and got.exceptAll(batch).count() == 0
     assert {r[0] for r in got.select("hospital_id").distinct().collect()} == {"H01"}
+
+
+def test_a_replayed_audit_batch_adds_nothing(spark, sf_dir, scratch):
+    from veilspark.operators import audit as K
+    batch = B.phi_access_log(spark, sf_dir).limit(50).drop("masking_applied")
+    bad = batch.limit(3).withColumn("event_type", F.lit("NO_SUCH_TYPE")).withColumn("log_id", F.concat(F.lit("x"), "log_id"))
+    write = S.audit_log_writer(f"{scratch}/log", f"{scratch}/rejects")
+    for _ in range(2):
+        write(batch.unionByName(bad), 7)
+    log, rejects = spark.read.parquet(f"{scratch}/log"), spark.read.parquet(f"{scratch}/rejects")
+    assert rejects.count() >= 3 and log.count() + rejects.count() == 53
+    assert log.where("masking_applied is null").count() == 0
+    assert K.PHI_ACCESS_LOG_SCHEMA is not None

@@ -132,27 +132,23 @@ def validate(df: DataFrame, schema: T.StructType = PHI_ACCESS_LOG_SCHEMA,
     return good, bad
 
 
-def spread_for_write(df: DataFrame, partition_cols, files_per_value: int = 8, key_cols=None) -> DataFrame:
-    """Cluster rows by the output partition columns *plus a salt* of 0..files_per_value-1.
-
-    Clustering by the partition value alone sends a hot day (or month, or
-    hospital) to a single writer task; the salt spreads each value over up to
-    `files_per_value` tasks while still writing few files per value."""
-    keys = [F.col(c) for c in (key_cols or df.columns[:1])]
-    salt = F.pmod(F.xxhash64(*keys), F.lit(int(files_per_value)))
-    return df.repartition(*[F.col(c) for c in partition_cols], salt)
+def spread_for_write(df: DataFrame, partition_cols) -> DataFrame:
+    """Cluster rows by the output partition columns for a write. The rebalance hint lets
+    adaptive execution split a large day, month or hospital by bytes over as many writer
+    tasks as it needs, and merge small ones, whatever the data's size."""
+    return df.hint("rebalance", *[F.col(c) for c in partition_cols])
 
 
 def append(df: DataFrame, path: str, partition_by: tuple = ("event_date",), time_col: str = "event_time",
-           max_records_per_file: int | None = None, files_per_value: int = 8) -> None:
+           max_records_per_file: int | None = None) -> None:
     """Append-only write, partitioned by event date (the audit clustering key).
 
-    Rows are clustered by partition value plus a salt before writing (see
-    spread_for_write), then sorted by time inside each file."""
+    Rows are clustered by partition value before writing (see spread_for_write), then
+    sorted by time inside each file."""
     out = df
     if "event_date" in partition_by and "event_date" not in df.columns:
         out = out.withColumn("event_date", F.to_date(time_col))
-    out = spread_for_write(out, partition_by, files_per_value).sortWithinPartitions(*partition_by, time_col)
+    out = spread_for_write(out, partition_by).sortWithinPartitions(*partition_by, time_col)
     w = out.write.mode("append").partitionBy(*partition_by).option("compression", "snappy")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
@@ -175,35 +171,26 @@ def archive_candidates(log: DataFrame, as_of: _dt.datetime, days: int = HOT_DAYS
     return out
 
 
-def only_partitions(target: DataFrame, incoming: DataFrame, cols: list[str], max_values: int = 100_000) -> DataFrame:
-    """Rows of `target` whose partition values occur in `incoming`.
-
-    The distinct partition values of the incoming rows are a short list (days or
-    months; checked against `max_values`), turned into literals so the scan of a
-    partitioned target is pruned statically. Beyond the bound: a semi join."""
-    from .rowaccess import row_count_at_most
-    keys = incoming.select(*cols).distinct()
-    if row_count_at_most(keys, max_values) is None:
-        return target.join(keys, cols, "left_semi")
-    vals = keys.collect()
-    if not vals:
-        return target.where(F.lit(False))
-    cond = None
-    for v in vals:
-        c = None
-        for name in cols:
-            term = F.col(name) == F.lit(v[name]) if v[name] is not None else F.col(name).isNull()
-            c = term if c is None else c & term
-        cond = c if cond is None else cond | c
-    return target.where(cond)
-
-
-def write_archive(candidates: DataFrame, path: str, max_records_per_file: int = 2_000_000,
-                  files_per_month: int = 16) -> None:
+def only_partitions(target: DataFrame, incoming: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows of `target` in the partitions that `incoming` can collide with.
+
+    The distinct values of each partition column (days, months, years: bounded by the
+    calendar) become one membership test per column, so the scan of a partitioned target
+    is pruned statically. Several columns may let through a few partitions more than
+    needed, never fewer."""
+    out = target
+    for c in cols:
+        values = [r[0] for r in incoming.select(c).distinct().collect()]
+        test = F.col(c).isin(*[v for v in values if v is not None]) if values else F.lit(False)
+        out = out.where(test | F.col(c).isNull() if None in values else test)
+    return out
+
+
+def write_archive(candidates: DataFrame, path: str, max_records_per_file: int = 2_000_000) -> None:
     """K4 sink: parquet + snappy, partitioned year/month, append (never overwrite).
-    maxRecordsPerFile keeps files near the reference's 250 MB cap; a salted
-    spread keeps one month from landing in a single task."""
-    (spread_for_write(candidates, ("year", "month"), files_per_month, ["log_id"])
+    maxRecordsPerFile keeps files near the reference's 250 MB cap; the rebalance keeps
+    one month from landing in a single task."""
+    (spread_for_write(candidates, ("year", "month"))
      .write.mode("append").partitionBy("year", "month")
      .option("compression", "snappy").option("maxRecordsPerFile", int(max_records_per_file))
      .parquet(path))

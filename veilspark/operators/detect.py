@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from ..context import FULL_ACCESS_ROLES, PHI_DATABASES, ROW_BYPASS_ROLES
 from ..functions.timefns import date_lit, local_hour, ts_lit
-from .rowaccess import checked_broadcast
 
 # Fixed values from the reference detector.
 BULK_ROWS_THRESHOLD = 50_000
@@ -192,14 +191,13 @@ def alert_query_links(alerts: DataFrame, qh: DataFrame, window: str = "15 minute
                       time_col: str = "start_time") -> DataFrame:
     """related_query_ids as rows: (suspect_id, query_id) for each BULK alert.
 
-    An equi-join on (user, role, window start); the alert side is broadcast only
-    after its row count is checked, otherwise the planner shuffles both sides
-    (AQE splits a skewed user's partitions)."""
+    An equi-join on (user, role, window start). Spark broadcasts the alerts if they are
+    under its threshold and otherwise shuffles both sides (AQE splits a skewed user)."""
     src = phi_scope(qh).where((F.col("execution_status") == "SUCCESS") & (F.col("rows_produced") > 0))
     src = src.select("query_id", "user_name", "role_name", _window(F.col(time_col), window).start.alias("window_start"))
     a = alerts.where(F.col("trigger_type") == "BULK_PHI_EXPORT").select(
         "suspect_id", F.col("suspect_user").alias("user_name"), F.col("suspect_role").alias("role_name"), "window_start")
-    return src.join(checked_broadcast(a), ["user_name", "role_name", "window_start"]).select("suspect_id", "query_id")
+    return src.join(a, ["user_name", "role_name", "window_start"]).select("suspect_id", "query_id")
 
 
 def session_bulk_export(qh: DataFrame, threshold: int = BULK_ROWS_THRESHOLD) -> DataFrame:
@@ -293,24 +291,28 @@ def repeated_failures(logins: DataFrame, min_failures: int = 5, bucket: str = "1
     return out.where(F.col("failures") > min_failures)
 
 
-def cross_hospital_attempts(log: DataFrame, role_map: DataFrame, as_of: _dt.datetime) -> DataFrame:
-    """T6 CROSS_HOSPITAL_ATTEMPT: hospitals in an event's result that its role
-    holds no active mapping for (bypass roles exempt)."""
-    today = date_lit(as_of)
-    active = role_map.where(
-        (F.col("effective_from") <= today) & (F.col("effective_to").isNull() | (F.col("effective_to") >= today))
-    ).select(F.col("mapped_role").alias("role_name"), "hospital_id").distinct()
+def cross_hospital_attempts(log: DataFrame, role_map: DataFrame) -> DataFrame:
+    """T6 CROSS_HOSPITAL_ATTEMPT: hospitals in an event's result that its role held no
+    mapping for on the event's own day (bypass roles exempt)."""
+    grants = role_map.select(F.col("mapped_role").alias("g_role"), F.col("hospital_id").alias("g_hospital"),
+                             "effective_from", "effective_to").distinct()
     ev = log.where(~F.col("role_name").isin(*ROW_BYPASS_ROLES)).select(
         "log_id", "event_time", "user_name", "role_name", F.explode("hospital_ids_in_result").alias("hospital_id"))
-    return ev.join(checked_broadcast(active), ["role_name", "hospital_id"], "left_anti")
+    day = F.to_date("event_time")
+    held = ((F.col("role_name") == F.col("g_role")) & (F.col("hospital_id") == F.col("g_hospital"))
+            & (F.col("effective_from") <= day) & (F.col("effective_to").isNull() | (F.col("effective_to") >= day)))
+    return ev.join(grants, held, "left_anti")
 
 
-def after_termination(log: DataFrame, terminations: DataFrame, hours: int = 24) -> DataFrame:
-    """T7 AFTER_TERMINATION (J8 interval join): access within `hours` before a
-    user's termination or any time after it. Equi-join on user + time range."""
-    t = checked_broadcast(terminations.select("user_name", "terminated_at"))
+def after_termination(log: DataFrame, terminations: DataFrame, hours: int = 24,
+                      until_hours: int | None = None) -> DataFrame:
+    """T7 AFTER_TERMINATION (J8 interval join): access within `hours` before a user's (first)
+    termination or after it, up to `until_hours` after if given. Equi-join on user + time range."""
+    t = terminations.groupBy("user_name").agg(F.min("terminated_at").alias("terminated_at"))
     j = log.join(t, "user_name").where(
         F.col("event_time") >= F.col("terminated_at") - F.expr(f"INTERVAL {int(hours)} HOURS"))
+    if until_hours is not None:
+        j = j.where(F.col("event_time") <= F.col("terminated_at") + F.expr(f"INTERVAL {int(until_hours)} HOURS"))
     return j.select("log_id", "event_time", "user_name", "role_name", "terminated_at")
 
 
@@ -328,11 +330,12 @@ PHI_COLUMN_NAMES = (
 
 
 def policy_bypass_attempts(log: DataFrame, exempt_roles=FULL_ACCESS_ROLES) -> DataFrame:
-    """T8 POLICY_BYPASS_ATTEMPT: PHI columns read without masking by a non-exempt role."""
+    """T8 POLICY_BYPASS_ATTEMPT: PHI columns read without masking by a non-exempt role
+    (an unknown masking flag counts as unmasked)."""
     phi = F.array(*[F.lit(c) for c in PHI_COLUMN_NAMES])
     lowered = F.transform("phi_columns_accessed", lambda c: F.lower(c))
     return log.where(
-        F.arrays_overlap(lowered, phi) & ~F.col("masking_applied") & ~F.col("role_name").isin(*exempt_roles)
+        F.arrays_overlap(lowered, phi) & ~F.coalesce("masking_applied", F.lit(False)) & ~F.col("role_name").isin(*exempt_roles)
     ).select("log_id", "event_time", "user_name", "role_name",
              F.array_join(F.array_sort(F.array_intersect(lowered, phi)), ",").alias("phi_columns"))
 
@@ -363,10 +366,15 @@ ALLOWED_CIDRS = (
 BREAK_GLASS_CIDR = "172.16.200.0/28"
 
 
+_OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+IPV4 = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"
+
+
 def ip_to_long(ip: Column) -> Column:
-    """Dotted IPv4 -> number: a fold over the octets, so the address expression
-    is read once (filters that inline it several times stay small)."""
-    return F.aggregate(F.split(ip, r"\."), F.lit(0).cast("bigint"), lambda acc, x: acc * 256 + x.cast("bigint"))
+    """Dotted IPv4 -> number. Anything but four octets of 0-255 (IPv6 too) is null, which no range holds."""
+    octet = lambda n: F.split_part(ip, F.lit("."), F.lit(n)).try_cast("bigint")
+    number = ((octet(1) * 256 + octet(2)) * 256 + octet(3)) * 256 + octet(4)
+    return F.when(ip.rlike(IPV4), number)
 
 
 def _cidr_rows(cidrs):
@@ -399,14 +407,14 @@ def match_cidrs(df: DataFrame, ip_col: str, ranges: DataFrame) -> DataFrame:
     exploded = df.withColumn("_k", F.explode(keys)).select(
         "*", F.col("_k.prefix_len").alias("_len"), F.col("_k.network").alias("_net")).drop("_k")
     r = ranges.select(F.col("prefix_len").alias("_len"), F.col("lo").alias("_net"), "cidr", "site")
-    return exploded.join(checked_broadcast(r), ["_len", "_net"]).drop("_len", "_net")
+    return exploded.join(r, ["_len", "_net"]).drop("_len", "_net")
 
 
 def in_cidrs(ip_long: Column, cidrs: list[tuple[int, int]]) -> Column:
     """True when the address number lies in one of the CIDR blocks, given as
     (prefix_len, network). One hash-set lookup (InSet) per distinct prefix
     length: the address is referenced a handful of times, not twice per block.
-    Codegen'd, no join, no shuffle, valid on a stream."""
+    No join, no shuffle, valid on a stream."""
     by_len: dict[int, set] = {}
     for n, net in cidrs:
         by_len.setdefault(int(n), set()).add(int(net) >> (32 - int(n)))
@@ -417,23 +425,15 @@ def in_cidrs(ip_long: Column, cidrs: list[tuple[int, int]]) -> Column:
 
 
 def outside_ranges(df: DataFrame, ip_col: str, cidrs: list[tuple[int, int]]) -> DataFrame:
-    """Rows whose address is in none of the CIDR blocks (null addresses count as outside)."""
+    """Rows whose address is in none of the CIDR blocks (null and malformed addresses count as outside)."""
     v = ip_to_long(F.col(ip_col))
     return df.where(v.isNull() | ~in_cidrs(v, cidrs))
 
 
-def outside_allow_list(df: DataFrame, ip_col: str, ranges: DataFrame, max_inline: int = 256) -> DataFrame:
-    """Rows whose address is in no allowed range.
-
-    An allow list is configuration: when it has at most `max_inline` ranges
-    (checked) the test is a per-row expression, no shuffle. A larger list uses
-    the equi-join on (prefix length, network) and a left anti join."""
-    from .rowaccess import row_count_at_most
-    if row_count_at_most(ranges, max_inline) is not None:
-        rs = [(r["prefix_len"], r["lo"]) for r in ranges.select("prefix_len", "lo").collect()]
-        return outside_ranges(df, ip_col, rs)
-    inside = match_cidrs(df.select(ip_col).distinct(), ip_col, ranges).select(ip_col).distinct()
-    return df.join(inside, ip_col, "left_anti")
+def outside_allow_list(df: DataFrame, ip_col: str, cidrs=ALLOWED_CIDRS) -> DataFrame:
+    """Rows whose address is in no allowed range. The allow list is configuration, given
+    as (cidr, site) rows: the test is one expression per row, whatever its length."""
+    return outside_ranges(df, ip_col, [(r[1], r[2]) for r in _cidr_rows(cidrs)])
 
 
 def break_glass_use(df: DataFrame, ip_col: str, spark) -> DataFrame:
@@ -455,18 +455,17 @@ def audit_scope(log: DataFrame, outside_ips: DataFrame | None = None) -> DataFra
     return log.where(keep)
 
 
-def event_alerts(log: DataFrame, role_map: DataFrame, terminations: DataFrame, as_of: _dt.datetime,
+def event_alerts(log: DataFrame, role_map: DataFrame, terminations: DataFrame,
                  allow_ranges: list[tuple[int, int]] | None = None) -> DataFrame:
     # allow_ranges: (prefix_len, network) CIDR blocks; default the production allow list
     """T6-T10 as one feed of per-event alerts with a common schema
     (trigger_type, log_id, event_time, user_name, role_name, detail).
 
-    Every branch is a filter, an explode or a join against a small static table
-    (broadcast after a size check), so the same plan runs in batch and as a
-    stream-static Structured Streaming query."""
+    Every branch is a filter, an explode or a join against a static table, so the same
+    plan runs in batch and as a stream-static Structured Streaming query."""
     allow = allow_ranges if allow_ranges is not None else [(r[1], r[2]) for r in _cidr_rows(ALLOWED_CIDRS)]
     base = ["log_id", "event_time", "user_name", "role_name"]
-    t6 = cross_hospital_attempts(log, role_map, as_of).select(
+    t6 = cross_hospital_attempts(log, role_map).select(
         F.lit("CROSS_HOSPITAL_ATTEMPT").alias("trigger_type"), *base, F.col("hospital_id").alias("detail"))
     t7 = after_termination(log, terminations).select(
         F.lit("AFTER_TERMINATION").alias("trigger_type"), *base, F.col("terminated_at").cast("string").alias("detail"))

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .rowaccess import checked_broadcast
 
 # Role hierarchy edges (child granted to parent; parent inherits).
 _FIXED_EDGES = [
@@ -41,35 +40,31 @@ def role_edges(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(edges, "parent_role string, child_role string")
 
 
-def role_closure(edges: DataFrame, max_depth: int = 32) -> DataFrame:
-    """(role, inherited_role) for every role reachable through grants, including
-    the role itself (depth 0). Semi-naive iteration: each round joins only the
-    pairs found in the previous round, and stops at the fixpoint. The graph of
-    roles is small (hundreds of edges), so each round is a broadcast join."""
-    e = checked_broadcast(edges.select(F.col("parent_role").alias("mid"), F.col("child_role").alias("inherited_role")))
-    roles = edges.select(F.col("parent_role").alias("role")).union(edges.select(F.col("child_role").alias("role"))).distinct()
-    reach = roles.select("role", F.col("role").alias("inherited_role"))
-    frontier = reach
-    for depth in range(1, max_depth + 1):
-        step = (frontier.select("role", F.col("inherited_role").alias("mid"))
-                .join(e, "mid").select("role", "inherited_role"))
-        new = step.join(reach, ["role", "inherited_role"], "left_anti").distinct()
-        if new.limit(1).count() == 0:
-            break
-        reach = reach.unionByName(new)
-        frontier = new
-        if depth % 8 == 0:  # keep the plan short on deep hierarchies
-            reach = cut_lineage(reach)
-            frontier = cut_lineage(frontier)
-    return reach
-
-
-def effective_privileges(edges: DataFrame, privileges: DataFrame, max_depth: int = 32) -> DataFrame:
+def role_closure(edges: DataFrame) -> DataFrame:
+    """(role, inherited_role) for every role reachable through grants, including the role
+    itself. Each round joins the pairs found so far with themselves, so the reach doubles:
+    a chain of n grants takes log2(n) rounds. It stops at the fixpoint, whatever the depth
+    (cycles too). Every round is checkpointed, so its plan holds one join, not all before."""
+    e = edges.select(F.col("parent_role").alias("role"), F.col("child_role").alias("inherited_role"))
+    roles = e.select("role").union(e.select("inherited_role")).distinct()
+    reach = cut_lineage(roles.select("role", F.col("role").alias("inherited_role")).unionByName(e).distinct())
+    known = reach.count()
+    while True:
+        step = (reach.select("role", F.col("inherited_role").alias("mid"))
+                .join(reach.select(F.col("role").alias("mid"), "inherited_role"), "mid").drop("mid"))
+        reach = cut_lineage(step.distinct())  # holds reach itself: every role reaches itself
+        now = reach.count()
+        if now == known:
+            return reach
+        known = now
+
+
+def effective_privileges(edges: DataFrame, privileges: DataFrame) -> DataFrame:
     """G1: every (role, privilege, object) a role holds directly or through inheritance."""
-    closure = role_closure(edges, max_depth)
+    closure = role_closure(edges)
     p = privileges.select(F.col("grantee_name").alias("inherited_role"), "privilege_type", "object_type",
                           "object_name", "object_catalog")
-    return (p.join(checked_broadcast(closure), "inherited_role")
+    return (p.join(closure, "inherited_role")
             .select("role", "privilege_type", "object_type", "object_name", "object_catalog",
                     F.col("inherited_role").alias("via_role"))
             .withColumn("is_direct", F.col("role") == F.col("via_role")))
@@ -123,12 +118,12 @@ def change_control(changes: DataFrame) -> DataFrame:
 def layout_readiness(df: DataFrame, key: str = "hospital_id", max_file_share: float = 0.5) -> DataFrame:
     """For each key value, rows and the number of input files holding it.
     A key spread over most files gains nothing from pruning: NOT_READY."""
-    f = df.select(key, F.input_file_name().alias("_file"))
-    total_files = f.agg(F.countDistinct("_file").alias("total_files")).withColumn("_one", F.lit(1))
-    per = f.groupBy(key).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("_file").alias("files"))
-    # the file total is one row: broadcast it and join on a constant key
-    j = per.withColumn("_one", F.lit(1)).join(F.broadcast(total_files), "_one").drop("_one")
-    share = F.col("files") / F.col("total_files")
-    return j.select(key, "rows", "files", "total_files",
+    # one scan: rows per (file, key); the rest works on that small result
+    held = cut_lineage(df.select(key, F.input_file_name().alias("_file")).groupBy("_file", key).agg(
+        F.count(F.lit(1)).alias("_rows")))
+    total_files = held.select("_file").distinct().count()
+    per = held.groupBy(key).agg(F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("files"))
+    share = F.col("files") / F.lit(total_files)
+    return per.withColumn("total_files", F.lit(total_files).cast("bigint")).select(key, "rows", "files", "total_files",
                     F.when((F.col("total_files") > 1) & (share > max_file_share), "NOT_READY").otherwise("READY")
                     .alias("layout_status"))

@@ -1,20 +1,16 @@
-"""Hospital row isolation (R1–R4) and size-checked broadcast.
+"""Hospital row isolation.
 
 R1 policy: bypass roles see everything; any other role sees a row only when an
 *active* mapping (R2: effective_from <= today <= effective_to, open end allowed)
 grants that role the row's hospital. The reference text compares the inner
 column with itself (always true); we build the intended equality.
 
-Physical plans, chosen by ``method``:
-
-``isin``   the role's active hospitals are a bounded list (one role, at most
-           ``max_list`` hospitals, checked before use). They become literals:
-           parquet/partition pruning applies statically (R4, the "cached map").
-``semi``   broadcast left-semi join on the key, when the active map passes a
-           row-count check; beyond it a shuffled left-semi join (AQE may still
-           switch strategy). A semi join never duplicates rows, even with
-           duplicate mappings.
-``auto``   ``isin`` when the list is small, else ``semi``.
+The policy is a left-semi join with the role map, planned by Spark: the active hospitals
+are broadcast when they are under the session's threshold, and prune partitions at run
+time. Grants are read whenever the plan runs, so a revoke, an expiry of the map's rows or
+a new grant shows in the next query of a view or stream. A semi join never duplicates
+rows, even with duplicate mappings. ``method="isin"`` turns the hospitals into literals
+when the frame is built, for a one-shot read that wants static pruning (R4).
 """
 
 from __future__ import annotations
@@ -25,22 +21,6 @@ from pyspark.sql import functions as F
 from ..context import SecurityContext
 from ..functions.timefns import date_lit
 
-DEFAULT_MAX_LIST = 10_000
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-def row_count_at_most(df: DataFrame, limit: int) -> int | None:
-    """Rows in df if there are at most ``limit``, else None (reads at most limit+1 rows)."""
-    n = df.limit(limit + 1).count()
-    return n if n <= limit else None
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint df only after proving it has at most ``max_rows`` rows;
-    otherwise return it unchanged so the planner shuffles (or AQE decides)."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) is not None else df
-
-
 def active_mappings(role_map: DataFrame, ctx: SecurityContext) -> DataFrame:
     """R2: mappings of ctx.role valid on ctx.as_of (both ends inclusive)."""
     today = date_lit(ctx.as_of_date)
@@ -64,26 +44,19 @@ def apply_row_policy(
     role_map: DataFrame,
     ctx: SecurityContext,
     key: str = "hospital_id",
-    method: str = "auto",
-    max_list: int = DEFAULT_MAX_LIST,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    method: str = "semi",
 ) -> DataFrame:
     """Filter df to the rows ctx may see. Never changes row multiplicity."""
+    if method not in ("semi", "isin"):
+        raise ValueError(f"unknown method {method!r}: 'semi' (grants read at run time) or 'isin' (a one-shot read)")
     if ctx.role is None:
         return df.where(F.lit(False))  # default deny; folds to an empty relation
     if ctx.bypasses_row_policy():
         return df
     allowed = active_hospitals(role_map, ctx, key)
-    if method in ("auto", "isin"):
-        n = row_count_at_most(allowed, max_list)
-        if n is not None:
-            hospitals = [r[0] for r in allowed.collect()]
-            return df.where(row_policy_predicate(hospitals, key))
-        if method == "isin":
-            raise ValueError(f"more than {max_list} active hospitals for role {ctx.role}; use method='semi'")
-    small = row_count_at_most(allowed, max_broadcast_rows) is not None
-    right = F.broadcast(allowed) if small else allowed
-    return df.join(right, on=key, how="left_semi")
+    if method == "isin":
+        return df.where(row_policy_predicate([r[0] for r in allowed.collect()], key))
+    return df.join(allowed, on=key, how="left_semi")
 
 
 def visible_rows_by_key(df: DataFrame, key: str = "hospital_id") -> DataFrame:

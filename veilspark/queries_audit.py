@@ -108,7 +108,7 @@ def t11(spark, sf_dir):
 
 @register("v28_access_summary_12m")
 def v28a(spark, sf_dir):
-    s = R.access_summary(B.phi_access_log(spark, sf_dir), AS_OF, days=365, sort=False)
+    s = R.access_summary(B.phi_access_log(spark, sf_dir), AS_OF, days=(AS_OF - AS_OF.replace(year=AS_OF.year - 1)).days, sort=False)
     return s.where(F.col("first_access") >= F.add_months(F.to_date(ts_lit(AS_OF)), -12)).orderBy(
         F.col("total_rows_affected").desc())
 
@@ -148,7 +148,7 @@ def t5(spark, sf_dir):
 
 @register("t6_cross_hospital_attempts")
 def t6(spark, sf_dir):
-    return T.cross_hospital_attempts(B.phi_access_log(spark, sf_dir), B.hospital_role_map(spark, sf_dir), AS_OF)
+    return T.cross_hospital_attempts(B.phi_access_log(spark, sf_dir), B.hospital_role_map(spark, sf_dir))
 
 
 @register("t7_after_termination")
@@ -167,7 +167,7 @@ def t8(spark, sf_dir):
 @register("t9_outside_allow_list")
 def t9(spark, sf_dir):
     log = B.phi_access_log(spark, sf_dir).select("log_id", "event_time", "user_name", "role_name", "client_ip")
-    return T.outside_allow_list(log, "client_ip", T.allow_list(spark))
+    return T.outside_allow_list(log, "client_ip")
 
 
 @register("t9_break_glass_range_use")
@@ -261,4 +261,4 @@ def t6_t10(spark, sf_dir):
     users = M.users(spark, sf_dir)
     term = users.where(F.col("deleted_on").isNotNull()).select(
         F.col("name").alias("user_name"), F.col("deleted_on").alias("terminated_at"))
-    return T.event_alerts(B.phi_access_log(spark, sf_dir), B.hospital_role_map(spark, sf_dir), term, AS_OF)
+    return T.event_alerts(B.phi_access_log(spark, sf_dir), B.hospital_role_map(spark, sf_dir), term)

@@ -19,7 +19,7 @@ def _ctx(role):
 
 
 # Rows visible per hospital under a role (row policy only).
-def _visible(role, method="auto"):
+def _visible(role, method="semi"):
     def q(spark, sf_dir):
         pts = B.patients(spark, sf_dir).select("patient_id", "hospital_id")
         rm = B.hospital_role_map(spark, sf_dir)
@@ -27,7 +27,7 @@ def _visible(role, method="auto"):
     return q
 
 
-register("v11_visible_per_hospital_admin_h01")(_visible("HOSPITAL_ADMIN_H01"))
+register("v11_visible_per_hospital_admin_h01")(_visible("HOSPITAL_ADMIN_H01", method="isin"))
 register("r1_visible_per_hospital_semi_admin_h05")(_visible("HOSPITAL_ADMIN_H05", method="semi"))
 register("r1_visible_bypass_securityadmin")(_visible("SECURITYADMIN"))
 register("r2_visible_expired_ds_role")(_visible("DS_ROLE"))

@@ -13,6 +13,8 @@ micro-batch (after a failure, from the checkpoint) appends nothing twice.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,14 +26,13 @@ from ..operators.audit import only_partitions
 from ..sources import bindings as B
 
 
-def events_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def events_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int = 1_000) -> DataFrame:
     """Read a directory of event parquet files as a stream (S9: a landing folder;
-    a Kafka source plugs in with the same downstream plan)."""
+    a Kafka source plugs in with the same downstream plan). A trigger takes so many files
+    at most, so a backfill is cut into micro-batches of bounded size."""
     schema = spark.read.parquet(source_dir).schema
-    r = spark.readStream.schema(schema).format("parquet")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return r.load(source_dir)
+    return (spark.readStream.schema(schema).format("parquet")
+            .option("maxFilesPerTrigger", int(max_files_per_trigger)).load(source_dir))
 
 
 def query_history_stream(events: DataFrame, lateness: str = "30 minutes") -> DataFrame:
@@ -68,14 +69,17 @@ def suspect_log_writer(path: str):
     replaying a batch after a crash adds nothing."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        out = (batch.withColumn("detected_at", F.col("window_end")).withColumn("batch_id", F.lit(batch_id))
-               .withColumn("detected_date", F.to_date("detected_at")))
-        existing = _read_if_present(spark, path)
-        if existing is not None:
-            # only the days this batch touches can hold a duplicate: prune to them
-            recent = only_partitions(existing, out, ["detected_date"])
-            out = out.join(recent.select("suspect_id"), "suspect_id", "left_anti")
-        out.write.mode("append").partitionBy("detected_date").parquet(path)
+        rows = (batch.withColumn("detected_at", F.col("window_end")).withColumn("batch_id", F.lit(batch_id))
+                .withColumn("detected_date", F.to_date("detected_at"))).persist()  # read for its days and to write
+        try:
+            out, existing = rows, _read_if_present(spark, path)
+            if existing is not None:
+                # only the days this batch touches can hold a duplicate: prune to them
+                recent = only_partitions(existing, out, ["detected_date"])
+                out = out.join(recent.select("suspect_id"), "suspect_id", "left_anti")
+            out.write.mode("append").partitionBy("detected_date").parquet(path)
+        finally:
+            rows.unpersist()
     return write
 
 
@@ -164,28 +168,33 @@ def repeated_failures_stream(logins_stream: DataFrame, min_failures: int = 5) ->
 
 def audit_log_writer(log_path: str, reject_path: str):
     """K1 + K12 sink: validate each micro-batch, append valid events to the
-    date-partitioned audit log, route rejects aside. Idempotent: log ids are
-    derived from query ids, and only the dates the batch touches are read to
-    skip events already written (a replayed batch appends nothing)."""
+    date-partitioned audit log, route rejects aside. Missing columns take the table's
+    defaults. Idempotent: log ids are derived from query ids, and only the dates the batch
+    touches are read to skip events already written; rejects are written to a folder named
+    by the batch, which a replay overwrites."""
     from ..operators import audit as K
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        good, bad = K.validate(K.conform(batch))
-        good = good.withColumn("event_date", F.to_date("event_time"))
-        existing = _read_if_present(spark, log_path)
-        if existing is not None:
-            good = good.join(only_partitions(existing, good, ["event_date"]).select("log_id"), "log_id", "left_anti")
-        good.write.mode("append").partitionBy("event_date").parquet(log_path)
-        bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(reject_path)
+        defaults = {k: v for k, v in K.audit_defaults(_dt.datetime(1970, 1, 1)).items()
+                    if k in ("masking_applied", "row_access_applied", "inserted_by_role")}
+        rows = K.conform(batch, defaults=defaults).persist()  # read by both sides and for its days
+        try:
+            good, bad = K.validate(rows)
+            good = good.withColumn("event_date", F.to_date("event_time"))
+            existing = _read_if_present(spark, log_path)
+            if existing is not None:
+                good = good.join(only_partitions(existing, good, ["event_date"]).select("log_id"), "log_id", "left_anti")
+            good.write.mode("append").partitionBy("event_date").parquet(log_path)
+            bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
     return write
 
 
 def start_audit_ingest(spark: SparkSession, source_dir: str, log_path: str, reject_path: str, checkpoint: str,
                        phi_columns=("PATIENTS", "CLINICAL"), available_now: bool = True):
     """Continuous audit logging from the query-log landing folder."""
-    import datetime as _dt
-
     from ..operators.audit import audit_events_from_queries
     ev = events_stream(spark, source_dir)
     qh = ev.selectExpr(*[f"{e} AS {n}" for n, e in B.query_history_cols(B.SPARK)])
@@ -196,6 +205,6 @@ def start_audit_ingest(spark: SparkSession, source_dir: str, log_path: str, reje
     return w.start()
 
 
-def event_alerts_stream(log_stream: DataFrame, role_map: DataFrame, terminations: DataFrame, as_of) -> DataFrame:
+def event_alerts_stream(log_stream: DataFrame, role_map: DataFrame, terminations: DataFrame) -> DataFrame:
     """T6-T10 over a stream of audit events: stateless branches and stream-static joins."""
-    return D.event_alerts(log_stream, role_map, terminations, as_of)
+    return D.event_alerts(log_stream, role_map, terminations)
