@@ -78,8 +78,8 @@ def main():
     # the grant map is a stored table in production: write it once, read it back
     B.hospital_role_map(spark, sf_dir).coalesce(1).write.mode("overwrite").parquet(f"{base}/hospital_role_map")
     role_map = spark.read.parquet(f"{base}/hospital_role_map")
-    admin = SecurityContext(role="HOSPITAL_ADMIN_H03", as_of=B.PATIENT_AS_OF)
-    analyst = SecurityContext(role="ANALYST_CLINICAL", as_of=B.PATIENT_AS_OF)
+    admin = SecurityContext(role="HOSPITAL_ADMIN_H03", as_of=B.PATIENT_AS_OF, salts=B.QUERY_SALTS)
+    analyst = SecurityContext(role="ANALYST_CLINICAL", as_of=B.PATIENT_AS_OF, salts=B.QUERY_SALTS)
 
     def revenue(df):
         return df.groupBy("hospital_id", "event_date").agg(F.sum("l_extendedprice").alias("revenue"))

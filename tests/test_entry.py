@@ -57,7 +57,7 @@ def test_results_do_not_depend_on_session_time_zone(spark, sf_dir, duck, name):
 def test_masked_read_stays_in_codegen(spark, sf_dir):
     from veilspark.context import SecurityContext
     from veilspark.plans.governed import governed_patients
-    g = governed_patients(spark, sf_dir, SecurityContext(role="ANALYST_CLINICAL"))
+    g = governed_patients(spark, sf_dir, SecurityContext(role="ANALYST_CLINICAL", salts={"mrn": "s", "account": "s"}))
     plan = g._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert plan.startswith("*(") or "WholeStageCodegen" in plan  # codegen stage marker

@@ -27,7 +27,7 @@ def pts(spark):
 
 
 def masked(pts, role, env="PROD"):
-    ctx = SecurityContext(role=role, env=env)
+    ctx = SecurityContext(role=role, env=env, salts={"mrn": "test-salt", "account": "other-salt"})
     return {r["patient_id"]: r.asDict() for r in apply_masks(pts, PATIENT_BINDINGS, ctx).collect()}
 
 
@@ -47,7 +47,7 @@ def test_hospital_admin_partial(pts):
 def test_analyst_heavy(pts):
     import hashlib
     r = masked(pts, "ANALYST_CLINICAL")["TEST-001"]
-    tok = "MRN-" + hashlib.sha256(b"MRN-SYNTHETIC-001HIPAA_SALT_2024_V2").hexdigest()[:12]
+    tok = "MRN-" + hashlib.sha256(b"MRN-SYNTHETIC-001test-salt").hexdigest()[:12]
     assert (r["patient_name"], r["patient_ssn"], r["patient_dob"], r["patient_mrn"], r["patient_zip"], r["primary_dx_code"]) == \
         ("J***", "XXX-XX-XXXX", dt.date(1978, 1, 1), tok, "452**", "E11")
     assert r["patient_phone"] == "***-***-****" and r["patient_email"] == "***@***.***"
@@ -85,8 +85,8 @@ def test_dev_masks_officer(pts):
 
 def test_account_number_revenue_only(spark):
     df = spark.createDataFrame([("A123",)], "a string")
-    rev = df.select(M.mask_account_number(F.col("a"), "ANALYST_REVENUE").alias("m")).first()["m"]
-    clin = df.select(M.mask_account_number(F.col("a"), "ANALYST_CLINICAL").alias("m")).first()["m"]
+    rev = df.select(M.mask_account_number(F.col("a"), "ANALYST_REVENUE", salt="s").alias("m")).first()["m"]
+    clin = df.select(M.mask_account_number(F.col("a"), "ANALYST_CLINICAL", salt="s").alias("m")).first()["m"]
     assert rev.startswith("ACCT-") and len(rev) == 13 and clin == "***"
 
 
@@ -98,5 +98,5 @@ def test_like_wildcard_and_strict(spark):
 
 
 def test_role_literal_folds_to_one_branch(pts):
-    plan = apply_masks(pts, PATIENT_BINDINGS, SecurityContext(role="ANALYST_CLINICAL"))._jdf.queryExecution().optimizedPlan().toString()
+    plan = apply_masks(pts, PATIENT_BINDINGS, SecurityContext(role="ANALYST_CLINICAL", salts={"mrn": "s"}))._jdf.queryExecution().optimizedPlan().toString()
     assert "HOSPITAL_ADMIN" not in plan and "DS_ROLE" not in plan

@@ -16,7 +16,7 @@ from veilspark.sources import synth as S
 def test_grant_then_revoke(spark, sf_dir):
     pts = B.patients(spark, sf_dir)
     rm = B.hospital_role_map(spark, sf_dir)
-    ctx = SecurityContext(role="HOSPITAL_ADMIN_H13", as_of=dt.datetime(2024, 6, 1))
+    ctx = SecurityContext(role="HOSPITAL_ADMIN_H13", as_of=dt.datetime(2024, 6, 1), salts=B.QUERY_SALTS)
     assert apply_row_policy(pts, rm, ctx).count() == 0
     rm2 = rm.unionByName(grant_hospital_access(spark, "HOSPITAL_ADMIN_H13", "H05", dt.date(2024, 5, 1),
                                                "SECURITYADMIN", "new campus", "CHG0009999"))
@@ -57,7 +57,7 @@ def test_closure_reaches_sysadmin_through_dbt_role(spark):
 
 
 def test_suppression_matches_brute_force(spark, sf_dir):
-    lds = DI.limited_data_set(B.patients(spark, sf_dir), DI.zip3_population_from(B.patients(spark, sf_dir)), "s")
+    lds = DI.limited_data_set(B.patients(spark, sf_dir), "s")
     q = ["state", "birth_year"]
     rows = lds.select(*q).collect()
     cnt = collections.Counter(tuple(r) for r in rows)
@@ -77,7 +77,7 @@ def test_policy_drift_states(spark):
 def test_governed_view_sql(spark, sf_dir):
     from veilspark.operators.masking import PATIENT_BINDINGS
     from veilspark.plans.governed import governed_view
-    ctx = SecurityContext(role="ANALYST_CLINICAL", as_of=dt.datetime(2024, 6, 1))
+    ctx = SecurityContext(role="ANALYST_CLINICAL", as_of=dt.datetime(2024, 6, 1), salts=B.QUERY_SALTS)
     governed_view(spark, "patients_v", B.patients(spark, sf_dir), B.hospital_role_map(spark, sf_dir), ctx,
                   PATIENT_BINDINGS)
     rows = spark.sql("SELECT DISTINCT patient_ssn FROM patients_v WHERE patient_ssn IS NOT NULL").collect()

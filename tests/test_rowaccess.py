@@ -80,7 +80,7 @@ def test_semi_join_is_broadcast(spark, sf_dir):
 def test_a_revoke_shows_in_a_view_made_before(spark, sf_dir, scratch):
     from veilspark.operators.masking import PATIENT_BINDINGS
     from veilspark.plans.governed import governed_view
-    ctx = SecurityContext(role="HOSPITAL_ADMIN_H04", as_of=AS_OF)
+    ctx = SecurityContext(role="HOSPITAL_ADMIN_H04", as_of=AS_OF, salts=B.QUERY_SALTS)
     path = f"{scratch}/map"
     rm = B.hospital_role_map(spark, sf_dir)
     rm.write.parquet(path)

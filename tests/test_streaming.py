@@ -119,7 +119,7 @@ def test_governed_read_on_a_stream(spark, sf_dir, scratch):
     from veilspark.plans.governed import governed_frame
     path = f"{scratch}/patients"
     B.patients(spark, sf_dir).write.parquet(path)
-    ctx = SecurityContext(role="HOSPITAL_ADMIN_H01", as_of=dt.datetime(2024, 6, 1))
+    ctx = SecurityContext(role="HOSPITAL_ADMIN_H01", as_of=dt.datetime(2024, 6, 1), salts=B.QUERY_SALTS)
     rm = B.hospital_role_map(spark, sf_dir)
     stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
     q = governed_frame(stream, rm, ctx, PATIENT_BINDINGS).writeStream.format("memory").queryName("gov_stream") \

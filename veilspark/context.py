@@ -24,9 +24,6 @@ ANALYST_ROLES = ("ANALYST_CLINICAL", "ANALYST_REVENUE")
 DS_ROLE = "DS_ROLE"
 # Roles that bypass the hospital row-isolation policy.
 ROW_BYPASS_ROLES = ("ACCOUNTADMIN", "SECURITYADMIN", "HIPAA_OFFICER", "PHI_READER")
-# Salts of the deterministic MRN and account-number tokens (defaults only;
-# production callers inject their own through SecurityContext.salts).
-DEFAULT_SALTS = {"mrn": "HIPAA_SALT_2024_V2", "account": "BILLING_SALT_V2"}
 # Birth-year cap of the de-identified DOB.
 DOB_CAP_YEAR = 1930
 # Databases holding PHI (detection scope).
@@ -42,7 +39,7 @@ class SecurityContext:
     as_of    "now" as a naive UTC datetime; CURRENT_DATE is its date
     tz       display time zone for off-hours rules
     env      PROD / QA / DEV; DEV masks even the full-access roles
-    salts    token salts (mrn, account)
+    salts    token salts (mrn, account); there is no default, a mask that needs one asks for it
     """
 
     role: str | None
@@ -50,7 +47,7 @@ class SecurityContext:
     as_of: _dt.datetime = field(default_factory=lambda: _dt.datetime(2024, 6, 1))
     tz: str = "America/New_York"
     env: str = "PROD"
-    salts: dict = field(default_factory=lambda: dict(DEFAULT_SALTS))
+    salts: dict = field(default_factory=dict)
 
     @property
     def as_of_date(self) -> _dt.date:

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..context import (
     ANALYST_ROLES,
-    DEFAULT_SALTS,
     DOB_CAP_YEAR,
     DS_ROLE,
     FULL_ACCESS_ROLES,
@@ -153,7 +152,7 @@ def mask_patient_name(value, role, **kw) -> Column:
     return MaskSpec("mask_patient_name", _same, _same, _initial, None, _const(NAME_MASKED))(value, role, **kw)
 
 
-def mask_mrn(value, role, salt: str = DEFAULT_SALTS["mrn"], **kw) -> Column:
+def mask_mrn(value, role, salt: str, **kw) -> Column:
     tok = lambda v: sha_token(v, salt, MRN_TOKEN_PREFIX, MRN_TOKEN_HEX)
     return MaskSpec("mask_mrn", _same, _same, tok, tok, _const(GENERIC_MASKED))(value, role, **kw)
 
@@ -189,7 +188,7 @@ def mask_npi(value, role, **kw) -> Column:
     return spec(value, role, **kw)
 
 
-def mask_account_number(value, role, salt: str = DEFAULT_SALTS["account"], **kw) -> Column:
+def mask_account_number(value, role, salt: str, **kw) -> Column:
     tok = lambda v: sha_token(v, salt, ACCOUNT_TOKEN_PREFIX, ACCOUNT_TOKEN_HEX)
     spec = MaskSpec("mask_account_number", _same, _same, tok, None, _const(GENERIC_MASKED),
                     analyst_roles=("ANALYST_REVENUE",))
@@ -210,8 +209,10 @@ def _wrap(fn, salt_key=None, cap=False):
         kw = {}
         if ctx is not None:
             kw["full_roles"] = ctx.full_access_roles
-            if salt_key:
-                kw["salt"] = ctx.salts.get(salt_key, DEFAULT_SALTS[salt_key])
+        if salt_key:
+            if ctx is None or not ctx.salts.get(salt_key):
+                raise ValueError(f"{fn.__name__} needs a secret: SecurityContext(salts={{{salt_key!r}: ...}})")
+            kw["salt"] = ctx.salts[salt_key]
         return fn(value, role, **kw)
     return build
 

@@ -3,8 +3,7 @@
 M17 Safe Harbor mart: direct identifiers removed, geography reduced to state,
     dates to year, ages 90 and over collapsed to "90+", the MRN replaced by a
     salted token.
-M18 ZIP3 whose population is under 20,000 -> "000" (broadcast join to a ZIP3
-    table; at most 1,000 rows by construction, so the broadcast is bounded).
+M18 ZIP3 areas of 20,000 people or fewer -> "000", by their published list.
 M19 limited data set: identifiers removed, ZIP3 / birth year / state / dates kept.
 M20 re-identification risk: equivalence classes over quasi-identifiers, their
     size k, the share of rows in classes with k < K; suppression keeps only
@@ -27,7 +26,10 @@ HOSPITAL_STATE = {
     "H01": "OH", "H02": "OH", "H03": "OH", "H04": "OH", "H05": "OH", "H06": "OH",
     "H07": "IN", "H08": "IN", "H09": "IN", "H10": "KY", "H11": "KY", "H12": "MI",
 }
-ZIP3_MIN_POPULATION = 20_000
+# Three-digit ZIP areas of 20,000 people or fewer, which the privacy rule's
+# guidance lists (2000 census) and Safe Harbor replaces by 000.
+RESTRICTED_ZIP3 = ("036", "059", "063", "102", "203", "556", "692", "790", "821", "823", "830", "831", "878", "879",
+                   "884", "890", "893")
 AGE_CAP = 90
 
 
@@ -44,32 +46,18 @@ def age_at(dob, on) -> F.Column:
     return F.floor(F.months_between(on, dob) / 12).cast("int")
 
 
-def zip3_population_from(patients: DataFrame, people_per_patient: int = 10_000) -> DataFrame:
-    """A ZIP3 population table. Census figures are not in the data, so the
-    population is estimated from registered patients (a scale parameter)."""
-    return (patients.where(F.col("patient_zip").isNotNull())
-            .groupBy(F.left("patient_zip", F.lit(3)).alias("zip3"))
-            .agg((F.count(F.lit(1)) * F.lit(people_per_patient)).cast("bigint").alias("population")))
-
-
-def zip3_safe(df: DataFrame, zip_col: str, zip3_population: DataFrame, out: str = "zip3",
-              min_population: int = ZIP3_MIN_POPULATION) -> DataFrame:
-    """First three ZIP digits, or '000' where that area has < 20,000 people
-    (unknown areas count as small)."""
-    pop = F.broadcast(zip3_population.select(F.col("zip3").alias("_z3"), F.col("population").alias("_pop")))
+def zip3_safe(df: DataFrame, zip_col: str, out: str = "zip3", restricted=RESTRICTED_ZIP3) -> DataFrame:
+    """First three ZIP digits, or '000' where that area has too few people. Which areas
+    these are is a published list (a parameter), so the rule does not depend on the data."""
     z3 = F.left(F.col(zip_col), F.lit(3))
-    j = df.withColumn("_z3", z3).join(pop, "_z3", "left")
-    return j.withColumn(out, F.when(F.col("_z3").isNull(), F.lit(None))
-                        .when(F.coalesce(F.col("_pop"), F.lit(0)) < min_population, F.lit("000"))
-                        .otherwise(F.col("_z3"))).drop("_z3", "_pop")
+    return df.withColumn(out, F.when(z3.isin(*restricted), F.lit("000")).otherwise(z3))
 
 
-def safe_harbor(patients: DataFrame, zip3_population: DataFrame, as_of: _dt.date, mrn_salt: str) -> DataFrame:
+def safe_harbor(patients: DataFrame, as_of: _dt.date, mrn_salt: str) -> DataFrame:
     """The MARTS-zone patient table."""
     today = date_lit(as_of)
     age = age_at(F.col("patient_dob"), F.col("admission_date"))
-    df = zip3_safe(patients, "patient_zip", zip3_population)
-    return df.select(
+    return patients.select(
         sha_token(F.col("patient_mrn"), mrn_salt, "MRN-", 12).alias("patient_token"),
         state_of("hospital_id").alias("state"),
         F.when(age >= AGE_CAP, F.lit(None)).otherwise(F.year("patient_dob")).alias("birth_year"),
@@ -82,9 +70,9 @@ def safe_harbor(patients: DataFrame, zip3_population: DataFrame, as_of: _dt.date
     )
 
 
-def limited_data_set(patients: DataFrame, zip3_population: DataFrame, mrn_salt: str) -> DataFrame:
+def limited_data_set(patients: DataFrame, mrn_salt: str) -> DataFrame:
     """Identifiers removed; ZIP3, birth year, state and service dates kept."""
-    df = zip3_safe(patients, "patient_zip", zip3_population)
+    df = zip3_safe(patients, "patient_zip")
     return df.select(
         sha_token(F.col("patient_mrn"), mrn_salt, "MRN-", 12).alias("patient_token"),
         state_of("hospital_id").alias("state"),

@@ -111,13 +111,12 @@ def audit_gaps(spark: SparkSession, log: DataFrame, as_of: _dt.datetime, days: i
     """A `days`-long date spine left-joined to daily counts. Zero on a
     business day (Mon–Fri) -> REVIEW, under `low` -> LOW, else OK.
 
-    Daily counts are one grouped aggregate (partial per task); the spine side
-    has `days` rows, so the join is a broadcast of a proven-small side."""
+    Daily counts are one grouped aggregate (partial per task) of at most `days` + 1 rows."""
     daily = log.where(F.col("event_time") >= _ago(as_of, days)).groupBy(
         F.to_date("event_time").alias("check_date")).agg(F.count(F.lit(1)).alias("record_count"))
     spine = date_spine(spark, as_of.date() if isinstance(as_of, _dt.datetime) else as_of, days)
     n = F.coalesce(F.col("record_count"), F.lit(0)).cast("bigint")
-    out = F.broadcast(spine).join(daily, "check_date", "left").select(
+    out = spine.join(daily, "check_date", "left").select(
         "check_date",
         n.alias("audit_records"),
         F.when((n == 0) & is_business_day("check_date"), "REVIEW").when(n < low, "LOW").otherwise("OK").alias("gap_check"),
@@ -338,7 +337,7 @@ def required_row_policies(spark: SparkSession, refs: DataFrame, policy: str = "P
     applied = refs.where((F.col("policy_kind") == "ROW_ACCESS_POLICY") & (F.col("policy_name") == policy)).select(
         F.col("ref_database_name").alias("db"), F.col("ref_schema_name").alias("schema_name"),
         F.col("ref_entity_name").alias("tbl"), F.lit(1).alias("_hit")).distinct()
-    return F.broadcast(req).join(applied, ["db", "schema_name", "tbl"], "left").select(
+    return req.join(applied, ["db", "schema_name", "tbl"], "left").select(
         "db", "schema_name", "tbl",
         F.when(F.col("_hit").isNotNull(), "PASS: policy applied").otherwise("FAIL: policy missing").alias("policy_check"),
     ).orderBy("db", "tbl")

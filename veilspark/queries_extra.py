@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .catalog import register
-from .context import DEFAULT_SALTS
 from .functions.tokens import detokenize_ssn, join_rate, tokenize_ssn
 from .operators import deident as DI
 from .sources import bindings as B
@@ -54,24 +53,19 @@ def m16(spark, sf_dir):
     return raw.unionByName(tok)
 
 
-def _zip3_pop(spark, sf_dir):
-    return DI.zip3_population_from(B.patients(spark, sf_dir))
-
-
 @register("m17_safe_harbor_mart")
 def m17(spark, sf_dir):
-    return DI.safe_harbor(B.patients(spark, sf_dir), _zip3_pop(spark, sf_dir), B.PATIENT_AS_OF.date(),
-                          DEFAULT_SALTS["mrn"])
+    return DI.safe_harbor(B.patients(spark, sf_dir), B.PATIENT_AS_OF.date(), B.QUERY_SALTS["mrn"])
 
 
 @register("m18_zip3_safe")
 def m18(spark, sf_dir):
     p = B.patients(spark, sf_dir).select("patient_id", "patient_zip")
-    return DI.zip3_safe(p, "patient_zip", _zip3_pop(spark, sf_dir)).select("patient_id", "zip3")
+    return DI.zip3_safe(p, "patient_zip").select("patient_id", "zip3")
 
 
 def _lds(spark, sf_dir):
-    return DI.limited_data_set(B.patients(spark, sf_dir), _zip3_pop(spark, sf_dir), DEFAULT_SALTS["mrn"])
+    return DI.limited_data_set(B.patients(spark, sf_dir), B.QUERY_SALTS["mrn"])
 
 
 @register("m19_limited_data_set")

@@ -15,7 +15,7 @@ AS_OF = B.PATIENT_AS_OF
 
 
 def _ctx(role):
-    return SecurityContext(role=role, as_of=AS_OF)
+    return SecurityContext(role=role, as_of=AS_OF, salts=B.QUERY_SALTS)
 
 
 # Rows visible per hospital under a role (row policy only).
@@ -60,7 +60,7 @@ for _role in ("ANALYST_REVENUE", "ANALYST_CLINICAL", "HOSPITAL_ADMIN_H03", "DS_R
 # DEV environment masks even the officer.
 @register("m22_masked_patients_dev_officer")
 def m22(spark, sf_dir):
-    ctx = SecurityContext(role="HIPAA_OFFICER", as_of=AS_OF, env="DEV")
+    ctx = SecurityContext(role="HIPAA_OFFICER", as_of=AS_OF, env="DEV", salts=B.QUERY_SALTS)
     return apply_masks(B.patients(spark, sf_dir).drop("created_at", "updated_at"), PATIENT_BINDINGS, ctx)
 
 

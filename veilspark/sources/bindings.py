@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from .tables import read_table
 
 # Clock of each workload (the driver data is historical).
+# Salts of the registered queries' token masks; they protect synthetic rows only.
+QUERY_SALTS = {"mrn": "veil-demo-mrn", "account": "veil-demo-account"}
 PATIENT_AS_OF = _dt.datetime(2024, 6, 1)
 EVENTS_AS_OF = _dt.datetime(2024, 1, 31)
 REVIEW_AS_OF = _dt.datetime(2024, 3, 1)
