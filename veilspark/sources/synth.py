@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.tokens import tokenize_ssn
 
 
 def _h(seed: int, *cols: Column) -> Column:
@@ -58,30 +57,43 @@ def _syn(seed: str, c: Column) -> Column:
     return F.sha2(F.concat(c.cast("string"), F.lit(seed)), 256)
 
 
+def _number(digest: Column, start: int, digits: int, modulus: int) -> Column:
+    """A number below ``modulus`` from ``digits`` hex digits of a digest."""
+    return F.conv(F.substring(digest, start, digits), 16, 10).cast("bigint") % modulus
+
+
 def deidentify_copy(patients: DataFrame, key: str) -> DataFrame:
-    """DEV copy of the patient table: same shape, synthetic identifiers."""
-    name, mail, addr, phone, dob, mrn = (F.col(c) for c in (
-        "patient_name", "patient_email", "patient_address_1", "patient_phone", "patient_dob", "patient_mrn"))
-    d = _syn(key, dob)
-    out = patients.select(
-        "patient_id", "hospital_id",
+    """DEV copy of the patient table: same shape, synthetic identifiers that cannot be
+    turned back. A patient id becomes the same new id wherever it occurs; SSNs are in the
+    never-issued 999- range; admissions and discharges move by the same 1-365 days per patient;
+    diagnoses are cut to their category, provider numbers replaced."""
+    pid, name, ssn, mail, addr, phone, dob, mrn, npi = (F.col(c) for c in (
+        "patient_id", "patient_name", "patient_ssn", "patient_email", "patient_address_1", "patient_phone",
+        "patient_dob", "patient_mrn", "attending_npi"))
+    p, s, d = _syn(key, pid), _syn(key, ssn), _syn(key, dob)
+    shift = (_number(p, 21, 6, 365) + 1).cast("int")
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    return patients.select(
+        F.concat(F.lit("D"), F.left(p, F.lit(16))).alias("patient_id"), "hospital_id",
         F.when(name.isNotNull(), F.concat(F.lit("Patient "), F.left(_syn(key, name), F.lit(8)))).alias("patient_name"),
-        "patient_ssn",
-        F.when(dob.isNotNull(), F.make_date(F.year(dob),
-                                            (F.conv(F.left(d, F.lit(2)), 16, 10).cast("int") % 12 + 1),
-                                            (F.conv(F.substring(d, 3, 2), 16, 10).cast("int") % 28 + 1))).alias("patient_dob"),
+        F.when(ssn.isNotNull(), F.concat(F.lit("999-"), two(_number(s, 1, 4, 100)), F.lit("-"),
+                                         F.lpad(_number(s, 5, 6, 10000).cast("string"), 4, "0"))).alias("patient_ssn"),
+        F.when(dob.isNotNull(), F.make_date(F.year(dob), (_number(d, 1, 2, 12) + 1).cast("int"),
+                                            (_number(d, 3, 2, 28) + 1).cast("int"))).alias("patient_dob"),
         F.when(mrn.isNotNull(), F.concat(F.lit("MRN-DEV-"), F.left(_syn(key, mrn), F.lit(10)))).alias("patient_mrn"),
-        F.when(phone.isNotNull(), F.concat(F.lit("555-"), F.lpad((F.conv(F.left(_syn(key, phone), F.lit(6)), 16, 10)
-                                                                     .cast("bigint") % 10000000).cast("string"), 7, "0")))
-        .alias("patient_phone"),
+        F.when(phone.isNotNull(), F.concat(F.lit("555-"), F.lpad(_number(_syn(key, phone), 1, 6, 10000000).cast("string"),
+                                                                 7, "0"))).alias("patient_phone"),
         F.when(mail.isNotNull(), F.concat(F.lit("user."), F.left(_syn(key, mail), F.lit(10)), F.lit("@example.com")))
         .alias("patient_email"),
         F.when(addr.isNotNull(), F.concat(F.lit("1 "), F.left(_syn(key, addr), F.lit(6)), F.lit(" Street")))
         .alias("patient_address_1"),
         F.when(F.col("patient_zip").isNotNull(), F.concat(F.left("patient_zip", F.lit(3)), F.lit("00"))).alias("patient_zip"),
-        "primary_dx_code", "admission_date", "discharge_date", "attending_npi",
+        F.left("primary_dx_code", F.lit(3)).alias("primary_dx_code"),
+        F.date_sub("admission_date", shift).alias("admission_date"),
+        F.date_sub("discharge_date", shift).alias("discharge_date"),
+        F.when(npi.isNotNull(), F.concat(F.lit("1"), F.lpad(_number(_syn(key, npi), 1, 10, 1000000000).cast("string"), 9, "0")))
+        .alias("attending_npi"),
     )
-    return tokenize_ssn(out, "patient_ssn", key)
 
 
 def load_fingerprint(df: DataFrame, key_cols: list[str], label: str) -> DataFrame:
