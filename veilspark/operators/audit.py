@@ -81,6 +81,43 @@ POLICY_CHANGE_SCHEMA = T.StructType([
     T.StructField("reviewed_at", T.TimestampNTZType(), True),
     T.StructField("inserted_at", T.TimestampNTZType(), False),
 ])
+SUSPECT_LOG_SCHEMA = T.StructType([
+    T.StructField("suspect_id", T.StringType(), False),
+    T.StructField("detected_at", T.TimestampNTZType(), False),
+    T.StructField("related_log_ids", T.ArrayType(T.StringType()), True),
+    T.StructField("related_query_ids", T.ArrayType(T.StringType()), True),
+    T.StructField("trigger_type", T.StringType(), False),
+    T.StructField("trigger_details", T.StringType(), True),
+    T.StructField("anomaly_score", T.LongType(), False),
+    T.StructField("suspect_user", T.StringType(), False),
+    T.StructField("suspect_role", T.StringType(), False),
+    T.StructField("suspect_ip", T.StringType(), True),
+    T.StructField("hospital_ids_involved", T.ArrayType(T.StringType()), True),
+    T.StructField("estimated_row_exposure", T.LongType(), True),
+    T.StructField("phi_fields_exposed", T.ArrayType(T.StringType()), True),
+    T.StructField("was_data_downloaded", T.BooleanType(), True),
+    T.StructField("status", T.StringType(), True),
+    T.StructField("assigned_to", T.StringType(), True),
+    T.StructField("investigation_notes", T.StringType(), True),
+    T.StructField("hipaa_notification_required", T.BooleanType(), True),
+    T.StructField("notification_deadline", T.DateType(), True),
+    T.StructField("closed_at", T.TimestampNTZType(), True),
+    T.StructField("closed_by", T.StringType(), True),
+    T.StructField("inserted_at", T.TimestampNTZType(), False),
+])
+POLICY_ASSIGNMENT_SCHEMA = T.StructType([
+    T.StructField("assignment_id", T.StringType(), False),
+    T.StructField("policy_type", T.StringType(), False),
+    T.StructField("policy_name", T.StringType(), False),
+    T.StructField("database_name", T.StringType(), False),
+    T.StructField("schema_name", T.StringType(), False),
+    T.StructField("table_name", T.StringType(), False),
+    T.StructField("column_name", T.StringType(), True),
+    T.StructField("applied_at", T.TimestampNTZType(), True),
+    T.StructField("applied_by", T.StringType(), False),
+    T.StructField("ticket_ref", T.StringType(), True),
+    T.StructField("is_active", T.BooleanType(), True),
+])
 REVIEW_STATUSES = ("PENDING", "REVIEWED", "ESCALATED")
 HOT_DAYS = 90
 RETENTION_DAYS = 2555  # 7 years
@@ -113,6 +150,33 @@ def audit_defaults(now: _dt.datetime, role: str = "AUDIT_WRITER") -> dict:
     }
 
 
+def suspect_rows(alerts: DataFrame, now: _dt.datetime) -> DataFrame:
+    """K2: detector alerts as rows of the suspect log, with the table's defaults. An alert is
+    detected when its window ends, so a later run of the same window gives the same row."""
+    rows = alerts.withColumn("detected_at", F.col("window_end")).drop("status")
+    return conform(rows, SUSPECT_LOG_SCHEMA, {
+        "status": F.lit("OPEN"), "hipaa_notification_required": F.lit(False), "inserted_at": ts_lit(now)})
+
+
+def policy_assignments(refs: DataFrame, now: _dt.datetime, applied_by: str, ticket_ref: str | None = None) -> DataFrame:
+    """K5: rows for the policy registry, one per live binding. The id is a hash of the binding,
+    so assigning it again can be skipped with an anti-join (see new_assignments)."""
+    row = refs.select(
+        F.when(F.col("policy_kind") == "ROW_ACCESS_POLICY", "ROW_ACCESS").otherwise("MASKING").alias("policy_type"),
+        F.lower("policy_name").alias("policy_name"), F.col("ref_database_name").alias("database_name"),
+        F.col("ref_schema_name").alias("schema_name"), F.col("ref_entity_name").alias("table_name"),
+        F.when(F.col("policy_kind") != "ROW_ACCESS_POLICY", F.col("ref_column_name")).alias("column_name"))
+    natural = F.concat_ws("|", "policy_type", "policy_name", "database_name", "schema_name", "table_name",
+                          F.coalesce("column_name", F.lit("")))
+    return conform(row.withColumn("assignment_id", F.left(F.sha2(natural, 256), F.lit(32))), POLICY_ASSIGNMENT_SCHEMA, {
+        "applied_at": ts_lit(now), "applied_by": F.lit(applied_by), "ticket_ref": F.lit(ticket_ref), "is_active": F.lit(True)})
+
+
+def new_assignments(rows: DataFrame, registry: DataFrame) -> DataFrame:
+    """K5 append: the assignments that the registry does not hold as active yet."""
+    return rows.join(registry.where("is_active").select("assignment_id"), "assignment_id", "left_anti")
+
+
 def validate(df: DataFrame, schema: T.StructType = PHI_ACCESS_LOG_SCHEMA,
              allowed: dict[str, tuple] | None = None) -> tuple[DataFrame, DataFrame]:
     """K1 check before an append: rows violating NOT NULL or a value list go to

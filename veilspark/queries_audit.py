@@ -261,3 +261,17 @@ def t6_t10(spark, sf_dir):
     term = users.where(F.col("deleted_on").isNotNull()).select(
         F.col("name").alias("user_name"), F.col("deleted_on").alias("terminated_at"))
     return T.event_alerts(B.phi_access_log(spark, sf_dir), B.hospital_role_map(spark, sf_dir), term)
+
+
+@register("k2_suspect_log")
+def k2(spark, sf_dir):
+    """K2: the 15-minute feed as rows of the suspect log (arrays as text)."""
+    rows = K.suspect_rows(T.suspect_feed_one_pass(B.query_history(spark, sf_dir), window="15 minutes"), AS_OF)
+    arrays = ("related_log_ids", "related_query_ids", "hospital_ids_involved", "phi_fields_exposed")
+    return rows.withColumns({c: F.array_join(c, ",") for c in arrays})
+
+
+@register("k5_policy_assignments")
+def k5(spark, sf_dir):
+    """K5: the live bindings as rows of the policy registry."""
+    return K.policy_assignments(M.policy_references(spark, sf_dir), AS_OF, "SECURITYADMIN", "CHG0002001")
