@@ -34,14 +34,18 @@ def test_licences(spark):
 # mixing -----------------------------------------------------------------------------------
 
 def test_raking_meets_the_marginals(spark):
-    cells = spark.createDataFrame([("a", "en", "x", 900), ("a", "fr", "x", 50), ("b", "en", "y", 30), ("b", "fr", "x", 20),
-                                   ("b", "fr", "y", 100), ("a", "en", "y", 10)], "s string, l string, k string, tokens long")
+    cells = spark.createDataFrame([("a", "en", "x", 900), ("a", "fr", "x", 50), ("a", "en", "y", 10), ("a", "fr", "y", 40),
+                                   ("b", "en", "x", 70), ("b", "en", "y", 30), ("b", "fr", "x", 20), ("b", "fr", "y", 100)],
+                                  "s string, l string, k string, tokens long")
     half = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("absent", 5.0)], "value string, share double")
-    raked = mixing.rake(cells, ("s", "l", "k"), {"s": half}, rounds=40).collect()
+    raked = mixing.rake(cells, ("s", "l", "k"), {"s": half}, rounds=10).collect()
     total = sum(r["tokens"] for r in raked)
     assert abs(sum(r["weight"] for r in raked) - total) < 1e-6
-    assert abs(sum(r["weight"] for r in raked if r["s"] == "a") - total / 2) < 0.01
-    p = mixing.probabilities(mixing.rake(cells, ("s", "l", "k"), {"s": half}), 0.6).collect()
+    assert abs(sum(r["weight"] for r in raked if r["s"] == "a") - total / 2) < 0.001 * total
+    raw = {l: sum(r["tokens"] for r in raked if r["l"] == l) ** mixing.POWER for l in ("en", "fr")}
+    want = total * raw["fr"] / sum(raw.values())
+    assert abs(sum(r["weight"] for r in raked if r["l"] == "fr") - want) < 0.001 * total
+    p = mixing.probabilities(mixing.rake(cells, ("s", "l", "k"), {"s": half}, rounds=3), 0.6).collect()
     assert all(0 <= r["p"] <= 1 for r in p)
     assert abs(sum(r["p"] * r["tokens"] for r in p) - 0.6 * total) < 1e-6 * total
 

@@ -9,7 +9,11 @@ two texts agree there with the probability of their (weighted) Jaccard similarit
 are thrown only up to the rank where about k (ln k + 4) of them are expected; a text with
 an empty coordinate goes on to twice that rank, which leaves earlier darts as they are.
 
-Bands of the signature are joined: texts that share a band key share a bucket. Pairs are
+Bands of the signature are joined: texts that share a band key and may be alike by size
+share a bucket. Sets whose similarity reaches t differ in size by a factor of 1/t at most,
+so with size classes that grow by 1/t they are in the same class or in neighbouring ones:
+a text enters its bands' buckets of its class and of the next. This loses no pair and
+keeps texts apart that share a common passage but little else. Pairs are
 not made within a bucket. In each round a few heads per bucket are compared with its
 other members, by the exact similarity of the shingle sets, and components are taken of
 the links found. A head was then compared with all others and leaves the bucket; two
@@ -42,7 +46,7 @@ from .graph import components
 from .words import Tokens, distinct, mix
 
 #: heads per bucket and round (after the first round, which has one)
-HEADS = 8
+HEADS = 16
 #: shingles whose darts a worker throws together
 BATCH = 400_000
 
@@ -53,8 +57,8 @@ _U = np.uint64
 class Settings:
     words: int = 5
     similarity: float = 0.8
-    bands: int = 16
-    rows: int = 4
+    bands: int = 24
+    rows: int = 6
     weights: str = "set"  # "set": each shingle counts 1; "count": as often as it occurs
 
 
@@ -173,8 +177,20 @@ def _weighted(found: tuple[np.ndarray, np.ndarray], weights: str) -> tuple[np.nd
     return (found[0], np.ones(len(found[0]))) if weights == "set" else found
 
 
+def size_class(total: float, least: float) -> int:
+    """Classes that grow by 1 / least: totals within that factor differ by one class at most."""
+    return int(np.floor(np.log(total) / -np.log(least) + 1e-9))
+
+
+def bucket_keys(keys: np.ndarray, total: float, least: float) -> np.ndarray:
+    """Keys of the buckets of a text: each band with its size class and with the next one."""
+    c = size_class(total, least)
+    both = [keys.view(np.uint64) ^ mix(np.full(1, n, dtype=np.int64).view(np.uint64)) for n in (c, c + 1)]
+    return mix(np.concatenate(both)).view(np.int64)
+
+
 def sketch_column(text: Column, settings: Settings = Settings()) -> Column:
-    """struct(same, bands): a digest of the weighted shingle set (null without words), and its band keys."""
+    """struct(same, bands): a digest of the weighted shingle set (null without words), and its bucket keys."""
 
     @F.pandas_udf("same binary, bands array<long>")
     def sketch(texts: pd.Series) -> pd.DataFrame:
@@ -185,8 +201,8 @@ def sketch_column(text: Column, settings: Settings = Settings()) -> Column:
         def flush():
             if batch:
                 sig = signatures([x for _, x in batch], settings.bands * settings.rows)
-                for (i, _), keys in zip(batch, band_keys(sig, settings.bands, settings.rows)):
-                    bands[i] = keys
+                for (i, found), keys in zip(batch, band_keys(sig, settings.bands, settings.rows)):
+                    bands[i] = bucket_keys(keys, float(found[1].sum()), settings.similarity)
                 batch.clear()
 
         for i, t in enumerate(texts):
@@ -229,7 +245,8 @@ def near_links(docs: DataFrame, sketches: DataFrame, text_col: str, settings: Se
 
     ``sketches`` has key (a hash of the text), same, bands per row of ``docs``; nodes are ``same``.
     """
-    member = sketches.where(F.col("same").isNotNull()).select("same", F.explode("bands").alias("band")).distinct()
+    one_each = sketches.where(F.col("same").isNotNull()).groupBy("same").agg(F.first("bands").alias("bands"))
+    member = one_each.select("same", F.explode("bands").alias("band"))
     place = F.xxhash64("same", "band")  # an order of the members that differs from bucket to bucket
     buckets = (member.groupBy("band").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
                .where("n > 1").drop("n"))
