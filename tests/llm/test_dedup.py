@@ -127,14 +127,24 @@ def test_near_dedup_keeps_columns_repeats_once_and_null_ids(spark):
     assert minhash.near_dedup(docs.limit(0)).count() == 0
 
 
-def test_many_heads_leave_no_link_out(spark, monkeypatch):
-    """Buckets with several classes: one band of one row makes nearly everything meet."""
+def test_blocks_leave_no_link_out(spark, monkeypatch):
+    """Buckets with several classes: bands of one row make nearly everything meet, in blocks of a few."""
+    monkeypatch.setattr(minhash, "HEADS", 1)
+    monkeypatch.setattr(minhash, "BLOCK", 4)
     texts = copies(random.Random(8), 6)
     s = minhash.Settings(bands=24, rows=1)
     got = {r["doc_id"]: r["class_id"] for r in minhash.near_groups(frame(spark, list(enumerate(texts))), settings=s).collect()}
     assert [got[i] for i in range(len(texts))] == brute_classes(texts)
 
 
+@pytest.mark.parametrize("weights", ["set", "count"])
+def test_alike_matrix_is_pairwise_similarity(weights):
+    sets = [minhash.shingles(t) for t in copies(random.Random(3), 8)]
+    s = minhash.Settings(weights=weights)
+    want = [[minhash.similarity(a, b, weights) >= s.similarity for b in sets] for a in sets]
+    assert (minhash._alike_matrix(sets, s) == np.array(want)).all()
+
+
 @pytest.mark.parametrize("weights", ["set", "count"])
 def test_signatures_estimate_similarity(weights):
     rng = np.random.default_rng(2)

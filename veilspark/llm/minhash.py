@@ -14,12 +14,14 @@ share a bucket. Sets whose similarity reaches t differ in size by a factor of 1/
 so with size classes that grow by 1/t they are in the same class or in neighbouring ones:
 a text enters its bands' buckets of its class and of the next. This loses no pair and
 keeps texts apart that share a common passage but little else. Pairs are
-not made within a bucket. In each round a few heads per bucket are compared with its
+not made within a bucket. In two rounds a few heads per bucket are compared with its
 other members, by the exact similarity of the shingle sets, and components are taken of
 the links found. A head was then compared with all others and leaves the bucket; two
-members of one component need no comparing. Rounds go on until what is left of every
-bucket is in one component, so no two texts of a bucket that are alike end up in two
-classes, while each round makes rows in proportion to the buckets' sizes.
+members of one component need no comparing, and a bucket whose members are in one
+component is settled. That leaves buckets of texts that are close but not alike. They are
+compared in blocks: a task holds two blocks of a bucket, computes their similarities as
+matrix products, and answers one row per member at most. So no two texts of a bucket that
+are alike end up in two classes, and no step makes rows in proportion to pairs.
 
 Texts with the same shingle set are one node from the start, however many they are.
 
@@ -45,8 +47,10 @@ from .common import fresh, stored, whole_text
 from .graph import components
 from .words import Tokens, distinct, mix
 
-#: heads per bucket and round (after the first round, which has one)
+#: heads per bucket in the second round (the first has one)
 HEADS = 16
+#: members of one block, when what is left of a bucket is compared in blocks
+BLOCK = 256
 #: shingles whose darts a worker throws together
 BATCH = 400_000
 
@@ -240,6 +244,55 @@ def _alike(a: Column, b: Column, settings: Settings) -> Column:
     return alike(a, b)
 
 
+def _alike_matrix(sets: list[tuple[np.ndarray, np.ndarray]], settings: Settings) -> np.ndarray:
+    """Which of the shingle sets are similar enough, as a square matrix."""
+    n = len(sets)
+    if settings.weights != "set":
+        return np.array([[similarity(a, b, settings.weights) >= settings.similarity for b in sets] for a in sets])
+    owner = np.repeat(np.arange(n), [len(s[0]) for s in sets])
+    _, column, held = np.unique(np.concatenate([s[0] for s in sets]), return_inverse=True, return_counts=True)
+    shared = held[column] > 1
+    owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common, width = np.zeros((n, n)), 4096
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, [low, low + width])
+        m = np.zeros((n, width), dtype=np.float32)
+        m[owner[a:b], column[a:b] - low] = 1.0
+        common += m @ m.T
+    size = np.array([len(s[0]) for s in sets], dtype=float)
+    union = size[:, None] + size[None, :] - common
+    return np.divide(common, union, out=np.zeros_like(common), where=union > 0) >= settings.similarity
+
+
+def _links_in_blocks(pool: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) that join what is alike in each bucket of ``pool`` (band, same)."""
+    blocks = pool.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("same"), F.col("blocks")).cast("int")
+    dealt = pool.select("band", "same").join(blocks, "band").withColumn("own", own)
+    none = F.array().cast("array<struct<i:int,j:int>>")
+    first = F.transform(F.sequence("own", F.col("blocks") - 1), lambda j: F.struct(F.col("own").alias("i"), j.alias("j")))
+    second = F.when(F.col("own") > 0, F.transform(
+        F.sequence(F.lit(0), F.col("own") - 1), lambda i: F.struct(i.alias("i"), F.col("own").alias("j")))).otherwise(none)
+    tasks = dealt.select("band", "same", F.explode(F.concat(first, second)).alias("task")).select(
+        "band", "task.i", "task.j", "same").join(texts, "same")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("same", ignore_index=True)
+        near = _alike_matrix([shingles(t, settings.words) for t in pdf["body"]], settings)
+        root = np.arange(len(pdf))
+        while True:  # the least number spreads over the links of this task
+            low = np.minimum(root, np.where(near, root[None, :], len(pdf)).min(axis=1))
+            if (low == root).all():
+                break
+            root = low
+        on = root != np.arange(len(pdf))
+        return pd.DataFrame({"a": pdf["same"].to_numpy()[root[on]], "b": pdf["same"].to_numpy()[on]})
+
+    return tasks.groupBy("band", "i", "j").applyInPandas(compare, "a binary, b binary")
+
+
 def near_links(docs: DataFrame, sketches: DataFrame, text_col: str, settings: Settings) -> DataFrame:
     """Components (node, component) of the texts that are alike.
 
@@ -262,7 +315,7 @@ def near_links(docs: DataFrame, sketches: DataFrame, text_col: str, settings: Se
     pool = member.withColumn("component", F.col("same"))
     heads = pool.where("place = first")
     comp = member.select(F.col("same").alias("node"), F.col("same").alias("component")).limit(0)
-    while True:
+    for last in (False, True):
         head = heads.select("band", F.col("same").alias("head"), F.col("component").alias("head_component"))
         pairs = (pool.join(head, "band").where((F.col("same") != F.col("head"))
                                                & (F.col("component") != F.col("head_component")))
@@ -284,11 +337,17 @@ def near_links(docs: DataFrame, sketches: DataFrame, text_col: str, settings: Se
         pool = stored(still.join(main.select("band", F.col("main.component").alias("main")), "band"), "open")
         if pool.isEmpty():
             return comp
+        if last:
+            break
         # the next heads are not of the bucket's largest component, whose members need no comparing
         slot = F.pmod(F.col("place"), F.lit(HEADS))
         next_heads = pool.where("component <> main").groupBy("band", slot.alias("slot")).agg(
             F.min("place").alias("place")).drop("slot")
         heads = stored(pool.join(next_heads, ["band", "place"], "left_semi"), "heads")
+    new = stored(_links_in_blocks(pool, texts, settings).distinct(), "new_links")
+    if new.isEmpty():
+        return comp
+    return stored(components(new if links is None else links.unionByName(new)), "components")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
