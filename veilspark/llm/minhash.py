@@ -263,7 +263,9 @@ def _alike_matrix(sets: list[tuple[np.ndarray, np.ndarray]], settings: Settings)
         common += m @ m.T
     size = np.array([len(s[0]) for s in sets], dtype=float)
     union = size[:, None] + size[None, :] - common
-    return np.divide(common, union, out=np.zeros_like(common), where=union > 0) >= settings.similarity
+    near = np.divide(common, union, out=np.zeros_like(common), where=union > 0) >= settings.similarity
+    np.fill_diagonal(near, True)  # shingles that only one text holds were left out
+    return near
 
 
 def _links_in_blocks(pool: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
