@@ -62,6 +62,21 @@ def test_mix_edges(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_the_draw_meets_the_targets(spark):
+    words = {"note": 5, "article": 200}
+    size = {("hot", "en"): 1500, ("hot", "fr"): 300, ("b", "en"): 500, ("b", "fr"): 100, ("c", "en"): 80, ("c", "fr"): 40}
+    docs = spark.createDataFrame([(f"{s}-{lang}-{k}-{i}", "w " * n, s, lang) for (s, lang), m in size.items()
+                                  for k, n in words.items() for i in range(m)],
+                                 "doc_id string, text string, source string, lang string")
+    got = mixing.mix(docs).toPandas()
+    assert got["p"].max() <= 1 and got["p"].max() > 0.999
+    for dim in ("source", "lang", "topic"):
+        aim = got.groupby(dim)["tokens"].sum() ** mixing.POWER
+        for tokens, off in ((got["tokens"] * got["p"], 1e-6), (got["tokens"] * got["kept"], 0.08)):  # three standard errors
+            drawn = tokens.groupby(got[dim]).sum()
+            assert (drawn / drawn.sum() - aim / aim.sum()).abs().max() < off
+
+
 # embeddings -------------------------------------------------------------------------------
 
 def brute_links(rows, cosine):

@@ -2,10 +2,12 @@
 
 Documents are summed to cells (source, language, topic) of tokens. Raking scales the
 cells' token weights to each marginal's target shares in turn, for a fixed number of
-rounds. The share of a cell's documents to keep is its weight per token, scaled so that
-the expected tokens are the budget; no document is kept more than once, so cells whose
-probability would exceed 1 are kept whole and the others share the rest. Each document is
-drawn by a uniform number from a hash of its id, so a draw repeats on any cluster.
+rounds. The share of a cell's documents to keep is its weight per token, scaled so that no
+cell's probability exceeds 1: the expected shares of the draw are then the raked ones. The
+targets thus set how many tokens can be drawn without repeats, at most ``BUDGET`` of all.
+A budget given by the caller comes before the targets: cells whose probability would exceed
+1 are kept whole, the others share the rest, and the draw misses the targets by that. Each
+document is drawn by a uniform number from a hash of its id, so a draw repeats on any cluster.
 
 Only cells (at most sources x languages x topics) take part in the iterations; documents
 are read twice: to count and to draw. All of it is DataFrame functions.
@@ -86,10 +88,14 @@ def rake(cells: DataFrame, dims: tuple[str, ...], targets: Mapping[str, DataFram
     return w
 
 
-def probabilities(raked: DataFrame, budget: float = BUDGET, rounds: int = CAP_ROUNDS) -> DataFrame:
-    """``raked`` with p: at most 1, and of ``budget`` of the tokens in all."""
+def probabilities(raked: DataFrame, budget: float | None = None, rounds: int = CAP_ROUNDS) -> DataFrame:
+    """``raked`` with p, at most 1: in proportion to the weights, or of ``budget`` of the tokens in all."""
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(1.0))
     cells = raked.withColumn("ratio", ratio)
+    if budget is None:
+        top = cells.where("tokens > 0").agg(F.max("ratio")).first()[0]  # one number
+        scale = min(BUDGET, 1 / top) if top else BUDGET
+        return cells.withColumn("p", F.least(F.lit(1.0), F.col("ratio") * F.lit(scale)))
     aim = budget * float(cells.agg(F.sum("tokens")).first()[0] or 0)
     scale = budget
     for _ in range(rounds):  # cells that are kept whole leave the rest of the budget to the others
@@ -105,7 +111,7 @@ def probabilities(raked: DataFrame, budget: float = BUDGET, rounds: int = CAP_RO
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         lang_col: str = "lang", topic_of=topic, targets: Mapping[str, DataFrame] | None = None, power: float = POWER,
-        rounds: int = ROUNDS, budget: float = BUDGET, seed: str = SEED,
+        rounds: int = ROUNDS, budget: float | None = None, seed: str = SEED,
         out: tuple[str, str, str, str] = ("tokens", "topic", "p", "kept")) -> DataFrame:
     """``docs`` with its tokens, topic, probability to be kept, and whether it is."""
     src, lang, own = fresh(docs, "source_", "lang_", "id_")
