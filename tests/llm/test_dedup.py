@@ -64,6 +64,16 @@ def test_a_line_twice_on_a_page_counts_once(spark):
     assert [(r["pages"], r["host_pages"]) for r in share] == [(4, 10)]
 
 
+def test_copies_keep_their_text(spark):
+    menu = "Home | About"
+    copy = f"{menu}\nthe text of\nmany copies"
+    rows = [(i, copy, "h") for i in range(60)] + [(100 + i, f"{menu}\nown {i}", "h") for i in range(90)]
+    rows += [(300 + i, f"{'prose again' if i < 6 else 'x'}{i if i >= 6 else ''}\nown {i}", "g") for i in range(120)]
+    got = {r["doc_id"]: r["text"] for r in linededup.drop_boilerplate(frame(spark, rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[i] == "the text of\nmany copies" for i in range(60)) and got[100] == "own 0"
+    assert got[300] == "prose again\nown 0"  # in 5 % of the texts
+
+
 def test_host_of(spark):
     urls = ["http://A.example.org/x", "https://u:p@b.org:80?q", "mailto:x", None]
     got = spark.createDataFrame([(u,) for u in urls], "url string").select(linededup.host_of(F.col("url")).alias("h"))
