@@ -74,6 +74,15 @@ def test_copies_keep_their_text(spark):
     assert got[300] == "prose again\nown 0"  # in 5 % of the texts
 
 
+def test_small_hosts_lose_their_boilerplate(spark):
+    rows = [(i, f"menu\nown {i}", "five") for i in range(5)]
+    rows += [(100 + i, f"{'menu' if i < 9 else 'plain' + str(i)}\nown {i}", "fifty") for i in range(50)]
+    rows += [(200, "menu\nonly", "one")]
+    got = {r["doc_id"]: r["text"] for r in linededup.drop_boilerplate(frame(spark, rows, "doc_id long, text string, source string")).collect()}
+    assert [got[i] for i in (0, 4, 100, 108, 109)] == ["own 0", "own 4", "own 0", "own 8", "plain9\nown 9"]
+    assert got[200] == "menu\nonly"
+
+
 def test_host_of(spark):
     urls = ["http://A.example.org/x", "https://u:p@b.org:80?q", "mailto:x", None]
     got = spark.createDataFrame([(u,) for u in urls], "url string").select(linededup.host_of(F.col("url")).alias("h"))

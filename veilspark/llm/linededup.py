@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import fresh, stored
 
 RATIO = 0.065  # sf0.1: ordinary lines are in up to 4.6 % of a host's texts, the repeated line in 8.7 % at least
-MIN_PAGES = 10
+MIN_PAGES = 2  # a line of one text is that text's own, however small the host
 
 
 def host_of(url: Column) -> Column:
