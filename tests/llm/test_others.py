@@ -31,6 +31,30 @@ def test_licences(spark):
     assert got[7]["ids"] == "gpl3_short reserved" and got[4]["ids"] == "" and got[1]["licence"] == 5
 
 
+def test_licence_headers_as_they_occur(spark):
+    bsd = ("Copyright (c) 2020, Someone\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or "
+           "without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions\n")
+    endorse = ("Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or "
+               "promote products derived from\n   this software without specific prior written permission.\n")
+    gpl = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU {}General "
+           "Public License as published by\n# the Free Software Foundation, either version {} of the License, or\n# (at your "
+           "option) any later version.\n#\n# This program is distributed")
+    apache = ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
+              "compliance with the License. You may obtain a copy of the License at")
+    mit = ("MIT License\nCopyright (c) 2020 X\n\nThe above copyright notice and this permission notice shall be included in "
+           "all\ncopies or substantial portions of the Software.\n")
+    texts = [(bsd, "BSD-2-Clause"), (bsd + endorse, "BSD-3-Clause"), (gpl.format("", 3), "GPL-3.0-or-later"),
+             (gpl.format("", 2), "GPL-2.0-or-later"), (gpl.format("Affero ", 3), "AGPL-3.0-or-later"), (apache, "Apache-2.0"),
+             ("/*\n * " + apache.replace("; you", ";\n * you").replace("in comp", "in\n * comp") + "\n */", "Apache-2.0"),
+             (mit, "MIT"), ("All rights reserved.\n" + apache[:67], "Apache-2.0"),
+             ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If", "MPL-2.0"),
+             ("a line\nAll rights reserved\na line", "all-rights-reserved"),
+             ("free\n\nsoftware licensed under\n\nthe Apache License, Version 2.0.", None)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["licence"] for r in licenses.scan(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == [want for _, want in texts]
+
+
 # mixing -----------------------------------------------------------------------------------
 
 def test_raking_meets_the_marginals(spark):

@@ -1,14 +1,17 @@
 """Licence scans by sentence rules: sentences -> identifiers -> ordered rules.
 
-A text is cut into sentences; each sentence is normalised and looked up among the
-known licence sentences; the sequence of identifiers found is matched against the
-rules in order, and the first rule that matches names the licence. All of it is one
-projection over native functions: no join, no shuffle, no Python.
-
-Defined cases: a null or empty text has no sentences and no licence. A sentence
-ends at a line feed, or at . ! ? before a blank or the end. Letters outside ASCII
-count as blanks. A sentence that occurs twice is in the sequence twice. Extra
-columns pass through, whatever their names.
+A text is normalised to words and marks of its line feeds and sentence ends; the known
+licence sentences are found in it as runs of whole words; the sequence of identifiers
+found is matched against the rules in order, and the first rule that matches names the
+licence. All of it is one projection over native functions: no join, no shuffle, no Python.
+
+Defined cases: a null or empty text has no sentences and no licence. A sentence ends
+at a line without letters or digits, or at . ! ? before a blank or the end; a known
+sentence may go on over other line feeds (wrapped headers, with or without comment signs)
+and stand inside a longer one. Short ones (``WHOLE``) must be a whole line or sentence,
+as their words also stand in prose. Where known sentences overlap, the first and then the
+longest counts. Letters outside ASCII count as blanks. A sentence that occurs twice is in
+the sequence twice. Extra columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -44,9 +47,36 @@ SENTENCES: tuple[tuple[str, str], ...] = (
     ("ccby4_long", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights "
             "to this work"),
+    ("mit_title", "the mit license mit"),
+    ("gpl2_free", "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+                  "general public license as published by the free software foundation either version 2 of the "
+                  "license or at your option any later version"),
+    ("agpl3_free", "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+                   "affero general public license as published by the free software foundation either version 3 of "
+                   "the license or at your option any later version"),
+    ("lgpl3_free", "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+                   "lesser general public license as published by the free software foundation either version 3 of "
+                   "the license or at your option any later version"),
+    ("lgpl3_free", "this library is free software you can redistribute it and or modify it under the terms of the gnu "
+                   "lesser general public license as published by the free software foundation either version 3 of "
+                   "the license or at your option any later version"),
+    ("lgpl21_free", "this library is free software you can redistribute it and or modify it under the terms of the gnu "
+                    "lesser general public license as published by the free software foundation either version 2 1 of "
+                    "the license or at your option any later version"),
+    ("mpl2", "this source code form is subject to the terms of the mozilla public license"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is "
+            "hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("bsl1", "distributed under the boost software license version 1 0"),
+    ("ccbysa4_long", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
+    ("ccbync4_long", "this work is licensed under a creative commons attribution noncommercial 4 0 international "
+                     "license"),
     ("reserved", "all rights reserved"),
 )
 
+# Identifiers of sentences that count only as a whole line or sentence.
+WHOLE = frozenset({"mit_title", "reserved"})
+
 # Ordered rules; each is a licence, its class, and identifiers that must follow in this order.
 RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     ("BSD-3-Clause", "permissive", ("bsd_redist", "bsd_endorse")),
@@ -64,28 +94,49 @@ RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     ("CC-BY-4.0", "permissive", ("ccby4_long",)),
     ("CC-BY-4.0", "permissive", ("ccby4_short",)),
     ("CC0-1.0", "permissive", ("cc0",)),
+    ("GPL-2.0-or-later", "copyleft", ("gpl2_free",)),
+    ("AGPL-3.0-or-later", "copyleft", ("agpl3_free",)),
+    ("LGPL-3.0-or-later", "copyleft", ("lgpl3_free",)),
+    ("LGPL-2.1-or-later", "copyleft", ("lgpl21_free",)),
+    ("MPL-2.0", "copyleft", ("mpl2",)),
+    ("ISC", "permissive", ("isc",)),
+    ("Unlicense", "permissive", ("unlicense",)),
+    ("BSL-1.0", "permissive", ("bsl1",)),
+    ("CC-BY-SA-4.0", "copyleft", ("ccbysa4_long",)),
+    ("CC-BY-NC-4.0", "restricted", ("ccbync4_long",)),
+    ("Apache-2.0", "permissive", ("apache2_grant",)),
+    ("BSD-3-Clause", "permissive", ("bsd_endorse",)),
+    ("MIT", "permissive", ("mit_notice",)),
     ("all-rights-reserved", "restricted", ("reserved",)),
 )
 
 # What splits and normalises.
 NOT_ASCII = r"[^\x00-\x7F]+"
 SENTENCE_END = r"[.!?]+([ \t\r]|$|\n)"
+EMPTY_LINE = r"\n[^a-z0-9\n]*(?=\n)"
 OTHER_SIGNS = r"[^a-z0-9]+"
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences of a text, in order."""
+def words_and_marks(text: Column) -> Column:
+    """Lower-case words of a text between blanks, H where a sentence ends, S at other line feeds."""
     plain = F.lower(F.regexp_replace(text, NOT_ASCII, " "))
-    parts = F.split(F.regexp_replace(plain, SENTENCE_END, "\n"), "\n", -1)
-    return F.transform(parts, lambda s: F.trim(F.regexp_replace(s, OTHER_SIGNS, " ")))
+    ended = F.regexp_replace(F.regexp_replace(plain, SENTENCE_END, " H "), EMPTY_LINE, " H ")
+    marked = F.concat(F.lit(" H "), F.replace(ended, F.lit("\n"), F.lit(" S ")), F.lit(" H "))
+    return F.regexp_replace(marked, r"[^a-z0-9HS]+", " ")
+
+
+def known_pattern(known: Sequence[tuple[str, str]]) -> str:
+    """The known sentences as a pattern over words and marks, the longest first."""
+    run = lambda s: s.replace(" ", " (?:S )?")
+    return "|".join(rf"(?<=[HS] ){run(s)}(?= [HS])" if i in WHOLE else rf"(?<= ){run(s)}(?= )"
+                    for i, s in sorted(known, key=lambda x: -len(x[1])))
 
 
 def sentence_ids(text: Column, known: Sequence[tuple[str, str]] = SENTENCES) -> Column:
     """Identifiers of the known sentences of a text, in order (the table of known sentences is a short constant)."""
-    texts = [s for _, s in known]
     name = F.create_map(*[F.lit(x) for i, s in dict((s, i) for i, s in known).items() for x in (i, s)])
-    hit = F.filter(sentences(text), lambda s: s.isin(texts))
-    return F.transform(hit, lambda s: F.element_at(name, s))
+    hit = F.regexp_extract_all(words_and_marks(text), F.lit(known_pattern(known)), F.lit(0))
+    return F.transform(hit, lambda s: F.element_at(name, F.replace(s, F.lit(" S "), F.lit(" "))))
 
 
 def rule_pattern(ids: Sequence[str]) -> str:
