@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddedup, exactdedup, langid, licenses, linededup, minhash, mixing, quality, toxicity
+from . import (
+    align, bpe, embeddedup, exactdedup, langid, lexical, licenses, linededup, minhash, mixing, quality, rules, toxicity)
 from .common import crc_mod, workers_import
 
 
@@ -90,8 +91,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligner = align.Aligner(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return align.align(table(spark, sf_dir, "documents").select("doc_id", "text"), aligner).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumn(
+        "ratio", F.round("ratio", 6))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_byte_bpe, op2_toxicity, op3_language_id, op4_line_dedup, op5_minhash_dedup, op6_mixing, op7_quality,
-        op8_license_scan, op9_embedding_dedup, op10_exact_dedup)
+        op8_license_scan, op9_embedding_dedup, op10_exact_dedup, op11_token_alignment, op12_lexical_search,
+        op13_quality_rules)
 }
