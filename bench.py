@@ -113,9 +113,8 @@ def main():
     q["t6_t10_event_alerts"] = best(lambda: D.event_alerts(log, role_map, term))
     q["v2_access_summary"] = best(R.access_summary(log, B.EVENTS_AS_OF, sort=False))
     q["v15_gap_check"] = best(R.audit_gaps(spark, log, B.EVENTS_AS_OF, sort=False))
-    q["v19_scorecard"] = best(C.scorecard(M.object_privileges(spark, sf_dir), M.row_access_policies(spark, sf_dir),
-                                          M.masking_policies(spark, sf_dir), M.task_history(spark, sf_dir),
-                                          B.EVENTS_AS_OF))
+    q["v19_scorecard"] = best(C.scorecard(B.grant_ledger(spark, sf_dir), B.security_policy_changes(spark, sf_dir),
+                                          M.task_history(spark, sf_dir), B.EVENTS_AS_OF))
 
     q = {k: round(v, 4) for k, v in q.items()}
     ratios = {

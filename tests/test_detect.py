@@ -1,11 +1,13 @@
 """Detector boundary rows (FIXTURES §4) and brute-force checks."""
 import datetime as dt
+import ipaddress
 import itertools
 import random
 import re
 
 from pyspark.sql import functions as F
 
+from veilspark.functions import addresses as A
 from veilspark.operators import detect as D
 from veilspark.plans import reports as R
 
@@ -179,6 +181,106 @@ def test_malformed_and_ipv6_addresses_are_outside(spark):
     assert D.match_cidrs(df, "client_ip", D.allow_list(spark)).count() == 1
 
 
+def outside_by_hand(ip, networks):
+    try:
+        a = ipaddress.ip_address(ip)
+    except ValueError:
+        return True
+    return not any(a in ipaddress.ip_network(n) for n in networks)
+
+
+NETWORKS = ["10.1.0.0/16", "10.2.0.0/16", "172.16.200.0/28", "0.0.0.7/32", "255.255.255.0/24", "2001:db8::/33", "2001:db8:8000::/33",
+            "fe80::/10", "::1/128", "ffff:ffff:ffff:ffff:ffff:ffff:ffff:fff0/124", "2001:db9:0:1::/64"]
+ADDRESSES = ["10.1.0.0", "10.2.255.255", "10.3.0.0", "10.0.255.255", "172.16.200.15", "172.16.200.16", "0.0.0.7", "255.255.255.255",
+             "2001:db8::", "2001:db8:ffff:ffff:ffff:ffff:ffff:ffff", "2001:DB8::1", "2001:db9::", "2001:db9:0:1::ffff", "2001:db9:0:2::",
+             "::1", "::", "::2", "fe80::1", "febf:ffff::", "fec0::", "ffff:ffff:ffff:ffff:ffff:ffff:ffff:ffff",
+             "ffff:ffff:ffff:ffff:ffff:ffff:ffff:ffef", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8:9", "1::2::3", ":1:2:3:4:5:6:7",
+             "1:2:3:4:5:6:7:", "12345::", "g::1", "::ffff:10.1.2.3", "2001:db8::10.1.2.3", "2001:db8::10.1.2.300", "::10.1.2.3", "1::10.1.2",
+             "10.1.2.3:80", "2001:db8:::1", "", " 10.1.2.3", "10.1.2.03", "fe80::1%eth0"]
+
+
+def test_address_sets_hold_what_the_networks_hold(spark):
+    df = spark.createDataFrame([(a,) for a in ADDRESSES] + [(None,)], "ip string").coalesce(1)
+    held = A.AddressSet.of(NETWORKS).holds(F.col("ip"))
+    got = {r["ip"]: r["held"] for r in df.select("ip", held.alias("held")).collect()}
+    assert got.pop(None) is False
+    # a zone, as in fe80::1%eth0, is no part of a network address here
+    want = {a: not outside_by_hand(a, NETWORKS) and "%" not in a for a in ADDRESSES}
+    assert got == want
+    sites = [(n, f"site {i}") for i, n in enumerate(NETWORKS)]
+    rows = D.match_cidrs(df, "ip", D.allow_list(spark, sites)).select("ip", "cidr").collect()
+    pairs = {(a, n) for a in ADDRESSES if "%" not in a and not outside_by_hand(a, NETWORKS) for n in NETWORKS
+             if ipaddress.ip_address(a) in ipaddress.ip_network(n)}
+    assert {tuple(r) for r in rows} == pairs and len(rows) == len(pairs)
+
+
+def test_address_sets_are_merged_and_random_ones_agree(spark):
+    assert len(A.AddressSet.of(["10.0.0.0/9", "10.128.0.0/9", "10.5.0.0/16", "2001:db8::/33", "2001:db8:8000::/33"]).intervals) == 2
+    assert A.AddressSet.of([]).intervals == ()
+    rnd = random.Random(2)
+    nets = [str(ipaddress.ip_network((rnd.getrandbits(32), rnd.randint(6, 32)), strict=False)) for _ in range(60)]
+    nets += [str(ipaddress.ip_network((rnd.getrandbits(128), rnd.randint(3, 128)), strict=False)) for _ in range(60)]
+    ips = [str(ipaddress.ip_address(rnd.getrandbits(32))) for _ in range(200)]
+    ips += [str(ipaddress.IPv6Address(rnd.getrandbits(128))) for _ in range(200)]
+    ips += [str(x) for n in nets for x in (ipaddress.ip_network(n)[0], ipaddress.ip_network(n)[-1])]
+    df = spark.createDataFrame([(a,) for a in ips], "ip string")
+    got = df.select("ip", A.AddressSet.of(nets).holds(F.col("ip")).alias("held")).collect()
+    assert all(r["held"] == (not outside_by_hand(r["ip"], nets)) for r in got)
+
+
+def test_an_address_is_parsed_once_per_row(spark):
+    df = spark.createDataFrame([("10.1.2.3",)], "client_ip string")
+    plan = D.outside_allow_list(df, "client_ip")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(client_ip") == 1 and plan.count("RLIKE") <= 3 and "Join" not in plan
+
+
+def test_event_alerts_are_one_scan_and_equal_each_detector(spark, sf_dir, scratch):
+    from veilspark.sources import bindings as B
+    path = f"{scratch}/audit"
+    B.phi_access_log(spark, sf_dir).write.parquet(path)
+    log, rm = spark.read.parquet(path), B.hospital_role_map(spark, sf_dir)
+    ends = log.groupBy("user_name").agg(F.max("event_time").alias("terminated_at")).where(F.crc32("user_name") % 7 == 0)
+    ends = spark.createDataFrame(ends.collect(), ends.schema)
+    feed = D.event_alerts(log, rm, ends)
+    base = ["log_id", "event_time", "user_name", "role_name"]
+    kind = lambda name, df, detail: df.select(F.lit(name).alias("trigger_type"), *base, F.col(detail).cast("string").alias("detail"))
+    parts = [kind("CROSS_HOSPITAL_ATTEMPT", D.cross_hospital_attempts(log, rm), "hospital_id"),
+             kind("AFTER_TERMINATION", D.after_termination(log, ends), "terminated_at"),
+             kind("POLICY_BYPASS_ATTEMPT", D.policy_bypass_attempts(log), "phi_columns"),
+             kind("OUTSIDE_ALLOW_LIST", D.outside_allow_list(log, "client_ip"), "client_ip"),
+             kind("DEV_LARGE_RESULT", D.dev_large_results(log), "rows_affected")]
+    each = parts[0]
+    for p in parts[1:]:
+        each = each.unionByName(p)
+    feed = feed.select(each.columns)
+    assert feed.exceptAll(each).count() == 0 and each.exceptAll(feed).count() == 0
+    assert feed.select("trigger_type").distinct().count() == 5
+    scans = [x for x in feed._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x and "audit" in x]
+    assert len(scans) == 1
+
+
+def test_repeated_failures_is_one_scan(spark, sf_dir, scratch):
+    from veilspark.sources import bindings as B
+    path = f"{scratch}/logins"
+    B.login_history(spark, sf_dir).write.parquet(path)
+    plan = D.repeated_failures(spark.read.parquet(path), 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_repeated_failures_over_days_and_months(spark):
+    """Runs that stay open over hours, days and months, successes in between, users without one."""
+    rnd = random.Random(21)
+    events = []
+    for u in range(12):
+        t = dt.datetime(2023, 11, 20)
+        for _ in range(150):
+            t += dt.timedelta(hours=rnd.choice([0, 1, 5, 30, 200]), seconds=rnd.randint(0, 50))
+            events.append((f"U{u}", t, u != 11 and rnd.random() < (0.02, 0.1, 0.3)[u % 3]))
+    df = spark.createDataFrame(events, "user_name string, event_timestamp timestamp_ntz, is_success boolean").repartition(5)
+    for k in (0, 2, 5):
+        assert sorted(tuple(r) for r in D.repeated_failures(df, k).collect()) == brute_failures(events, k)
+
+
 def test_cross_hospital_is_judged_on_the_events_day(spark):
     d, t = dt.date, dt.datetime
     grants = spark.createDataFrame([("R", "H01", d(2024, 1, 5), d(2024, 1, 10)), ("R", "H02", d(2024, 1, 20), None)],

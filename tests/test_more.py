@@ -2,6 +2,7 @@
 import collections
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from veilspark.context import SecurityContext
@@ -57,7 +58,7 @@ def test_closure_reaches_sysadmin_through_dbt_role(spark):
 
 
 def test_suppression_matches_brute_force(spark, sf_dir):
-    lds = DI.limited_data_set(B.patients(spark, sf_dir), "s")
+    lds = DI.limited_data_set(B.patients(spark, sf_dir), "s", "HIPAA_OFFICER", "DUA-1")
     q = ["state", "birth_year"]
     rows = lds.select(*q).collect()
     cnt = collections.Counter(tuple(r) for r in rows)
@@ -65,6 +66,14 @@ def test_suppression_matches_brute_force(spark, sf_dir):
     assert DI.suppress_small_cells(lds, q, k_min=3).count() == expected
 
 
+def test_limited_data_set_is_the_officers(spark, sf_dir):
+    p = B.patients(spark, sf_dir)
+    with pytest.raises(PermissionError):
+        DI.limited_data_set(p, "s", "DS_ROLE", "DUA-1")
+    with pytest.raises(ValueError):
+        DI.limited_data_set(p, "s", "HIPAA_OFFICER")
+
+
 def test_policy_drift_states(spark):
     desired = spark.createDataFrame([("M", "A", None, ["X"]), ("M", "B", None, ["X"]), ("R", "P", "T1", None)],
                                     "policy_type string, policy_name string, target string, full_roles array<string>")

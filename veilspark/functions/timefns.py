@@ -6,6 +6,7 @@ not depend on the session time zone.
 
 from __future__ import annotations
 
+import calendar
 import datetime as _dt
 
 from pyspark.sql import Column
@@ -52,6 +53,13 @@ def day_boundaries_between(start, end) -> Column:
     return F.datediff(F.to_date(e), F.to_date(s)).cast("bigint")
 
 
+def months_before(value: _dt.datetime, months: int) -> _dt.datetime:
+    """The same day and time so many months before (the month's last day if it has no such day)."""
+    n = value.year * 12 + value.month - 1 - months
+    year, month = n // 12, n % 12 + 1
+    return value.replace(year=year, month=month, day=min(value.day, calendar.monthrange(year, month)[1]))
+
+
 def local_hour(c, tz: str) -> Column:
     """Hour of a UTC wall-clock value seen in ``tz`` (DST-aware)."""
     c = F.col(c) if isinstance(c, str) else c

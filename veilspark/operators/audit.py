@@ -1,8 +1,8 @@
-"""Append-only audit tables and their jobs.
+"""Append-only audit tables and their jobs.
 
 There is no ACID table format on the classpath, so every table here is
-append-only parquet and every "update" is a new event row: the current state
-of a record is its latest event (K9). Writers are idempotent where the
+append-only parquet and every "update" is a new event row (cases: ``cases``; purges:
+``purge``). Writers are idempotent where the
 reference is not: the archive anti-joins what is already archived (D10), and
 detections carry a deterministic id so a re-run adds nothing (K2).
 """
@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..context import FULL_ACCESS_ROLES, ROW_BYPASS_ROLES
+from ..functions import sqltext as S
 from ..functions.timefns import ts_lit
 
 # Audit table schema and allowed values.
@@ -150,14 +152,6 @@ def audit_defaults(now: _dt.datetime, role: str = "AUDIT_WRITER") -> dict:
     }
 
 
-def suspect_rows(alerts: DataFrame, now: _dt.datetime) -> DataFrame:
-    """K2: detector alerts as rows of the suspect log, with the table's defaults. An alert is
-    detected when its window ends, so a later run of the same window gives the same row."""
-    rows = alerts.withColumn("detected_at", F.col("window_end")).drop("status")
-    return conform(rows, SUSPECT_LOG_SCHEMA, {
-        "status": F.lit("OPEN"), "hipaa_notification_required": F.lit(False), "inserted_at": ts_lit(now)})
-
-
 def policy_assignments(refs: DataFrame, now: _dt.datetime, applied_by: str, ticket_ref: str | None = None) -> DataFrame:
     """K5: rows for the policy registry, one per live binding. The id is a hash of the binding,
     so assigning it again can be skipped with an anti-join (see new_assignments)."""
@@ -260,16 +254,6 @@ def write_archive(candidates: DataFrame, path: str, max_records_per_file: int =
      .parquet(path))
 
 
-def purge_candidates(hot: DataFrame, archived: DataFrame) -> DataFrame:
-    """Hot rows that are confirmed in the archive (left semi on log_id)."""
-    return hot.join(archived.select("log_id"), "log_id", "left_semi")
-
-
-def survivors_after_purge(hot: DataFrame, archived: DataFrame) -> DataFrame:
-    """What stays hot — written to a new directory, never deleted in place."""
-    return hot.join(archived.select("log_id"), "log_id", "left_anti")
-
-
 def retention_class(time_col: Column, as_of: _dt.datetime, hot_days: int = HOT_DAYS,
                     retention_days: int = RETENTION_DAYS) -> Column:
     """HOT (<= 90 days), ARCHIVE (<= 7 years), else EXPIRED."""
@@ -277,95 +261,49 @@ def retention_class(time_col: Column, as_of: _dt.datetime, hot_days: int = HOT_D
     return F.when(age <= hot_days, "HOT").when(age <= retention_days, "ARCHIVE").otherwise("EXPIRED")
 
 
-# ---------------------------------------------------------------------------
-# Case management (K9): status changes are events; the state is the latest one.
-# ---------------------------------------------------------------------------
-
-def case_event(suspects: DataFrame, status: str, at: _dt.datetime, by: str, notes: str | None = None,
-               notify_days: int = 60) -> DataFrame:
-    """A status event for each suspect in `suspects` (CLEARED / CONFIRMED_BREACH / INVESTIGATING)."""
-    confirmed = status == "CONFIRMED_BREACH"
-    return suspects.select(
-        "suspect_id",
-        ts_lit(at).alias("event_at"),
-        F.lit(status).alias("status"),
-        F.lit(notes).cast("string").alias("investigation_notes"),
-        F.lit(by).alias("actor"),
-        F.lit(confirmed).alias("hipaa_notification_required"),
-        (F.date_add(F.to_date(ts_lit(at)), notify_days) if confirmed else F.lit(None).cast("date"))
-        .alias("notification_deadline"),
-        (ts_lit(at) if status in ("CLEARED", "CONFIRMED_BREACH") else F.lit(None).cast("timestamp_ntz"))
-        .alias("closed_at"),
-    )
-
-
-def current_case_state(suspects: DataFrame, events: DataFrame) -> DataFrame:
-    """Latest status per suspect (max over a struct led by the event time: one
-    grouped aggregate that combines map-side, no per-suspect sort)."""
-    latest = events.groupBy("suspect_id").agg(
-        F.max(F.struct("event_at", "status", "investigation_notes", "actor", "hipaa_notification_required",
-                       "notification_deadline", "closed_at")).alias("e"))
-    j = suspects.drop("status").join(latest, "suspect_id", "left")
-    return j.select(
-        *[c for c in suspects.columns if c != "status"],
-        F.coalesce(F.col("e.status"), F.lit("OPEN")).alias("status"),
-        F.col("e.investigation_notes").alias("investigation_notes"),
-        F.coalesce(F.col("e.hipaa_notification_required"), F.lit(False)).alias("hipaa_notification_required"),
-        F.col("e.notification_deadline").alias("notification_deadline"),
-        F.col("e.closed_at").alias("closed_at"),
-    )
-
-
-def case_state_inline(suspects: DataFrame, events: list[Column]) -> DataFrame:
-    """K9 when a suspect's status events ride on its own row (each a struct led by
-    event_at, or null): the latest is ``array_max`` of the non-null ones. A pure
-    projection: no shuffle, no join, no second pass over the suspects."""
-    arr = F.filter(F.array(*events), lambda e: e.isNotNull())
-    last = F.array_max(arr)
-    out = suspects.drop("status").withColumn("_e", last)
-    return out.select(
-        *[c for c in suspects.columns if c != "status"],
-        F.coalesce(F.col("_e.status"), F.lit("OPEN")).alias("status"),
-        F.col("_e.investigation_notes").alias("investigation_notes"),
-        F.coalesce(F.col("_e.hipaa_notification_required"), F.lit(False)).alias("hipaa_notification_required"),
-        F.col("_e.notification_deadline").alias("notification_deadline"),
-        F.col("_e.closed_at").alias("closed_at"),
-    )
-
-
-def case_event_struct(event_at: Column, status: Column, actor: str = "SECURITY_ANALYST", notify_days: int = 60,
-                      notes: Column | None = None) -> Column:
-    """One status event as a struct (null when event_at is null)."""
-    confirmed = status == F.lit("CONFIRMED_BREACH")
-    ev = F.struct(
-        event_at.alias("event_at"),
-        status.alias("status"),
-        (notes if notes is not None else F.lit(None).cast("string")).alias("investigation_notes"),
-        F.lit(actor).alias("actor"),
-        confirmed.alias("hipaa_notification_required"),
-        F.when(confirmed, F.date_add(F.to_date(event_at), notify_days)).alias("notification_deadline"),
-        F.when(status.isin("CLEARED", "CONFIRMED_BREACH"), event_at).alias("closed_at"),
-    )
-    return F.when(event_at.isNotNull(), ev)
-
-
 # ---------------------------------------------------------------------------
 # Audit events derived from the query log (scoped, privacy-safe).
 # ---------------------------------------------------------------------------
 
-def audit_events_from_queries(qh: DataFrame, phi_columns: list[str], now: _dt.datetime) -> DataFrame:
-    """One audit row per query: SHA-256 of the text instead of the text, the PHI
-    columns the text names, masking flags; hospital ids come from the result."""
-    text_upper = F.upper(F.col("query_text"))
-    touched = F.filter(F.array(*[F.lit(c) for c in phi_columns]), lambda c: text_upper.contains(c))
-    return qh.select(
-        F.concat(F.lit("QL-"), F.col("query_id")).alias("log_id"),
-        F.col("start_time").alias("event_time"),
-        F.lit("DML_INSERT").alias("event_type"),
-        "query_id", "session_id", "user_name", "role_name", "warehouse_name", "database_name",
-        F.lit("CLINICAL").alias("schema_name"), F.lit("PATIENTS").alias("table_name"),
+def audit_events_from_queries(qh: DataFrame, columns: DataFrame, role_map: DataFrame, now: _dt.datetime,
+                              session_schema: str = "PUBLIC") -> DataFrame:
+    """Audit rows of the statements in a query log: SHA-256 of the text instead of the text, and what it did.
+
+    Event type, tables and PHI columns follow the names in the text (``functions.sqltext``), resolved against
+    the column catalog (table_catalog, table_schema, table_name, column_name): one row per known table that a
+    statement names, or one for its first table, or for none. Reads are no audit events. The hospitals are
+    those that the text asks for, else those that the role's grants open on that day; the flags say whether
+    the role is under masks and under the row policy. Catalog and grants have one row per table and role,
+    so the joins multiply nothing, and the plan runs on a stream too."""
+    known = columns.groupBy(
+        F.col("table_catalog").alias("database_name"), F.col("table_schema").alias("schema_name"), "table_name").agg(
+        F.collect_set(F.upper("column_name")).alias("_columns"))
+    grants = role_map.groupBy(F.col("mapped_role").alias("role_name")).agg(F.collect_set(
+        F.struct("hospital_id", "effective_from", "effective_to")).alias("_grants"))
+    ev = qh.withColumn("_names", S.names(F.col("query_text")))
+    ev = ev.withColumn("event_type", S.event_type(F.col("_names"))).where(F.col("event_type").isNotNull())
+    nothing = F.array(F.struct(F.col("database_name"), F.lit(session_schema).alias("schema_name"), F.lit("NONE").alias("table_name")))
+    named = S.tables(F.col("_names"), F.col("database_name"), F.lit(session_schema))
+    ev = ev.withColumn("_tables", named).withColumn("_tables", F.when(F.size("_tables") > 0, F.col("_tables")).otherwise(nothing))
+    ev = ev.select("*", F.posexplode("_tables").alias("_place", "_t")).drop("database_name", "_tables").select(
+        "*", "_t.database_name", "_t.schema_name", "_t.table_name").drop("_t")
+    ev = ev.join(known, ["database_name", "schema_name", "table_name"], "left").where(
+        (F.col("_place") == 0) | F.col("_columns").isNotNull()).join(grants, "role_name", "left")
+    day = F.to_date("start_time")
+    open_now = F.filter("_grants", lambda g: (g["effective_from"] <= day) & (g["effective_to"].isNull() | (g["effective_to"] >= day)))
+    asked = S.literals_of(F.col("query_text"), "hospital_id")
+    hospitals = F.when(F.size(asked) > 0, asked).otherwise(F.array_distinct(F.transform(open_now, lambda g: g["hospital_id"])))
+    place = F.when(F.col("_place") > 0, F.concat(F.lit("-"), F.col("_place").cast("string"))).otherwise("")
+    no_columns = F.array().cast("array<string>")
+    return ev.select(
+        F.concat(F.lit("QL-"), F.col("query_id"), place).alias("log_id"),
+        F.col("start_time").alias("event_time"), "event_type",
+        "query_id", "session_id", "user_name", "role_name", "warehouse_name", "database_name", "schema_name", "table_name",
         F.col("rows_produced").alias("rows_affected"),
-        touched.alias("phi_columns_accessed"),
+        S.columns_named(F.col("_names"), F.coalesce("_columns", no_columns)).alias("phi_columns_accessed"),
+        F.array_sort(F.coalesce(hospitals, F.array().cast("array<string>"))).alias("hospital_ids_in_result"),
+        (~F.col("role_name").isin(*FULL_ACCESS_ROLES)).alias("masking_applied"),
+        (~F.col("role_name").isin(*ROW_BYPASS_ROLES)).alias("row_access_applied"),
         F.sha2(F.col("query_text"), 256).alias("query_text_hash"),
         ts_lit(now).alias("inserted_at"),
         F.lit("AUDIT_WRITER").alias("inserted_by_role"),

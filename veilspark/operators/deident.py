@@ -70,8 +70,13 @@ def safe_harbor(patients: DataFrame, as_of: _dt.date, mrn_salt: str) -> DataFram
     )
 
 
-def limited_data_set(patients: DataFrame, mrn_salt: str) -> DataFrame:
-    """Identifiers removed; ZIP3, birth year, state and service dates kept."""
+def limited_data_set(patients: DataFrame, mrn_salt: str, role: str | None = None, agreement: str | None = None) -> DataFrame:
+    """Identifiers removed; ZIP3, birth year, state and service dates kept. Only the HIPAA officer may
+    produce it, and only under a data use agreement, whose reference is asked for."""
+    if role != "HIPAA_OFFICER":
+        raise PermissionError(f"role {role} may not produce a limited data set (HIPAA_OFFICER only)")
+    if not agreement:
+        raise ValueError("a limited data set needs the reference of its data use agreement")
     df = zip3_safe(patients, "patient_zip")
     return df.select(
         sha_token(F.col("patient_mrn"), mrn_salt, "MRN-", 12).alias("patient_token"),
@@ -125,3 +130,15 @@ def revenue_cycle(claims: DataFrame, min_cell: int = 11) -> DataFrame:
                        "medication_name").agg(
         F.count(F.lit(1)).alias("claims"), F.round(F.sum("claim_amount"), 2).alias("total_amount"))
     return g.where(F.col("claims") >= min_cell)
+
+
+def quality_metrics(mart: DataFrame, min_cell: int = 11) -> DataFrame:
+    """Stays per state and admission year from the de-identified mart: long stays (over a week), same-day
+    discharges, and records without a diagnosis or an age; cells under `min_cell` are withheld."""
+    share = lambda test: F.round(F.count_if(test) / F.count(F.lit(1)), 4)
+    g = mart.groupBy("state", "admission_year").agg(
+        F.count(F.lit(1)).alias("stays"), F.round(F.avg("length_of_stay"), 4).alias("avg_length_of_stay"),
+        share(F.col("length_of_stay") > 7).alias("long_stay_share"),
+        share(F.col("length_of_stay") == 0).alias("same_day_share"),
+        share(F.col("dx_category").isNull() | F.col("age_at_admission").isNull()).alias("incomplete_share"))
+    return g.where(F.col("stays") >= min_cell)

@@ -18,9 +18,11 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..context import FULL_ACCESS_ROLES, PHI_DATABASES, ROW_BYPASS_ROLES
+from ..functions.addresses import AddressSet, network_key, networks_of
 from ..functions.timefns import date_lit, local_hour, ts_lit
 
 # Fixed values from the reference detector.
@@ -223,35 +225,35 @@ def unusual_role_access(log: DataFrame, as_of: _dt.datetime, detect_days: int =
     """T4 UNUSUAL_ROLE_ACCESS: a (role, ip) pair first seen inside the detection
     period although the role was already active before it (role used from a new IP).
 
-    Two grouped aggregates (both combinable map-side) and one join on role."""
+    One scan: pairs are one combinable aggregate, and a role's own start is the least of its
+    pairs' starts, a window over pairs (not over events)."""
     start = ts_lit(as_of) - F.expr(f"INTERVAL {int(detect_days)} DAYS")
-    src = log.where(F.col(time_col) < ts_lit(as_of))
-    pairs = src.groupBy("role_name", "client_ip").agg(
+    pairs = log.where(F.col(time_col) < ts_lit(as_of)).groupBy("role_name", "client_ip").agg(
         F.min(time_col).alias("first_seen"),
         F.min_by("user_name", F.struct(F.col(time_col), F.col("log_id"))).alias("first_user"),
         F.count(F.lit(1)).alias("events"),
     )
-    role_start = src.groupBy("role_name").agg(F.min(time_col).alias("role_first_seen"))
-    return (pairs.where(F.col("first_seen") >= start)
-            .join(role_start, "role_name")
-            .where(F.col("role_first_seen") < start)
-            .select("role_name", "client_ip", "first_seen", "first_user", "events"))
+    with_start = pairs.withColumn("role_first_seen", F.min("first_seen").over(W.partitionBy("role_name")))
+    return with_start.where((F.col("first_seen") >= start) & (F.col("role_first_seen") < start)).select(
+        "role_name", "client_ip", "first_seen", "first_user", "events")
+
+
+#: units in which open failures are carried on, from the bucket up; None: a user's whole time
+CARRY_UNITS = ("DAY", "MONTH", None)
 
 
 def repeated_failures(logins: DataFrame, min_failures: int = 5, bucket: str = "1 hour") -> DataFrame:
     """T5 REPEATED_FAILURE: more than `min_failures` failed logins followed by a success.
 
-    Every failure belongs to the next success of the same user. A plain window
-    over each user would put a hot account's whole history in one task, so it
-    runs in two phases:
-    (1) inside each (user, time bucket) a window numbers successes; rows are
-        grouped into segments closed by a success, plus one open tail per bucket;
-    (2) the open tails carry into the first segment of the next bucket that has
-        a success. That stitching runs over one summary row per bucket, not per
-        event, so its per-user state is bounded by the number of buckets.
+    Every failure belongs to the next success of the same user. A run of failures with the
+    success that closes it, or without one yet, is an associative summary: (failures, first
+    failure, success or none). Runs are found inside each (user, bucket) and then combined by a
+    prefix scan over units of growing length (bucket, day, month, all): in a unit the open runs
+    before a success join it, so at most two summaries leave the unit, the first closed
+    run (failures of earlier units may still join it) and the open rest. A run closed by a
+    later success of its unit is complete and goes on alone, or out if it is too short to
+    report. One scan of the log; no step sorts more of a user's rows than one unit has.
     """
-    from pyspark.sql import Window as W
-
     ev = logins.select(
         "user_name",
         F.col("event_timestamp").alias("ts"),
@@ -259,36 +261,31 @@ def repeated_failures(logins: DataFrame, min_failures: int = 5, bucket: str = "1
         F.window("event_timestamp", bucket).start.alias("bucket"),
     )
     # failures sort before a success at the same instant
-    w_in = W.partitionBy("user_name", "bucket").orderBy("ts", "ok").rowsBetween(W.unboundedPreceding, -1)
-    ev = ev.withColumn("seg", F.coalesce(F.sum(F.col("ok").cast("int")).over(w_in), F.lit(0)))
-    groups = ev.groupBy("user_name", "bucket", "seg").agg(
+    earlier = lambda *keys: W.partitionBy(*keys).rowsBetween(W.unboundedPreceding, -1)
+    ev = ev.withColumn("seg", F.coalesce(F.sum(F.col("ok").cast("int")).over(
+        earlier("user_name", "bucket").orderBy("ts", "ok")), F.lit(0)))
+    runs = ev.groupBy("user_name", "bucket", "seg").agg(
         F.sum((~F.col("ok")).cast("int")).alias("fails"),
-        F.min(F.when(F.col("ok"), F.col("ts"))).alias("success_at"),
         F.min(F.when(~F.col("ok"), F.col("ts"))).alias("first_fail"),
-    )
-    open_g = F.col("success_at").isNull()
-    summary = groups.groupBy("user_name", "bucket").agg(
-        F.max((~open_g).cast("int")).alias("has_success"),
-        F.sum(F.when(open_g, F.col("fails")).otherwise(F.lit(0))).alias("tail_fails"),
-        F.min(F.when(open_g, F.col("first_fail"))).alias("tail_first"),
-    )
-    w_user = W.partitionBy("user_name").orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
-    summary = summary.withColumn("k", F.sum("has_success").over(w_user))
-    # failures left open since the k-th success bucket carry into the (k+1)-th
-    carry = summary.groupBy("user_name", "k").agg(
-        F.sum("tail_fails").alias("carry_fails"), F.min("tail_first").alias("carry_first")
-    ).select("user_name", (F.col("k") + 1).alias("k"), "carry_fails", "carry_first")
-    closed = groups.where(~open_g).join(summary.select("user_name", "bucket", "k"), ["user_name", "bucket"])
-    closed = closed.join(carry, ["user_name", "k"], "left")
-    first_seg = F.col("seg") == 0
-    out = closed.select(
-        "user_name",
-        "success_at",
-        (F.col("fails") + F.when(first_seg, F.coalesce("carry_fails", F.lit(0))).otherwise(F.lit(0)))
-        .cast("bigint").alias("failures"),
-        F.when(first_seg, F.least("carry_first", "first_fail")).otherwise(F.col("first_fail")).alias("first_failure"),
-    )
-    return out.where(F.col("failures") > min_failures)
+        F.min(F.when(F.col("ok"), F.col("ts"))).alias("success_at"),
+    ).select("user_name", F.col("bucket").alias("unit"), F.col("seg").alias("place"), "fails", "first_fail", "success_at",
+             ((F.col("seg") > 0) & F.col("success_at").isNotNull()).alias("complete"))
+    reportable = ~F.col("complete") | (F.col("fails") > min_failures)
+    for unit in CARRY_UNITS:
+        runs = runs.where(reportable).select(
+            "*", (F.date_trunc(unit, "unit") if unit else F.lit("1970-01-01").cast("timestamp")).cast("timestamp_ntz").alias("up"),
+            # a complete run is a group of its own
+            F.when(F.col("complete"), F.xxhash64("unit", "place", "success_at")).alias("alone"))
+        closed = F.col("success_at").isNotNull()
+        k = F.coalesce(F.sum(closed.cast("int")).over(
+            earlier("user_name", "up", "alone").orderBy("unit", "place")), F.lit(0))
+        runs = runs.withColumn("k", k).groupBy("user_name", "up", "alone", "k").agg(
+            F.sum("fails").alias("fails"), F.min("first_fail").alias("first_fail"),
+            F.max("success_at").alias("success_at"), F.max("complete").alias("complete"))
+        runs = runs.select("user_name", F.col("up").alias("unit"), F.col("k").alias("place"), "fails", "first_fail", "success_at",
+                           (F.col("complete") | ((F.col("k") > 0) & F.col("success_at").isNotNull())).alias("complete"))
+    return runs.where(F.col("success_at").isNotNull() & (F.col("fails") > min_failures)).select(
+        "user_name", "success_at", F.col("fails").cast("bigint").alias("failures"), F.col("first_fail").alias("first_failure"))
 
 
 def cross_hospital_attempts(log: DataFrame, role_map: DataFrame) -> DataFrame:
@@ -329,15 +326,24 @@ PHI_COLUMN_NAMES = (
 )
 
 
+def _phi_columns_read() -> Column:
+    phi = F.array(*[F.lit(c) for c in PHI_COLUMN_NAMES])
+    lowered = F.transform("phi_columns_accessed", lambda c: F.lower(c))
+    return F.array_join(F.array_sort(F.array_intersect(lowered, phi)), ",")
+
+
+def _bypasses_policy(exempt_roles=FULL_ACCESS_ROLES) -> Column:
+    phi = F.array(*[F.lit(c) for c in PHI_COLUMN_NAMES])
+    lowered = F.transform("phi_columns_accessed", lambda c: F.lower(c))
+    return (F.arrays_overlap(lowered, phi) & ~F.coalesce("masking_applied", F.lit(False))
+            & ~F.col("role_name").isin(*exempt_roles))
+
+
 def policy_bypass_attempts(log: DataFrame, exempt_roles=FULL_ACCESS_ROLES) -> DataFrame:
     """T8 POLICY_BYPASS_ATTEMPT: PHI columns read without masking by a non-exempt role
     (an unknown masking flag counts as unmasked)."""
-    phi = F.array(*[F.lit(c) for c in PHI_COLUMN_NAMES])
-    lowered = F.transform("phi_columns_accessed", lambda c: F.lower(c))
-    return log.where(
-        F.arrays_overlap(lowered, phi) & ~F.coalesce("masking_applied", F.lit(False)) & ~F.col("role_name").isin(*exempt_roles)
-    ).select("log_id", "event_time", "user_name", "role_name",
-             F.array_join(F.array_sort(F.array_intersect(lowered, phi)), ",").alias("phi_columns"))
+    return log.where(_bypasses_policy(exempt_roles)).select(
+        "log_id", "event_time", "user_name", "role_name", _phi_columns_read().alias("phi_columns"))
 
 
 def dev_large_results(log: DataFrame, max_rows: int = 1000) -> DataFrame:
@@ -366,84 +372,47 @@ ALLOWED_CIDRS = (
 BREAK_GLASS_CIDR = "172.16.200.0/28"
 
 
-_OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-IPV4 = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"
+def allowed_networks(cidrs=ALLOWED_CIDRS) -> AddressSet:
+    return AddressSet.of(cidr for cidr, _ in cidrs)
 
 
-def ip_to_long(ip: Column) -> Column:
-    """Dotted IPv4 -> number. Anything but four octets of 0-255 (IPv6 too) is null, which no range holds."""
-    octet = lambda n: F.split_part(ip, F.lit("."), F.lit(n)).try_cast("bigint")
-    number = ((octet(1) * 256 + octet(2)) * 256 + octet(3)) * 256 + octet(4)
-    return F.when(ip.rlike(IPV4), number)
+def allow_list(spark, cidrs=ALLOWED_CIDRS) -> DataFrame:
+    """The networks as rows: cidr, site, and the key that match_cidrs joins on."""
+    rows = [(cidr, site, *network_key(cidr)) for cidr, site in cidrs]
+    return spark.createDataFrame(rows, "cidr string, site string, family int, prefix_len int, hi bigint, lo bigint")
 
 
-def _cidr_rows(cidrs):
-    rows = []
-    for cidr, site in cidrs:
-        base, bits = cidr.split("/")
-        a, b, c, d = (int(x) for x in base.split("."))
-        bits = int(bits)
-        size = 1 << (32 - bits)
-        lo = ((a << 24) | (b << 16) | (c << 8) | d) & ~(size - 1) & 0xFFFFFFFF
-        rows.append((cidr, bits, lo, lo + size - 1, site))
-    return rows
+def match_cidrs(df: DataFrame, ip_col: str, ranges: DataFrame, lengths=None) -> DataFrame:
+    """J7 range join as an equi-join: each address is expanded into one network per
+    (family, prefix length) of the list, then joined on the network. No nested-loop join,
+    whatever the list size. ``lengths`` names the prefix lengths that the list has; if it
+    is not given, a job reads them (at most 33 and 129 rows)."""
+    if lengths is None:
+        lengths = [tuple(r) for r in ranges.select("family", "prefix_len").distinct().collect()]
+    keyed = df.withColumn("_k", F.explode(networks_of(F.col(ip_col), lengths)))
+    r = ranges.select(F.struct("family", "prefix_len", "hi", "lo").alias("_k"), "cidr", "site")
+    return keyed.join(r, "_k").drop("_k")
 
 
-def allow_list(spark, cidrs=ALLOWED_CIDRS) -> DataFrame:
-    return spark.createDataFrame(_cidr_rows(cidrs), "cidr string, prefix_len int, lo bigint, hi bigint, site string")
-
-
-def match_cidrs(df: DataFrame, ip_col: str, ranges: DataFrame) -> DataFrame:
-    """J7 range join as an equi-join: each address is expanded into one network key
-    per distinct prefix length of the list (a handful), then joined on
-    (prefix_len, network). No nested-loop join, whatever the list size."""
-    lens = sorted({r[0] for r in ranges.select("prefix_len").distinct().collect()})
-    ip = ip_to_long(F.col(ip_col))
-    keys = F.array(*[
-        F.struct(F.lit(n).alias("prefix_len"),
-                 (F.floor(ip / F.lit(1 << (32 - n))) * F.lit(1 << (32 - n))).cast("bigint").alias("network"))
-        for n in lens
-    ])
-    exploded = df.withColumn("_k", F.explode(keys)).select(
-        "*", F.col("_k.prefix_len").alias("_len"), F.col("_k.network").alias("_net")).drop("_k")
-    r = ranges.select(F.col("prefix_len").alias("_len"), F.col("lo").alias("_net"), "cidr", "site")
-    return exploded.join(r, ["_len", "_net"]).drop("_len", "_net")
-
-
-def in_cidrs(ip_long: Column, cidrs: list[tuple[int, int]]) -> Column:
-    """True when the address number lies in one of the CIDR blocks, given as
-    (prefix_len, network). One hash-set lookup (InSet) per distinct prefix
-    length: the address is referenced a handful of times, not twice per block.
-    No join, no shuffle, valid on a stream."""
-    by_len: dict[int, set] = {}
-    for n, net in cidrs:
-        by_len.setdefault(int(n), set()).add(int(net) >> (32 - int(n)))
-    cond = F.lit(False)
-    for n, nets in sorted(by_len.items()):
-        cond = cond | F.shiftright(ip_long, 32 - n).isin(*sorted(nets))
-    return cond
-
-
-def is_outside(ip: Column, cidrs: list[tuple[int, int]]) -> Column:
-    """Whether an address is in none of the CIDR blocks (null and malformed addresses count as outside)."""
-    v = ip_to_long(ip)
-    return v.isNull() | ~in_cidrs(v, cidrs)
-
-
-def outside_ranges(df: DataFrame, ip_col: str, cidrs: list[tuple[int, int]]) -> DataFrame:
-    """Rows whose address is in none of the CIDR blocks."""
-    return df.where(is_outside(F.col(ip_col), cidrs))
+def is_outside(ip: Column, networks: AddressSet) -> Column:
+    """Whether an address is in none of the networks (null and malformed addresses count as outside)."""
+    return ~networks.holds(ip)
+
+
+def outside_ranges(df: DataFrame, ip_col: str, networks: AddressSet) -> DataFrame:
+    """Rows whose address is in none of the networks."""
+    return df.where(is_outside(F.col(ip_col), networks))
 
 
 def outside_allow_list(df: DataFrame, ip_col: str, cidrs=ALLOWED_CIDRS) -> DataFrame:
     """Rows whose address is in no allowed range. The allow list is configuration, given
-    as (cidr, site) rows: the test is one expression per row, whatever its length."""
-    return outside_ranges(df, ip_col, [(r[1], r[2]) for r in _cidr_rows(cidrs)])
+    as (cidr, site) rows of IPv4 or IPv6 networks: one search per row, no join, no shuffle."""
+    return outside_ranges(df, ip_col, allowed_networks(cidrs))
 
 
 def break_glass_use(df: DataFrame, ip_col: str, spark) -> DataFrame:
-    bg = allow_list(spark, [c for c in ALLOWED_CIDRS if c[0] == BREAK_GLASS_CIDR])
-    return match_cidrs(df, ip_col, bg)
+    own = [c for c in ALLOWED_CIDRS if c[0] == BREAK_GLASS_CIDR]
+    return match_cidrs(df, ip_col, allow_list(spark, own), [network_key(c)[:2] for c, _ in own])
 
 
 # Event types kept by the scoped audit.
@@ -456,7 +425,7 @@ def in_audit_scope(event_type: Column, client_ip: Column, cidrs=ALLOWED_CIDRS) -
     keep = event_type.isin(*SCOPED_EVENT_TYPES)
     for p in SCOPED_EVENT_PREFIXES:
         keep = keep | event_type.startswith(p)
-    return F.coalesce(keep, F.lit(False)) | is_outside(client_ip, [(r[1], r[2]) for r in _cidr_rows(cidrs)])
+    return F.coalesce(keep, F.lit(False)) | is_outside(client_ip, allowed_networks(cidrs))
 
 
 def audit_scope(log: DataFrame, cidrs=ALLOWED_CIDRS) -> DataFrame:
@@ -464,24 +433,48 @@ def audit_scope(log: DataFrame, cidrs=ALLOWED_CIDRS) -> DataFrame:
     return log.where(in_audit_scope(F.col("event_type"), F.col("client_ip"), cidrs))
 
 
+def with_alert_lookups(log: DataFrame, role_map: DataFrame, terminations: DataFrame) -> DataFrame:
+    """The log with the grants of each event's role (an array: a role's hospitals and periods) and the
+    first termination of its user. Both tables have one row per key, so no event is multiplied."""
+    grants = role_map.groupBy(F.col("mapped_role").alias("_role")).agg(F.collect_set(
+        F.struct("hospital_id", "effective_from", "effective_to")).alias("_grants"))
+    ends = terminations.groupBy(F.col("user_name").alias("_user")).agg(F.min("terminated_at").alias("_terminated_at"))
+    return (log.join(grants, F.col("role_name") == F.col("_role"), "left")
+            .join(ends, F.col("user_name") == F.col("_user"), "left").drop("_role", "_user"))
+
+
+def alerts_of_event(networks: AddressSet, hours: int = 24, max_rows: int = 1000) -> Column:
+    """All alerts (trigger_type, detail) of one event with its lookups, as an array: T6 to T10."""
+    alert = lambda kind, detail: F.struct(
+        F.lit(kind).alias("trigger_type"), detail.cast("string").alias("detail"))
+    none = F.array().cast("array<struct<trigger_type:string,detail:string>>")
+    when = lambda test, found: F.when(F.coalesce(test, F.lit(False)), found).otherwise(none)
+    day = F.to_date("event_time")
+
+    def held(hospital: Column) -> Column:
+        return F.coalesce(F.exists("_grants", lambda g: (g["hospital_id"] == hospital) & (g["effective_from"] <= day)
+                                   & (g["effective_to"].isNull() | (g["effective_to"] >= day))), F.lit(False))
+
+    t6 = when(~F.col("role_name").isin(*ROW_BYPASS_ROLES) & F.col("hospital_ids_in_result").isNotNull(), F.transform(
+        F.filter("hospital_ids_in_result", lambda h: ~held(h)), lambda h: alert("CROSS_HOSPITAL_ATTEMPT", h)))
+    near_end = F.col("event_time") >= F.col("_terminated_at") - F.expr(f"INTERVAL {int(hours)} HOURS")
+    t7 = when(near_end, F.array(alert("AFTER_TERMINATION", F.col("_terminated_at"))))
+    t8 = when(_bypasses_policy(), F.array(alert("POLICY_BYPASS_ATTEMPT", _phi_columns_read())))
+    t9 = when(is_outside(F.col("client_ip"), networks), F.array(alert("OUTSIDE_ALLOW_LIST", F.col("client_ip"))))
+    t10 = when((F.col("client_environment") == "DEV") & (F.col("rows_affected") > max_rows),
+               F.array(alert("DEV_LARGE_RESULT", F.col("rows_affected"))))
+    return F.concat(t6, t7, t8, t9, t10)
+
+
 def event_alerts(log: DataFrame, role_map: DataFrame, terminations: DataFrame,
-                 allow_ranges: list[tuple[int, int]] | None = None) -> DataFrame:
-    # allow_ranges: (prefix_len, network) CIDR blocks; default the production allow list
+                 networks: AddressSet | None = None) -> DataFrame:
     """T6-T10 as one feed of per-event alerts with a common schema
     (trigger_type, log_id, event_time, user_name, role_name, detail).
 
-    Every branch is a filter, an explode or a join against a static table, so the same
-    plan runs in batch and as a stream-static Structured Streaming query."""
-    allow = allow_ranges if allow_ranges is not None else [(r[1], r[2]) for r in _cidr_rows(ALLOWED_CIDRS)]
-    base = ["log_id", "event_time", "user_name", "role_name"]
-    t6 = cross_hospital_attempts(log, role_map).select(
-        F.lit("CROSS_HOSPITAL_ATTEMPT").alias("trigger_type"), *base, F.col("hospital_id").alias("detail"))
-    t7 = after_termination(log, terminations).select(
-        F.lit("AFTER_TERMINATION").alias("trigger_type"), *base, F.col("terminated_at").cast("string").alias("detail"))
-    t8 = policy_bypass_attempts(log).select(
-        F.lit("POLICY_BYPASS_ATTEMPT").alias("trigger_type"), *base, F.col("phi_columns").alias("detail"))
-    t9 = outside_ranges(log, "client_ip", allow).select(
-        F.lit("OUTSIDE_ALLOW_LIST").alias("trigger_type"), *base, F.col("client_ip").alias("detail"))
-    t10 = dev_large_results(log).select(
-        F.lit("DEV_LARGE_RESULT").alias("trigger_type"), *base, F.col("rows_affected").cast("string").alias("detail"))
-    return t6.unionByName(t7).unionByName(t8).unionByName(t9).unionByName(t10)
+    One scan of the log: every event meets its role's grants and its user's termination, and
+    an array of its alerts is exploded. The same plan runs in batch and as a stream-static
+    Structured Streaming query."""
+    rows = with_alert_lookups(log, role_map, terminations)
+    found = F.explode(alerts_of_event(networks if networks is not None else allowed_networks()))
+    return rows.select("log_id", "event_time", "user_name", "role_name", found.alias("a")).select(
+        "a.trigger_type", "log_id", "event_time", "user_name", "role_name", "a.detail")

@@ -1,4 +1,4 @@
-"""Scorecard (V19), three-control status (V24) and the weekly check run (K7)."""
+"""Scorecard (V19) and three-control status."""
 
 from __future__ import annotations
 
@@ -7,53 +7,34 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timefns import ts_lit
+from .check_run import check_counts, grant_facts, policy_facts, task_facts
 
 # Result ranking of the scorecard.
 RESULT_RANK = {"CRITICAL FAIL": 1, "FAIL": 2, "WARNING": 3, "REVIEW": 4}
 
 
-def _check(df: DataFrame, category: str, name: str, result: Column, detail: Column) -> DataFrame:
-    """One always-present row: a global count over df, then the verdict."""
-    n = df.agg(F.count(F.lit(1)).alias("n"))
-    return n.select(F.lit(category).alias("category"), F.lit(name).alias("check_name"),
-                    result.alias("result"), detail.alias("detail"), F.col("n").cast("bigint").alias("n"))
-
-
-def _count_text(suffix: str) -> Column:
-    return F.concat(F.col("n").cast("string"), F.lit(suffix))
-
-
-def scorecard(privs: DataFrame, row_policies: DataFrame, masking_policies: DataFrame, tasks: DataFrame,
-              as_of: _dt.datetime, task_name: str = "DLP_MONITORING_TASK") -> DataFrame:
-    """Five checks, severity-ordered. The task check always yields a row
-    (FAIL when there was no successful run in the last hour)."""
-    n = F.col("n")
-    checks = [
-        _check(privs.where((F.col("grantee_name") == "SYSADMIN") & (F.col("object_type") == "DATABASE")
-                           & F.col("object_name").isin("RAW_DB", "CLEANSED_DB")),
-               "RBAC", "SYSADMIN PHI Access", F.when(n == 0, "PASS").otherwise("FAIL"),
-               _count_text(" privilege(s) found")),
-        _check(privs.where((F.col("object_catalog") == "AUDIT_DB")
-                           & F.col("privilege_type").isin("DELETE", "UPDATE", "TRUNCATE")
-                           & (F.col("object_type") == "TABLE")),
-               "AUDIT", "Audit Table Immutability", F.when(n == 0, "PASS").otherwise("CRITICAL FAIL"),
-               _count_text(" destructive privilege(s) found")),
-        _check(row_policies.where(F.col("policy_name") == "PATIENT_HOSPITAL_ISOLATION"),
-               "POLICY", "Hospital Isolation Policy Exists", F.when(n > 0, "PASS").otherwise("FAIL"),
-               _count_text(" row-access policies found")),
-        _check(masking_policies.where(F.col("policy_name").like("MASK_%")),
-               "POLICY", "Masking Policies (expect >=12)", F.when(n >= 12, "PASS").otherwise("WARNING"),
-               _count_text(" masking policies found")),
-        _check(tasks.where((F.col("name") == task_name) & (F.col("state") == "SUCCEEDED")
-                           & (F.col("scheduled_time") >= ts_lit(as_of) - F.expr("INTERVAL 1 HOURS"))
-                           & (F.col("scheduled_time") <= ts_lit(as_of))),
-               "AUDIT", "DLP Monitoring Task Active", F.when(n > 0, "PASS").otherwise("FAIL"),
-               _count_text(" successful run(s) in the last hour")),
-    ]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
+def scorecard(ledger: DataFrame, changes: DataFrame, tasks: DataFrame, as_of: _dt.datetime) -> DataFrame:
+    """Five checks, severity-ordered, from one pass over each of the three sources (the machinery of
+    the weekly run). The task check always yields a row (FAIL when there was no successful run in the last hour)."""
+    counts = check_counts([grant_facts(ledger), policy_facts(changes), task_facts(tasks, as_of)])
+
+    def row(category: str, name: str, count: str, result: Column, suffix: str) -> Column:
+        n = F.col(count).cast("bigint")
+        return F.struct(F.lit(category).alias("category"), F.lit(name).alias("check_name"), result.alias("result"),
+                        F.concat(n.cast("string"), F.lit(suffix)).alias("detail"), n.alias("n"))
+
+    n = F.col
+    rows = F.array(
+        row("RBAC", "SYSADMIN PHI Access", "1B", F.when(n("1B") == 0, "PASS").otherwise("FAIL"), " privilege(s) found"),
+        row("AUDIT", "Audit Table Immutability", "5A", F.when(n("5A") == 0, "PASS").otherwise("CRITICAL FAIL"),
+            " destructive privilege(s) found"),
+        row("POLICY", "Hospital Isolation Policy Exists", "isolation", F.when(n("isolation") > 0, "PASS").otherwise("FAIL"),
+            " row-access policies found"),
+        row("POLICY", "Masking Policies (expect >=12)", "masks", F.when(n("masks") >= 12, "PASS").otherwise("WARNING"),
+            " masking policies found"),
+        row("AUDIT", "DLP Monitoring Task Active", "task", F.when(n("task") > 0, "PASS").otherwise("FAIL"),
+            " successful run(s) in the last hour"))
+    out = counts.select(F.explode(rows).alias("r")).select("r.*")
     rank = F.lit(5)
     for text, r in sorted(RESULT_RANK.items(), key=lambda kv: -kv[1]):
         rank = F.when(F.col("result") == text, F.lit(r)).otherwise(rank)
@@ -72,18 +53,3 @@ def three_controls(refs: DataFrame, network_flat: DataFrame, warehouses: DataFra
         F.lit("Resource monitor on PHI_WH").alias("control"), F.col("name").alias("subject"),
         F.when(F.col("resource_monitor") != "null", "ACTIVE").otherwise("MISSING").alias("status"))
     return mfa.unionByName(net).unionByName(rm)
-
-
-def as_check_rows(df: DataFrame, check_id: str, category: str, name: str, run_at: _dt.datetime,
-                  fail_when_rows: bool = True) -> DataFrame:
-    """K7: collapse an "expected 0 rows" check into one result row (count only;
-    the detail is the first few keys, bounded by a sorted limit)."""
-    n = df.agg(F.count(F.lit(1)).alias("n"))
-    return n.select(
-        ts_lit(run_at).alias("run_at"), F.lit(check_id).alias("check_id"), F.lit(category).alias("category"),
-        F.lit(name).alias("check_name"),
-        (F.when(F.col("n") == 0, "PASS").otherwise("FAIL") if fail_when_rows
-         else F.when(F.col("n") > 0, "PASS").otherwise("FAIL")).alias("result"),
-        F.col("n").cast("bigint").alias("n"),
-        F.concat(F.col("n").cast("string"), F.lit(" row(s)")).alias("detail"),
-    )

@@ -11,10 +11,12 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.timefns import date_lit, day_boundaries_between, hour_boundaries_between, is_business_day, ts_lit
 from ..operators.detect import PHI_COLUMN_NAMES
+from ..session import cut_lineage
 from ..sources.metadata import date_spine
 
 PHI_DATABASES_ALL = ("RAW_DB", "CLEANSED_DB", "AUDIT_DB", "PHI_POLICIES_DB")
@@ -206,23 +208,45 @@ def destructive_audit_privileges(privs: DataFrame) -> DataFrame:
              F.lit("CRITICAL - Destructive privilege on audit table").alias("finding"))
 
 
-def phi_role_users(roles: DataFrame, grants_to_users: DataFrame, users: DataFrame, phi_roles) -> DataFrame:
-    """V16 (6A): users per PHI role; ORPHAN when none, REVIEW when > 10.
+#: users of one chunk of a role's list
+CHUNK = 1_000
 
-    Roles left-join grants, grants left-join *active* users (the filter sits in
-    the ON clause, so deleted users count as absent, not as dropped roles)."""
+
+def role_user_chunks(roles: DataFrame, grants_to_users: DataFrame, users: DataFrame, phi_roles, size: int = CHUNK) -> DataFrame:
+    """V16/A6 without a limit: (role_name, chunk, users): each role's active users in order, in lists of ``size``,
+    numbered from 1; a role without users has one empty list.
+
+    (role, user) pairs are range-partitioned, so a role of any size lies over as many tasks as it needs; a
+    pair's number is its place in its task and the counts of the tasks before (one row per task and role).
+    The partitioning is checkpointed, as a range's bounds are sampled: numbers must come from one drawing."""
     r = roles.where(F.col("name").isin(*phi_roles)).select(F.col("name").alias("role_name"))
-    g = grants_to_users.select(F.col("role").alias("role_name"), F.col("grantee_name"))
-    u = users.where(F.col("deleted_on").isNull()).select(F.col("name").alias("grantee_name"),
-                                                         F.col("name").alias("user_name"))
-    j = r.join(g, "role_name", "left").join(u, "grantee_name", "left")
-    agg = j.groupBy("role_name").agg(
-        F.count_distinct("user_name").alias("assigned_user_count"),
-        _sorted_list("user_name").alias("assigned_users"),
-    )
+    g = grants_to_users.select(F.col("role").alias("role_name"), F.col("grantee_name").alias("user_name"))
+    u = users.where(F.col("deleted_on").isNull()).select(F.col("name").alias("user_name"))
+    pairs = g.join(r, "role_name", "left_semi").join(u, "user_name", "left_semi").select("role_name", "user_name").distinct()
+    dealt = cut_lineage(pairs.repartitionByRange("role_name", "user_name").withColumn("part", F.spark_partition_id()))
+    before = W.partitionBy("role_name").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    starts = dealt.groupBy("role_name", "part").agg(F.count(F.lit(1)).alias("n")).select(
+        "role_name", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(W.partitionBy("role_name", "part").orderBy("user_name"))
+    numbered = dealt.withColumn("place", place).join(starts, ["role_name", "part"]).select(
+        "role_name", "user_name", (F.floor((F.col("start") + F.col("place") - 1) / size) + 1).alias("chunk"))
+    lists = numbered.groupBy("role_name", "chunk").agg(F.array_sort(F.collect_list("user_name")).alias("users"))
+    return r.distinct().join(lists, "role_name", "left").select(
+        "role_name", F.coalesce("chunk", F.lit(1)).cast("bigint").alias("chunk"),
+        F.coalesce("users", F.array().cast("array<string>")).alias("users"))
+
+
+def phi_role_users(roles: DataFrame, grants_to_users: DataFrame, users: DataFrame, phi_roles, size: int = CHUNK) -> DataFrame:
+    """V16 (6A): active users per PHI role; ORPHAN when none, REVIEW when > 10. The list as text is a view of the
+    first chunk, and says how many more there are."""
+    chunks = role_user_chunks(roles, grants_to_users, users, phi_roles, size)
+    n = F.sum(F.size("users")).cast("bigint")
+    agg = chunks.groupBy("role_name").agg(n.alias("assigned_user_count"), F.max(F.when(
+        F.col("chunk") == 1, F.array_join("users", ", "))).alias("first"))
     n = F.col("assigned_user_count")
+    more = F.when(n > size, F.concat(F.lit(", … ("), (n - size).cast("string"), F.lit(" more)"))).otherwise("")
     return agg.select(
-        "role_name", "assigned_user_count", "assigned_users",
+        "role_name", "assigned_user_count", F.concat("first", more).alias("assigned_users"),
         F.when(n == 0, "ORPHAN - No users assigned").when(n > 10, "REVIEW - High user count for PHI role")
         .otherwise("OK").alias("access_check"),
     ).orderBy("role_name")

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from .catalog import register
-from .functions.timefns import ts_lit
+from .functions.timefns import months_before, ts_lit
 from .operators import audit as K
+from .operators import cases as CA
 from .operators import detect as T
+from .operators import purge as P
 from .plans import reports as R
 from .sources import bindings as B
 from .sources import metadata as M
 
 AS_OF = B.EVENTS_AS_OF
-OFF_HOURS_WINDOW = "1 day"  # at the driver's data rate a 15-minute slice almost never holds 3 queries
+SNAPSHOT_AT = B.EVENTS_AS_OF.replace(day=16)
 
 
 @register("v1_login_audit")
@@ -54,30 +58,36 @@ def t1_links(spark, sf_dir):
 
 @register("t2_off_hours_access")
 def t2(spark, sf_dir):
-    return T.off_hours_access(B.query_history(spark, sf_dir), window=OFF_HOURS_WINDOW)
+    return T.off_hours_access(B.query_history(spark, sf_dir), window="1 day")  # the 15-minute slice is t2_off_hours_access_15min
 
 
 @register("t3_suspect_feed")
 def t3(spark, sf_dir):
-    return T.suspect_feed(B.query_history(spark, sf_dir), off_hours_window=OFF_HOURS_WINDOW).withColumn(
-        "severity", T.severity(F.col("anomaly_score")))
-
-
-def suspects_with_state(spark, sf_dir):
-    """breach_suspect_log (K2) + case events (K9) -> current state, in one pass.
-
-    Analyst actions are derived per suspect: confirm the top scores after 6 h,
-    clear every third hour's alerts after 1 h, start investigating others after
-    30 min. Each action rides on its suspect's row, so the state is a projection."""
-    feed = T.suspect_feed(B.query_history(spark, sf_dir), off_hours_window=OFF_HOURS_WINDOW).withColumn(
-        "detected_at", F.col("window_end"))
-    hour = F.hour("detected_at")
-    at = (F.when(F.col("anomaly_score") >= 90, F.col("detected_at") + F.expr("INTERVAL 6 HOURS"))
-          .when(hour % 3 == 0, F.col("detected_at") + F.expr("INTERVAL 1 HOURS"))
-          .when(hour % 3 == 1, F.col("detected_at") + F.expr("INTERVAL 30 MINUTES")))
-    status = (F.when(F.col("anomaly_score") >= 90, F.lit("CONFIRMED_BREACH")).when(hour % 3 == 0, F.lit("CLEARED"))
-              .when(hour % 3 == 1, F.lit("INVESTIGATING")))
-    return K.case_state_inline(feed, [K.case_event_struct(at, status)])
+    """The 15-minute feed of both patterns, with its routing tier."""
+    return T.suspect_feed_one_pass(B.query_history(spark, sf_dir)).withColumn("severity", T.severity(F.col("anomaly_score")))
+
+
+def suspects_with_state(spark, sf_dir, suspects=None):
+    """breach_suspect_log (K2) + case events (K9) -> current state, by a snapshot and the later events.
+
+    Analyst actions are derived per suspect: half of the cases are taken up after 30 min; top scores are
+    confirmed after 6 h; of the others every third hour's are cleared after 1 h, and every sixth hour's
+    opened again after 26 h."""
+    if suspects is None:
+        suspects = T.suspect_feed_one_pass(B.query_history(spark, sf_dir)).withColumn("detected_at", F.col("window_end"))
+    hour, top = F.hour("detected_at"), F.col("anomaly_score") >= 90
+    after = lambda test, text: F.when(test, F.col("detected_at") + F.expr(f"INTERVAL {text}"))
+    assigned = F.concat(F.lit("analyst"), (hour % 4).cast("string"), F.lit("@hospital.example.org"))
+    events = [
+        CA.case_events(suspects, "INVESTIGATING", after(top | (hour % 2 == 0), "30 MINUTES"), "ANALYST", assigned, "taken up"),
+        CA.case_events(suspects, "CONFIRMED_BREACH", after(top, "6 HOURS"), "HIPAA_OFFICER", "hipaa-officer@hospital.example.org"),
+        CA.case_events(suspects, "CLEARED", after(~top & (hour % 3 == 0), "1 HOURS"), "ANALYST", None, "no breach"),
+        CA.case_events(suspects, "INVESTIGATING", after(~top & (hour % 6 == 0), "26 HOURS"), "HIPAA_OFFICER", None, "opened again"),
+    ]
+    log = reduce(lambda a, b: a.unionByName(b), events)
+    early = F.col("inserted_at") <= ts_lit(SNAPSHOT_AT)
+    snapshot = CA.fold(CA.as_states(log.where(early)))
+    return CA.with_state(suspects, CA.fold(snapshot.unionByName(CA.as_states(log.where(~early)))))
 
 
 @register("v3_open_breach_suspects")
@@ -88,10 +98,10 @@ def v3(spark, sf_dir):
 @register("k9_case_state_counts")
 def k9(spark, sf_dir):
     s = suspects_with_state(spark, sf_dir)
-    return s.groupBy("trigger_type", "status").agg(
+    return s.groupBy("trigger_type", "status", "assigned_to", "investigation_notes", "closed_by").agg(
         F.count(F.lit(1)).alias("suspects"),
         F.sum(F.col("hipaa_notification_required").cast("int")).cast("bigint").alias("notifications"),
-        F.min("notification_deadline").alias("first_deadline"))
+        F.min("notification_deadline").alias("first_deadline"), F.max("closed_at").alias("last_closed"))
 
 
 @register("v27_session_drilldown")
@@ -106,11 +116,17 @@ def t11(spark, sf_dir):
     return T.session_bulk_export(B.query_history(spark, sf_dir))
 
 
+def _as_text(df):
+    """Array columns as sorted, comma-separated text."""
+    return df.withColumns({f.name: F.array_join(F.array_sort(f.name), ",") for f in df.schema.fields
+                           if f.dataType.typeName() == "array"})
+
+
 @register("v28_access_summary_12m")
 def v28a(spark, sf_dir):
-    s = R.access_summary(B.phi_access_log(spark, sf_dir), AS_OF, days=(AS_OF - AS_OF.replace(year=AS_OF.year - 1)).days, sort=False)
-    return s.where(F.col("first_access") >= F.add_months(F.to_date(ts_lit(AS_OF)), -12)).orderBy(
-        F.col("total_rows_affected").desc())
+    since = months_before(AS_OF, 12)
+    s = R.access_summary(B.phi_access_log(spark, sf_dir), AS_OF, days=(AS_OF - since).days, sort=False)
+    return s.where(F.col("first_access") >= F.to_date(ts_lit(since))).orderBy(F.col("total_rows_affected").desc())
 
 
 @register("v28_policy_changes_12m")
@@ -122,18 +138,21 @@ def v28b(spark, sf_dir):
 
 @register("v28_break_glass_events")
 def v28c(spark, sf_dir):
-    log = B.phi_access_log(spark, sf_dir)
-    return log.where(F.col("event_type") == "BREAK_GLASS_ACCESS").select(
-        "log_id", "event_time", "user_name", "role_name", "client_ip", "rows_affected").orderBy(
-        F.col("event_time").desc())
+    """Every column of the log."""
+    log = K.conform(B.phi_access_log(spark, sf_dir))
+    return _as_text(log.where(F.col("event_type") == "BREAK_GLASS_ACCESS")).orderBy(F.col("event_time").desc())
+
+
+def _suspect_log(spark, sf_dir):
+    qh = B.query_history(spark, sf_dir)
+    return CA.suspect_log(T.suspect_feed_one_pass(qh), qh, B.phi_access_log(spark, sf_dir), AS_OF)
 
 
 @register("v28_confirmed_breaches")
 def v28d(spark, sf_dir):
-    s = suspects_with_state(spark, sf_dir)
-    return s.where(F.col("status") == "CONFIRMED_BREACH").select(
-        "suspect_id", "detected_at", "trigger_type", "suspect_user", "suspect_role", "anomaly_score",
-        "notification_deadline").orderBy(F.col("detected_at").desc())
+    """Every column of the suspect log, with its evidence and state."""
+    s = suspects_with_state(spark, sf_dir, _suspect_log(spark, sf_dir))
+    return _as_text(s.where(F.col("status") == "CONFIRMED_BREACH")).orderBy(F.col("detected_at").desc())
 
 
 @register("t4_unusual_role_access")
@@ -215,11 +234,28 @@ def k11(spark, sf_dir):
         F.count(F.lit(1)).alias("n"))
 
 
+@register("k10_purge_report")
+def k10(spark, sf_dir):
+    """Months of the hot log against what the monthly job would have archived: which may be purged."""
+    hot = B.archive_source(spark, sf_dir)
+    return P.purge_report(hot, K.archive_candidates(hot, B.ARCHIVE_AS_OF), B.ARCHIVE_AS_OF).select(
+        "year", "month", "hot_rows", "archived_rows", "verdict")
+
+
 @register("k12_audit_events_from_queries")
 def k12(spark, sf_dir):
-    ev = K.audit_events_from_queries(B.query_history(spark, sf_dir), ["PATIENTS", "CLINICAL"], AS_OF)
-    return ev.select("log_id", "event_time", "user_name", "role_name", "query_text_hash",
-                     F.array_join("phi_columns_accessed", ",").alias("phi_columns_accessed"))
+    ev = K.audit_events_from_queries(B.query_history(spark, sf_dir), M.column_catalog(spark, sf_dir),
+                                     B.hospital_role_map(spark, sf_dir), AS_OF)
+    return _as_text(ev).select(
+        "log_id", "event_time", "event_type", "user_name", "role_name", "database_name", "schema_name", "table_name",
+        "query_text_hash", "phi_columns_accessed", "hospital_ids_in_result", "masking_applied", "row_access_applied")
+
+
+@register("a5_alert_query_links")
+def a5(spark, sf_dir):
+    """related_query_ids of both patterns, as rows."""
+    qh = B.query_history(spark, sf_dir)
+    return CA.alert_links(T.suspect_feed_one_pass(qh), qh)
 
 
 CRON_AS_OF = B.EVENTS_AS_OF.replace(day=15, hour=10)
@@ -265,10 +301,8 @@ def t6_t10(spark, sf_dir):
 
 @register("k2_suspect_log")
 def k2(spark, sf_dir):
-    """K2: the 15-minute feed as rows of the suspect log (arrays as text)."""
-    rows = K.suspect_rows(T.suspect_feed_one_pass(B.query_history(spark, sf_dir), window="15 minutes"), AS_OF)
-    arrays = ("related_log_ids", "related_query_ids", "hospital_ids_involved", "phi_fields_exposed")
-    return rows.withColumns({c: F.array_join(c, ",") for c in arrays})
+    """K2: the 15-minute feed as rows of the suspect log, with its evidence (arrays as text)."""
+    return _as_text(_suspect_log(spark, sf_dir))
 
 
 @register("k5_policy_assignments")

@@ -32,7 +32,7 @@ def m14c(spark, sf_dir):
 def m15(spark, sf_dir):
     p = B.patients(spark, sf_dir).select("patient_id", "patient_ssn")
     t = tokenize_ssn(p, "patient_ssn", TOKEN_KEY, out="ssn_token")
-    back = detokenize_ssn(t, "ssn_token", TOKEN_KEY, out="ssn_back")
+    back = detokenize_ssn(t, "ssn_token", TOKEN_KEY, out="ssn_back", role="HIPAA_OFFICER")
     return back.agg(
         F.count("patient_ssn").alias("ssns"),
         F.count_distinct(F.regexp_replace("patient_ssn", "-", "")).alias("distinct_ssns"),
@@ -65,7 +65,7 @@ def m18(spark, sf_dir):
 
 
 def _lds(spark, sf_dir):
-    return DI.limited_data_set(B.patients(spark, sf_dir), B.QUERY_SALTS["mrn"])
+    return DI.limited_data_set(B.patients(spark, sf_dir), B.QUERY_SALTS["mrn"], role="HIPAA_OFFICER", agreement="DUA-2024-017")
 
 
 @register("m19_limited_data_set")
@@ -93,6 +93,11 @@ def m21b(spark, sf_dir):
     return DI.revenue_cycle(B.claims(spark, sf_dir), min_cell=11)
 
 
+@register("m21_quality_metrics")
+def m21c(spark, sf_dir):
+    return DI.quality_metrics(m17(spark, sf_dir), min_cell=11)
+
+
 @register("s11_dev_refresh_patients")
 def s11(spark, sf_dir):
     return S.deidentify_copy(B.patients(spark, sf_dir).drop("created_at", "updated_at"), DEV_KEY)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from .catalog import register
 from .operators import grants as G
-from .plans import checks as C
+from .plans import check_run as C
+from .plans import checks
 from .plans import reports as R
 from .sources import bindings as B
 from .sources import metadata as M
@@ -57,6 +58,13 @@ def v16(spark, sf_dir):
                             M.PHI_ROLES)
 
 
+@register("a6_role_user_chunks")
+def a6(spark, sf_dir):
+    """The lists of v16 as numbered chunks of three users."""
+    return R.role_user_chunks(M.roles(spark, sf_dir), M.grants_to_users(spark, sf_dir), M.users(spark, sf_dir),
+                              M.PHI_ROLES, size=3).withColumn("users", F.array_join("users", ", "))
+
+
 @register("v17_inactive_phi_users")
 def v17(spark, sf_dir):
     return R.inactive_phi_users(M.users(spark, sf_dir), M.grants_to_users(spark, sf_dir), REVIEW_AS_OF,
@@ -75,8 +83,8 @@ def v18(spark, sf_dir):
 
 @register("v19_scorecard")
 def v19(spark, sf_dir):
-    return C.scorecard(M.object_privileges(spark, sf_dir), M.row_access_policies(spark, sf_dir),
-                       M.masking_policies(spark, sf_dir), M.task_history(spark, sf_dir), EV_AS_OF)
+    return checks.scorecard(B.grant_ledger(spark, sf_dir), B.security_policy_changes(spark, sf_dir),
+                            M.task_history(spark, sf_dir), EV_AS_OF)
 
 
 @register("v20_public_phi_grants")
@@ -102,7 +110,7 @@ def v23(spark, sf_dir):
 @register("v24_three_controls")
 def v24(spark, sf_dir):
     flat = M.flatten_json(M.network_info(spark, sf_dir), "info", keep=("account",))
-    return C.three_controls(M.policy_references(spark, sf_dir), flat, M.warehouses(spark, sf_dir))
+    return checks.three_controls(M.policy_references(spark, sf_dir), flat, M.warehouses(spark, sf_dir))
 
 
 @register("v25_access_review")
@@ -192,24 +200,21 @@ def g5(spark, sf_dir):
     return G.layout_readiness(B.patients(spark, sf_dir))
 
 
+def check_sources(spark, sf_dir):
+    """Each source of the weekly run, as facts."""
+    return [
+        C.grant_facts(B.grant_ledger(spark, sf_dir)),
+        C.query_facts(B.query_history(spark, sf_dir), M.auto_suspend_of(F.col("warehouse_name"))),
+        C.policy_facts(B.security_policy_changes(spark, sf_dir)),
+        C.log_facts(B.phi_access_log(spark, sf_dir), EV_AS_OF),
+        C.mapping_facts(B.hospital_role_map(spark, sf_dir), PATIENT_AS_OF),
+        C.account_facts(M.users(spark, sf_dir), M.grants_to_users(spark, sf_dir), REVIEW_AS_OF, M.PHI_ROLES,
+                        M.INACTIVE_CHECK_ROLES),
+        C.network_facts(M.network_info(spark, sf_dir)),
+    ]
+
+
 @register("k7_validation_results")
 def k7(spark, sf_dir):
-    """The weekly run: every "expected 0 rows" check collapsed to one result row."""
-    privs = M.object_privileges(spark, sf_dir)
-    gtr = M.grants_to_roles(spark, sf_dir)
-    refs = M.policy_references(spark, sf_dir)
-    checks = [
-        (R.sysadmin_phi_access(privs), "1B", "RBAC", "SYSADMIN PHI access"),
-        (R.unmasked_phi_columns(M.column_catalog(spark, sf_dir), refs), "2B", "POLICY", "PHI columns without mask"),
-        (R.destructive_audit_privileges(privs), "5A", "AUDIT", "Destructive audit privileges"),
-        (R.public_phi_grants(gtr), "H1", "HARDENING", "PUBLIC PHI grants"),
-        (R.public_grant_option(gtr), "H2", "HARDENING", "PUBLIC grant option"),
-        (R.service_accounts_with_human_roles(M.users(spark, sf_dir), M.grants_to_users(spark, sf_dir)),
-         "H3", "HARDENING", "Service accounts with human roles"),
-        (R.warehouses_without_autosuspend(M.warehouses(spark, sf_dir)), "H4", "HARDENING", "Warehouses without auto-suspend"),
-    ]
-    out = None
-    for df, cid, cat, name in checks:
-        part = C.as_check_rows(df, cid, cat, name, EV_AS_OF)
-        out = part if out is None else out.unionByName(part)
-    return out
+    """The weekly run: checks 1A to 7B and the four hardening checks."""
+    return C.check_rows(C.check_counts(check_sources(spark, sf_dir)), EV_AS_OF)

@@ -152,7 +152,7 @@ def claims_cols(d: Dialect):
         ("account_number", f"'ACC' || {d.lp('o_custkey', 10)}"),
         ("medication_name", "CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'METFORMIN' WHEN '2' THEN 'LISINOPRIL' "
                             "WHEN '3' THEN 'ATORVASTATIN' WHEN '4' THEN 'BIKTARVY' ELSE 'AMOXICILLIN' END"),
-        ("claim_amount", "round(o_totalprice, 2)"),
+        ("claim_amount", "CAST(round(o_totalprice, 2) AS DECIMAL(12, 2))"),
         ("claim_date", "CAST(o_orderdate AS DATE)"),
     ]
 
@@ -213,12 +213,21 @@ def role_map_coverage_cols(d: Dialect):
 
 
 def query_history_cols(d: Dialect):
+    """Statements of five kinds: reads, an update of a table outside the catalog, an insert and a delete. Names
+    stand in quotes, literals and comments too, so that finding them takes more than a substring."""
     db = ("CASE event_type WHEN 'view' THEN 'CLEANSED_DB' WHEN 'click' THEN 'RAW_DB' WHEN 'purchase' THEN 'MARTS_DB' "
           "WHEN 'signup' THEN 'CLEANSED_DB' ELSE 'RAW_DB' END")
+    text = (
+        f"CASE event_type WHEN 'purchase' THEN 'UPDATE ' || {db} || '.CLINICAL.PATIENTS SET PATIENT_ZIP = ''45201'' "
+        f"WHERE HOSPITAL_ID = ''' || {hospital_of(d, 'user_id')} || ''' /* not PATIENT_SSN */' "
+        f"WHEN 'signup' THEN 'insert into ' || {db} || '.CLINICAL.PATIENTS (patient_name, \"PATIENT_DOB\") "
+        f"VALUES (''PATIENT_ZIP'', NULL) -- PRIMARY_DX_CODE' "
+        f"WHEN 'error' THEN 'DELETE FROM ' || {db} || '.EHR.PATIENTS p WHERE p.SSN IN (''PATIENT_DOB'', ''it''''s'')' "
+        f"ELSE 'SELECT * FROM ' || {db} || '.CLINICAL.PATIENTS WHERE props = ' || props END")
     user = user_name_expr(d)
     return [
         ("query_id", f"'Q' || {d.s('event_id')}"),
-        ("query_text", f"'SELECT * FROM ' || {db} || '.CLINICAL.PATIENTS WHERE props = ' || props"),
+        ("query_text", text),
         ("session_id", f"{user} || '-' || {d.s('CAST(ts AS DATE)')}"),
         ("user_name", user),
         ("role_name", role_name_expr(d)),

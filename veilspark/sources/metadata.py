@@ -19,7 +19,7 @@ network_info      one JSON settings document per account
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bindings as B
@@ -123,11 +123,16 @@ def databases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def auto_suspend_of(name: Column) -> Column:
+    """A warehouse's seconds until it suspends (0: never)."""
+    return F.when(name == "ETL_WH", F.lit(0)).otherwise(F.lit(600)).cast("bigint")
+
+
 def warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = B.query_history(spark, sf_dir).select(F.col("warehouse_name").alias("name")).distinct()
     return names.select(
         "name",
-        F.when(F.col("name") == "ETL_WH", F.lit(0)).otherwise(F.lit(600)).cast("bigint").alias("auto_suspend"),
+        auto_suspend_of(F.col("name")).alias("auto_suspend"),
         F.when(F.col("name") == "PHI_WH", F.lit("HIPAA_CREDIT_MONITOR")).otherwise(F.lit("null")).alias("resource_monitor"),
         F.lit(None).cast("timestamp_ntz").alias("deleted_on"),
     )
@@ -157,8 +162,8 @@ def policy_references(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max(F.struct("changed_at", "change_id", "change_type", "policy_name", "object_type")).alias("last")
     )
     return latest.where(F.col("last.change_type") != "POLICY_REMOVED").select(
-        F.when(F.col("last.object_type") == "ROW_ACCESS_POLICY", F.lit("ROW_ACCESS_POLICY"))
-        .otherwise(F.lit("MASKING_POLICY")).alias("policy_kind"),
+        # the kind is the changed object's own: masks, row policies, authentication policies
+        F.col("last.object_type").alias("policy_kind"),
         F.col("last.policy_name").alias("policy_name"),
         *keys,
     )

@@ -1,4 +1,5 @@
-"""Structured Streaming twins of the detectors (T1–T5) and the suspect-log sink (K2).
+"""Structured Streaming twins of the detectors and the suspect-log sink (K2); T4 and T5 are in ``stateful``,
+the sink of T6-T10 in ``alert_log``.
 
 The batch detectors are plain functions of a DataFrame with a time column, so
 the streaming job is the same plan over ``readStream`` plus a watermark:
@@ -15,11 +16,8 @@ from __future__ import annotations
 
 import datetime as _dt
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import detect as D
 from ..operators.audit import only_partitions
@@ -108,62 +106,6 @@ def start_detection_to_log(spark: SparkSession, source_dir: str, log_path: str,
     return w.start()
 
 
-def new_role_ip_stream(log_stream: DataFrame) -> DataFrame:
-    """T4 over a stream: the first event of every (role, client_ip) pair.
-    State is one entry per pair ever seen, independent of event volume."""
-    return log_stream.dropDuplicates(["role_name", "client_ip"]).select(
-        "role_name", "client_ip", F.col("event_time").alias("first_seen"), F.col("user_name").alias("first_user"))
-
-
-# --------------------------------------------------------------- T5 stateful
-
-T5_OUTPUT = T.StructType([
-    T.StructField("user_name", T.StringType()),
-    T.StructField("success_at", T.TimestampType()),
-    T.StructField("failures", T.LongType()),
-    T.StructField("first_failure", T.TimestampType()),
-])
-T5_STATE = T.StructType([
-    T.StructField("fails", T.LongType()),
-    T.StructField("first_fail", T.TimestampType()),
-])
-
-
-def _t5_update(min_failures: int):
-    def update(key, pdfs, state):
-        fails, first = (state.get if state.exists else (0, None))
-        out = []
-        chunks = list(pdfs)  # this user's events of one micro-batch (bounded by the trigger size)
-        if chunks:
-            pdf = pd.concat(chunks).sort_values(["ts", "ok"])
-            for ts, ok in zip(pdf["ts"], pdf["ok"]):
-                if ok:
-                    if fails > min_failures:
-                        out.append((key[0], ts, fails, first))
-                    fails, first = 0, None
-                else:
-                    if fails == 0:
-                        first = ts
-                    fails += 1
-        state.update((fails, first))
-        if out:
-            yield pd.DataFrame(out, columns=["user_name", "success_at", "failures", "first_failure"])
-    return update
-
-
-def repeated_failures_stream(logins_stream: DataFrame, min_failures: int = 5) -> DataFrame:
-    """T5 over a stream: per-user state is two values (open failures, first
-    failure time), so a hot account costs O(1) state, and each micro-batch
-    hands a user's new events to one pandas call."""
-    src = logins_stream.select(
-        "user_name",
-        F.col("event_timestamp").cast("timestamp").alias("ts"),
-        F.col("is_success").alias("ok"),
-    )
-    return src.groupBy("user_name").applyInPandasWithState(
-        _t5_update(min_failures), T5_OUTPUT, T5_STATE, "append", GroupStateTimeout.NoTimeout)
-
-
 # --------------------------------------------------------------- audit ingest
 
 def audit_log_writer(log_path: str, reject_path: str):
@@ -193,12 +135,12 @@ def audit_log_writer(log_path: str, reject_path: str):
 
 
 def start_audit_ingest(spark: SparkSession, source_dir: str, log_path: str, reject_path: str, checkpoint: str,
-                       phi_columns=("PATIENTS", "CLINICAL"), available_now: bool = True):
-    """Continuous audit logging from the query-log landing folder."""
+                       columns: DataFrame, role_map: DataFrame, available_now: bool = True):
+    """Continuous audit logging of statements from the query-log landing folder (column catalog and grants are static)."""
     from ..operators.audit import audit_events_from_queries
     ev = events_stream(spark, source_dir)
     qh = ev.selectExpr(*[f"{e} AS {n}" for n, e in B.query_history_cols(B.SPARK)])
-    audit = audit_events_from_queries(qh, list(phi_columns), _dt.datetime(1970, 1, 1)).withColumn(
+    audit = audit_events_from_queries(qh, columns, role_map, _dt.datetime(1970, 1, 1)).withColumn(
         "inserted_at", F.col("event_time"))
     w = audit.writeStream.option("checkpointLocation", checkpoint).foreachBatch(audit_log_writer(log_path, reject_path))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -206,5 +148,5 @@ def start_audit_ingest(spark: SparkSession, source_dir: str, log_path: str, reje
 
 
 def event_alerts_stream(log_stream: DataFrame, role_map: DataFrame, terminations: DataFrame) -> DataFrame:
-    """T6-T10 over a stream of audit events: stateless branches and stream-static joins."""
+    """T6-T10 over a stream of audit events: one pass with stream-static joins."""
     return D.event_alerts(log_stream, role_map, terminations)
