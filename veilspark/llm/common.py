@@ -33,6 +33,13 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def no_clash(df: DataFrame, *names: str) -> None:
+    """Raises if ``df`` has a column named like one that is to be added."""
+    taken = {n.lower() for n in names} & {c.lower() for c in df.columns}
+    if taken:
+        raise ValueError(f"the input already has {', '.join(sorted(taken))}: rename it, or name the output differently")
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder of ``spark.checkpoint.dir``."""
     return f"{checkpoint_dir(spark).rstrip('/')}/veilspark-llm/{uuid.uuid4().hex}/{name}"

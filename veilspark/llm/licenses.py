@@ -1,9 +1,13 @@
 """Licence scans by sentence rules: sentences -> identifiers -> ordered rules.
 
-A text is normalised to words and marks of its line feeds and sentence ends; the known
-licence sentences are found in it as runs of whole words; the sequence of identifiers
-found is matched against the rules in order, and the first rule that matches names the
-licence. All of it is one projection over native functions: no join, no shuffle, no Python.
+A text is normalised and split into sentences; each is looked up in the map from known
+licence sentences to identifiers. A sentence that is not in the map as it stands may
+hold known ones, wrapped or in a longer sentence: if one of the ``anchors`` stands in it
+(few words, chosen from the table so that every known sentence has one), the known
+sentences are found in it as runs of whole words. The sequence of a text's identifiers
+is matched against the rules in order, and the first rule that matches names the
+licence. Texts without an anchor are not even normalised: they hold no known sentence.
+All of it is one projection over native functions: no join, no shuffle, no Python.
 
 Defined cases: a null or empty text has no sentences and no licence. A sentence ends
 at a line without letters or digits, or at . ! ? before a blank or the end; a known
@@ -11,16 +15,20 @@ sentence may go on over other line feeds (wrapped headers, with or without comme
 and stand inside a longer one. Short ones (``WHOLE``) must be a whole line or sentence,
 as their words also stand in prose. Where known sentences overlap, the first and then the
 longest counts. Letters outside ASCII count as blanks. A sentence that occurs twice is in
-the sequence twice. Extra columns pass through, whatever their names.
+the sequence twice. Other columns pass through; one named like an output raises an error.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import no_clash
+
 # Identifier, normalised sentence (lower case, runs of other signs as one blank).
 SENTENCES: tuple[tuple[str, str], ...] = (
     ("apache2_short", "licensed under the apache license version 2 0"),
@@ -132,11 +140,38 @@ def known_pattern(known: Sequence[tuple[str, str]]) -> str:
                     for i, s in sorted(known, key=lambda x: -len(x[1])))
 
 
+def anchors(known: Sequence[tuple[str, str]]) -> list[str]:
+    """Words of which every known sentence has one: again and again the word that most of those left have
+    (of these the longest, then the first by the alphabet)."""
+    left, out = {s for _, s in known}, []
+    while left:
+        words = {w for s in left for w in s.split()}
+        best = min(words, key=lambda w: (-sum(w in s.split() for s in left), -len(w), w))
+        out.append(best)
+        left = {s for s in left if best not in s.split()}
+    return out
+
+
+def holds_anchor(text: Column, known: Sequence[tuple[str, str]]) -> Column:
+    """Whether an anchor is anywhere in a lower-case text (also inside a word): without one it has no known sentence."""
+    return reduce(or_, [F.contains(text, F.lit(w)) for w in anchors(known)])
+
+
 def sentence_ids(text: Column, known: Sequence[tuple[str, str]] = SENTENCES) -> Column:
     """Identifiers of the known sentences of a text, in order (the table of known sentences is a short constant)."""
     name = F.create_map(*[F.lit(x) for i, s in dict((s, i) for i, s in known).items() for x in (i, s)])
-    hit = F.regexp_extract_all(words_and_marks(text), F.lit(known_pattern(known)), F.lit(0))
-    return F.transform(hit, lambda s: F.element_at(name, F.replace(s, F.lit(" S "), F.lit(" "))))
+    plain = lambda run: F.trim(F.regexp_replace(F.concat(F.lit(" "), run, F.lit(" ")), r"( S)* ", " "))
+
+    def ids(sentence: Column) -> Column:
+        """Of one sentence with its marks."""
+        whole = F.element_at(name, plain(sentence))
+        runs = F.regexp_extract_all(F.concat(F.lit("H "), sentence, F.lit(" H")), F.lit(known_pattern(known)), F.lit(0))
+        inside = F.transform(runs, lambda r: F.element_at(name, plain(r)))
+        none = F.array().cast("array<string>")
+        return F.when(whole.isNotNull(), F.array(whole)).when(holds_anchor(sentence, known), inside).otherwise(none)
+
+    sentences = F.split(F.regexp_replace(words_and_marks(text), r"^ H | H $", ""), r" (?:H )+", -1)
+    return F.when(holds_anchor(F.lower(text), known), F.flatten(F.transform(sentences, ids)))
 
 
 def rule_pattern(ids: Sequence[str]) -> str:
@@ -148,6 +183,7 @@ def scan(docs: DataFrame, text_col: str = "text", known: Sequence[tuple[str, str
          rules: Sequence[tuple[str, str, tuple[str, ...]]] = RULES,
          out: tuple[str, str, str, str] = ("licence", "licence_class", "licence_rule", "sentence_ids")) -> DataFrame:
     """``docs`` with licence, class, number of the rule (from 1) and the identifiers, blank-separated."""
+    no_clash(docs, *out)
     ids = F.coalesce(sentence_ids(F.col(text_col), known), F.array().cast("array<string>"))
     found = docs.withColumns({out[3]: F.array_join(ids, " ")})
     seq = F.concat(F.lit(" "), F.col(out[3]), F.lit(" "))
