@@ -13,14 +13,16 @@ FROM d JOIN g ON d.s = g.s
 """
 
 OP4 = f"""
-WITH line AS (
+WITH page AS (SELECT DISTINCT source, text FROM documents),
+site AS (SELECT source, count(*) AS texts FROM page GROUP BY source),
+word_line AS (SELECT DISTINCT source, text, trim(unnest(string_split(text, chr(10))), chr(32) || chr(9) || chr(13)) AS bare FROM page),
+held AS (SELECT source, bare, count(*) AS n FROM word_line WHERE bare <> '' GROUP BY source, bare),
+gone AS (SELECT held.source, bare FROM held JOIN site ON held.source IS NOT DISTINCT FROM site.source
+         WHERE n >= {linededup.MIN_PAGES} AND n::DOUBLE / texts > {linededup.RATIO}),
+line AS (
   SELECT doc_id, source, pos, body, trim(body, chr(32) || chr(9) || chr(13)) AS bare
   FROM (SELECT doc_id, source, generate_subscripts(a, 1) AS pos, unnest(a) AS body
         FROM (SELECT doc_id, source, string_split(text, chr(10)) AS a FROM documents))),
-site AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
-held AS (SELECT source, bare, count(DISTINCT doc_id) AS n FROM line WHERE bare <> '' GROUP BY source, bare),
-gone AS (SELECT held.source, bare FROM held JOIN site ON held.source IS NOT DISTINCT FROM site.source
-         WHERE n >= {linededup.MIN_PAGES} AND n::DOUBLE / pages > {linededup.RATIO}),
 marked AS (SELECT line.*, EXISTS (SELECT 1 FROM gone WHERE gone.bare = line.bare
                                   AND gone.source IS NOT DISTINCT FROM line.source) AS off FROM line),
 rest AS (SELECT doc_id, string_agg(body, chr(10) ORDER BY pos) FILTER (WHERE NOT off) AS text,
@@ -32,20 +34,31 @@ FROM documents d LEFT JOIN rest ON d.doc_id = rest.doc_id
 
 
 def _op8() -> str:
+    """Known sentences as runs of words: every word and mark stands between two blanks of its own and marks come in
+    pairs, so that neighbouring finds share no sign and no look-around is needed."""
     q = lambda s: "'" + s.replace("'", "''") + "'"
     names = dict((s, i) for i, s in licenses.SENTENCES)
     known = ", ".join(f"({q(s)}, {q(i)})" for s, i in names.items())
     rules = ", ".join(f"({n}, {q(lic)}, {q(kind)}, {q(licenses.rule_pattern(ids))})"
                       for n, (lic, kind, ids) in enumerate(licenses.RULES, 1))
+
+    def run(sentence: str) -> str:
+        words = "(  S)*  ".join(sentence.split())
+        return f" [HS]  {words}  [HS] " if names[sentence] in licenses.WHOLE else f" {words} "
+
+    runs = "|".join(run(s) for s in sorted(names, key=lambda s: -len(s)))
     return f"""
 WITH known(sentence, id) AS (VALUES {known}),
 rule(n, licence, kind, pattern) AS (VALUES {rules}),
-cut AS (SELECT doc_id, string_split(regexp_replace(lower(regexp_replace(coalesce(text, ''), '{licenses.NOT_ASCII}', ' ', 'g')),
-        '{licenses.SENTENCE_END}', chr(10), 'g'), chr(10)) AS a FROM documents),
-sentence AS (SELECT doc_id, generate_subscripts(a, 1) AS pos, unnest(a) AS body FROM cut),
-hit AS (SELECT doc_id, pos, id FROM sentence
-        JOIN known ON trim(regexp_replace(body, '{licenses.OTHER_SIGNS}', ' ', 'g')) = known.sentence),
-seq AS (SELECT doc_id, string_agg(id, ' ' ORDER BY pos) AS ids FROM hit GROUP BY doc_id),
+ended AS (SELECT doc_id, regexp_replace(lower(regexp_replace(coalesce(text, ''), '[^\\x00-\\x7F]+', ' ', 'g')),
+  '[.!?]+([ \\t\\r]|$|\\n)', ' H ', 'g') AS t FROM documents),
+marks AS (SELECT doc_id, ' H ' || replace(regexp_replace(t, '\\n([^a-z0-9\\n]*\\n)+', ' H ', 'g'), chr(10), ' S ') || ' H ' AS t FROM ended),
+spaced AS (SELECT doc_id, replace(replace(replace(regexp_replace(t, '[^a-z0-9HS]+', ' ', 'g'), ' ', '  '),
+  ' H ', ' H  H '), ' S ', ' S  S ') AS t FROM marks),
+found AS (SELECT doc_id, regexp_extract_all(t, '{runs}') AS a FROM spaced),
+hit AS (SELECT doc_id, generate_subscripts(a, 1) AS pos, unnest(a) AS body FROM found),
+named AS (SELECT doc_id, pos, id FROM hit JOIN known ON trim(regexp_replace(regexp_replace(body, '[HS]', ' ', 'g'), ' +', ' ', 'g')) = sentence),
+seq AS (SELECT doc_id, string_agg(id, ' ' ORDER BY pos) AS ids FROM named GROUP BY doc_id),
 first_rule AS (SELECT doc_id, min(n) AS n FROM seq JOIN rule ON regexp_matches(' ' || ids || ' ', pattern) GROUP BY doc_id)
 SELECT d.doc_id, rule.licence, rule.kind AS licence_class, rule.n AS licence_rule, coalesce(seq.ids, '') AS sentence_ids
 FROM documents d LEFT JOIN seq ON d.doc_id = seq.doc_id LEFT JOIN first_rule f ON d.doc_id = f.doc_id
@@ -83,16 +96,11 @@ w{n + 1} AS MATERIALIZED (SELECT w.s, w.l, w.k, w.tokens,
             n += 1
     steps.append(f"""
 r AS MATERIALIZED (SELECT *, CASE WHEN tokens > 0 THEN weight / tokens ELSE 1.0 END AS ratio FROM w{n}),
-k0 AS (SELECT {m.BUDGET}::DOUBLE AS scale)""")
-    for i in range(m.CAP_ROUNDS):
-        steps.append(f"""
-k{i + 1} AS MATERIALIZED (SELECT coalesce(({m.BUDGET} * (SELECT total FROM amount)
-  - coalesce(sum(tokens) FILTER (WHERE ratio * scale >= 1), 0))
-  / nullif(sum(weight) FILTER (WHERE ratio * scale < 1), 0), any_value(scale)) AS scale FROM r, k{i})""")
-    return "WITH " + ",".join(steps) + f"""
+k AS (SELECT coalesce(least({m.BUDGET}, 1 / max(ratio) FILTER (WHERE tokens > 0)), {m.BUDGET}) AS scale FROM r)""")
+    return "WITH " + ",".join(steps) + """
 SELECT doc.doc_id, doc.source, doc.lang, doc.k AS topic, doc.tokens, round(least(1.0, r.ratio * scale), 6) AS p,
        ('0x' || substr(doc.draw, 1, 8))::BIGINT / 4294967296.0 < least(1.0, r.ratio * scale) AS kept
-FROM doc JOIN r ON r.s = doc.s AND r.l = doc.l AND r.k = doc.k, k{m.CAP_ROUNDS}
+FROM doc JOIN r ON r.s = doc.s AND r.l = doc.l AND r.k = doc.k, k
 """
 
 
