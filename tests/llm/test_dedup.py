@@ -1,6 +1,7 @@
 """Exact, line and near dedup on small tables, against brute force."""
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -92,16 +93,16 @@ def test_host_of(spark):
 # near -------------------------------------------------------------------------------------
 
 def brute_classes(texts, words=5, least=0.8):
-    """Classes of the shingle sets by comparing all pairs."""
+    """Classes of the counted shingles by comparing all pairs."""
     sets = []
     for t in texts:
         w = re.findall(r"[a-z0-9_\x80-\U0010ffff]+", (t or "").lower())
         n = min(words, len(w))
-        sets.append({tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if w else set())
+        sets.append(Counter(tuple(w[i:i + n]) for i in range(len(w) - n + 1)) if w else Counter())
     label = list(range(len(texts)))
     for i in range(len(texts)):
         for j in range(i):
-            if sets[i] and sets[j] and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+            if sets[i] and sets[j] and (sets[i] & sets[j]).total() >= least * (sets[i] | sets[j]).total():
                 a, b = label[i], label[j]
                 label = [min(a, b) if x in (a, b) else x for x in label]
     return label
@@ -146,9 +147,10 @@ def test_near_dedup_keeps_columns_repeats_once_and_null_ids(spark):
     assert minhash.near_dedup(docs.limit(0)).count() == 0
 
 
-def test_blocks_leave_no_link_out(spark, monkeypatch):
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_blocks_leave_no_link_out(spark, monkeypatch, rounds):
     """Buckets with several classes: bands of one row make nearly everything meet, in blocks of a few."""
-    monkeypatch.setattr(minhash, "HEADS", 1)
+    monkeypatch.setattr(minhash, "ROUNDS", rounds)
     monkeypatch.setattr(minhash, "BLOCK", 4)
     texts = copies(random.Random(8), 6)
     s = minhash.Settings(bands=24, rows=1)
@@ -156,6 +158,21 @@ def test_blocks_leave_no_link_out(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == brute_classes(texts)
 
 
+def test_a_round_makes_one_row_per_text(spark):
+    """Forty texts that share twelve buckets: each meets one head, the same few in all buckets."""
+    rows = [(b, bytes([i]), bytes([i]), bytes([0])) for b in range(12) for i in range(40)]
+    pool = spark.createDataFrame(rows, "band long, same binary, component binary, main binary").repartition(3)
+    pairs = minhash._one_head_each(pool, 0).collect()
+    assert len(pairs) == 39 and len({bytes(p["b"]) for p in pairs}) == 1
+
+
+def test_buckets_with_the_same_members_are_one(spark):
+    rows = [(1, b"x", [1, 2, 3]), (2, b"y", [1, 2, 4]), (3, b"z", [3, 5]), (4, b"z", [3, 5]), (5, None, [])]
+    sketches = spark.createDataFrame(rows, "id long, same binary, bands array<long>")
+    got = sorted((r["band"], bytes(r["same"])) for r in minhash._buckets(sketches).collect())
+    assert got == [(1, b"x"), (1, b"y"), (3, b"x"), (3, b"z")]
+
+
 @pytest.mark.parametrize("weights", ["set", "count"])
 def test_alike_matrix_is_pairwise_similarity(weights):
     sets = [minhash.shingles(t) for t in copies(random.Random(3), 8)]

@@ -1,6 +1,6 @@
 """MinHash near-dedup with DartMinHash signatures and banded joining.
 
-A text's elements are its distinct five-word shingles (weight 1, or their counts). Every
+A text's elements are its distinct five-word shingles, each weighted by how often it occurs (or 1). Every
 element owns a strip of the plane: its weight by all ranks >= 0. Darts fall on the strips
 with density 1; where they fall depends only on a hash of the element, so equal regions
 of two texts hold the same darts. A text sees the darts below its weights; each dart has
@@ -13,15 +13,21 @@ Bands of the signature are joined: texts that share a band key and may be alike
 share a bucket. Sets whose similarity reaches t differ in size by a factor of 1/t at most,
 so with size classes that grow by 1/t they are in the same class or in neighbouring ones:
 a text enters its bands' buckets of its class and of the next. This loses no pair and
-keeps texts apart that share a common passage but little else. Pairs are
-not made within a bucket. In two rounds a few heads per bucket are compared with its
-other members, by the exact similarity of the shingle sets, and components are taken of
-the links found. A head was then compared with all others and leaves the bucket; two
-members of one component need no comparing, and a bucket whose members are in one
-component is settled. That leaves buckets of texts that are close but not alike. They are
-compared in blocks: a task holds two blocks of a bucket, computes their similarities as
-matrix products, and answers one row per member at most. So no two texts of a bucket that
-are alike end up in two classes, and no step makes rows in proportion to pairs.
+keeps texts apart that share a common passage but little else. Buckets with the same
+members are one.
+
+Pairs are not made within a bucket. In each of ``ROUNDS`` rounds a bucket's head is the
+first of its open members by the round's order of all texts, and a text is compared with one
+head: the first of its buckets' heads that is not in its own component. A round so makes one row
+per text at most, however large the buckets are, and as a group's texts have the same few
+heads, a group of near copies is one component after a round or two. Two members of one
+component need no comparing, and a bucket whose members are in one component is settled.
+That leaves buckets of texts that are close but not alike. They are compared in blocks:
+the members outside the bucket's largest component (those inside need no comparing with
+each other) with one another and with all others; a task holds two blocks, computes
+their similarities as matrix products, and answers one row per member at most. So no two
+texts of a bucket that are alike end up in two classes, and no step makes rows in
+proportion to pairs.
 
 Texts with the same shingle set are one node from the start, however many they are.
 
@@ -47,8 +53,8 @@ from .common import fresh, stored, whole_text
 from .graph import components
 from .words import Tokens, distinct, mix
 
-#: heads per bucket in the second round (the first has one)
-HEADS = 16
+#: rounds in which every text is compared with one head
+ROUNDS = 2
 #: members of one block, when what is left of a bucket is compared in blocks
 BLOCK = 256
 #: shingles whose darts a worker throws together
@@ -63,7 +69,7 @@ class Settings:
     similarity: float = 0.8
     bands: int = 24
     rows: int = 6
-    weights: str = "set"  # "set": each shingle counts 1; "count": as often as it occurs
+    weights: str = "count"  # a shingle weighs as often as it occurs; "set": 1
 
 
 def shingles(text: str, words: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -90,6 +96,17 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return both / union if union else 0.0
 
 
+def unit_elements(found: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """A counted set as a plain one: an element that counts c gives c elements, the same ones in every text,
+    so plain similarity of the results is weighted similarity."""
+    element, count = found
+    n = count.astype(np.int64)
+    number = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    with np.errstate(over="ignore"):
+        out = mix(np.repeat(element, n).view(np.uint64) + number.astype(np.uint64) * _U(0xD1342543DE82EF95)).view(np.int64)
+    return np.sort(out), np.ones(len(out))
+
+
 # darts ------------------------------------------------------------------------------------
 
 def _rank_bands(top: float):
@@ -248,7 +265,7 @@ def _alike_matrix(sets: list[tuple[np.ndarray, np.ndarray]], settings: Settings)
     """Which of the shingle sets are similar enough, as a square matrix."""
     n = len(sets)
     if settings.weights != "set":
-        return np.array([[similarity(a, b, settings.weights) >= settings.similarity for b in sets] for a in sets])
+        sets = [unit_elements(s) for s in sets]
     owner = np.repeat(np.arange(n), [len(s[0]) for s in sets])
     _, column, held = np.unique(np.concatenate([s[0] for s in sets]), return_inverse=True, return_counts=True)
     shared = held[column] > 1
@@ -269,15 +286,26 @@ def _alike_matrix(sets: list[tuple[np.ndarray, np.ndarray]], settings: Settings)
 
 
 def _links_in_blocks(pool: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """Links (a, b) that join what is alike in each bucket of ``pool`` (band, same)."""
-    blocks = pool.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("same"), F.col("blocks")).cast("int")
-    dealt = pool.select("band", "same").join(blocks, "band").withColumn("own", own)
+    """Links (a, b) that join what is alike in each bucket of ``pool`` (band, same, component, main).
+
+    A bucket's members outside its main component are dealt to blocks of one kind, those inside to blocks of the
+    other; a task is two blocks of the first kind, or one of either."""
+    inside = (F.col("component") == F.col("main")).alias("inside")
+    member = pool.select("band", "same", inside)
+    count = lambda cond: F.ceil(F.sum(cond.cast("int")) / BLOCK).cast("int")
+    blocks = member.groupBy("band").agg(count(~F.col("inside")).alias("outer"), count(F.col("inside")).alias("inner"))
+    dealt = member.join(blocks, "band")
+    own = F.pmod(F.xxhash64("same"), F.when(F.col("inside"), F.col("inner")).otherwise(F.col("outer"))).cast("int")
+    dealt = dealt.withColumn("own", own)
+    # blocks of the second kind are numbered on from those of the first
+    with_outer = lambda me: F.transform(F.sequence(F.lit(0), F.col("outer") - 1), lambda k: F.struct(
+        F.least(k, me).alias("i"), F.greatest(k, me).alias("j")))
+    inner_tasks = F.transform(F.sequence(F.lit(0), F.col("inner") - 1), lambda k: F.struct(
+        F.col("own").alias("i"), (F.col("outer") + k).alias("j")))
     none = F.array().cast("array<struct<i:int,j:int>>")
-    first = F.transform(F.sequence("own", F.col("blocks") - 1), lambda j: F.struct(F.col("own").alias("i"), j.alias("j")))
-    second = F.when(F.col("own") > 0, F.transform(
-        F.sequence(F.lit(0), F.col("own") - 1), lambda i: F.struct(i.alias("i"), F.col("own").alias("j")))).otherwise(none)
-    tasks = dealt.select("band", "same", F.explode(F.concat(first, second)).alias("task")).select(
+    to_do = F.when(F.col("inside"), with_outer(F.col("outer") + F.col("own"))).otherwise(F.concat(
+        with_outer(F.col("own")), F.when(F.col("inner") > 0, inner_tasks).otherwise(none)))
+    tasks = dealt.select("band", "same", F.explode(to_do).alias("task")).select(
         "band", "task.i", "task.j", "same").join(texts, "same")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -295,57 +323,64 @@ def _links_in_blocks(pool: DataFrame, texts: DataFrame, settings: Settings) -> D
     return tasks.groupBy("band", "i", "j").applyInPandas(compare, "a binary, b binary")
 
 
+def _buckets(sketches: DataFrame) -> DataFrame:
+    """(band, same) of the nodes that share a bucket with another; of buckets with the same members one is left."""
+    one_each = sketches.where(F.col("same").isNotNull()).groupBy("same").agg(F.first("bands").alias("bands"))
+    member = one_each.select("same", F.explode("bands").alias("band"))
+    print_of = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("same").cast("decimal(38,0)")).alias("x"),
+                F.sum(F.xxhash64("same", F.lit(1)).cast("decimal(38,0)")).alias("y")]
+    shared = member.groupBy("band").agg(*print_of).where("n > 1")
+    single = shared.groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band")
+    return member.join(single, "band").select("band", "same")
+
+
+def _open(member: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members of the buckets that more than one component is in: band, same, component, and the bucket's largest
+    component as ``main``."""
+    labelled = member.join(comp.withColumnRenamed("node", "same"), "same", "left").select(
+        "band", "same", F.coalesce("component", "same").alias("component"))
+    sizes = labelled.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("main"),
+                                     F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return labelled.join(main.select("band", F.col("main.component").alias("main")), "band")
+
+
+def _one_head_each(pool: DataFrame, number: int) -> DataFrame:
+    """(a, b): each open node with the first of its buckets' heads that is of another component; one row a node."""
+    place = F.xxhash64("same", F.lit(number))  # an order that all buckets share, so that a group has few heads
+    heads = pool.groupBy("band").agg(F.min(F.struct(place.alias("place"), "same", "component")).alias("head"))
+    other = pool.join(heads, "band").where(F.col("component") != F.col("head.component"))
+    return (other.groupBy("same").agg(F.min("head").alias("head"))
+            .select(F.col("same").alias("a"), F.col("head.same").alias("b")))
+
+
 def near_links(docs: DataFrame, sketches: DataFrame, text_col: str, settings: Settings) -> DataFrame:
     """Components (node, component) of the texts that are alike.
 
     ``sketches`` has key (a hash of the text), same, bands per row of ``docs``; nodes are ``same``.
     """
-    one_each = sketches.where(F.col("same").isNotNull()).groupBy("same").agg(F.first("bands").alias("bands"))
-    member = one_each.select("same", F.explode("bands").alias("band"))
-    place = F.xxhash64("same", "band")  # an order of the members that differs from bucket to bucket
-    buckets = (member.groupBy("band").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-               .where("n > 1").drop("n"))
-    member = stored(member.join(buckets, "band").select("band", "same", place.alias("place"), "first"), "members")
-    # one text of each node that is in some bucket with another
+    member = stored(_buckets(sketches), "members")
+    # one text of each node that is in some bucket with another; copies are collapsed before they meet it
     nodes = member.select("same").distinct()
     one = (sketches.join(nodes, "same", "left_semi").groupBy("same").agg(F.min("key").alias("key")))
     body = docs.select(whole_text(text_col).alias("body")).select(F.unhex(F.md5("body")).alias("key"), "body")
-    texts = stored(body.join(one, "key").dropDuplicates(["key"]).select("same", "body"), "texts")
+    texts = stored(body.dropDuplicates(["key"]).join(one, "key").select("same", "body"), "texts")
 
     links = None
-    # open: members that were not a head yet; a bucket is settled when its open members are in one component
-    pool = member.withColumn("component", F.col("same"))
-    heads = pool.where("place = first")
     comp = member.select(F.col("same").alias("node"), F.col("same").alias("component")).limit(0)
-    for last in (False, True):
-        head = heads.select("band", F.col("same").alias("head"), F.col("component").alias("head_component"))
-        pairs = (pool.join(head, "band").where((F.col("same") != F.col("head"))
-                                               & (F.col("component") != F.col("head_component")))
-                 .select(F.least("same", "head").alias("a"), F.greatest("same", "head").alias("b")).distinct())
+    pool = stored(_open(member, comp), "open")
+    for number in range(ROUNDS):
         ta = texts.select(F.col("same").alias("a"), F.col("body").alias("text_a"))
         tb = texts.select(F.col("same").alias("b"), F.col("body").alias("text_b"))
-        new = stored(pairs.join(ta, "a").join(tb, "b").where(
+        new = stored(_one_head_each(pool, number).join(ta, "a").join(tb, "b").where(
             _alike(F.col("text_a"), F.col("text_b"), settings)).select("a", "b"), "new_links")
-        if not new.isEmpty():
-            links = new if links is None else links.unionByName(new)
-            comp = stored(components(links), "components")
-        was_head = heads.select("band", "same")
-        still = (pool.join(was_head, ["band", "same"], "left_anti").drop("component")
-                 .join(comp.withColumnRenamed("node", "same"), "same", "left")
-                 .select("band", "same", "place", F.coalesce("component", "same").alias("component")))
-        sizes = still.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-        main = sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("main"),
-                                         F.count(F.lit(1)).alias("parts")).where("parts > 1")
-        pool = stored(still.join(main.select("band", F.col("main.component").alias("main")), "band"), "open")
+        if new.isEmpty():
+            continue
+        links = new if links is None else links.unionByName(new)
+        comp = stored(components(links), "components")
+        pool = stored(_open(member, comp), "open")
         if pool.isEmpty():
             return comp
-        if last:
-            break
-        # the next heads are not of the bucket's largest component, whose members need no comparing
-        slot = F.pmod(F.col("place"), F.lit(HEADS))
-        next_heads = pool.where("component <> main").groupBy("band", slot.alias("slot")).agg(
-            F.min("place").alias("place")).drop("slot")
-        heads = stored(pool.join(next_heads, ["band", "place"], "left_semi"), "heads")
     new = stored(_links_in_blocks(pool, texts, settings).distinct(), "new_links")
     if new.isEmpty():
         return comp
