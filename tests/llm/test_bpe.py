@@ -1,5 +1,6 @@
 """Byte-level BPE against tiktoken, stitching of chunks, round trips."""
 import base64
+import hashlib
 import random
 
 import numpy as np
@@ -9,6 +10,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import __spark_entry__ as E
 from veilspark.llm import bpe
 
 
@@ -62,6 +64,32 @@ def test_chunks_stitch_to_the_same_ids(spark, reference):
     assert tok.pieces(long).count() > 3  # stitched, not taken whole
 
 
+def test_round_trip_column_agrees_with_both_ways(spark, reference):
+    tok = bpe.Tokenizer(P.path("byte_bpe_50k.tiktoken"), P.PATTERN, chunk_chars=64, overlap=16)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(_hard_texts())], "doc_id long, text string").repartition(3)
+    rows = tok.encode(docs, decoded="back").collect()
+    assert len(rows) == len(_hard_texts())
+    for r in rows:
+        assert ids(bytes(r["ids"])) == reference.encode_ordinary(r["text"] or "") and bytes(r["back"]).decode() == (r["text"] or "")
+
+
+def test_token_list(encoder):
+    raw = open(P.path("byte_bpe_50k.tiktoken"), "rb").read()
+    assert bpe.token_list(raw) == encoder.tokens and len(encoder.tokens) == 50_256
+    assert bpe.token_list(b"YQ== 0\nYg== 2\n") == [b"a", b"", b"b"]
+
+
+def test_query_against_tiktoken(spark, sf_dir, reference):
+    """op1 by the library itself: counts and digests of ids and of decoded bytes."""
+    want = {}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect():
+        found = np.array(reference.encode_ordinary(r["text"] or ""), dtype="<u4")
+        want[r["doc_id"]] = (len(found), hashlib.sha256(found.tobytes()).hexdigest(), hashlib.sha256((r["text"] or "").encode()).hexdigest())
+    got = E.queries()["op1_byte_bpe"](spark, sf_dir)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert {r[0]: tuple(r)[1:] for r in got.collect()} == want
+
+
 def test_repeats_nulls_and_clashing_names(spark):
     tok = bpe.Tokenizer(P.path("byte_bpe_50k.tiktoken"), P.PATTERN, chunk_chars=64, overlap=16)
     rows = [(1, "long text " * 30, "x", 1), (1, "long text " * 30, "x", 1), (None, "long text " * 30, "y", 2), (2, None, None, None)]

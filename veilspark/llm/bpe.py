@@ -22,9 +22,7 @@ whatever their names.
 from __future__ import annotations
 
 import base64
-import heapq
-from collections.abc import Iterable, Iterator, Sequence
-from itertools import chain, islice
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,180 +37,32 @@ CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
 #: a match is certain if so many characters of the text follow it (the pattern looks ahead this far)
 LOOK_AHEAD = 3
-#: characters that a worker encodes together, and stretches of text that it remembers (twice as many at most)
-BATCH_CHARS = 2_000_000
-REMEMBERED = 150_000
-#: bytes of the pre-tokens that are merged as rows of one matrix
-ROW_WIDTHS = (8, 12, 16, 32, 64)
-NO_RANK = 1 << 31
-
 #: white space as the pattern has it (fixed values: Unicode's White_Space)
 SPACE = frozenset(
     "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000")
 
 
-class Encoder:
-    """Ranks and pattern, with a bounded memory of what was encoded before.
+def token_list(rank_file: bytes) -> list[bytes]:
+    """Token bytes by rank (empty where a rank is free)."""
+    ranks = {int(b): base64.b64decode(a) for a, b in (line.split() for line in rank_file.splitlines() if line)}
+    return [ranks.get(i, b"") for i in range(max(ranks) + 1)]
 
-    Equal stretches of text are encoded once per batch, and the pre-tokens among them are
-    merged together, as rows of a matrix.
-    """
+
+class Encoder:
+    """Ranks and pattern: the merges run in tiktoken, boundaries are matched here."""
 
     def __init__(self, rank_file: bytes, pattern: str):
-        self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in rank_file.splitlines() if line)}
-        self.tokens = [b""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
-            self.tokens[rank] = token
-        self.pattern = regex.compile(pattern)
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        rank, of_byte = self.ranks.get, [self.ranks[bytes([i])] for i in range(256)]
-        pairs = {}
-        for token, merged in self.ranks.items():
-            for i in range(1, len(token)):
-                if (x := rank(token[:i])) is not None and (y := rank(token[i:])) is not None:
-                    pairs[x << 32 | y] = merged
-        self.of_byte = np.array(of_byte, dtype=np.int64)
-        self.pair_keys = np.array(sorted(pairs), dtype=np.int64)
-        self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], dtype=np.int64)
-
-    # merges --------------------------------------------------------------------------------
-
-    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank of each pair of ids, NO_RANK where they don't join (or one is missing, -1)."""
-        key = left << 32 | np.maximum(right, 0)
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        return np.where((self.pair_keys[at] == key) & (left >= 0) & (right >= 0), self.pair_ranks[at], NO_RANK)
-
-    def _merge_rows(self, pieces: list[bytes], width: int) -> list[bytes]:
-        """Ids of pieces of at most ``width`` bytes: in each row the adjacent pair with the least
-        rank (leftmost first) is joined, until no row has one."""
-        n = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-        column = np.arange(width)
-        ids = np.full((len(pieces), width + 1), -1, dtype=np.int64)
-        ids[:, :width][column < n[:, None]] = self.of_byte[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
-        done = ids.copy()
-        pair = self._ranks_of(ids[:, :-1], ids[:, 1:])
-        row = np.arange(len(pieces))
-        while True:
-            at = pair.argmin(axis=1)
-            own = np.arange(len(row))
-            least = pair[own, at]
-            live = least < NO_RANK
-            if not live.all():
-                done[row[~live]] = ids[~live]
-                if not live.any():
-                    break
-                row, ids, pair, at, least = row[live], ids[live], pair[live], at[live], least[live]
-                own = np.arange(len(row))
-            ids[own, at] = least
-            moved = np.minimum(np.arange(width + 1) + (np.arange(width + 1) > at[:, None]), width)
-            ids = np.take_along_axis(ids, moved, 1)
-            pair = np.take_along_axis(pair, np.minimum(column + (column > at[:, None]), width - 1), 1)
-            pair[:, -1] = NO_RANK
-            pair[own, at] = self._ranks_of(ids[own, at], ids[own, at + 1])
-            before = np.maximum(at - 1, 0)
-            pair[own, before] = np.where(at > 0, self._ranks_of(ids[own, before], ids[own, at]), pair[own, before])
-        used = done >= 0
-        flat, ends = done[used].astype("<u4").tobytes(), np.cumsum(used.sum(axis=1)) * 4
-        return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-
-    def _merge_long(self, piece: bytes) -> bytes:
-        """The same for one piece of any length, with a heap: n log n."""
-        ranks = self.ranks
-        n = len(piece)
-        ends = list(range(1, n + 1))  # ends[i]: where the part that begins at i ends; 0 once i is inside a part
-        before = list(range(-1, n - 1))
-        heap = [(r, i) for i in range(n - 1) if (r := ranks.get(piece[i:i + 2])) is not None]
-        heapq.heapify(heap)
-        while heap:
-            r, i = heapq.heappop(heap)
-            j = ends[i]
-            if not j or j >= n or ranks.get(piece[i:ends[j]]) != r:
-                continue  # one of the two parts has changed since
-            end = ends[i] = ends[j]
-            ends[j] = 0
-            if end < n:
-                before[end] = i
-                if (r := ranks.get(piece[i:ends[end]])) is not None:
-                    heapq.heappush(heap, (r, i))
-            if (k := before[i]) >= 0 and (r := ranks.get(piece[k:end])) is not None:
-                heapq.heappush(heap, (r, k))
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[piece[i:ends[i]]])
-            i = ends[i]
-        return np.array(out, dtype="<u4").tobytes()
-
-    def merge(self, pieces: Iterable[str]) -> dict[str, bytes]:
-        """Ids of each pre-token."""
-        out, rows = {}, {w: ([], []) for w in ROW_WIDTHS}
-        for p in pieces:
-            raw = p.encode("utf-8", "surrogatepass")
-            if (whole := self.ranks.get(raw)) is not None:
-                out[p] = whole.to_bytes(4, "little")
-            elif len(raw) > ROW_WIDTHS[-1]:
-                out[p] = self._merge_long(raw)
-            else:
-                names, raws = rows[next(w for w in ROW_WIDTHS if len(raw) <= w)]
-                names.append(p)
-                raws.append(raw)
-        for width, (names, raws) in rows.items():
-            if names:
-                out.update(zip(names, self._merge_rows(raws, width)))
-        return out
+        import tiktoken
 
-    # texts ---------------------------------------------------------------------------------
-
-    def _matches(self, after_blank: str) -> list[str]:
-        """Matches of the pattern in a blank and what follows it."""
-        if after_blank.isalpha():
-            return [" " + after_blank]
-        if after_blank[-1] in ",." and after_blank[:-1].isalpha():
-            return [" " + after_blank[:-1], after_blank[-1]]
-        return self.pattern.findall(" " + after_blank)
-
-    def _remember(self, new: dict[str, bytes]) -> None:
-        if len(self.recent) + len(new) > REMEMBERED:
-            self.older, self.recent = self.recent, {}
-        self.recent.update(new)
-
-    def _encode_batch(self, texts: list[str]) -> list[bytes]:
-        """A blank before a sign that isn't white space always begins a pre-token, so a text is
-        looked up by what stands between two such blanks. A text in which a blank stands before
-        other white space (or ends the text) is matched as a whole."""
-        parts = [t.split(" ") for t in texts]
-        asked = set(chain.from_iterable(islice(p, 1, None) for p in parts))
-        missing = asked - self.recent.keys()
-        odd = {s for s in missing if not s or s[0] in SPACE}
-        missing -= odd
-        known = {s: self.older[s] for s in missing & self.older.keys()}
-        matches = {s: self._matches(s) for s in missing - known.keys()}
-        whole = [bool(odd) and not odd.isdisjoint(p[1:]) for p in parts]
-        starts = [self.pattern.findall(t if w else p[0]) for t, w, p in zip(texts, whole, parts)]
-        ids = self.merge(set(chain(chain.from_iterable(matches.values()), chain.from_iterable(starts))))
-        known.update((s, b"".join(map(ids.__getitem__, m))) for s, m in matches.items())
-        of = known.__getitem__ if len(known) == len(asked) else None
-        if of is None:
-            recent = self.recent
-            known.update((s, recent[s]) for s in asked - odd - known.keys())
-            of = known.__getitem__
-        out = [b"".join(map(ids.__getitem__, m)) + (b"" if w else b"".join(map(of, islice(p, 1, None))))
-               for m, w, p in zip(starts, whole, parts)]
-        self._remember({s: known[s] for s in missing})
-        return out
+        self.tokens = token_list(rank_file)
+        self.pattern = regex.compile(pattern)
+        ranks = {token: rank for rank, token in enumerate(self.tokens) if token}
+        self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def encode_many(self, texts: Sequence[str]) -> list[bytes]:
-        """Ids of whole texts, a few million characters at a time."""
-        out, batch, chars = [], [], 0
-        for t in texts:
-            batch.append(t)
-            chars += len(t)
-            if chars >= BATCH_CHARS:
-                out += self._encode_batch(batch)
-                batch, chars = [], 0
-        return out + self._encode_batch(batch)
+    def encode_many(self, texts: Iterable[str]) -> list[bytes]:
+        """Ids of whole texts; the strings of special tokens are plain text."""
+        return [np.array(self.encoding.encode_ordinary(t), dtype="<u4").tobytes() for t in texts]
 
     def boundaries(self, text: str, whole: bool) -> list[int]:
         """0 and the ends of the matches from the start of ``text``; only certain ones unless ``whole``."""
@@ -247,6 +97,7 @@ class Tokenizer:
     def encoder(self) -> Encoder:
         key = hash((self.rank_file, self.pattern))
         if key not in _encoders:
+            _encoders.clear()  # a worker keeps the tables of one
             _encoders[key] = Encoder(self.rank_file, self.pattern)
         return _encoders[key]
 
@@ -261,30 +112,50 @@ class Tokenizer:
 
         return encode(F.coalesce(text.cast("string"), F.lit("")))
 
-    def decode_column(self, ids: Column) -> Column:
+    def round_trip_column(self, text: Column) -> Column:
+        """struct(ids, decoded): both from one worker."""
         me = self
 
-        @F.pandas_udf("binary")
-        def decode(rows: pd.Series) -> pd.Series:
+        @F.pandas_udf("ids binary, decoded binary")
+        def round_trip(texts: pd.Series) -> pd.DataFrame:
             enc = me.encoder()
-            return pd.Series([enc.decode(bytes(r)) for r in rows], dtype=object)
+            ids = enc.encode_many(texts)
+            return pd.DataFrame({"ids": pd.Series(ids, dtype=object),
+                                 "decoded": pd.Series(list(map(enc.decode, ids)), dtype=object)})
+
+        return round_trip(F.coalesce(text.cast("string"), F.lit("")))
+
+    def decode_column(self, ids: Column) -> Column:
+        rank_file = self.rank_file
+
+        @F.pandas_udf("binary")
+        def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            tokens = token_list(rank_file)  # decoding needs no other table
+            for rows in batches:
+                yield pd.Series([b"".join(map(tokens.__getitem__, np.frombuffer(r, dtype="<u4").tolist())) for r in rows],
+                                dtype=object)
 
         return decode(F.coalesce(ids, F.lit(b"")))
 
     # DataFrames ----------------------------------------------------------------------------
 
-    def encode(self, docs: DataFrame, text_col: str = "text", out: str = "ids") -> DataFrame:
-        """``docs`` with the ids of each whole text."""
-        body, key, ids = fresh(docs, "body_", "key_", "ids_")
+    def encode(self, docs: DataFrame, text_col: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
+        """``docs`` with the ids of each whole text, and with what they decode to if ``decoded`` names a column."""
+        body, key, done = fresh(docs, "body_", "key_", "done_")
         rows = docs.withColumn(body, whole_text(text_col))
         short = rows.where(F.length(body) <= self.chunk_chars)
         long = rows.where(F.length(body) > self.chunk_chars)
         keyed = long.withColumn(key, F.sha2(body, 256))
         texts = keyed.select(F.col(key).alias("key"), F.col(body).alias("text")).dropDuplicates(["key"])
-        found = self.encode_long(texts).select(F.col("key").alias(key), F.col("ids").alias(ids))
-        columns = [F.col(c) for c in docs.columns if c.lower() != out.lower()]
-        return (short.withColumn(ids, self.encode_column(F.col(body))).select(*columns, F.col(ids).alias(out))
-                .unionByName(keyed.join(found, key).select(*columns, F.col(ids).alias(out))))
+        found = self.encode_long(texts, bool(decoded)).select(F.col("key").alias(key), F.col("done").alias(done))
+        names = {out: "ids"} | ({decoded: "decoded"} if decoded else {})
+        columns = [F.col(c) for c in docs.columns if c.lower() not in {n.lower() for n in names}]
+        columns += [F.col(f"{done}.{part}").alias(n) for n, part in names.items()]
+        return (short.withColumn(done, self._done(F.col(body), bool(decoded))).select(*columns)
+                .unionByName(keyed.join(found, key).select(*columns)))
+
+    def _done(self, text: Column, decoded: bool) -> Column:
+        return self.round_trip_column(text) if decoded else F.struct(self.encode_column(text).alias("ids"))
 
     def chunks(self, texts: DataFrame) -> DataFrame:
         """(key, text) as overlapping chunks: key, k, chunk, total (the text's length in chunks)."""
@@ -341,12 +212,14 @@ class Tokenizer:
         return part.groupBy("key", "piece").agg(
             F.array_join(F.transform(parts, lambda x: x["part"]), "").alias("text"))
 
-    def encode_long(self, texts: DataFrame) -> DataFrame:
-        """Ids of each (key, text), by pieces."""
-        got = self.pieces(texts).select("key", "piece", self.encode_column(F.col("text")).alias("ids"))
-        in_order = F.array_sort(F.collect_list(F.struct("piece", F.hex("ids").alias("ids"))))
-        return got.groupBy("key").agg(
-            F.unhex(F.array_join(F.transform(in_order, lambda x: x["ids"]), "")).alias("ids"))
+    def encode_long(self, texts: DataFrame, decoded: bool = False) -> DataFrame:
+        """(key, done) of each (key, text), by pieces: ids, and what they decode to if asked for."""
+        parts = ["ids", "decoded"][:1 + decoded]
+        got = self.pieces(texts).select("key", "piece", self._done(F.col("text"), decoded).alias("done"))
+        in_order = lambda part: F.array_sort(F.collect_list(F.struct("piece", F.hex(f"done.{part}").alias("x"))))
+        whole = lambda part: F.unhex(F.array_join(F.transform(part, lambda x: x["x"]), ""))
+        rows = got.groupBy("key").agg(*[in_order(p).alias(p) for p in parts])
+        return rows.select("key", F.struct(*[whole(p).alias(p) for p in parts]).alias("done"))
 
     def decode(self, docs: DataFrame, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
         """``docs`` with the bytes that its ids stand for."""

@@ -25,11 +25,11 @@ def tokenizer() -> bpe.Tokenizer:
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tok = tokenizer()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_digests(tok, tok.encode(docs))
+    return token_digests(tok.encode(docs, decoded="decoded"))
 
 
-def token_digests(tok: bpe.Tokenizer, encoded: DataFrame) -> DataFrame:
-    return tok.decode(encoded).select(
+def token_digests(encoded: DataFrame) -> DataFrame:
+    return encoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
