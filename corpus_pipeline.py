@@ -40,7 +40,7 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the documents that are left."""
     workers_import(spark)
     tok = tokenizer()
-    return token_digests(tok, tok.encode(docs.select("doc_id", "text")))
+    return token_digests(tok.encode(docs.select("doc_id", "text"), decoded="decoded"))
 
 
 STAGES = [
