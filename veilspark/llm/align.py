@@ -24,10 +24,11 @@ not read, so their names cannot clash.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
-from collections.abc import Iterator
-from itertools import accumulate, chain
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -105,48 +106,73 @@ class Tables:
         self.recent: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
 
-    def _aligned(self, ids_a: list[int], ids_b: list[int], raw: bytes) -> tuple | None:
-        """(n_a, n_b, n_groups, packed links, groups as text) of one stretch; None if the bytes differ."""
-        if b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw or b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw:
-            return None
-        lengths_a = list(map(self.length_a.__getitem__, ids_a))
-        lengths_b = list(map(self.length_b.__getitem__, ids_b))
+    def _align(self, texts: list[str]) -> list[tuple | None]:
+        """(n_a << 32 | n_b, packed links, groups as text) of a blank and each text; None where the bytes differ."""
+        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        b = self.b.encode(texts, num_threads=1)
+        raws = [b" " + t.encode() for t in texts]
+        if self._same(chain.from_iterable(a), chain.from_iterable(b), b"".join(raws)):
+            if (out := self._sliced(a, b, raws)) is not None:
+                return out
+        good = [i for i, raw in enumerate(raws) if self._same(a[i], b[i], raw)]
+        out = [None] * len(texts)
+        for i in good:
+            out[i] = self._sliced([a[i]], [b[i]], [raws[i]])[0]
+        return out
+
+    def _same(self, ids_a: Iterable[int], ids_b: Iterable[int], raw: bytes) -> bool:
+        """Whether the tokens of both sides are these bytes."""
+        return (b"".join(map(self.bytes_a.__getitem__, ids_a)) == raw
+                and b"".join(map(self.bytes_b.__getitem__, ids_b)) == raw)
+
+    def _sliced(self, a: list[list[int]], b: list[list[int]], raws: list[bytes]) -> list[tuple] | None:
+        """As ``_align``, of texts laid end to end whose bytes are the same; None if a side has no end where a text ends."""
+        ids_a, ids_b = list(chain.from_iterable(a)), list(chain.from_iterable(b))
+        lengths_a, lengths_b = list(map(self.length_a.__getitem__, ids_a)), list(map(self.length_b.__getitem__, ids_b))
         groups = slices(lengths_a, lengths_b)
+        ends = list(accumulate(lengths_a))
+        place = {ends[g[1] - 1]: k for k, g in enumerate(groups, 1)}  # how many groups there are up to an end
+        cuts = [0, *map(place.get, accumulate(map(len, raws)))]
+        if None in cuts:
+            return None
+        digits_a, digits_b = list(map(self.digits.__getitem__, ids_a)), list(map(self.digits.__getitem__, ids_b))
+        parts = [digits_a[i] + "|" + digits_b[k] if j - i == 1 == m - k else
+                 ",".join(digits_a[i:j]) + "|" + ",".join(digits_b[k:m]) for i, j, k, m in groups]
         if 0 in lengths_a or 0 in lengths_b:
-            linked = [p for g in groups for p in links(g, lengths_a, lengths_b)]
+            found = [[ids_a[x] << 32 | ids_b[y] for x, y in links(g, lengths_a, lengths_b)] for g in groups]
+            packed = [np.array(x, dtype=np.int64).tobytes() for x in found]
+            linked = [b"".join(packed[i:j]) for i, j in pairwise(cuts)]
         else:
-            linked = [(i - 1, j - 1) for _, i, _, j in groups]
-        text_a, text_b = list(map(self.digits.__getitem__, ids_a)), list(map(self.digits.__getitem__, ids_b))
-        text = ";".join([text_a[a] + "|" + text_b[b] if i - a == j - b == 1 else
-                         ",".join(text_a[a:i]) + "|" + ",".join(text_b[b:j]) for a, i, b, j in groups])
-        return len(ids_a), len(ids_b), len(groups), [ids_a[i] << 32 | ids_b[j] for i, j in linked], text
-
-    def _align(self, texts: list[str]) -> list[tuple | None]:
-        """A blank and each of these texts, from scratch."""
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        b = self.b.encode(texts, num_threads=1)
-        return [self._aligned(x.ids, y, b" " + t.encode()) for x, y, t in zip(a, b, texts)]
+            last = np.array(groups, dtype=np.int64)
+            flat = (np.array(ids_a, dtype=np.int64)[last[:, 1] - 1] << 32 | np.array(ids_b, dtype=np.int64)[last[:, 3] - 1]).tobytes()
+            linked = [flat[8 * i:8 * j] for i, j in pairwise(cuts)]
+        return [(len(x) << 32 | len(y), own, ";".join(parts[i:j])) for x, y, own, (i, j) in zip(a, b, linked, pairwise(cuts))]
 
     def align(self, texts: list[str]) -> Iterator[tuple | None]:
-        """As ``_aligned``, for whole texts."""
+        """(n_a, n_b, packed links, groups as text) of whole texts; None without tokens."""
         whole = [not t or not self.by_stretch or t[0].isspace() or bool(_ODD_BLANK.search(t)) for t in texts]
-        parts = [[t] if w else t.split(" ") for t, w in zip(texts, whole)]
-        asked = set(chain.from_iterable(p for p, w in zip(parts, whole) if not w))
+        parts = [[] if w else t.split(" ") for t, w in zip(texts, whole)]
+        asked = set(chain.from_iterable(parts))
         known = {s: self.recent[s] for s in asked & self.recent.keys()}
         old = {s: self.older[s] for s in (asked - known.keys()) & self.older.keys()}
         missing = list(asked - known.keys() - old.keys())
-        old.update(zip(missing, self._align(missing)))
+        old.update(zip(missing, self._align(missing) if missing else ()))
         known |= old
         if len(self.recent) + len(old) > REMEMBERED:
             self.older, self.recent = self.recent, {}
         self.recent.update((s, v) for s, v in old.items() if len(s) <= STRETCH_CHARS and len(self.recent) < REMEMBERED)
+        bad = {s for s, v in known.items() if v is None}
         for text, w, own in zip(texts, whole, parts):
-            found = self._align([text]) if w else [known[s] for s in own]
-            if not text or None in found:
+            if not text or (bad and not bad.isdisjoint(own)):
+                yield None
+                continue
+            found = self._align([text]) if w else list(map(known.__getitem__, own))
+            if w and found[0] is None:
                 yield None
                 continue
-            n_a, n_b, n_groups, links, groups = zip(*found)
-            yield sum(n_a), sum(n_b), sum(n_groups), chain.from_iterable(links), ";".join(groups)
+            counts, linked, groups = zip(*found)
+            n = sum(counts)
+            yield n >> 32, n & 0xFFFFFFFF, b"".join(linked), ";".join(groups)
 
 
 class Aligner:
@@ -171,17 +197,26 @@ class Aligner:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tables = Tables(a_json, b_model)  # lives as long as the task
-            for batch in batches:
-                for lo, hi in _bounded(batch.column(1)):
-                    texts = batch.column(1).slice(lo, hi - lo).to_pylist()
-                    out = []
-                    for at, (text, got) in enumerate(zip(texts, tables.align(texts)), lo):
-                        out.append(_row(text, got))
-                        if len(out) == ROWS_OUT or at == hi - 1:
-                            ids = batch.column(0).slice(at + 1 - len(out), len(out))
-                            columns = [pa.array(c, type=t) for c, t in zip(zip(*out), types[:len(names)])]
-                            yield pa.RecordBatch.from_arrays([ids, *columns], names=["id", *names])
-                            out = []
+            gc.freeze()  # what is remembered has no cycles: the collector need not look through it again and again
+            gc.disable()
+            try:
+                for batch in batches:
+                    yield from rows_of(tables, batch)
+            finally:
+                gc.unfreeze()
+                gc.enable()
+
+        def rows_of(tables: Tables, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for lo, hi in _bounded(batch.column(1)):
+                texts = batch.column(1).slice(lo, hi - lo).to_pylist()
+                out = []
+                for at, (text, got) in enumerate(zip(texts, tables.align(texts)), lo):
+                    out.append(_row(text, got))
+                    if len(out) == ROWS_OUT or at == hi - 1:
+                        ids = batch.column(0).slice(at + 1 - len(out), len(out))
+                        columns = [pa.array(c, type=t) for c, t in zip(zip(*out), types[:len(names)])]
+                        yield pa.RecordBatch.from_arrays([ids, *columns], names=["id", *names])
+                        out = []
 
         schema = ", ".join([f"id {id_type.simpleString()}", *(f"{n} {k}" for n, k in zip(names, kinds))])
         return rows.mapInArrow(run, schema)
@@ -202,9 +237,10 @@ def _bounded(texts: pa.Array) -> Iterator[tuple[int, int]]:
 def _row(text: str, got: tuple | None) -> tuple:
     if got is None:
         return 0, 0, 0, 0, "", [], [], ""
-    n_a, n_b, n_groups, links, groups = got
-    pairs, times = np.unique(np.fromiter(links, dtype=np.int64), return_counts=True)
-    return n_a, n_b, n_groups, int(times.sum()), hashlib.sha256(groups.encode()).hexdigest(), pairs, times, groups
+    n_a, n_b, linked, groups = got
+    pairs, times = np.unique(np.frombuffer(linked, dtype=np.int64), return_counts=True)
+    return (n_a, n_b, groups.count(";") + bool(groups), len(linked) // 8, hashlib.sha256(groups.encode()).hexdigest(),
+            pairs, times, groups)
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
