@@ -1,10 +1,14 @@
 """Licences, mixing, embeddings, classifiers and the pipeline on small tables."""
+import math
+import random
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from veilspark.llm import embeddedup, langid, licenses, mixing, quality, toxicity
+from veilspark.llm import embeddedup, ftrl, langid, licenses, mixing, quality, toxicity
 from veilspark.llm.queries import QUERIES
 from veilspark.llm.words import Tokens
 
@@ -225,6 +229,162 @@ def test_marginals_are_those_of_enumeration():
     assert np.allclose(p, want) and np.allclose(steps, want_steps)
 
 
+def one_by_one(chain, e, first):
+    """Marginals by the textbook recursions, one token after the other."""
+    out, bounds = np.zeros(len(e)), [*first, len(e)]
+    a, c, b = chain.move
+    step = np.array([[0.0, a], [c, b]])
+    for i, j in zip(bounds, bounds[1:]):
+        n = j - i
+        f, g = np.zeros((n, 2)), np.zeros((n, 2))
+        f[0] = [0.0, e[i]]
+        for t in range(1, n):
+            f[t] = np.logaddexp(f[t - 1][0] + step[0], f[t - 1][1] + step[1]) + [0.0, e[i + t]]
+        for t in range(n - 2, -1, -1):
+            g[t] = np.logaddexp(step[:, 0] + g[t + 1][0], step[:, 1] + e[i + t + 1] + g[t + 1][1])
+        out[i:j] = 1.0 / (1.0 + np.exp(f[:, 0] + g[:, 0] - f[:, 1] - g[:, 1]))
+    return out
+
+
+def test_chains_of_any_length_are_whole():
+    rng = np.random.default_rng(6)
+    for lengths in ([1], [3000], [1, 700, 2, 256, 257, 255, 1, 512], [5] * 200):
+        e = np.clip(rng.normal(size=sum(lengths)) * 8, -30, 30)
+        first = np.cumsum([0, *lengths[:-1]])
+        chain = toxicity.Chain(np.zeros(toxicity.DIM), 0.0, (-4.0, 1.5, 3.0))
+        assert np.allclose(chain.marginals(e, first), one_by_one(chain, e, first), atol=1e-9)
+    assert len(toxicity.Document("word " * 5000 + "\nnext line").first) == 2
+
+
+def test_tags_are_those_of_one_document_at_a_time(spark):
+    """The CRF query's path on a small table against the recursions, one document after the other."""
+    rows = [(i, f"word{i} and {'BADWORD' if i % 3 == 0 else 'nice'} here\n" + "long " * (i * 40), int(i % 3 == 0)) for i in range(60)]
+    docs = spark.createDataFrame(rows + rows[:2], "doc_id long, text string, toxic int")
+    chain = toxicity.fit(docs, docs)
+    for r in toxicity.tag(docs, chain).collect():
+        d = toxicity.Document(r["text"])
+        p = one_by_one(chain, chain.emissions(d.at), d.first)
+        assert abs(r["score"] - chain.score(p)) < 1e-9
+        on = {k for s in r["spans"] for k in range(s["start"], s["end"])}
+        words = list(re.finditer(r"\w+", r["text"]))
+        assert all((w.start() in on) == (x >= 0.5) for w, x in zip(words, p)) and len(words) == len(p)
+
+
+def test_ftrl_step_by_step(spark):
+    """Two shards' weights by plain numbers, coordinate by coordinate, and their average."""
+    rng = np.random.default_rng(1)
+    rows = [(int(r), " ".join(rng.choice(list("abcdefg"), 5)), int(rng.integers(2))) for r in rng.integers(-2 ** 40, 2 ** 40, 5000)]
+    sample = spark.createDataFrame(rows, "rank long, text string, y int").repartition(3)
+
+    def features(text):
+        at, n = np.unique([ord(c) - 97 for c in text.split()], return_counts=True)
+        return at, n / 5
+
+    got = ftrl.train(sample, features, 7, len(rows), epochs=2, alpha=0.4, l1=0.05, l2=0.02)
+    weights, shards = [], {}
+    parts = sample.select("rank", "text", "y", F.pmod("rank", F.lit(2)).alias("s")).collect()
+    dealt = sample.repartition(2, F.pmod("rank", F.lit(2))).select(F.spark_partition_id().alias("p"), F.pmod("rank", F.lit(2)).alias("s")).distinct().collect()
+    of = {r["s"]: r["p"] for r in dealt}  # both halves may be dealt to one task
+    for r in parts:
+        shards.setdefault(of[r["s"]], []).append((r["rank"], len(features(r["text"])[0]), r["y"], r["text"]))
+    for rows_ in shards.values():
+        z, n = [0.0] * 7, [0.0] * 7
+        w = lambda j: 0.0 if abs(z[j]) <= 0.05 else -(z[j] - math.copysign(0.05, z[j])) / ((1 + math.sqrt(n[j])) / 0.4 + 0.02)
+        for _ in range(2):
+            for _, _, y, text in sorted(rows_, key=lambda r: r[:3]):
+                at, x = features(text)
+                x = x.astype(np.float32).astype(float)
+                now = [w(j) for j in at]
+                p = 1 / (1 + math.exp(-sum(a * b for a, b in zip(now, x))))
+                for j, v, own in zip(at, x, now):
+                    g = v * (p - y)
+                    z[j] += g - (math.sqrt(n[j] + g * g) - math.sqrt(n[j])) / 0.4 * own
+                    n[j] += g * g
+        weights.append([w(j) for j in range(7)])
+    assert np.allclose(got[:, 0], np.mean(weights, axis=0), atol=1e-6) and np.abs(got).max() > 0.01
+
+
+def test_a_rare_language_is_learned(spark):
+    rows = [(i, "the cat and the dog " * 3, "en") for i in range(900)] + [(2000 + i, "der hund und die katze", "de") for i in range(12)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), fit_rows=60)
+    probe = spark.createDataFrame([(1, "und die katze der hund")], "doc_id long, text string")
+    assert model.languages == ["de", "en"] and langid.identify(probe, model).first()["lang_pred"] == "de"
+
+
+def test_ids_of_any_type(spark):
+    rows = [(f"id-{i}", "good plain words of prose" if i % 2 else "### $$$ noise ###", i % 2, "en" if i % 2 else "xx") for i in range(60)]
+    docs = spark.createDataFrame(rows + [(None, "no id", 0, "en")], "doc_id string, text string, y int, lang string")
+    labels = docs.select("doc_id", "y")
+    assert quality.score(docs, quality.fit(docs, labels, label="y")).count() == 61
+    assert toxicity.tag(docs, toxicity.fit(docs, labels, label="y")).count() == 61
+    assert langid.identify(docs, langid.fit(docs)).count() == 61
+    assert mixing.mix(docs.withColumn("source", F.lit("s"))).count() == 61
+    vectors = spark.createDataFrame([("a", [1.0, 0.0], 1), ("b", [1.0, 0.01], 1)], "vec_id string, embedding array<double>, label int")
+    assert [r["component_id"] for r in embeddedup.embedding_groups(vectors).collect()] == ["a", "a"]
+
+
+@pytest.mark.parametrize("name", ["score", "spans", "lang_pred", "licence", "sentence_ids", "topic", "p"])
+def test_a_column_named_like_an_output_is_an_error(spark, name):
+    docs = spark.createDataFrame([(1, "text", "s", "en", 0)], f"doc_id long, text string, source string, lang string, {name.upper()} int")
+    model = quality.QualityModel(np.zeros(quality.DIM, np.float32))
+    chain = toxicity.Chain(np.zeros(toxicity.DIM, np.float32))
+    lang = langid.LanguageModel(["en"], np.zeros(langid.DIM, np.float32), np.zeros((langid.DIM, 1), np.float32))
+    calls = {"score": lambda: quality.score(docs, model), "spans": lambda: toxicity.tag(docs, chain), "lang_pred": lambda: langid.identify(docs, lang)}
+    with pytest.raises(ValueError):
+        calls.get(name, lambda: licenses.scan(docs) if name in ("licence", "sentence_ids") else mixing.mix(docs))()
+
+
+def test_vectors_of_extreme_length(spark):
+    rows = [(1, [1e200, 1e200], 1), (2, [1.0, 1.0], 1), (3, [1e-200, 1e-200], 1), (4, [1.0, -1.0], 1)]
+    got = embeddedup.embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 0, 4)]
+
+
+def test_every_known_sentence_has_an_anchor():
+    words = licenses.anchors(licenses.SENTENCES)
+    assert all(set(words) & set(s.split()) for _, s in licenses.SENTENCES) and len(words) <= 8
+
+
+def scan_by_hand(text):
+    """Sentence identifiers by trying every known sentence at every word."""
+    plain = re.sub(r"[^\x00-\x7F]+", " ", text or "").lower()
+    marked = " H " + re.sub(r"\n[^a-z0-9\n]*(?=\n)", " H ", re.sub(r"[.!?]+([ \t\r]|$|\n)", " H ", plain)).replace("\n", " S ") + " H "
+    signs = re.sub(r"[^a-z0-9HS]+", " ", marked).split()
+    known = sorted(((s.split(), i) for i, s in licenses.SENTENCES), key=lambda x: -len(" ".join(x[0])))
+    out, at = [], 0
+    while at < len(signs):
+        for words, i in known:
+            k, left = at, list(words)
+            while left and k < len(signs) and (signs[k] == left[0] or (signs[k] == "S" and k > at and signs[k - 1] != "S")):
+                if signs[k] != "S":
+                    left.pop(0)
+                k += 1
+            if not left and signs[at] == words[0] and signs[k - 1] == words[-1]:
+                if i in licenses.WHOLE and not (signs[at - 1] in "HS" and signs[k] in "HS"):
+                    continue
+                out.append(i)
+                at = k - 1
+                break
+        at += 1
+    return out
+
+
+def test_scan_against_every_sentence_at_every_word(spark):
+    rng = random.Random(3)
+    sentences = [s for _, s in licenses.SENTENCES]
+    texts = [None, "", "license", "All rights reserved", "x all rights reserved"]
+    for _ in range(250):
+        out = []
+        for _ in range(rng.randint(1, 4)):
+            words = rng.choice(sentences).split() if rng.random() < 0.7 else [rng.choice(["the", "software", "mit", "license", "foo"]) for _ in range(rng.randint(1, 6))]
+            out.append("".join(w + rng.choice([" ", " ", " ", "\n", "\n# ", ", ", "\n// "]) for w in words).strip())
+        texts.append(rng.choice(["", "Intro. ", "é ", "so "]) + rng.choice([". ", "\n", "\n\n", " ", "! "]).join(out))
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()
+    for r in got:
+        assert r["sentence_ids"].split() == scan_by_hand(texts[r["doc_id"]]), texts[r["doc_id"]]
+    assert sum(bool(r["sentence_ids"]) for r in got) > 150
+
+
 def test_hashes_do_not_depend_on_the_place():
     a, b = Tokens("the word, and " * 9000 + "word"), Tokens("word")
     assert a.hashes()[-1] == b.hashes()[0] == a.hashes()[1]

@@ -39,11 +39,14 @@ ROUNDS = 6
 BLOCK = 1_024
 #: distinct vectors per cell to aim at
 CELL = 2_048
-_SLACK = 1e-9  # for rounding in the bound, far from the threshold's own comparison
+#: cells at most: what the driver holds and ships is MAX_CELLS^2 numbers; larger cells have more blocks
+MAX_CELLS = 1_024
+_SLACK = 1e-6  # for rounding in the bound, far from the threshold's own comparison
 
 
 def _unit(rows: pd.Series) -> np.ndarray:
     x = np.stack([np.asarray(r, dtype=np.float64) for r in rows])
+    x /= np.abs(x).max(axis=1, keepdims=True)  # so that no square overflows or vanishes
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -84,7 +87,7 @@ def spherical_kmeans(sample: DataFrame, k: int, rounds: int = ROUNDS) -> np.ndar
 def _assign(nodes: DataFrame, centres: np.ndarray, cosine: float) -> DataFrame:
     """Nodes with their home cell and the cells with smaller numbers that they must visit."""
     reach = np.sqrt(2.0 - 2.0 * cosine)
-    apart = np.linalg.norm(centres[:, None, :] - centres[None, :, :], axis=2)
+    apart = np.sqrt(np.maximum(2.0 - 2.0 * (centres @ centres.T), 0.0))
     size = centres.shape[1]
 
     @F.pandas_udf("home int, visits array<int>")
@@ -190,7 +193,7 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         # centroids for the most frequent length; vectors of other lengths have one cell of their own
         size = distinct_vectors.groupBy("size").count().orderBy(F.desc("count"), "size").first()["size"]
         of_size = distinct_vectors.where(F.col("size") == size)
-        k = cells or max(2, -(-n // CELL))
+        k = cells or min(MAX_CELLS, max(2, -(-n // CELL)))
         part = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < int(min(1.0, fit_rows / n) * (1 << 30))
         fitted = stored(of_size.where(part).select("node", "vector"), "sample")
         centres = spherical_kmeans(fitted if not fitted.isEmpty() else of_size.limit(fit_rows), k)

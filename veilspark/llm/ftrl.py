@@ -14,8 +14,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod
-
 Features = Callable[[str], tuple[np.ndarray, np.ndarray]]
 
 
@@ -52,10 +50,11 @@ def probabilities(logits: np.ndarray) -> np.ndarray:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str,
                     bound: int) -> tuple[DataFrame, int]:
-    """About ``bound`` labelled documents (all, if fewer): id, text, y; and how many labels that is.
+    """About ``bound`` labelled documents (all, if fewer): rank, text, y; and how many labels that is.
 
     Ids whose label rows disagree, or are not 0/1, are left out. Which ids are in depends only on
-    a hash of the id. The ids are at most about ``bound``, which bounds what is broadcast.
+    a hash of the id (of any type). The ids are at most about ``bound``, which bounds what is broadcast. ``rank``, a
+    hash of id and text, is the order in which rows are learned from.
     """
     known = (labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
              .agg(F.min(label).alias("y"), F.max(label).alias("y_")).where("y = y_").select("id", "y"))
@@ -63,7 +62,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str,
     if n > bound:
         known = known.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < int(bound / n * (1 << 30)))
     text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return text.join(F.broadcast(known), "id").select("id", "text", F.col("y").cast("int").alias("y")), min(n, bound)
+    return text.join(F.broadcast(known), "id").select(
+        F.xxhash64("id", "text").alias("rank"), "text", F.col("y").cast("int").alias("y")), min(n, bound)
 
 
 #: rows of the sample that one shard trains on (about)
@@ -72,18 +72,18 @@ SHARD_ROWS = 4_000
 
 def train(sample: DataFrame, features: Features, dim: int, rows: int, classes: int = 1, epochs: int = 3,
           **settings) -> np.ndarray:
-    """Averaged weights (dim x classes) of FTRL over the shards of ``sample`` (id, text, y), about ``rows`` rows."""
+    """Averaged weights (dim x classes) of FTRL over the shards of ``sample`` (rank, text, y), about ``rows`` rows."""
     shards = -(-max(rows, 1) // SHARD_ROWS)
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = []
         for b in batches:
-            for i, t, y in zip(b["id"], b["text"], b["y"]):
+            for i, t, y in zip(b["rank"], b["text"], b["y"]):
                 at, x = features(t)
                 own.append((i, len(at), int(y), at.astype(np.int32), x.astype(np.float32)))
         if not own:
             return
-        own.sort(key=lambda r: (r[0] * 2654435761 % (1 << 32), r[:3]))  # the same order on every run, ids mixed
+        own.sort(key=lambda r: r[:3])  # the same order on every run, ids mixed
         model = Ftrl(dim, classes, **settings)
         for _ in range(epochs):
             for _, _, y, at, x in own:
@@ -93,7 +93,7 @@ def train(sample: DataFrame, features: Features, dim: int, rows: int, classes: i
         # a shard always answers, so that the average counts it
         yield pd.DataFrame({"at": np.append(at, -1), "k": np.append(k, 0), "w": np.append(w[at, k], 1.0)})
 
-    dealt = sample.repartition(shards, crc_mod("id", shards))
+    dealt = sample.repartition(shards, F.pmod("rank", F.lit(shards)))
     parts = dealt.mapInPandas(fit, "at long, k int, w double").groupBy("at", "k").agg(F.sum("w").alias("w")).toPandas()
     weights = np.zeros((dim, classes))
     counted = parts["at"].to_numpy() < 0

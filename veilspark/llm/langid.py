@@ -8,7 +8,8 @@ the training did not see, so that the scores are calibrated probabilities.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0. With no
 training rows every text is ``und``. Ties between languages go to the first in
-alphabetical order. Extra columns pass through.
+alphabetical order. Ids may be of any type. Other columns pass through; one named like an output
+raises an error.
 """
 
 from __future__ import annotations
@@ -23,12 +24,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import ftrl
-from .common import crc_mod
+from .common import fresh, no_clash
 from .words import mix
 
 DIM = 1 << 16
 #: training documents the regression is fitted on, at most (about; all, if there are fewer)
 FIT_ROWS = 8_000
+#: languages that are learned, at most: those with the most rows
+MAX_LANGUAGES = 512
 UNKNOWN = "und"
 
 _letters: list[np.ndarray] = []
@@ -125,18 +128,24 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         fit_rows: int = FIT_ROWS, epochs: int = 3) -> LanguageModel:
     """A model of the languages of ``docs`` (rows without text or language are not used)."""
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(text_col).alias("text"),
-        F.col(lang_col).alias("lang"))
-    languages = [r[0] for r in rows.select("lang").distinct().orderBy("lang").collect()]  # a closed set of codes
+        F.xxhash64(id_col, text_col).alias("rank"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    most = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    counts = {r["lang"]: r["n"] for r in most.collect()}
+    languages = sorted(counts)
     if not languages:
         return LanguageModel([], np.zeros(DIM, np.float32), np.zeros((DIM, 0), np.float32))
     df, n = document_frequencies(rows.select("text"))
     idf = (np.log((1.0 + n) / (1.0 + df)) + 1.0).astype(np.float32)
     code = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("lang")) - 1
-    sample = rows.select("id", "text", code.cast("int").alias("y"))
+    sample = rows.where(F.col("lang").isin(*languages)).select("rank", "text", "lang", code.cast("int").alias("y"))
     if n > fit_rows:
-        sample = sample.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < int(fit_rows / n * (1 << 30)))
-    kept_back = crc_mod("id", 11) == 3  # for the temperature
+        # each language is drawn from by itself: in proportion, but of a rare one all that a quarter of an even share holds
+        least = fit_rows / (4 * len(languages))
+        rate = {lang: min(1.0, max(m / n * fit_rows, least) / m) for lang, m in counts.items()}
+        drawn = F.create_map(*[F.lit(x) for lang, r in rate.items() for x in (lang, int(r * (1 << 30)))])
+        sample = sample.where(F.pmod("rank", F.lit(1 << 30)) < F.element_at(drawn, F.col("lang")))
+    sample = sample.drop("lang")
+    kept_back = F.pmod(F.xxhash64("rank"), F.lit(11)) == 3  # for the temperature
 
     def features(text: str):
         at = grams(text)
@@ -175,7 +184,7 @@ def _temperature(model: LanguageModel, rows: DataFrame) -> float:
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_out: str = "lang_pred",
              score_out: str = "score") -> DataFrame:
     """``docs`` with the predicted language and its calibrated probability."""
-    from .common import fresh
+    no_clash(docs, lang_out, score_out)
     (p,) = fresh(docs, "prediction_")
     got = docs.withColumn(p, model.predict_column(F.col(text_col)))
     return got.withColumns({lang_out: F.col(p)["lang"], score_out: F.col(p)["score"]}).drop(p)

@@ -18,7 +18,8 @@ values; a table of (value, share) may be given for any marginal.
 Defined cases: a null source or language is the value ``unknown``; a null or empty text
 has 0 tokens, topic ``empty``, and its cell's probability is that of an average token; a
 null id draws by its text. Targets without a cell are left out and the others scaled up.
-An empty table gives an empty result. Extra columns pass through, whatever their names.
+An empty table gives an empty result. Other columns pass through; one named like an output raises
+an error.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, stored
+from .common import fresh, no_clash, stored
 
 POWER = 0.7
 ROUNDS = 8
@@ -114,6 +115,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         rounds: int = ROUNDS, budget: float | None = None, seed: str = SEED,
         out: tuple[str, str, str, str] = ("tokens", "topic", "p", "kept")) -> DataFrame:
     """``docs`` with its tokens, topic, probability to be kept, and whether it is."""
+    no_clash(docs, *out)
     src, lang, own = fresh(docs, "source_", "lang_", "id_")
     tokens, kind, p, kept = out
     rows = docs.withColumns({src: _value(source_col), lang: _value(lang_col), tokens: token_count(F.col(text_col))})
@@ -129,7 +131,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     draw = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.col(text_col), F.lit("")),
                                              F.lit("|" + seed))), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
     found = found.withColumn(kept, draw < F.col(p))
-    return found.select(*[c for c in docs.columns if c not in out], tokens, kind, p, kept)
+    return found.select(*docs.columns, tokens, kind, p, kept)
 
 
 def sample(docs: DataFrame, **settings) -> DataFrame:

@@ -7,7 +7,8 @@ log(1 + count), scaled to unit length; a document's score is one sparse dot prod
 
 Defined cases: a null or empty text scores the model's bias alone. With no labelled
 rows of either class every weight is 0 and every score 0.5. Label rows that disagree
-on an id, or are null, are not learned from. Extra columns pass through.
+on an id, or are null, are not learned from. Ids may be of any type. Other columns pass through;
+one named like the output raises an error.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import ftrl
+from .common import no_clash
 from .words import Tokens, distinct
 
 BITS = 18
@@ -72,6 +74,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, model: QualityModel, text_col: str = "text", out: str = "score") -> DataFrame:
+    no_clash(docs, out)
     return docs.withColumn(out, model.score_column(F.col(text_col)))
 
 

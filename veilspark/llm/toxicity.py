@@ -3,8 +3,7 @@
 Labels are given per document, a chain needs them per token. They are induced: of a
 toxic document's words, those that speak most for the label (by how many toxic and clean
 documents of the sample hold the word, or words that begin alike) are its toxic tokens;
-all words of clean documents are clean. The chain is a line of text, cut after every 128
-words. Emissions add the weights of the hashed word and of its beginnings; transitions
+all words of clean documents are clean. A chain is a whole line of text. Emissions add the weights of the hashed word and of its beginnings; transitions
 are one table.
 
 Scoring runs forward-backward over all chains of a batch at once. A document's score is a
@@ -13,7 +12,8 @@ spans are runs of tokens whose marginal is at least 1/2, as character offsets of
 
 Defined cases: a null text, or one without words, scores 0 and has no spans. Without
 toxic or without clean labels every score is 0. Label rows that disagree on an id, or
-are null, are not learned from. Extra columns pass through, whatever their names.
+are null, are not learned from. Ids may be of any type. Other columns pass through; one named
+like an output raises an error.
 """
 
 from __future__ import annotations
@@ -27,15 +27,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import ftrl
-from .common import crc_mod, fresh
+from .common import fresh, no_clash
 from .words import Tokens
 
 BITS = 20
 DIM = 1 << BITS
 #: labelled documents the field is fitted on, at most (about; all, if there are fewer)
 FIT_ROWS = 8_000
-#: words of a chain, at most: a line is cut after so many
-CHAIN_WORDS = 128
+#: words of one block of the scan over chains (it cuts no chain)
+SCAN_WORDS = 256
 #: documents of one gradient step
 STEP_DOCS = 32
 TOXIC_SCORE = 0.7
@@ -64,8 +64,7 @@ class Document:
         self.at = (np.stack(parts, axis=1) >> np.uint64(64 - BITS)).astype(np.int32).reshape(-1, len(parts))
         line = np.cumsum(t.bytes == 10)[t.start] if len(t.start) else np.empty(0, dtype=int)
         begins = np.concatenate([[True], line[1:] != line[:-1]])[:len(line)]
-        number = np.arange(len(line))
-        self.first = np.flatnonzero((number - np.maximum.accumulate(np.where(begins, number, 0))) % CHAIN_WORDS == 0)
+        self.first = np.flatnonzero(begins)
 
     def offsets(self, bytes_: np.ndarray) -> np.ndarray:
         """Byte offsets as character offsets."""
@@ -96,33 +95,54 @@ class Chain:
 
     def marginals(self, e: np.ndarray, first: np.ndarray, pairs: bool = False):
         """P(toxic) of every token of the chains that begin at ``first``; with ``pairs`` also the expected
-        numbers of the three steps."""
-        p, steps = np.zeros(len(e)), np.zeros(3)
+        numbers of the three steps.
+
+        Chains lie end to end, and each begins anew whatever was before it. Forward and backward odds are
+        each a fractional linear function of the odds one token on, so both are scans (``_scan``)."""
+        x = np.exp(e)
         a, c, b = np.exp(self.move)
-        size = np.diff(np.append(first, len(e)))
-        width = 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(int)
-        for w in np.unique(width):
-            own = width == w
-            n, begin = size[own], first[own]
-            index = np.minimum(begin[:, None] + np.arange(w), len(e) - 1)
-            x = np.exp(e[index]).T  # a step of all chains is a row
-            forward, back = np.empty_like(x), np.ones_like(x)
-            forward[0] = x[0]
-            for t in range(1, w):
-                r = forward[t - 1]
-                forward[t] = x[t] * (a + r * b) / (1.0 + r * c)
-            for t in range(w - 2, -1, -1):
-                y = x[t + 1] * back[t + 1]
-                back[t] = np.where(t + 1 < n, (c + b * y) / (1.0 + a * y), 1.0)
-            inside = (np.arange(w)[:, None] < n).T
-            q = forward * back
-            p[index[inside]] = (q / (1.0 + q)).T[inside]
-            if pairs and w > 1:
-                y, r = x[1:] * back[1:], forward[:-1]
-                joint = np.stack([a * y, r * c, r * b * y])
-                joint /= 1.0 + joint.sum(axis=0)
-                steps += (joint * inside.T[1:]).sum(axis=(1, 2))
-        return (p, steps) if pairs else p
+        begins = np.zeros(len(e) + 1, dtype=bool)
+        begins[first] = begins[-1] = True
+        starts, ends = begins[:-1], begins[1:]
+        # forward: x (a + b r) / (1 + c r), or x where a chain starts
+        forward = _scan(np.where(starts, 0.0, b * x), np.where(starts, x, a * x), np.where(starts, 0.0, c))
+        # backward: (c + b y) / (1 + a y) with y = x * back of the next token, or 1 where a chain ends
+        x_next = np.append(x[1:], 1.0)
+        back = _scan(*(np.where(ends, end, v)[::-1] for v, end in ((b * x_next, 0.0), (np.full(len(e), c), 1.0), (a * x_next, 0.0))))[::-1]
+        q = forward * back
+        p = q / (1.0 + q)
+        if not pairs:
+            return p
+        inner = np.flatnonzero(~starts)
+        y, r = x[inner] * back[inner], forward[inner - 1]
+        joint = np.stack([a * y, r * c, r * b * y])
+        return p, (joint / (1.0 + joint.sum(axis=0))).sum(axis=1)
+
+
+def _scan(n1: np.ndarray, n0: np.ndarray, d1: np.ndarray) -> np.ndarray:
+    """r[t] = (n1[t] r[t-1] + n0[t]) / (d1[t] r[t-1] + 1) from r[-1] = 0, for all t.
+
+    Blocks of SCAN_WORDS are composed side by side (a 2 x 2 matrix each), their first values follow one
+    after the other, and all blocks then run from these: the same values as one loop over t."""
+    size = len(n1)
+    blocks = max(1, -(-size // SCAN_WORDS))
+    pad = blocks * SCAN_WORDS - size
+    n1, n0, d1 = (np.append(v, np.zeros(pad)).reshape(blocks, SCAN_WORDS).T for v in (n1, n0, d1))
+    p = np.ones(blocks), np.zeros(blocks), np.zeros(blocks), np.ones(blocks)
+    for t in range(SCAN_WORDS):
+        p = (n1[t] * p[0] + n0[t] * p[2], n1[t] * p[1] + n0[t] * p[3], d1[t] * p[0] + p[2], d1[t] * p[1] + p[3])
+        top = np.maximum(np.maximum(p[0], p[1]), np.maximum(p[2], p[3]))
+        p = tuple(v / top for v in p)
+    start, r = np.zeros(blocks), 0.0
+    for k in range(blocks):
+        start[k] = r
+        r = (p[0][k] * r + p[1][k]) / (p[2][k] * r + p[3][k])
+    out = np.empty((SCAN_WORDS, blocks))
+    r = start
+    for t in range(SCAN_WORDS):
+        r = (n1[t] * r + n0[t]) / (d1[t] * r + 1.0)
+        out[t] = r
+    return out.T.ravel()[:size]
 
 
 def _cues(sample: DataFrame) -> np.ndarray:
@@ -172,22 +192,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def climb(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = []
         for b in batches:
-            for i, t, y in zip(b["id"], b["text"], b["y"]):
+            for i, t, y in zip(b["rank"], b["text"], b["y"]):
                 doc = Document(t)
                 if len(doc.at):
-                    own.append((i * 2654435761 % (1 << 32), i, len(doc.at), doc.at, doc.first,
-                                _token_labels(doc, y, speaks)))
+                    own.append((i, len(doc.at), doc.at, doc.first, _token_labels(doc, y, speaks)))
         if not own:
             return
-        own.sort(key=lambda r: r[:3])  # the same order on every run
+        own.sort(key=lambda r: r[:2])  # the same order on every run
         w, seen = np.zeros(DIM), np.full(DIM, 1e-8)
         rest, rest_seen = np.array([-3.0, 0.0, 0.0, 0.0]), np.full(4, 1e-8)  # bias and the three steps
         for _ in range(epochs):
             for k in range(0, len(own), STEP_DOCS):
                 part = own[k:k + STEP_DOCS]
-                at, y = np.concatenate([r[3] for r in part]), np.concatenate([r[5] for r in part])
-                begin = np.cumsum([0] + [r[2] for r in part[:-1]])
-                first = np.concatenate([r[4] + s for r, s in zip(part, begin)])
+                at, y = np.concatenate([r[2] for r in part]), np.concatenate([r[4] for r in part])
+                begin = np.cumsum([0] + [r[1] for r in part[:-1]])
+                first = np.concatenate([r[3] + s for r, s in zip(part, begin)])
                 chain = Chain(w, rest[0], tuple(rest[1:]))
                 p, steps = chain.marginals(chain.emissions(at), first, pairs=True)
                 g = y - p
@@ -207,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         yield pd.DataFrame({"at": np.concatenate([used, [-1, -2, -3, -4, -5]]),
                             "w": np.concatenate([w[used], rest, [1.0]])})
 
-    parts = sample.repartition(shards, crc_mod("id", shards)).mapInPandas(climb, "at int, w double").groupBy(
+    parts = sample.repartition(shards, F.pmod("rank", F.lit(shards))).mapInPandas(climb, "at int, w double").groupBy(
         "at").agg(F.sum("w").alias("w")).toPandas()
     value = dict(zip(parts["at"].tolist(), parts["w"].tolist()))
     count = value.get(-5, 1.0)
@@ -281,6 +300,7 @@ def tag_column(text: Column, chain: Chain) -> Column:
 def tag(docs: DataFrame, chain: Chain, text_col: str = "text", score_out: str = "score",
         spans_out: str = "spans") -> DataFrame:
     """``docs`` with its score and its offending spans: array of (start, end), ends not included."""
+    no_clash(docs, score_out, spans_out)
     (t,) = fresh(docs, "tags_")
     spans = F.arrays_zip(F.col(t)["starts"].alias("start"), F.col(t)["ends"].alias("end"))
     return docs.withColumn(t, tag_column(F.col(text_col), chain)).withColumns(
