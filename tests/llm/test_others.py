@@ -390,6 +390,19 @@ def test_hashes_do_not_depend_on_the_place():
     assert a.hashes()[-1] == b.hashes()[0] == a.hashes()[1]
 
 
+def test_stored_tables_are_released(spark):
+    import os
+
+    from veilspark.llm import common
+    with common.released(spark) as keep:
+        a = common.stored(spark.range(3), "a")
+        first = common.last_stored()
+        b = common.stored(a.where("id > 0"), "b")
+        keep.append(common.last_stored())
+    gone, kept = first.removeprefix("file:"), keep[0].removeprefix("file:")
+    assert not os.path.exists(os.path.dirname(gone)) and os.path.exists(kept) and b.count() == 2
+
+
 # pipeline ---------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark, sf_dir):

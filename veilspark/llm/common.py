@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +47,32 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/veilspark-llm/{uuid.uuid4().hex}/{name}"
 
 
+#: paths of the tables that ``stored`` has written, for ``released``
+_written: list[str] = []
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes, on leaving, the tables that were stored inside, but for the paths that the body adds to the list
+    (what is still to be read)."""
+    first, keep = len(_written), []
+    yield keep
+    for path in set(_written[first:]) - set(keep):
+        drop_stored(spark, path)
+    _written[first:] = keep
+
+
+def drop_stored(spark: SparkSession, path: str) -> None:
+    """Deletes a table that ``stored`` has written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getParent()  # of this table alone
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def last_stored() -> str:
+    """The path of the table that was stored last."""
+    return _written[-1]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as a Parquet table in the shared folder and read back.
 
@@ -53,6 +81,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     ``autoBroadcastJoinThreshold``, and shuffled otherwise.
     """
     path = shared_path(df.sparkSession, name)
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
