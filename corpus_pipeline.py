@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.llm import linededup, minhash, mixing, quality
-from veilspark.llm.common import stored, workers_import
+from veilspark.llm.common import drop_stored, last_stored, released, stored, workers_import
 from veilspark.llm.queries import table, token_digests, tokenizer
 
 
@@ -56,8 +56,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; once a stage's result is written, what it stored on its way and what it read
+    are deleted."""
+    docs, read = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        with released(spark) as keep:
+            docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+            keep.append(last_stored())
+        if read:
+            drop_stored(spark, read)
+        read = keep[0]
     return STAGES[-1][1](spark, docs, sf_dir)
