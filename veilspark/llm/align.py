@@ -43,8 +43,8 @@ from .common import stored
 HOT_PAIRS = 1 << 18
 #: texts are encoded together up to so many characters; rows of one Arrow batch that leaves a task
 BATCH_CHARS, ROWS_OUT = 2_000_000, 512
-#: stretches that a worker remembers (twice as many at most), and the longest of them
-REMEMBERED, STRETCH_CHARS = 120_000, 48
+#: stretches that a task remembers (and those of one batch more), and the longest of them
+REMEMBERED, STRETCH_CHARS = 200_000, 48
 
 _ODD_BLANK = regex.compile(r" (?:\s|\Z)")
 
@@ -57,17 +57,13 @@ def _byte_of_sign() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def slices(lengths_a: list[int], lengths_b: list[int]) -> list[tuple[int, int, int, int]]:
-    """Groups (A from, A to, B from, B to) of two lists of token lengths over the same bytes. Where tokens
-    without bytes share an end, the last of them ends the group."""
+def slices(lengths_a: list[int], lengths_b: list[int]) -> tuple[list[int], list[int], list[int]]:
+    """The common ends of two lists of token lengths over the same bytes, in order, and where the groups that end
+    there end in either list. Where tokens without bytes share an end, the last of them ends the group."""
     at_a = dict(zip(accumulate(lengths_a), range(1, len(lengths_a) + 1)))
     at_b = dict(zip(accumulate(lengths_b), range(1, len(lengths_b) + 1)))
-    out, a, b = [], 0, 0
-    for end in sorted(at_a.keys() & at_b.keys()):
-        i, j = at_a[end], at_b[end]
-        out.append((a, i, b, j))
-        a, b = i, j
-    return out
+    common = sorted(at_a.keys() & at_b.keys())
+    return common, list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common))
 
 
 def links(group: tuple[int, int, int, int], lengths_a: list[int], lengths_b: list[int]) -> list[tuple[int, int]]:
@@ -103,8 +99,7 @@ class Tables:
         self.length_a, self.length_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
         self.digits = list(map(str, range(max(len(self.bytes_a), len(self.bytes_b)))))
         self.by_stretch = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.recent: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
+        self.forget()
 
     def _align(self, texts: list[str]) -> list[tuple | None]:
         """(n_a << 32 | n_b, packed links, groups as text) of a blank and each text; None where the bytes differ."""
@@ -129,13 +124,15 @@ class Tables:
         """As ``_align``, of texts laid end to end whose bytes are the same; None if a side has no end where a text ends."""
         ids_a, ids_b = list(chain.from_iterable(a)), list(chain.from_iterable(b))
         lengths_a, lengths_b = list(map(self.length_a.__getitem__, ids_a)), list(map(self.length_b.__getitem__, ids_b))
-        groups = slices(lengths_a, lengths_b)
-        ends = list(accumulate(lengths_a))
-        place = {ends[g[1] - 1]: k for k, g in enumerate(groups, 1)}  # how many groups there are up to an end
-        cuts = [0, *map(place.get, accumulate(map(len, raws)))]
-        if None in cuts:
+        common, to_a, to_b = slices(lengths_a, lengths_b)
+        bounds = np.fromiter(accumulate(map(len, raws)), dtype=np.int64, count=len(raws))
+        ends = np.array(common, dtype=np.int64)
+        cuts = np.searchsorted(ends, bounds, side="right")  # how many groups there are up to a text's end
+        if not len(ends) or not (ends[np.maximum(cuts, 1) - 1] == bounds).all():
             return None
+        cuts = [0, *cuts.tolist()]
         digits_a, digits_b = list(map(self.digits.__getitem__, ids_a)), list(map(self.digits.__getitem__, ids_b))
+        groups = list(zip([0, *to_a[:-1]], to_a, [0, *to_b[:-1]], to_b))
         parts = [digits_a[i] + "|" + digits_b[k] if j - i == 1 == m - k else
                  ",".join(digits_a[i:j]) + "|" + ",".join(digits_b[k:m]) for i, j, k, m in groups]
         if 0 in lengths_a or 0 in lengths_b:
@@ -143,8 +140,8 @@ class Tables:
             packed = [np.array(x, dtype=np.int64).tobytes() for x in found]
             linked = [b"".join(packed[i:j]) for i, j in pairwise(cuts)]
         else:
-            last = np.array(groups, dtype=np.int64)
-            flat = (np.array(ids_a, dtype=np.int64)[last[:, 1] - 1] << 32 | np.array(ids_b, dtype=np.int64)[last[:, 3] - 1]).tobytes()
+            last_a = np.array(ids_a, dtype=np.int64)[np.array(to_a) - 1]
+            flat = (last_a << 32 | np.array(ids_b, dtype=np.int64)[np.array(to_b) - 1]).tobytes()
             linked = [flat[8 * i:8 * j] for i, j in pairwise(cuts)]
         return [(len(x) << 32 | len(y), own, ";".join(parts[i:j])) for x, y, own, (i, j) in zip(a, b, linked, pairwise(cuts))]
 
@@ -153,15 +150,11 @@ class Tables:
         whole = [not t or not self.by_stretch or t[0].isspace() or bool(_ODD_BLANK.search(t)) for t in texts]
         parts = [[] if w else t.split(" ") for t, w in zip(texts, whole)]
         asked = set(chain.from_iterable(parts))
-        known = {s: self.recent[s] for s in asked & self.recent.keys()}
-        old = {s: self.older[s] for s in (asked - known.keys()) & self.older.keys()}
-        missing = list(asked - known.keys() - old.keys())
-        old.update(zip(missing, self._align(missing) if missing else ()))
-        known |= old
-        if len(self.recent) + len(old) > REMEMBERED:
-            self.older, self.recent = self.recent, {}
-        self.recent.update((s, v) for s, v in old.items() if len(s) <= STRETCH_CHARS and len(self.recent) < REMEMBERED)
-        bad = {s for s, v in known.items() if v is None}
+        missing = list(asked - self.known.keys())
+        known = self.known
+        if missing:
+            known.update(zip(missing, self._align(missing)))
+        bad = {s for s in missing if known[s] is None} | (self.bad & asked)
         for text, w, own in zip(texts, whole, parts):
             if not text or (bad and not bad.isdisjoint(own)):
                 yield None
@@ -173,6 +166,29 @@ class Tables:
             counts, linked, groups = zip(*found)
             n = sum(counts)
             yield n >> 32, n & 0xFFFFFFFF, b"".join(linked), ";".join(groups)
+        if len(known) > REMEMBERED:  # what this batch has asked for stays
+            self.known = {s: known[s] for s in asked if len(s) <= STRETCH_CHARS}
+            self.bad = {s for s in bad if s in self.known}
+        else:
+            for s in missing:
+                if len(s) > STRETCH_CHARS:
+                    del known[s]
+            self.bad |= {s for s in bad if s in known}
+
+    def forget(self) -> None:
+        self.known, self.bad = {}, set()
+
+
+_built: dict[int, Tables] = {}
+
+
+def _tables(a_json: str, b_model: bytes) -> Tables:
+    """A worker's tables; it keeps those of one pair of tokenizers."""
+    key = hash((a_json, b_model))
+    if key not in _built:
+        _built.clear()
+        _built[key] = Tables(a_json, b_model)
+    return _built[key]
 
 
 class Aligner:
@@ -196,13 +212,14 @@ class Aligner:
         id_type = rows.schema["id"].dataType
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tables = Tables(a_json, b_model)  # lives as long as the task
+            tables = _tables(a_json, b_model)
             gc.freeze()  # what is remembered has no cycles: the collector need not look through it again and again
             gc.disable()
             try:
                 for batch in batches:
                     yield from rows_of(tables, batch)
             finally:
+                tables.forget()
                 gc.unfreeze()
                 gc.enable()
 
