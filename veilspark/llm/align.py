@@ -44,7 +44,7 @@ HOT_PAIRS = 1 << 18
 #: texts are encoded together up to so many characters; rows of one Arrow batch that leaves a task
 BATCH_CHARS, ROWS_OUT = 2_000_000, 512
 #: stretches that a task remembers (and those of one batch more), and the longest of them
-REMEMBERED, STRETCH_CHARS = 200_000, 48
+REMEMBERED, STRETCH_CHARS = 300_000, 48
 
 _ODD_BLANK = regex.compile(r" (?:\s|\Z)")
 
@@ -154,7 +154,12 @@ class Tables:
         known = self.known
         if missing:
             known.update(zip(missing, self._align(missing)))
-        bad = {s for s in missing if known[s] is None} | (self.bad & asked)
+        bad = {s for s in asked if known[s] is None}
+        # what is remembered is settled before the first answer: who asks may not wait for the last
+        if len(known) > REMEMBERED:
+            self.known = {s: known[s] for s in asked if len(s) <= STRETCH_CHARS}  # what this batch has asked for stays
+        elif any(len(s) > STRETCH_CHARS for s in missing):
+            self.known = {s: v for s, v in known.items() if len(s) <= STRETCH_CHARS}
         for text, w, own in zip(texts, whole, parts):
             if not text or (bad and not bad.isdisjoint(own)):
                 yield None
@@ -166,17 +171,9 @@ class Tables:
             counts, linked, groups = zip(*found)
             n = sum(counts)
             yield n >> 32, n & 0xFFFFFFFF, b"".join(linked), ";".join(groups)
-        if len(known) > REMEMBERED:  # what this batch has asked for stays
-            self.known = {s: known[s] for s in asked if len(s) <= STRETCH_CHARS}
-            self.bad = {s for s in bad if s in self.known}
-        else:
-            for s in missing:
-                if len(s) > STRETCH_CHARS:
-                    del known[s]
-            self.bad |= {s for s in bad if s in known}
 
     def forget(self) -> None:
-        self.known, self.bad = {}, set()
+        self.known: dict[str, tuple | None] = {}
 
 
 _built: dict[int, Tables] = {}
