@@ -63,8 +63,10 @@ def t2(spark, sf_dir):
 
 @register("t3_suspect_feed")
 def t3(spark, sf_dir):
-    """The 15-minute feed of both patterns, with its routing tier."""
-    return T.suspect_feed_one_pass(B.query_history(spark, sf_dir)).withColumn("severity", T.severity(F.col("anomaly_score")))
+    """Bulk exports of 15 minutes and off-hours access of a day, with their routing tier (both patterns on the
+    reference's 15-minute slice: t3_suspect_feed_one_pass_15min)."""
+    return T.suspect_feed(B.query_history(spark, sf_dir), off_hours_window="1 day").withColumn(
+        "severity", T.severity(F.col("anomaly_score")))
 
 
 def suspects_with_state(spark, sf_dir, suspects=None):
