@@ -1,6 +1,8 @@
 """Queries that once did less than their whole job."""
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
-from veilspark.llm import mixing
+from veilspark.llm import mixing, rules
 
 
 def test_op6_draws_its_budget_though_a_cell_is_rare(spark, tmp_path):
@@ -10,3 +12,24 @@ def test_op6_draws_its_budget_though_a_cell_is_rare(spark, tmp_path):
     tokens = sum(r["tokens"] for r in got)
     assert abs(sum(r["p"] * r["tokens"] for r in got) - mixing.BUDGET * tokens) < 1e-5 * tokens
     assert sum(r["kept"] for r in got) > 200  # one rare document does not set the size of the draw
+
+
+def test_op13_trusts_every_document_that_the_labels_call_good(spark):
+    n = 25_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("plain words").alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert rules.trusted_ids(labels).count() == n
+    # raw and trusted corpus are one, so no place is likelier in either
+    assert rules.ratios(docs, rules.trusted_ids(labels)).where("ratio != 0").count() == 0
+
+
+def test_op13_without_a_broadcast_of_the_ids(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c"), (2, None), (3, "a c d")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (None, 1), (3, 0)], "doc_id long, quality int")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    few, own = sorted(rules.quality_rules(docs, labels).collect(), key=repr), spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        assert sorted(rules.quality_rules(docs, labels).collect(), key=repr) == few
+    finally:
+        spark.conf.set(key, own)

@@ -6,9 +6,9 @@ pair, so that stuttering looks alike whatever it repeats) and each word's last t
 signs; each kind is hashed to ``SLOTS`` places of its own.
 
 Two multinomials over the places are counted in one scan: the raw corpus (every n-gram of
-every document) and the trusted target (the documents that the labels call good; at most
-about ``TARGET_ROWS`` of them, chosen by a hash of the id, so that the list of ids has a
-bound and may be broadcast). Both are smoothed by one count per place. A document's
+every document) and the trusted target (all documents that the labels call good; their ids
+are stored, so Spark broadcasts them only if they are few, and otherwise shuffles ids and
+texts once). Both are smoothed by one count per place. A document's
 verdict is the mean of log(target / raw) over its n-grams; it is kept if that is at least
 ``LEAST_RATIO`` and no base rule fails (fewer than 50 words; more than half of the words
 in three-word windows that the text has twice). Ratios are whole millionths, so sums
@@ -36,8 +36,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 NOT_SYMBOLS = "[^#*$%&|<>]+"
 #: places per kind of n-gram (words, pairs, endings); the table of ratios has three times as many rows
 SLOTS = 1 << 14
-#: trusted documents at most (about)
-TARGET_ROWS = 20_000
 #: least mean of log(target / raw) over the n-grams of a document: half a nat rarer in trusted text than in the raw corpus
 LEAST_RATIO = -0.5
 LEAST_WORDS, REPEAT_PERCENT = 50, 50
@@ -105,11 +103,11 @@ def places(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id", label: str = "quality", good: int = 1,
-                bound: int = TARGET_ROWS) -> DataFrame:
-    """Distinct ids that the labels call good, about ``bound`` of them at most, by a hash of the id."""
+                bound: int | None = None) -> DataFrame:
+    """Distinct ids that the labels call good: all, or about ``bound`` at most, by a hash of the id, if a caller asks."""
     ids = labels.where((F.col(label) == good) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id")).distinct()
-    n = ids.count()
-    if n > bound:
+    n = ids.count() if bound is not None else 0
+    if bound is not None and n > bound:
         ids = ids.where(F.pmod(F.xxhash64("id", F.lit("trusted")), F.lit(1 << 30)) < int(bound / n * (1 << 30)))
     return ids
 
@@ -117,11 +115,10 @@ def trusted_ids(labels: DataFrame, id_col: str = "doc_id", label: str = "quality
 def ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            slots: int = SLOTS) -> DataFrame:
     """(place, ratio) for every place of every kind: log(target / raw) in whole millionths."""
-    ids = trusted.select(F.col("id").alias("trusted_id"))
-    rows = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(whole_text(text_col), F.lit(WORD), 0).alias("words"))
-    # at most TARGET_ROWS ids
-    marked = rows.join(F.broadcast(ids), rows["id"] == ids["trusted_id"], "left").select(
-        "words", F.col("trusted_id").isNotNull().cast("long").alias("good"))
+    ids = stored(trusted.select(F.col("id").alias("trusted_id")), "trusted")
+    rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
+    marked = rows.join(ids, rows["id"] == ids["trusted_id"], "left").select(
+        F.regexp_extract_all("text", F.lit(WORD), 0).alias("words"), F.col("trusted_id").isNotNull().cast("long").alias("good"))
     each = places(marked, slots).select("good", F.explode(F.array(*KINDS)).alias("place")).where("place IS NOT NULL")
     counted = each.groupBy("place").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("target"))
     counted = stored(counted, "places")  # 3 * slots rows at most
