@@ -2,6 +2,7 @@
 import datetime as dt
 
 import __spark_entry__ as E
+from veilspark.sources.synth import load_key_diff
 
 
 def events(spark, path, rows):
@@ -15,3 +16,21 @@ def test_the_suspect_feed_sees_off_hours_access_spread_over_a_night(spark, tmp_p
     got = E.queries()["t3_suspect_feed"](spark, str(tmp_path)).collect()
     assert [(r["trigger_type"], r["suspect_user"], r["related_query_count"], r["severity"]) for r in got] == [
         ("OFF_HOURS_ACCESS", "U0001", 3, "MEDIUM")]
+
+
+def test_key_diff_with_null_and_repeated_keys_in_one_grouping(spark):
+    cols = "a string, b int"
+    source = spark.createDataFrame([("x", 1), ("x", 1), ("y", None), (None, None), ("only", 2)], cols)
+    target = spark.createDataFrame([("x", 1), ("y", None), ("new", 3), ("new", 3)], cols)
+    out = load_key_diff(source, target, ["a", "b"])
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([
+        ("only", 2, "MISSING_IN_TARGET"), ("y", None, "MISSING_IN_TARGET"), (None, None, "MISSING_IN_TARGET"),
+        ("y", None, "EXTRA_IN_TARGET"), ("new", 3, "EXTRA_IN_TARGET")], key=repr)
+    plan = load_key_diff(source, target, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+
+
+def test_query_texts_are_scanned_once(spark, sf_dir):
+    plan = E.queries()["k12_audit_events_from_queries"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"|/\*[\s\S]*?\*/|") == 1  # the scanner's pattern
+    assert plan.count("hospital_id\\b") == 1  # the pattern of literals

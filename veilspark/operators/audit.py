@@ -280,19 +280,22 @@ def audit_events_from_queries(qh: DataFrame, columns: DataFrame, role_map: DataF
         F.collect_set(F.upper("column_name")).alias("_columns"))
     grants = role_map.groupBy(F.col("mapped_role").alias("role_name")).agg(F.collect_set(
         F.struct("hospital_id", "effective_from", "effective_to")).alias("_grants"))
-    ev = qh.withColumn("_names", S.names(F.col("query_text")))
+    # an explode of one value keeps Spark from writing the expression in again wherever the column is used, in lambdas once an element
+    ev = qh.select("*", F.explode(F.array(S.names(F.col("query_text")))).alias("_names"))
     ev = ev.withColumn("event_type", S.event_type(F.col("_names"))).where(F.col("event_type").isNotNull())
     nothing = F.array(F.struct(F.col("database_name"), F.lit(session_schema).alias("schema_name"), F.lit("NONE").alias("table_name")))
     named = S.tables(F.col("_names"), F.col("database_name"), F.lit(session_schema))
-    ev = ev.withColumn("_tables", named).withColumn("_tables", F.when(F.size("_tables") > 0, F.col("_tables")).otherwise(nothing))
+    asked = S.literals_of(F.col("query_text"), "hospital_id")
+    ev = ev.select("*", F.explode(F.array(F.struct(named.alias("tables"), asked.alias("asked")))).alias("_found"))
+    ev = ev.select("*", F.col("_found.asked").alias("_asked"), F.when(F.size("_found.tables") > 0, F.col("_found.tables"))
+                   .otherwise(nothing).alias("_tables")).drop("_found")
     ev = ev.select("*", F.posexplode("_tables").alias("_place", "_t")).drop("database_name", "_tables").select(
         "*", "_t.database_name", "_t.schema_name", "_t.table_name").drop("_t")
     ev = ev.join(known, ["database_name", "schema_name", "table_name"], "left").where(
         (F.col("_place") == 0) | F.col("_columns").isNotNull()).join(grants, "role_name", "left")
     day = F.to_date("start_time")
     open_now = F.filter("_grants", lambda g: (g["effective_from"] <= day) & (g["effective_to"].isNull() | (g["effective_to"] >= day)))
-    asked = S.literals_of(F.col("query_text"), "hospital_id")
-    hospitals = F.when(F.size(asked) > 0, asked).otherwise(F.array_distinct(F.transform(open_now, lambda g: g["hospital_id"])))
+    hospitals = F.when(F.size("_asked") > 0, F.col("_asked")).otherwise(F.array_distinct(F.transform(open_now, lambda g: g["hospital_id"])))
     place = F.when(F.col("_place") > 0, F.concat(F.lit("-"), F.col("_place").cast("string"))).otherwise("")
     no_columns = F.array().cast("array<string>")
     return ev.select(
