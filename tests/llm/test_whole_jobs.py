@@ -33,3 +33,24 @@ def test_op13_without_a_broadcast_of_the_ids(spark):
         assert sorted(rules.quality_rules(docs, labels).collect(), key=repr) == few
     finally:
         spark.conf.set(key, own)
+
+
+def test_op13_shuffles_no_text_that_is_surely_not_trusted(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("plain words").alias("text")).unionByName(
+        spark.createDataFrame([(None, "null id")] * 50 + [(7, "twice")], "doc_id long, text string"))
+    trusted = spark.range(0, 20_000, 8).select("id")
+    rows = rules.may_be_trusted(docs.withColumnRenamed("doc_id", "id"), trusted.withColumnRenamed("id", "trusted_id"))
+    maybe = rows.where("maybe")
+    assert rows.count() == 20_051 and maybe.where("id % 8 = 0").count() == 2500
+    assert maybe.count() < 2600 and maybe.where("id IS NULL").count() == 0
+    # few bits: nearly every id hits one, and the ids decide
+    few = rules.may_be_trusted(docs.withColumnRenamed("doc_id", "id"), trusted.withColumnRenamed("id", "trusted_id"), 64)
+    assert few.where("maybe").count() == 20_001
+    assert rules.marked(docs, trusted).where("good = 1").count() == 2500 and rules.marked(docs, trusted).count() == 20_051
+
+
+def test_op13_ids_of_two_types(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c"), (None, "d")], "doc_id int, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 1), (2, 0)], "doc_id long, quality int")
+    got = rules.marked(docs, rules.trusted_ids(labels)).collect()
+    assert sorted(map(tuple, got)) == [("a b", 1), ("c", 0), ("d", 0)]

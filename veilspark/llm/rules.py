@@ -6,9 +6,11 @@ pair, so that stuttering looks alike whatever it repeats) and each word's last t
 signs; each kind is hashed to ``SLOTS`` places of its own.
 
 Two multinomials over the places are counted in one scan: the raw corpus (every n-gram of
-every document) and the trusted target (all documents that the labels call good; their ids
-are stored, so Spark broadcasts them only if they are few, and otherwise shuffles ids and
-texts once). Both are smoothed by one count per place. A document's
+every document) and the trusted target (all documents that the labels call good). Their ids
+first set bits in bitmaps of ``BITS`` hashes, 4 MB however many they are, which are broadcast;
+only the texts whose id hits a bit are shuffled to the ids and compared with them. What is
+shuffled is so in proportion to the trusted texts, at every size, and never more than the
+texts once. Both are smoothed by one count per place. A document's
 verdict is the mean of log(target / raw) over its n-grams; it is kept if that is at least
 ``LEAST_RATIO`` and no base rule fails (fewer than 50 words; more than half of the words
 in three-word windows that the text has twice). Ratios are whole millionths, so sums
@@ -41,6 +43,8 @@ LEAST_RATIO = -0.5
 LEAST_WORDS, REPEAT_PERCENT = 50, 50
 KINDS = ("word", "pair", "ending")
 _UNIT = 1_000_000
+#: hashes of ids that the bitmaps tell apart
+BITS = 1 << 25
 
 
 def n_symbols(text: Column) -> Column:
@@ -112,14 +116,39 @@ def trusted_ids(labels: DataFrame, id_col: str = "doc_id", label: str = "quality
     return ids
 
 
+def may_be_trusted(rows: DataFrame, ids: DataFrame, bits: int = BITS) -> DataFrame:
+    """``rows`` with ``maybe``: false for ids that are surely not among ``ids`` (trusted_id), true for all that are and,
+    by a hash, a few others."""
+    if rows.schema["id"].dataType != ids.schema["trusted_id"].dataType:  # equal ids of two types have two hashes
+        return rows.withColumn("maybe", F.col("id").isNotNull())
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
+    bitmaps = ids.groupBy(F.bitmap_bucket_number(place("trusted_id")).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place("trusted_id"))).alias("bitmap"))
+    at = F.bitmap_bit_position(place("id"))
+    byte = F.conv(F.hex(F.col("bitmap").substr((F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.getbit(byte, (at % 8).cast("int")) == 1
+    own = F.bitmap_bucket_number(place("id"))
+    # bits / 8 bytes at most
+    return rows.join(F.broadcast(bitmaps), own == F.col("bucket"), "left").withColumn(
+        "maybe", F.col("id").isNotNull() & F.coalesce(hit, F.lit(False))).drop("bucket", "bitmap")
+
+
+def marked(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(text, good) of every row: good is 1 if its id is trusted, else 0."""
+    ids = stored(trusted.select(F.col("id").alias("trusted_id")), "trusted")
+    rows = may_be_trusted(docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")), ids)
+    # a shuffle at every size: a broadcast of the ids would grow with the input until it turns into one
+    found = rows.where("maybe").join(ids.hint("shuffle_hash"), F.col("id") == F.col("trusted_id"), "left")
+    return rows.where("NOT maybe").select("text", F.lit(0).cast("long").alias("good")).unionByName(
+        found.select("text", F.col("trusted_id").isNotNull().cast("long").alias("good")))
+
+
 def ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            slots: int = SLOTS) -> DataFrame:
     """(place, ratio) for every place of every kind: log(target / raw) in whole millionths."""
-    ids = stored(trusted.select(F.col("id").alias("trusted_id")), "trusted")
-    rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    marked = rows.join(ids, rows["id"] == ids["trusted_id"], "left").select(
-        F.regexp_extract_all("text", F.lit(WORD), 0).alias("words"), F.col("trusted_id").isNotNull().cast("long").alias("good"))
-    each = places(marked, slots).select("good", F.explode(F.array(*KINDS)).alias("place")).where("place IS NOT NULL")
+    rows = marked(docs, trusted, id_col, text_col).select(
+        F.regexp_extract_all("text", F.lit(WORD), 0).alias("words"), "good")
+    each = places(rows, slots).select("good", F.explode(F.array(*KINDS)).alias("place")).where("place IS NOT NULL")
     counted = each.groupBy("place").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("target"))
     counted = stored(counted, "places")  # 3 * slots rows at most
     every = docs.sparkSession.range(len(KINDS) * slots).select(F.col("id").alias("place"))
