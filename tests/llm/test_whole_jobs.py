@@ -2,7 +2,8 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from veilspark.llm import mixing, rules
+from veilspark.llm import minhash, mixing, rules
+from veilspark.llm.common import may_be_among
 
 
 def test_op6_draws_its_budget_though_a_cell_is_rare(spark, tmp_path):
@@ -54,3 +55,28 @@ def test_op13_ids_of_two_types(spark):
     labels = spark.createDataFrame([(1, 1), (3, 1), (2, 0)], "doc_id long, quality int")
     got = rules.marked(docs, rules.trusted_ids(labels)).collect()
     assert sorted(map(tuple, got)) == [("a b", 1), ("c", 0), ("d", 0)]
+
+
+def test_may_be_among_misses_no_key(spark):
+    rows = spark.createDataFrame([(i if i % 10 else None, f"t{i}", i) for i in range(1000)], "a long, b string, bucket_ int")
+    keys = rows.where("bucket_ % 7 = 0").selectExpr("a AS x", "b AS y").unionByName(spark.createDataFrame([(5, None)], "x long, y string"))
+    got = may_be_among(rows, ["a", "b"], keys, ["x", "y"])
+    assert got.columns == ["a", "b", "bucket_", "maybe"] and got.count() == 1000
+    assert got.where("maybe AND bucket_ % 7 = 0").count() == 143 and got.where("maybe").count() < 150
+    assert may_be_among(rows, ["a", "b"], keys.limit(0), ["x", "y"]).where("maybe").count() == 0
+
+
+def test_near_dedup_leaves_rows_that_stay_where_they_are(spark):
+    """Without a broadcast of the rows that go, the texts of all others are still not shuffled."""
+    text = F.concat_ws(" ", *[F.concat(F.lit(f"w{k}x"), F.col("id").cast("string")) for k in range(8)])
+    docs = spark.range(0, 400, 1, 4).select(F.col("id").alias("doc_id"), text.alias("text"))
+    copies = docs.where("doc_id < 5").select((F.col("doc_id") + 1000).alias("doc_id"), "text")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    own = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        got = minhash.near_dedup(docs.unionByName(copies)).select("doc_id", F.spark_partition_id().alias("part")).collect()
+    finally:
+        spark.conf.set(key, own)
+    assert sorted(r["doc_id"] for r in got) == list(range(400))
+    assert all(len({r["part"] for r in got if r["doc_id"] // 100 == k}) == 1 for k in range(4))

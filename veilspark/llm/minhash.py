@@ -49,7 +49,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, stored, whole_text
+from .common import fresh, may_be_among, stored, whole_text
 from .graph import components
 from .words import Tokens, distinct, mix
 
@@ -331,7 +331,8 @@ def _buckets(sketches: DataFrame) -> DataFrame:
                 F.sum(F.xxhash64("same", F.lit(1)).cast("decimal(38,0)")).alias("y")]
     shared = member.groupBy("band").agg(*print_of).where("n > 1")
     single = shared.groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band")
-    return member.join(single, "band").select("band", "same")
+    mostly = may_be_among(member, ["band"], single, ["band"]).where("maybe")  # most bands are of one text alone
+    return mostly.join(single, "band").select("band", "same")
 
 
 def _open(member: DataFrame, comp: DataFrame) -> DataFrame:
@@ -362,9 +363,10 @@ def near_links(docs: DataFrame, sketches: DataFrame, text_col: str, settings: Se
     member = stored(_buckets(sketches), "members")
     # one text of each node that is in some bucket with another; copies are collapsed before they meet it
     nodes = member.select("same").distinct()
-    one = (sketches.join(nodes, "same", "left_semi").groupBy("same").agg(F.min("key").alias("key")))
+    one = stored(sketches.join(nodes, "same", "left_semi").groupBy("same").agg(F.min("key").alias("key")), "nodes")
     body = docs.select(whole_text(text_col).alias("body")).select(F.unhex(F.md5("body")).alias("key"), "body")
-    texts = stored(body.dropDuplicates(["key"]).join(one, "key").select("same", "body"), "texts")
+    met = may_be_among(body, ["key"], one, ["key"]).where("maybe").drop("maybe")  # only their texts are shuffled
+    texts = stored(met.dropDuplicates(["key"]).join(one, "key").select("same", "body"), "texts")
 
     links = None
     comp = member.select(F.col("same").alias("node"), F.col("same").alias("component")).limit(0)
@@ -415,15 +417,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                settings: Settings = Settings()) -> DataFrame:
-    """``docs`` with one row of each class, and its own columns."""
+    """``docs`` with one row of each class, and its own columns. Only rows that may go, or may be there twice, are shuffled."""
     groups = stored(near_groups(docs, id_col, text_col, settings), "groups")
-    key, gone_id, gone_key = fresh(docs, "key_", "gone_id_", "gone_key_")
+    key, gone_id, gone_key, maybe = fresh(docs, "key_", "gone_id_", "gone_key_", "maybe_")
     keyed = docs.withColumn(key, F.unhex(F.md5(whole_text(text_col))))
     same_row = F.col(id_col).eqNullSafe(F.col(gone_id)) & (F.col(key) == F.col(gone_key))
     per_row = groups.groupBy(F.col(id_col).alias(gone_id), F.col("key").alias(gone_key)).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col("kept").cast("int")).alias("stay"))
     gone = stored(per_row.where("rows > stay"), "gone").select(gone_id, gone_key, "stay")
     once = gone.where("stay > 0").drop("stay")
-    stay = keyed.join(gone.drop("stay"), same_row, "left_anti")
-    first = keyed.join(once, same_row, "left_semi").dropDuplicates([id_col, key])
-    return stay.unionByName(first).drop(key)
+    among = lambda some: may_be_among(keyed, [id_col, key], some, [gone_id, gone_key], maybe)
+    seen = among(gone)
+    # joins that shuffle at every size: a broadcast would grow with the input until it turns into a shuffle
+    stay = seen.where(F.col(maybe)).join(gone.drop("stay").hint("shuffle_hash"), same_row, "left_anti")
+    first = among(once).where(F.col(maybe)).join(once.hint("shuffle_hash"), same_row, "left_semi").dropDuplicates([id_col, key])
+    return seen.where(~F.col(maybe)).unionByName(stay).unionByName(first).drop(key, maybe)

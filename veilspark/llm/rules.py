@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, whole_text
+from .common import BITS, may_be_among, stored, whole_text
 
 WORD = r"[^\x20\x09-\x0D]+"
 NOT_SYMBOLS = "[^#*$%&|<>]+"
@@ -43,8 +43,6 @@ LEAST_RATIO = -0.5
 LEAST_WORDS, REPEAT_PERCENT = 50, 50
 KINDS = ("word", "pair", "ending")
 _UNIT = 1_000_000
-#: hashes of ids that the bitmaps tell apart
-BITS = 1 << 25
 
 
 def n_symbols(text: Column) -> Column:
@@ -121,16 +119,7 @@ def may_be_trusted(rows: DataFrame, ids: DataFrame, bits: int = BITS) -> DataFra
     by a hash, a few others."""
     if rows.schema["id"].dataType != ids.schema["trusted_id"].dataType:  # equal ids of two types have two hashes
         return rows.withColumn("maybe", F.col("id").isNotNull())
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
-    bitmaps = ids.groupBy(F.bitmap_bucket_number(place("trusted_id")).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place("trusted_id"))).alias("bitmap"))
-    at = F.bitmap_bit_position(place("id"))
-    byte = F.conv(F.hex(F.col("bitmap").substr((F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    hit = F.getbit(byte, (at % 8).cast("int")) == 1
-    own = F.bitmap_bucket_number(place("id"))
-    # bits / 8 bytes at most
-    return rows.join(F.broadcast(bitmaps), own == F.col("bucket"), "left").withColumn(
-        "maybe", F.col("id").isNotNull() & F.coalesce(hit, F.lit(False))).drop("bucket", "bitmap")
+    return may_be_among(rows, ["id"], ids, ["trusted_id"], bits=bits).withColumn("maybe", F.col("id").isNotNull() & F.col("maybe"))
 
 
 def marked(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
