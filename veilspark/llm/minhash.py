@@ -57,6 +57,8 @@ from .words import Tokens, distinct, mix
 ROUNDS = 2
 #: members of one block, when what is left of a bucket is compared in blocks
 BLOCK = 256
+#: hashes in the bitmaps of keys: 1 MB each, as several are broadcast and stay in the executors' memory for a while
+BITS = 1 << 23
 #: shingles whose darts a worker throws together
 BATCH = 400_000
 
@@ -331,7 +333,7 @@ def _buckets(sketches: DataFrame) -> DataFrame:
                 F.sum(F.xxhash64("same", F.lit(1)).cast("decimal(38,0)")).alias("y")]
     shared = member.groupBy("band").agg(*print_of).where("n > 1")
     single = shared.groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band")
-    mostly = may_be_among(member, ["band"], single, ["band"]).where("maybe")  # most bands are of one text alone
+    mostly = may_be_among(member, ["band"], single, ["band"], bits=BITS).where("maybe")  # most bands are of one text alone
     return mostly.join(single, "band").select("band", "same")
 
 
@@ -365,7 +367,7 @@ def near_links(docs: DataFrame, sketches: DataFrame, text_col: str, settings: Se
     nodes = member.select("same").distinct()
     one = stored(sketches.join(nodes, "same", "left_semi").groupBy("same").agg(F.min("key").alias("key")), "nodes")
     body = docs.select(whole_text(text_col).alias("body")).select(F.unhex(F.md5("body")).alias("key"), "body")
-    met = may_be_among(body, ["key"], one, ["key"]).where("maybe").drop("maybe")  # only their texts are shuffled
+    met = may_be_among(body, ["key"], one, ["key"], bits=BITS).where("maybe").drop("maybe")  # only their texts are shuffled
     texts = stored(met.dropDuplicates(["key"]).join(one, "key").select("same", "body"), "texts")
 
     links = None
@@ -426,7 +428,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.count(F.lit(1)).alias("rows"), F.sum(F.col("kept").cast("int")).alias("stay"))
     gone = stored(per_row.where("rows > stay"), "gone").select(gone_id, gone_key, "stay")
     once = gone.where("stay > 0").drop("stay")
-    among = lambda some: may_be_among(keyed, [id_col, key], some, [gone_id, gone_key], maybe)
+    among = lambda some: may_be_among(keyed, [id_col, key], some, [gone_id, gone_key], maybe, BITS)
     seen = among(gone)
     # joins that shuffle at every size: a broadcast would grow with the input until it turns into a shuffle
     stay = seen.where(F.col(maybe)).join(gone.drop("stay").hint("shuffle_hash"), same_row, "left_anti")
